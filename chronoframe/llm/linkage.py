@@ -25,15 +25,14 @@ def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
     return lists.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def link(scratch: Scratch, lists: DataFrame, verifier: Callable[[DataFrame], Verify], rounds: int = 3, known: DataFrame | None = None) -> DataFrame | None:
+def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, known: DataFrame | None = None) -> DataFrame | None:
     """(id, root) of the ids that have links.
 
-    ``lists``: (key, id). ``verifier(live)`` is called once with the lists that have two ids or more and gives a function
-    from pairs (a, b) to the pairs that are linked. ``known``: links (a, b) found by other means.
+    ``lists``: (key, id). ``verify`` gives, of pairs (a, b), those that are linked. ``known``: links found by other means.
     """
     links = scratch.write(known, "links") if known is not None else None
     comps = components(scratch, links) if links is not None else None
-    live, verify = lists, None
+    live = lists
     for _ in range(rounds):
         by_key = Window.partitionBy("key")
         led = _with_components(live, comps).withColumns({"lead": F.min(F.struct("id", "comp")).over(by_key), "low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)})
@@ -42,7 +41,6 @@ def link(scratch: Scratch, lists: DataFrame, verifier: Callable[[DataFrame], Ver
         scratch.drop(old)
         if live.isEmpty():
             return comps
-        verify = verify or verifier(live)
         pairs = live.where("comp <> lead_comp").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
         found = scratch.write(verify(pairs), "links")
         if not found.isEmpty():

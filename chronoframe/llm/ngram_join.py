@@ -59,6 +59,21 @@ def prefix_length(n: int) -> int:
     return n - -(-NUMERATOR * n // DENOMINATOR) + 1
 
 
+def parity_bits(s: np.ndarray) -> bytes:
+    """A bit per slot: whether an odd number of elements fall there. About as many slots as elements."""
+    size = 1 << min(16, max(8, (len(s) - 1).bit_length()))
+    return np.packbits((np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(p: np.ndarray, q: np.ndarray) -> int:
+    """A lower bound of the symmetric difference of two sets, from their parity bits; longer ones fold into shorter."""
+    while len(p) > len(q):
+        p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+    while len(q) > len(p):
+        q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+    return int(np.bitwise_count(p ^ q).sum())
+
+
 def _sets(batch: pa.RecordBatch, column: str):
     data, off = utf8_buffers(batch.column(column))
     for i, j in chunks(off):
@@ -66,30 +81,31 @@ def _sets(batch: pa.RecordBatch, column: str):
 
 
 def describe(docs: DataFrame, key: str) -> DataFrame:
-    """(key, th, n, cls, small) of each row, and blocks of this task's counts of shingles."""
+    """(key, th, n, cls, small, bits) of each row, and blocks of this task's counts of shingles."""
     source = docs.select(F.col(key).alias("id"), F.xxhash64("text").alias("th"), "text")
-    names = ["id", "th", "n", "cls", "small", "block", "data"]
+    names = ["id", "th", "n", "cls", "small", "bits", "block", "data"]
 
     def run(batches):
         counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            n, cls, small = [], [], []
+            n, cls, small, bits = [], [], [], []
             for _, s in _sets(batch, "text"):
                 if len(s):
                     np.add.at(counts, (s >> np.uint64(46)).astype(np.int64), 1)
                 n.append(len(s))
                 cls.append(set_key(s) if len(s) else None)
                 small.append(s.tobytes() if 0 < len(s) <= LIGHT_MOST else None)
+                bits.append(parity_bits(s) if len(s) else None)
             size = len(n)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(small, pa.binary()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(small, pa.binary()), pa.array(bits, pa.binary()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
         blocks = table_blocks(counts, 1 << 12)
         k = blocks.num_rows
         empty = pa.nulls(k, pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.nulls(k, ids), empty, empty, empty, pa.nulls(k, pa.binary()), *blocks.columns], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(k, ids), empty, empty, empty, pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), *blocks.columns], names=names)
 
     kind = dict(source.dtypes)["id"]
     ids = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    return source.mapInArrow(run, f"id {kind}, th long, n long, cls long, small binary, block int, data binary")
+    return source.mapInArrow(run, f"id {kind}, th long, n long, cls long, small binary, bits binary, block int, data binary")
 
 
 def boundary(sizes: dict[int, int]) -> int:
@@ -163,9 +179,9 @@ def _packed(docs: DataFrame, key: str) -> DataFrame:
     return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, th long, packed binary")
 
 
-def fetch_sets(docs: DataFrame, key: str, classes: DataFrame, live: DataFrame) -> DataFrame:
-    """(cls, elements) of the classes in ``live`` (id), from the text of one document of each."""
-    wanted = classes.join(live.select(F.col("id").alias("cls")).distinct(), "cls", "left_semi").select(F.col("rep.id").alias("rid"), F.col("rep.th").alias("rth"), "cls")
+def fetch_sets(docs: DataFrame, key: str, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(cls, elements) of the classes in ``ids`` (cls), from the text of one document of each."""
+    wanted = classes.join(ids, "cls", "left_semi").select(F.col("rep.id").alias("rid"), F.col("rep.th").alias("rth"), "cls")
     texts = _packed(docs, key).join(wanted, F.col("id").eqNullSafe(F.col("rid")) & (F.col("th") == F.col("rth"))).select("cls", "packed")
 
     def run(batches):
@@ -183,6 +199,21 @@ def fetch_sets(docs: DataFrame, key: str, classes: DataFrame, live: DataFrame) -
     return texts.mapInArrow(run, "cls long, elements binary")
 
 
+def promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and parity bits do not rule out: at the threshold, few elements are in one set only."""
+    side = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    fits = F.least("n_a", "n_b") * DENOMINATOR >= F.greatest("n_a", "n_b") * NUMERATOR
+
+    def run(batches):
+        for batch in batches:
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            apart = [least_difference(np.frombuffer(p.as_buffer(), np.uint8), np.frombuffer(q.as_buffer(), np.uint8)) for p, q in zip(batch.column("bits_a"), batch.column("bits_b"), strict=True)]
+            mask = pa.array((DENOMINATOR + NUMERATOR) * np.array(apart, np.int64) <= (DENOMINATOR - NUMERATOR) * total)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(fits).mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
     x = sets.select(F.col("cls").alias("a"), F.col("elements").alias("ea"))
@@ -209,21 +240,29 @@ def join_documents(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngrams")
     told = scratch.write(describe(docs, key), "described")
-    rows = told.where("block is null").select("id", "th", "n", "cls", "small")
+    rows = told.where("block is null").select("id", "th", "n", "cls", "small", "bits")
     sums = sum_tables(told.where("block is not null").select("block", "data"), np.int64)
     counts = np.concatenate([sums[k] for k in sorted(sums)]) if sums else np.zeros(SLOTS, np.int64)
     usual = 2 * max(1.0, float(counts.mean()))
     level = np.where(counts <= usual, 0, np.minimum(counts / usual, 250) + 1).astype(np.uint8)
 
-    classes = scratch.write(rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("small").alias("small"), F.min(F.struct("id", "th")).alias("rep")), "classes")
+    classes = scratch.write(rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("small").alias("small"), F.first("bits").alias("bits"), F.min(F.struct("id", "th")).alias("rep")), "classes")
     sizes = {r["n"]: r["count"] for r in classes.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").count().collect()}
     light = boundary(sizes)
 
-    def verifier(live: DataFrame):
-        sets = scratch.write(fetch_sets(docs, key, classes, live), "sets")
-        return lambda pairs: verified(pairs, sets)
+    held: list[DataFrame] = []
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        scratch.drop(*held)
+        close = scratch.write(promising(pairs, classes), "close")
+        held[:] = [close]
+        if close.isEmpty():
+            return close
+        ids = close.select(F.col("a").alias("cls")).unionByName(close.select(F.col("b").alias("cls"))).distinct()
+        held.append(scratch.write(fetch_sets(docs, key, classes, ids), "sets"))
+        return verified(*held)
 
-    comps = link(scratch, prefix_lists(docs, level, light), verifier, known=light_links(scratch, classes, light))
+    comps = link(scratch, prefix_lists(docs, level, light), verify, known=light_links(scratch, classes, light))
     joined = rows.join(comps, F.col("cls") == comps["id"], "left").select(rows["id"].alias(key), "th", F.col("n").alias("n_shingles"), "cls", F.coalesce("root", "cls").alias("root")) if comps is not None else rows.select(F.col("id").alias(key), "th", F.col("n").alias("n_shingles"), "cls", F.col("cls").alias("root"))
     least = joined.where("root is not null").groupBy("root").agg(F.min(key).alias("least"))
     return joined.join(least, "root", "left").select(key, "n_shingles", F.coalesce("least", key).alias("component_id"), F.col("root").alias("class_id"), "th")

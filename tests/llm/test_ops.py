@@ -490,3 +490,12 @@ def test_quality_on_odd_rows(spark):
     assert quality.score(empty_documents(spark), model).count() == 0
     none = quality.train(empty_documents(spark), spark.createDataFrame([], "doc_id long, quality int"), language_id.learnable(F.col("doc_id"), 4, 2))
     assert {r["score"] for r in quality.score(odd_documents(spark), none).collect()} == {0.5}
+
+
+def test_parity_bits_bound_the_difference():
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        u = rng.integers(1, 1 << 63, 3000, dtype=np.uint64)
+        s, t = (np.unique(rng.choice(u, int(rng.integers(1, 2500)))) for _ in range(2))
+        bits = [np.frombuffer(ngram_join.parity_bits(x), np.uint8) for x in (s, t)]
+        assert ngram_join.least_difference(*bits) <= len(np.setxor1d(s, t)) and ngram_join.least_difference(bits[0], bits[0]) == 0
