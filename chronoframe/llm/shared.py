@@ -236,7 +236,30 @@ def sum_tables(blocks: DataFrame, dtype, fan_in: int = 64) -> dict[int, np.ndarr
 # ---------------------------------------------------------------- connected components
 
 
-def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+#: So few edges are joined by one task, in bounded memory, rather than in rounds of the whole cluster.
+FEW_EDGES = 100_000
+
+
+def _roots(batches):
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            root.setdefault(u, u)
+            root.setdefault(v, v)
+            u, v = find(u), find(v)
+            root[max(u, v)] = min(u, v)
+    if root:
+        yield pa.RecordBatch.from_arrays([pa.array(list(root), pa.int64()), pa.array([find(x) for x in root], pa.int64())], names=["id", "root"])
+
+
+def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b", few: int = FEW_EDGES) -> DataFrame:
     """(id, root) for every id with an edge to another; root is the smallest id of its component.
 
     Alternates large-star and small-star steps; every step is two aggregations of the edges that remain, written to
@@ -248,6 +271,8 @@ def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -
         return tuple(df.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
 
     was = state(cur)
+    if was[0] <= few:
+        return scratch.write(cur.repartition(1).mapInArrow(_roots, "id long, root long"), "roots")
     while was[0]:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))

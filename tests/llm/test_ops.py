@@ -63,10 +63,11 @@ def test_runs_split_letters_digits_and_marks():
     assert shared.word_hashes(data, np.array([0, len(data)]), classes=shared.RUNS)[1].tolist() == [0, 5]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components(spark, few):
     rng = np.random.default_rng(3)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(40)] + [(2000, 2000 + i) for i in range(1, 50)]
-    got = {r["id"]: r["root"] for r in shared.components(shared.Scratch(spark, "t"), spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r["id"]: r["root"] for r in shared.components(shared.Scratch(spark, "t"), spark.createDataFrame(links, "a long, b long"), few=few).collect()}
     want = components_of({x for p in links for x in p}, links)
     assert {k: v for k, v in want.items() if k in got} == got
     assert all(sum(v == r for v in want.values()) == 1 for k, r in want.items() if k not in got)
