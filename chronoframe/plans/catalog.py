@@ -1,5 +1,519 @@
-"""The library's queries over the standard tables."""
+"""The library's queries over the standard tables, each with SQL for DuckDB.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-FLAGSHIP = ""
+``events`` stands for a frame table: a user is a capture, its events in order are frames, ``value`` is brightness.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import scalar
+from ..operators import fits, joins, sequences, stats
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+FLAGSHIP = "f3_segments"
+KEY = ["capture"]
+
+FRAMES = """
+f AS (SELECT user_id AS capture, event_id, event_type AS state, value AS v,
+             CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS i,
+             (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id)) / 1000000.0 AS t
+      FROM events)"""
+MED = "list_sort(list({0}))[len(list({0})) // 2 + 1]"
+
+
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """capture, event_id, state, v, i, t."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("capture"), "event_id", F.col("event_type").alias("state"), F.col("value").alias("v"), F.col("ts").cast("timestamp").alias("ts"))
+    w = Window.partitionBy("capture")
+    micros = F.unix_micros("ts")
+    return e.withColumns({"i": (F.row_number().over(w.orderBy("ts", "event_id")) - 1).cast("long"), "t": (micros - F.min(micros).over(w)) / 1000000.0}).drop("ts")
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = f"WITH RECURSIVE {FRAMES}{sql}"
+        return f
+
+    return add
+
+
+def r6(c, name: str):
+    return F.round(c, 6).alias(name)
+
+
+# ---------------------------------------------------------------- scalars
+
+
+@query(""" SELECT capture, CAST(greatest(1, least(10, CASE WHEN n // 60 = 0 THEN 1 ELSE n // 60 END)) AS BIGINT) AS step
+FROM (SELECT capture, count(*) AS n FROM f GROUP BY capture)""")
+def b1_sample_step(spark, sf):
+    return frames(spark, sf).groupBy("capture").agg(scalar.sample_step(F.count("*"), 10).alias("step"))
+
+
+@query(""" SELECT capture, i, v FROM (SELECT *, count(*) OVER (PARTITION BY capture) AS n FROM f) WHERE i % 7 = 0 OR i = n - 1""")
+def b2_systematic_sample(spark, sf):
+    n = F.count("*").over(Window.partitionBy("capture"))
+    return frames(spark, sf).withColumn("n", n).where("i % 7 = 0 or i = n - 1").select("capture", "i", "v")
+
+
+@query(""" SELECT event_id, round(log2(greatest(v / 500, 1.0 / 65535)), 6) AS log_v, round(greatest(v - 20, 1.0 / 65535), 6) AS level,
+  CAST(floor(v + 0.5) AS BIGINT) AS rounded, [CAST(floor(r * (i + 8) / 4.0) AS BIGINT) FOR r IN range(4)]::VARCHAR AS rows FROM f""")
+def b3_b4_b5_b22_scalars(spark, sf):
+    rows = F.concat(F.lit("["), F.array_join(scalar.row_index(F.col("i") + 8, 4).cast("array<string>"), ", "), F.lit("]"))
+    return frames(spark, sf).select("event_id", r6(scalar.log2_floored(F.col("v") / 500), "log_v"), r6(scalar.level(F.col("v"), F.lit(20.0)), "level"), scalar.round_half_up(F.col("v")).cast("long").alias("rounded"), rows.alias("rows"))
+
+
+_SHOULDER = scalar.shoulder_scale(0.7, 0.95, 0.2)
+
+
+@query(f""", g AS (SELECT event_id, greatest((v / 500 - 0.01) * 3, 0) AS x, v FROM f)
+SELECT event_id, round(least(CASE WHEN x > 0.7 THEN 0.7 + 0.2 * ln(1 + (x - 0.7) / {_SHOULDER!r}) ELSE x END, 0.95), 6) AS shown,
+ round(least(3.0 * pow((v / 100 + 1) / 3.0, 0.5), 3.0), 6) AS panel_gain FROM g""")
+def b12_b14_apply_gain(spark, sf):
+    v = F.col("v")
+    return frames(spark, sf).select("event_id", r6(scalar.apply_gain(v / 500, 3, 0.01, 0.7, 0.2, _SHOULDER, 0.95), "shown"), r6(scalar.panel_gain(v / 100 + 1, F.lit(3.0), 0.5), "panel_gain"))
+
+
+@query(""" SELECT event_id, round(x * x * (3 - 2 * x), 6) AS weight, round(sinh(0.4 * asinh(25.0)) / ((v + 1) * 25), 6) AS k FROM (SELECT *, least(greatest((v - 50) / 150.0, 0), 1) AS x FROM f)""")
+def b15_b16_ramp_and_asinh(spark, sf):
+    return frames(spark, sf).select("event_id", r6(scalar.ramp(F.col("v"), 50.0, 200.0), "weight"), r6(scalar.asinh_scale(F.col("v") + 1, F.lit(0.4), 25.0), "k"))
+
+
+@query(""", g AS (SELECT event_id, 279.0 AS a, 292.0 AS b, v * 2 + 0.5 AS d FROM f),
+o AS (SELECT *, CASE WHEN d >= a + b THEN 0 WHEN d <= abs(a - b) THEN pi() * a * a ELSE
+  a * a * acos(greatest(-1, least(1, (d * d + a * a - b * b) / (2 * d * a)))) + b * b * acos(greatest(-1, least(1, (d * d + b * b - a * a) / (2 * d * b))))
+  - sqrt(greatest((-d + a + b) * (d + a - b) * (d - a + b) * (d + a + b), 0)) / 2 END AS area FROM g)
+SELECT event_id, round(area, 3) AS area, round(1 - area / (pi() * a * a), 6) AS lit, round(d / (2.0 * 2 * a), 6) AS scale, round(1.4 * 0.51 * d / 990, 6) AS ceiling FROM o""")
+def b17_b18_b19_b21_circles(spark, sf):
+    a, b, d = F.lit(279.0), F.lit(292.0), F.col("v") * 2 + 0.5
+    return frames(spark, sf).select("event_id", F.round(scalar.overlap_area(a, b, d), 3).alias("area"), r6(scalar.lit_fraction(a, b, d), "lit"), r6(scalar.panel_scale(d, a, 2), "scale"), r6(scalar.drift_ceiling(d), "ceiling"))
+
+
+@query(""" SELECT event_id, round(sqrt(pow(0.0001 * t - 100, 2) + pow(0.00005 * t + 3, 2)), 4) AS sep, round(1000.0 - 900 + i / 23.3, 6) AS seconds FROM f""")
+def b20_b27_separation(spark, sf):
+    dx, dy = F.array(F.lit(0.0001), F.lit(-100.0)), F.array(F.lit(0.00005), F.lit(3.0))
+    return frames(spark, sf).select("event_id", F.round(scalar.separation(dx, dy, F.col("t")), 4).alias("sep"), r6(scalar.seconds_since(F.col("i"), F.lit(23.3), F.lit(1000.0), F.lit(900.0)), "seconds"))
+
+
+# ---------------------------------------------------------------- filters
+
+
+@query(""" SELECT event_id FROM f WHERE state = 'view' OR (v <= CASE state WHEN 'click' THEN 80 WHEN 'error' THEN 40 ELSE 60 END)""")
+def c2_saturation_gate(spark, sf):
+    most = F.when(F.col("state") == "click", 80).when(F.col("state") == "error", 40).otherwise(60)
+    return frames(spark, sf).where((F.col("state") == "view") | (F.col("v") <= most)).select("event_id")
+
+
+@query(""" SELECT event_id, CASE WHEN state = 'error' THEN false ELSE state = 'view' OR (v >= 100 AND i >= 10 AND t <= 1500000) END AS ok FROM f""")
+def c1_accepted(spark, sf):
+    ok = fits.accepted(F.when(F.col("state") == "view", "ring").otherwise("limb"), F.col("v"), F.col("i") + 50, F.col("t") / 187500, F.col("state") == "error")
+    return frames(spark, sf).select("event_id", ok.alias("ok"))
+
+
+@query(""" SELECT event_id, greatest(greatest(30 - v, v + 60 - 200), 0) AS over FROM f WHERE greatest(30 - v, v + 60 - 200) > 0""")
+def c5_padding(spark, sf):
+    over = F.greatest(30 - F.col("v"), F.col("v") + 60 - 200, F.lit(0.0))
+    return frames(spark, sf).select("event_id", over.alias("over")).where("over > 0")
+
+
+@query(""" SELECT event_id FROM (SELECT *, row_number() OVER (PARTITION BY capture, state ORDER BY i) - 1 AS pos FROM f) WHERE state = 'error' OR pos % 5 = 0""")
+def c4_thinning(spark, sf):
+    pos = F.row_number().over(Window.partitionBy("capture", "state").orderBy("i")) - 1
+    return frames(spark, sf).withColumn("pos", pos).where("state = 'error' or pos % 5 = 0").select("event_id")
+
+
+@query(""", b AS (SELECT capture, event_id AS id, (i * 37) % 400 + 0.0 AS x, (i * 91) % 300 + 0.0 AS y, 20.0 + (i % 3) * 5 AS h, row_number() OVER (PARTITION BY capture ORDER BY -v, event_id) AS n FROM f),
+hits AS (SELECT p.capture, p.n AS a, q.n AS b FROM b p JOIN b q ON p.capture = q.capture AND p.n < q.n
+ WHERE greatest(0, least(p.x + p.h, q.x + q.h) - greatest(p.x - p.h, q.x - q.h)) * greatest(0, least(p.y + p.h, q.y + q.h) - greatest(p.y - p.h, q.y - q.h)) > 0.35 * 4 * pow(least(p.h, q.h), 2)),
+g(capture, n, kept) AS (SELECT DISTINCT capture, 0::BIGINT, []::BIGINT[] FROM b
+ UNION ALL SELECT g.capture, g.n + 1, CASE WHEN EXISTS (SELECT 1 FROM hits WHERE hits.capture = g.capture AND hits.b = g.n + 1 AND list_contains(g.kept, hits.a)) THEN g.kept ELSE list_append(g.kept, g.n + 1) END
+ FROM g WHERE g.n < (SELECT max(n) FROM b WHERE b.capture = g.capture)),
+l AS (SELECT capture, arg_max(kept, n) AS kept FROM g GROUP BY capture)
+SELECT b.capture, b.id FROM b JOIN l ON b.capture = l.capture AND list_contains(l.kept, b.n)""")
+def c7_greedy_boxes(spark, sf):
+    b = frames(spark, sf).select("capture", F.col("event_id").alias("id"), ((F.col("i") * 37) % 400 + 0.0).alias("x"), ((F.col("i") * 91) % 300 + 0.0).alias("y"), (20.0 + (F.col("i") % 3) * 5).alias("h"), "v")
+    return joins.greedy_boxes(b, KEY, -F.col("v"), "h").select("capture", "id")
+
+
+# ---------------------------------------------------------------- aggregates
+
+
+@query(""", q AS (SELECT state, list_sort(list(v)) AS a, count(*) AS n FROM f GROUP BY state),
+s AS (SELECT state, n, a[least(n - 1, floor(n * 0.05)::BIGINT) + 1] AS black, a[least(n - 1, floor(n * 0.5)::BIGINT) + 1] AS med, a[least(n - 1, floor(n * 0.99)::BIGINT) + 1] AS p99, a[least(n - 1, floor(n * 0.999)::BIGINT) + 1] AS p999, a[n] AS mx FROM q)
+SELECT s.state, round(black / 400, 6) AS black, round(med / 400, 6) AS med, round(p99 / 400, 6) AS p99, round(p999 / 400, 6) AS p999, round(mx / 400, 6) AS "max",
+ round(avg(CASE WHEN v > black + greatest(400.0 / 2048, black / 8) THEN 1 ELSE 0 END), 6) AS lit, round(avg(CASE WHEN v >= 400.0 * 63 / 64 THEN 1 ELSE 0 END), 6) AS satfrac
+FROM f JOIN s ON f.state = s.state GROUP BY s.state, black, med, p99, p999, mx""")
+def e1_frame_stats(spark, sf):
+    s = stats.frame_stats(frames(spark, sf), ["state"], "v", 400.0)
+    return s.select("state", *(r6(F.col(c), c) for c in ("black", "med", "p99", "p999", "max", "lit", "satfrac")))
+
+
+@query(f""", m AS (SELECT capture, {MED.format('v')} AS med FROM f GROUP BY capture)
+SELECT m.capture, m.med, round({MED.format('abs(v - med)')}, 6) AS mad FROM f JOIN m ON f.capture = m.capture GROUP BY m.capture, m.med""")
+def e2_e3_median_and_mad(spark, sf):
+    f = frames(spark, sf)
+    return stats.upper_median(f, KEY, "v").join(stats.mad(f, KEY, "v"), "capture").select("capture", "med", r6(F.col("mad"), "mad"))
+
+
+@query(f""", m AS (SELECT capture, {MED.format('v')} AS med FROM f GROUP BY capture),
+d AS (SELECT m.capture, m.med, {MED.format('abs(v - med)')} AS mad FROM f JOIN m ON f.capture = m.capture GROUP BY m.capture, m.med)
+SELECT d.capture, {MED.format('v').replace('list(v)', 'list(v) FILTER (WHERE abs(v - med) <= greatest(3 * mad, 2.0))')} AS intercept, count(*) FILTER (WHERE abs(v - med) > greatest(3 * mad, 2.0)) AS rejected
+FROM f JOIN d ON f.capture = d.capture GROUP BY d.capture""")
+def e9_robust_intercept(spark, sf):
+    return stats.robust_intercept(frames(spark, sf), KEY, "v")
+
+
+@query(""", m AS (SELECT capture, avg(v) AS m, count(*) AS n FROM f GROUP BY capture),
+d AS (SELECT f.capture, n, v - m AS d, lag(v - m) OVER (PARTITION BY f.capture ORDER BY i) AS p FROM f JOIN m ON f.capture = m.capture)
+SELECT capture, round(CASE WHEN max(n) < 8 OR sum(d * d) <= 0 THEN 0 ELSE sum(d * p) / sum(d * d) END, 6) AS lag1 FROM d GROUP BY capture""")
+def e11_lag1(spark, sf):
+    return stats.lag1(frames(spark, sf), KEY, "i", "v").select("capture", r6(F.col("lag1"), "lag1"))
+
+
+@query(f""", d AS (SELECT capture, abs(lead(v) OVER w - 2 * v + lag(v) OVER w) AS d FROM f WINDOW w AS (PARTITION BY capture ORDER BY i))
+SELECT capture, round({MED.format('d')} / 0.6745 / sqrt(6.0), 6) AS sigma FROM d WHERE d IS NOT NULL GROUP BY capture""")
+def e22_difference_noise(spark, sf):
+    return stats.difference_noise(frames(spark, sf), KEY, "i", "v").select("capture", r6(F.col("sigma"), "sigma"))
+
+
+@query(""", c AS (SELECT capture, CAST(floor(v / 10) AS BIGINT) AS mode, count(*) AS n, min(i) AS fst FROM f GROUP BY 1, 2)
+SELECT capture, mode, n FROM (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY n DESC, fst) AS r FROM c) WHERE r = 1""")
+def e14_e15_mode(spark, sf):
+    return stats.mode(frames(spark, sf), KEY, F.floor(F.col("v") / 10).cast("long"), "i")
+
+
+@query(""", m AS (SELECT capture, state, avg(v) AS m FROM f GROUP BY 1, 2 HAVING count(*) >= 4)
+SELECT capture, round(least(greatest(avg(m), -60), 60), 6) AS bias, count(*) AS groups FROM m GROUP BY capture""")
+def e16_mean_of_means(spark, sf):
+    return stats.mean_of_means(frames(spark, sf), KEY, "state", "v", 4, 60.0).select("capture", r6(F.col("bias"), "bias"), "groups")
+
+
+@query(""" SELECT round(avg(CASE WHEN v < 30 OR v > 140 THEN 1 ELSE 0 END), 6) AS padded, count(*) AS n, round(max(v) - min(v), 6) AS spread, round(median(v), 6) AS med FROM f""")
+def e5_e7_e10_rollup(spark, sf):
+    v = F.col("v")
+    return frames(spark, sf).agg(r6(F.avg(((v < 30) | (v > 140)).cast("int")), "padded"), F.count("*").alias("n"), r6(F.max(v) - F.min(v), "spread"), r6(F.median(v), "med"))
+
+
+@query(""", q AS (SELECT capture, list_sort(list(v)) AS a, count(*) AS n FROM f GROUP BY capture), s AS (SELECT capture, a[n // 2 + 1] AS sky, a[least(n - 1, floor(n * 0.9999)::BIGINT) + 1] AS peak FROM q)
+SELECT s.capture, CASE WHEN peak <= 1.5 * sky THEN 0 ELSE list_sort(list(v) FILTER (WHERE v > (sky + peak) / 2))[(count(*) FILTER (WHERE v > (sky + peak) / 2)) // 2 + 1] END AS level, CASE WHEN peak <= 1.5 * sky THEN 0 ELSE count(*) FILTER (WHERE v > (sky + peak) / 2) END AS n
+FROM f JOIN s ON f.capture = s.capture GROUP BY s.capture, sky, peak""")
+def e4_crescent_level(spark, sf):
+    f = frames(spark, sf)
+    s = stats.nearest_rank(f, KEY, "v", {"sky": 0.5, "peak": 0.9999})
+    above = f.join(s.where("peak > 1.5 * sky"), "capture").where("v > (sky + peak) / 2")
+    found = stats.upper_median(above, KEY, "v", "level").join(above.groupBy("capture").agg(F.count("*").alias("n")), "capture")
+    return s.select("capture").join(found, "capture", "left").select("capture", F.coalesce("level", F.lit(0.0)).alias("level"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+# ---------------------------------------------------------------- sequences
+
+_EDGES = f""", l AS (SELECT *, log2(greatest(v + 20, 1.0 / 65535)) AS l, count(*) OVER (PARTITION BY capture) AS n FROM f),
+st AS (SELECT *, abs(l - lag(l) OVER (PARTITION BY capture ORDER BY i)) AS step FROM l),
+m0 AS (SELECT capture, {MED.format('step')} AS m FROM st WHERE step IS NOT NULL AND n >= 3 GROUP BY capture),
+m1 AS (SELECT m0.capture, {MED.format('abs(step - m)')} AS d FROM st JOIN m0 ON st.capture = m0.capture WHERE step IS NOT NULL GROUP BY m0.capture),
+ed AS (SELECT st.capture, i, step FROM st JOIN m1 ON st.capture = m1.capture WHERE n >= 3 AND step > greatest(0.35, 3.0 * 2 * d))"""
+
+
+def _bright(spark, sf):
+    return frames(spark, sf).withColumn("b", F.col("v") + 20)
+
+
+@query(_EDGES + " SELECT capture, i, round(step, 6) AS step FROM ed")
+def f1_boundaries(spark, sf):
+    return sequences.boundaries(_bright(spark, sf), KEY, "i", "b").select("capture", "i", r6(F.col("step"), "step"))
+
+
+_SEGS = _EDGES + f""", mk AS (SELECT f.capture, f.i, f.v + 20 AS b, sum(CASE WHEN ed.i IS NOT NULL OR f.i = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY f.capture ORDER BY f.i) AS segment FROM f LEFT JOIN ed ON f.capture = ed.capture AND f.i = ed.i),
+sg AS (SELECT capture, min(i) AS start, count(*) AS count, max(b) AS mx, {MED.format('b')} AS med FROM mk GROUP BY capture, segment)"""
+
+
+@query(_SEGS + """ SELECT capture, start, count, round(mx, 6) AS "max", round(med, 6) AS med FROM sg""")
+def f3_segments(spark, sf):
+    return sequences.segments(_bright(spark, sf), KEY, "i", "b").select("capture", "start", "count", r6(F.col("max"), "max"), r6(F.col("med"), "med"))
+
+
+@query(_SEGS + """, sh AS (SELECT *, count < 4 AND med < 150 AS short FROM sg),
+rn AS (SELECT *, sum(CASE WHEN short AND coalesce(lag(short) OVER (PARTITION BY capture ORDER BY start), false) THEN 0 ELSE 1 END) OVER (PARTITION BY capture ORDER BY start) AS run FROM (SELECT *, lag(short) OVER (PARTITION BY capture ORDER BY start) AS was FROM sh))
+SELECT capture, min(start) AS start, CAST(sum(count) AS BIGINT) AS count, round(max(med), 6) AS med, round(arg_min(mx, start), 6) AS first_max, CASE WHEN bool_and(short) THEN 'transition' WHEN max(med) >= 150 THEN 'blown' ELSE 'stable' END AS kind FROM rn GROUP BY capture, run""".replace("CASE WHEN short AND coalesce(lag(short) OVER (PARTITION BY capture ORDER BY start), false) THEN 0 ELSE 1 END", "CASE WHEN short AND coalesce(was, false) THEN 0 ELSE 1 END"))
+def f4_merge_short(spark, sf):
+    segs = sequences.segments(_bright(spark, sf), KEY, "i", "b")
+    return sequences.merge_short(segs, KEY, 4, 150.0).select("capture", "start", "count", r6(F.col("med"), "med"), r6(F.col("first_max"), "first_max"), "kind")
+
+
+@query(_SEGS + """, d AS (SELECT DISTINCT log2(med) AS l FROM sg), lv AS (SELECT l, sum(CASE WHEN l - p > 0.01 THEN 1 ELSE 0 END) OVER (ORDER BY l) AS level FROM (SELECT l, lag(l) OVER (ORDER BY l) AS p FROM d))
+SELECT CAST(level AS BIGINT) AS level, count(*) AS n FROM sg JOIN lv ON log2(sg.med) = lv.l GROUP BY level""")
+def f5_exposure_levels(spark, sf):
+    segs = sequences.segments(_bright(spark, sf), KEY, "i", "b")
+    return sequences.exposure_levels(segs, 0.01).groupBy("level").agg(F.count("*").alias("n"))
+
+
+@query(""", q AS (SELECT capture, i, i - lag(i) OVER (PARTITION BY capture ORDER BY i) AS g FROM f WHERE v > 40),
+s AS (SELECT *, sum(CASE WHEN g IS NULL OR g > 3 THEN 1 ELSE 0 END) OVER (PARTITION BY capture ORDER BY i) AS s FROM q),
+r AS (SELECT capture, s, min(i) AS lo, max(i) AS hi, count(*) AS n FROM s GROUP BY 1, 2)
+SELECT capture, lo, hi, n FROM (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY n DESC, lo) AS k FROM r) WHERE k = 1""")
+def f6_longest_session(spark, sf):
+    s = sequences.sessions(frames(spark, sf).where("v > 40"), KEY, "i", 3)
+    return sequences.longest(s, KEY, F.col("n"), "lo").select("capture", "lo", "hi", "n")
+
+
+@query(""", p AS (SELECT *, i - row_number() OVER (PARTITION BY capture ORDER BY i) AS g FROM f WHERE v > 30) SELECT capture, min(i) AS start, count(*) AS count FROM p GROUP BY capture, g""")
+def f7_runs_where(spark, sf):
+    return sequences.runs_where(frames(spark, sf), KEY, "i", F.col("v") > 30)
+
+
+@query(""", q AS (SELECT capture, i, (row_number() OVER (PARTITION BY capture ORDER BY i) - 1) // CAST(ceil(count(*) OVER (PARTITION BY capture) / 4.0) AS BIGINT) AS b FROM f WHERE i % 11 <> 5),
+c AS (SELECT *, CASE WHEN i - lag(i) OVER w = 1 AND b = lag(b) OVER w THEN 0 ELSE 1 END AS s FROM q WINDOW w AS (PARTITION BY capture ORDER BY i)),
+n AS (SELECT *, sum(s) OVER (PARTITION BY capture ORDER BY i) AS k FROM c) SELECT capture, min(i) AS lo, max(i) AS hi FROM n GROUP BY capture, k""")
+def f9_shard_spans(spark, sf):
+    return sequences.shard_spans(frames(spark, sf).where("i % 11 <> 5"), KEY, "i", 4).select("capture", "lo", "hi")
+
+
+@query(_SEGS + """, e AS (SELECT *, med + 1 AS entry, mx + 1 AS leave FROM sg), r AS (SELECT *, coalesce(ln(lag(leave) OVER (PARTITION BY capture ORDER BY start) / entry), 0) AS r FROM e),
+c AS (SELECT *, sum(r) OVER (PARTITION BY capture ORDER BY start) AS c FROM r), a AS (SELECT capture, c AS a FROM (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY count DESC, start) AS k FROM c) WHERE k = 1)
+SELECT c.capture, start, round(exp(c - a), 4) AS gain FROM c JOIN a ON c.capture = a.capture""")
+def f11_gain_chain(spark, sf):
+    segs = sequences.segments(_bright(spark, sf), KEY, "i", "b").withColumns({"entry": F.col("med") + 1, "leave": F.col("max") + 1})
+    return sequences.gain_chain(segs, KEY, "start", "entry", "leave", "count").select("capture", "start", F.round("gain", 4).alias("gain"))
+
+
+@query(""" SELECT capture, i, greatest(1, least(20, coalesce(lead(i) OVER (PARTITION BY capture ORDER BY i) - i, 20))) AS stack FROM f WHERE v > 60""")
+def f13_stack_depth(spark, sf):
+    return sequences.stack_depth(frames(spark, sf).where("v > 60"), KEY, "i", 20).select("capture", "i", "stack")
+
+
+@query(""", s AS (SELECT capture, min(i) AS lo, max(i) AS hi FROM f WHERE i % 5 = 0 GROUP BY capture), g AS (SELECT capture, j, lo + CAST(floor(j * (hi - lo) / 24.0) AS BIGINT) AS i FROM s, range(24) r(j)), p AS (SELECT * FROM f WHERE i % 5 = 0),
+a AS (SELECT g.capture, g.j, g.i, max(p.i) FILTER (WHERE p.i <= g.i) AS x, min(p.i) FILTER (WHERE p.i > g.i) AS y FROM g JOIN p ON g.capture = p.capture GROUP BY 1, 2, 3)
+SELECT a.capture, j, a.i, round(u.v + CASE WHEN y IS NULL THEN 0 ELSE (w.v - u.v) * (a.i - x) / CAST(y - x AS DOUBLE) END, 6) AS v FROM a JOIN p u ON u.capture = a.capture AND u.i = x LEFT JOIN p w ON w.capture = a.capture AND w.i = y""")
+def f14_d6_resample(spark, sf):
+    return sequences.resample(frames(spark, sf).where("i % 5 = 0"), KEY, "i", ["v"], 24).select("capture", F.col("j").cast("long").alias("j"), "i", r6(F.col("v"), "v"))
+
+
+@query(""", g AS (SELECT capture, i, CASE WHEN v > 50 THEN NULL ELSE v END AS x FROM f)
+SELECT capture, i, coalesce(last_value(x IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS UNBOUNDED PRECEDING), first_value(x IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS filled FROM g""")
+def f18_fill_gaps(spark, sf):
+    return sequences.fill_gaps(frames(spark, sf).withColumn("x", F.when(F.col("v") <= 50, F.col("v"))), KEY, "i", "x").select("capture", "i", "filled")
+
+
+@query(""" SELECT capture, i, list_sort(list(v) OVER w)[len(list(v) OVER w) // 2 + 1] AS med FROM f WINDOW w AS (PARTITION BY capture ORDER BY i ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""")
+def f19_rolling_median(spark, sf):
+    return sequences.rolling_median(frames(spark, sf), KEY, "i", "v", 7, "med").select("capture", "i", "med")
+
+
+@query(""", a AS (SELECT capture, i, t, list_sort(list(v) OVER w)[len(list(v) OVER w) // 2 + 1] AS m FROM f WINDOW w AS (PARTITION BY capture ORDER BY t RANGE BETWEEN 90000 PRECEDING AND 90000 FOLLOWING))
+SELECT capture, i, round(avg(m) OVER (PARTITION BY capture ORDER BY t RANGE BETWEEN 90000 PRECEDING AND 90000 FOLLOWING), 6) AS smooth FROM a""")
+def f20_time_smooth(spark, sf):
+    return sequences.time_smooth(frames(spark, sf), KEY, "t", "v", 90000.0, "smooth").select("capture", "i", r6(F.col("smooth"), "smooth"))
+
+
+@query(""", a AS (SELECT capture, i, list_sort(list(v) OVER w)[len(list(v) OVER w) // 2 + 1] AS m FROM f WINDOW w AS (PARTITION BY capture ORDER BY i ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+b AS (SELECT capture, i, avg(m) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS m FROM a),
+s(capture, i, y) AS (SELECT capture, i, m FROM b WHERE i = 0 UNION ALL SELECT b.capture, b.i, s.y + greatest(-1, least(1, b.m - s.y)) FROM s JOIN b ON b.capture = s.capture AND b.i = s.i + 1)
+SELECT capture, i, round(y, 5) AS smooth FROM s""")
+def f21_smooth_series(spark, sf):
+    return sequences.smooth_series(frames(spark, sf), KEY, "i", "v").select("capture", "i", F.round("smooth", 5).alias("smooth"))
+
+
+@query(""", o AS (SELECT *, greatest(coalesce(abs(v - lag(v) OVER w), 0), coalesce(abs(lead(v) OVER w - v), 0)) <= 60 AS ok FROM f WINDOW w AS (PARTITION BY capture ORDER BY i)),
+p AS (SELECT *, i - row_number() OVER (PARTITION BY capture ORDER BY i) AS g FROM o WHERE ok), r AS (SELECT capture, min(i) AS start, count(*) AS count FROM p GROUP BY capture, g)
+SELECT capture, start, count FROM (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY count DESC, start) AS k FROM r) WHERE k = 1""")
+def f22_longest_steady_run(spark, sf):
+    return sequences.longest_steady_run(frames(spark, sf), KEY, "i", "v", 60.0).select("capture", "start", "count")
+
+
+@query(f""", m AS (SELECT capture, {MED.format('v')} AS m FROM f GROUP BY capture), d AS (SELECT m.capture, m, {MED.format('abs(v - m)')} AS d FROM f JOIN m ON f.capture = m.capture GROUP BY m.capture, m)
+SELECT event_id, abs(v - m) <= greatest(6 * d, 40.0) AS trusted FROM f JOIN d ON f.capture = d.capture""")
+def f24_trust_gate(spark, sf):
+    return sequences.trust_gate(frames(spark, sf), KEY, "v", 40.0).select("event_id", "trusted")
+
+
+@query(""", c AS (SELECT *, coalesce(i * 7 % 50 - lag(i * 7 % 50) OVER w > 40 OR greatest((v + 1) / lag(v + 1) OVER w, lag(v + 1) OVER w / (v + 1)) > 3, false) AS cut, row_number() OVER w AS n FROM f WINDOW w AS (PARTITION BY capture ORDER BY i)),
+l AS (SELECT *, max(CASE WHEN cut THEN n END) OVER (PARTITION BY capture ORDER BY i) AS last FROM c) SELECT capture, i, cut, CAST(greatest(0, coalesce(5 - (n - last), 0)) AS BIGINT) AS blend_left FROM l""")
+def f28_discontinuities(spark, sf):
+    f = frames(spark, sf).withColumns({"index": F.col("i") * 7 % 50, "gain": F.col("v") + 1})
+    return sequences.discontinuities(f, KEY, "i", 40, 3.0, 5).select("capture", "i", "cut", F.col("blend_left").cast("long").alias("blend_left"))
+
+
+@query(""", a AS (SELECT capture, i, v / 20 - floor(v / 20 / (2 * pi())) * 2 * pi() AS a FROM f), t AS (SELECT *, coalesce(floor((a - lag(a) OVER (PARTITION BY capture ORDER BY i)) / (2 * pi()) + 0.5), 0) AS t FROM a)
+SELECT capture, i, round(a - 2 * pi() * sum(t) OVER (PARTITION BY capture ORDER BY i), 5) AS unwrapped FROM t""")
+def f29_unwrap(spark, sf):
+    x = F.col("v") / 20
+    f = frames(spark, sf).withColumn("a", x - F.floor(x / (2 * F.pi())) * 2 * F.pi())
+    return sequences.unwrap(f, KEY, "i", "a").select("capture", "i", F.round("unwrapped", 5).alias("unwrapped"))
+
+
+@query(""", r AS (SELECT *, min(CASE WHEN v < 120 THEN 1 ELSE 0 END) OVER (PARTITION BY capture ORDER BY i) AS ok FROM f) SELECT capture, i FROM r WHERE ok = 1""")
+def f43_leading_prefix(spark, sf):
+    return sequences.leading_prefix(frames(spark, sf), KEY, "i", F.col("v") < 120).select("capture", "i")
+
+
+@query(""" SELECT capture, i, min(CASE WHEN v > 5 THEN 100 / v END) OVER (PARTITION BY capture ORDER BY i) AS settled FROM f""")
+def f17_settle(spark, sf):
+    f = frames(spark, sf).withColumn("g", F.when(F.col("v") > 5, 100 / F.col("v")))
+    return sequences.settle(f, KEY, "i", "g").select("capture", "i", "settled")
+
+
+@query(""" SELECT event_id, least(2.5, 1.15 * 90 / (v + 1)) AS gain FROM f""")
+def f40_gain_cap(spark, sf):
+    return frames(spark, sf).select("event_id", F.least(F.lit(2.5), 1.15 * 90 / (F.col("v") + 1)).alias("gain"))
+
+
+@query(""" SELECT event_id, CASE WHEN state = 'unfiltered' THEN 'TOTALITY' ELSE CAST(capture AS VARCHAR) END AS grp FROM (SELECT event_id, capture, CASE WHEN v > 100 THEN 'unfiltered' ELSE 'filtered' END AS state FROM f)""")
+def f35_grouping_key(spark, sf):
+    return frames(spark, sf).select("event_id", F.when(F.col("v") > 100, "TOTALITY").otherwise(F.col("capture").cast("string")).alias("grp"))
+
+
+@query(f""", g AS (SELECT * FROM f WHERE v > 5), n AS (SELECT capture FROM g GROUP BY capture HAVING count(*) >= 3), m AS (SELECT g.capture, {MED.format('v')} AS m FROM g JOIN n ON g.capture = n.capture GROUP BY g.capture),
+w AS (SELECT f.capture, f.i, f.v, CASE WHEN f.v > 5 THEN least(greatest(m / f.v, 0.5), 2.0) END AS g FROM f LEFT JOIN m ON f.capture = m.capture),
+c AS (SELECT w.capture, w.i, arg_min(q.g, abs(q.i - w.i) * 2 + CASE WHEN q.i > w.i THEN 1 ELSE 0 END) AS correction FROM w JOIN w q ON q.capture = w.capture AND q.g IS NOT NULL GROUP BY 1, 2)
+SELECT w.capture, w.i, round(coalesce(correction, 1.0), 6) AS correction FROM w LEFT JOIN c ON c.capture = w.capture AND c.i = w.i""")
+def f16_flatten_levels(spark, sf):
+    f = frames(spark, sf).withColumn("x", F.when(F.col("v") > 5, F.col("v")))
+    return sequences.flatten_levels(f, KEY, "i", "x").select("capture", "i", r6(F.col("correction"), "correction"))
+
+
+_TRACK = {"dx": [0.0004, -400.0], "dy": [0.0, 5.0], "r_sun": 279.0, "r_moon": 292.0}
+_CONTACTS = fits.contacts(**_TRACK)
+
+
+@query(f""", p AS (SELECT event_id, t, sqrt(pow(0.0004 * t - 400, 2) + 25) AS sep, t % 100000 < 500 AS bead FROM f)
+SELECT event_id, CASE WHEN bead THEN 'beads' WHEN t BETWEEN {_CONTACTS['c2']!r} AND {_CONTACTS['c3']!r} THEN 'totality' WHEN sep < 571 THEN 'partial' WHEN t < {(_CONTACTS['c1'] + _CONTACTS['c4']) / 2!r} THEN 'before' ELSE 'after' END AS phase FROM p""")
+def f32_f34_phase(spark, sf):
+    f = frames(spark, sf)
+    sep = scalar.separation(F.array(*map(F.lit, _TRACK["dx"])), F.array(*map(F.lit, _TRACK["dy"])), F.col("t"))
+    return f.select("event_id", fits.phase(F.col("t"), sep, F.col("t") % 100000 < 500, _CONTACTS, _TRACK["r_sun"], _TRACK["r_moon"]).alias("phase"))
+
+
+# ---------------------------------------------------------------- joins
+
+
+def _windows(spark, sf):
+    return frames(spark, sf).groupBy("capture").agg((F.min("i") + 5).alias("lo"), (F.floor(F.max("i") / 2)).alias("hi"))
+
+
+@query(""", d AS (SELECT capture, i // 3 AS k, arg_max(v, i) AS det FROM f GROUP BY 1, 2) SELECT f.event_id, d.det FROM f LEFT JOIN d ON f.capture = d.capture AND f.i = d.k""")
+def d1_last_detection_wins(spark, sf):
+    f = frames(spark, sf)
+    det = f.select("capture", F.floor(F.col("i") / 3).alias("k"), F.col("v").alias("det"), F.col("i").alias("o")).withColumnRenamed("k", "i")
+    return joins.last_wins(f, det, ["capture", "i"], "o").select("event_id", "det")
+
+
+@query(_SEGS + """ SELECT f.event_id, sg.start FROM f JOIN sg ON f.capture = sg.capture AND f.i >= sg.start AND f.i < sg.start + sg.count""")
+def d2_range_join(spark, sf):
+    segs = sequences.segments(_bright(spark, sf), KEY, "i", "b").select("capture", "start", "count")
+    return joins.range_join(frames(spark, sf), segs, "capture", "i").select("event_id", "start")
+
+
+@query(_SEGS + """, w AS (SELECT capture, min(i) + 5 AS lo, max(i) // 2 AS hi FROM f GROUP BY capture)
+SELECT sg.capture, greatest(start, lo) AS "from", least(start + count, hi + 1) AS "to" FROM sg JOIN w ON sg.capture = w.capture WHERE least(start + count, hi + 1) - greatest(start, lo) >= 2""")
+def d4_interval_intersection(spark, sf):
+    segs = sequences.segments(_bright(spark, sf), KEY, "i", "b").select("capture", "start", "count")
+    return joins.intersect_intervals(segs, _windows(spark, sf), "capture", 2).select("capture", "from", "to")
+
+
+@query(""", p AS (SELECT capture, i, v FROM f WHERE i % 6 = 0), d AS (SELECT f.capture, f.i, p.i AS near_i, p.v, row_number() OVER (PARTITION BY f.capture, f.i ORDER BY abs(p.i - f.i), p.i) AS k FROM f JOIN p ON f.capture = p.capture)
+SELECT capture, i, near_i, v FROM d WHERE k = 1""")
+def d3_d5_nearest_sample(spark, sf):
+    f = frames(spark, sf)
+    return joins.nearest(f.select("capture", "i"), f.where("i % 6 = 0"), "capture", "i", "v").select("capture", "i", "near_i", "v")
+
+
+@query(""", s AS (SELECT r AS k, r * 150000.0 AS lo, r * 150000.0 + 20000 AS hi FROM range(12) x(r)) SELECT event_id FROM f WHERE EXISTS (SELECT 1 FROM s WHERE t BETWEEN lo AND hi)""")
+def d10_within_spans(spark, sf):
+    spans = spark.range(12).select((F.col("id") * 150000.0).alias("lo"), (F.col("id") * 150000.0 + 20000).alias("hi"))
+    return joins.within_any(frames(spark, sf), F.broadcast(spans), "t").select("event_id")
+
+
+@query(""" SELECT event_id, min(state) OVER w <> max(state) OVER w AS near FROM f WINDOW w AS (PARTITION BY capture ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""")
+def d12_differs_nearby(spark, sf):
+    return joins.differs_nearby(frames(spark, sf), KEY, "i", "state", 2).select("event_id", "near")
+
+
+@query(""", n AS (SELECT a.event_id, arg_min(b.state, CASE WHEN b.i > a.i THEN b.i - a.i ELSE 1000 + a.i - b.i END) AS other FROM f a JOIN f b ON a.capture = b.capture AND b.state <> a.state AND abs(b.i - a.i) <= 3 GROUP BY 1)
+SELECT f.event_id, n.other FROM f LEFT JOIN n ON f.event_id = n.event_id""")
+def d13_first_other_state(spark, sf):
+    return joins.first_other_state(frames(spark, sf), KEY, "i", "state", 3).select("event_id", "other")
+
+
+@query(""" SELECT capture, arg_min(event_id, t) AS "first", arg_max(event_id, t) AS "last", round(max(t) - min(t), 4) AS gap FROM f GROUP BY capture HAVING count(*) > 1""")
+def d14_widest_pair(spark, sf):
+    return joins.widest_pair(frames(spark, sf), "capture", "t", "event_id").withColumn("gap", F.round("gap", 4))
+
+
+@query(""" SELECT event_id FROM f WHERE event_id NOT IN (SELECT event_id FROM f WHERE v > 20)""")
+def c12_i9_not_done(spark, sf):
+    f = frames(spark, sf)
+    return joins.not_done(f, f.where("v > 20").select("event_id"), "event_id").select("event_id")
+
+
+# ---------------------------------------------------------------- fits
+
+
+@query(""", k0 AS (SELECT capture, t, v, count(*) OVER (PARTITION BY capture) AS total FROM f), """ + ", ".join(
+    f"""l{j} AS (SELECT capture, regr_slope(v, t) AS s, regr_intercept(v, t) AS c FROM k{j} GROUP BY capture),
+r{j} AS (SELECT k.*, abs(v - (c + s * t)) AS r FROM k{j} k JOIN l{j} l ON k.capture = l.capture),
+q{j} AS (SELECT capture, list_sort(list(r))[len(list(r)) // 2 + 1] AS m FROM r{j} GROUP BY capture),
+g{j} AS (SELECT r.*, r <= greatest(2.5 * m, 0.5) AS ok FROM r{j} r JOIN q{j} q ON r.capture = q.capture),
+n{j} AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY capture) >= greatest(4, 0.3 * total) AS go FROM g{j}),
+k{j + 1} AS (SELECT capture, t, v, total FROM n{j} WHERE ok OR NOT go)""" for j in range(2)) + """
+SELECT capture, round(regr_slope(v, t) * 1000000, 4) AS slope, round(regr_intercept(v, t), 4) AS intercept, count(*) AS n FROM k2 GROUP BY capture""")
+def g1_robust_line(spark, sf):
+    return fits.robust_line(frames(spark, sf), KEY, "t", "v").select("capture", F.round(F.col("slope") * 1000000, 4).alias("slope"), F.round("intercept", 4).alias("intercept"), "n")
+
+
+_POINTS = """, p AS (SELECT capture, 50 + (30 + v / 200) * cos(i * 0.37) AS x, 20 + (30 + v / 200) * sin(i * 0.37) AS y FROM f),
+m AS (SELECT capture, avg(x) AS mx, avg(y) AS my FROM p GROUP BY capture),
+s AS (SELECT p.capture, count(*) AS n, max(mx) AS mx, max(my) AS my, sum(u * u) AS suu, sum(w * w) AS svv, sum(u * w) AS suv, sum(u * (u * u + w * w)) AS suz, sum(w * (u * u + w * w)) AS svz, sum(u * u + w * w) AS sz FROM (SELECT p.capture, x - mx AS u, y - my AS w, mx, my FROM p JOIN m ON p.capture = m.capture) p GROUP BY p.capture),
+c AS (SELECT *, (suz * svv - svz * suv) / (2 * (suu * svv - suv * suv)) AS cu, (svz * suu - suz * suv) / (2 * (suu * svv - suv * suv)) AS cv FROM s WHERE abs(suu * svv - suv * suv) > 1e-12),
+fit AS (SELECT capture, n, mx + cu AS cx, my + cv AS cy, sqrt(cu * cu + cv * cv + sz / n) AS r FROM c)"""
+
+
+def _points(spark, sf):
+    rad, turn = 30 + F.col("v") / 200, F.col("i") * 0.37
+    return frames(spark, sf).select("capture", (50 + rad * F.cos(turn)).alias("x"), (20 + rad * F.sin(turn)).alias("y"))
+
+
+@query(_POINTS + " SELECT capture, n, round(cx, 5) AS cx, round(cy, 5) AS cy, round(r, 5) AS r FROM fit")
+def g18_circle_fit(spark, sf):
+    return fits.circle_fit(_points(spark, sf), KEY, "x", "y").select("capture", "n", *(F.round(c, 5).alias(c) for c in ("cx", "cy", "r")))
+
+
+@query(_POINTS + """, d AS (SELECT p.capture, sqrt(pow(x - cx, 2) + pow(y - cy, 2)) - r AS d, CAST(floor((atan2(y - cy, x - cx) + pi()) / (2 * pi()) * 36) AS BIGINT) % 36 AS b FROM p JOIN fit ON p.capture = fit.capture)
+SELECT capture, count(*) AS inliers, round(sqrt(avg(d * d)), 5) AS rms, count(DISTINCT b) * 10 AS arc FROM d WHERE abs(d) <= 0.5 GROUP BY capture""")
+def g19_circle_quality(spark, sf):
+    p = _points(spark, sf)
+    q = fits.circle_quality(p, fits.circle_fit(p, KEY, "x", "y").drop("n"), KEY, "x", "y", 0.5)
+    return q.select("capture", "inliers", F.round("rms", 5).alias("rms"), "arc")
+
+
+@query(""", r AS (SELECT *, CAST(floor(sqrt(i * 1.0) + 0.5) AS BIGINT) AS rad FROM f) SELECT event_id, rad, round((v + 1) / avg(v + 1) OVER (PARTITION BY capture, rad) - 1, 6) AS flat FROM r""")
+def g7_radial_flatten(spark, sf):
+    f = frames(spark, sf).withColumn("w", F.col("v") + 1)
+    return fits.radial_flatten(f, KEY, F.sqrt(F.col("i") * 1.0), "w").select("event_id", "rad", r6(F.col("flat"), "flat"))
+
+
+# ---------------------------------------------------------------- order, limits, sets
+
+
+@query(""" SELECT capture, event_id, v FROM (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY v DESC, i) AS k FROM f) WHERE k = 1""")
+def i2_first_maximum(spark, sf):
+    return sequences.longest(frames(spark, sf), KEY, F.col("v"), "i").select("capture", "event_id", "v")
+
+
+@query(""" SELECT capture, i FROM (SELECT *, count(*) OVER (PARTITION BY capture) AS n FROM f) WHERE i % greatest(1, n // 10) = 0""")
+def i6_every_nth(spark, sf):
+    n = F.count("*").over(Window.partitionBy("capture"))
+    return frames(spark, sf).withColumn("n", n).where(F.col("i") % F.greatest(F.lit(1), F.floor(F.col("n") / 10)) == 0).select("capture", "i")
+
+
+@query(""" SELECT DISTINCT i FROM (SELECT i FROM f WHERE v > 150 UNION SELECT i FROM f WHERE state = 'error' INTERSECT SELECT i FROM f WHERE state = 'view')""")
+def i7_i8_set_operations(spark, sf):
+    f = frames(spark, sf)
+    both = f.where("state = 'error'").select("i").intersect(f.where("state = 'view'").select("i"))
+    return f.where("v > 150").select("i").union(both).distinct()
