@@ -1,10 +1,11 @@
 """Exact linking over inverted lists whose groups may be very large, without emitting the pairs of a group.
 
-A list holds the ids that share a key. In a round, each list pairs its least id, the leader, with its other ids that are
-not yet in the leader's component; pairs are verified, components updated, and the leader, now compared with everything it
-had to be, leaves the list. A group of near copies thus collapses in a round or two with as many pairs as ids. Lists whose
-ids are all in one component are done. After ``rounds`` rounds, the pairs across components that remain (short lists that
-meet by chance) are verified too, so no link between components is missed.
+A list holds the ids that share a key. At first, each id is paired with the least leader of all its lists alone, so that a
+group of near copies collapses with as many pairs as ids. In each further round, each list pairs its least id, the
+leader, with its other ids that are not yet in the leader's component; pairs are verified, components updated, and the
+leader, now compared with everything it had to be, leaves the list. Lists whose ids are all in one component are done.
+After ``rounds`` rounds, the pairs across components that remain (short lists that meet by chance) are verified too, so no
+link between components is missed.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, kn
     links = scratch.write(known, "links") if known is not None else None
     comps = components(scratch, links) if links is not None else None
     live = lists
-    for _ in range(rounds):
+    for turn in range(rounds):
         by_key = Window.partitionBy("key")
         led = _with_components(live, comps).withColumns({"lead": F.min(F.struct("id", "comp")).over(by_key), "low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)})
         led = led.where("low <> high").select("key", "id", "comp", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp"))
@@ -41,13 +42,17 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, kn
         scratch.drop(old)
         if live.isEmpty():
             return comps
-        pairs = live.where("comp <> lead_comp").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+        across = live.where("comp <> lead_comp")
+        pairs = across.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct() if turn else across.groupBy(F.col("id").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
         found = scratch.write(verify(pairs), "links")
         if not found.isEmpty():
             links = found if comps is None else found.unionByName(comps.select(F.col("id").alias("a"), F.col("root").alias("b")))
             comps = components(scratch, links)
-        old, live = live, scratch.write(live.where("id <> lead").select("key", "id"), "lists")
-        scratch.drop(old)
+        if turn:
+            old, live = live, scratch.write(live.where("id <> lead").select("key", "id"), "lists")
+            scratch.drop(old)
+        else:
+            live = live.select("key", "id")
     by_key = Window.partitionBy("key")
     left = _with_components(live, comps).withColumns({"low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)}).where("low <> high").select("key", "id", "comp")
     left = scratch.write(left, "lists")
