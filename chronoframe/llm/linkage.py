@@ -4,43 +4,33 @@ A list holds the ids that share a key. At first, each id is paired with the leas
 group of near copies collapses with as many pairs as ids. In each further round, each list pairs its least id, the
 leader, with its other ids that are not yet in the leader's component; pairs are verified, components updated, and the
 leader, now compared with everything it had to be, leaves the list. Lists whose ids are all in one component are done.
-After ``rounds`` rounds, or more while lists are long, the pairs across components that remain (short lists that meet by
-chance) are verified too, so no link between components is missed.
+After ``rounds`` rounds, the pairs across components that remain (short lists that meet by chance) are verified too, so no
+link between components is missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch, components
 
 Verify = Callable[[DataFrame], DataFrame]
+#: (condition) of two structs of what else an entry holds: whether the pair may be linked by this list.
+Fits = Callable[[Column, Column], Column]
 
 
-#: Rounds go on while the pairs across components are more than so many an entry of the lists, but not beyond MOST_ROUNDS.
-PAIRS_AN_ENTRY = 2
-MOST_ROUNDS = 8
-
-
-def _led(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """(key, id, comp, lead, lead_comp) of the lists with ids of several components."""
+def _led(lists: DataFrame, comps: DataFrame | None, more: list[str]) -> DataFrame:
+    """(key, id, *more, comp, lead, lead_comp, lead_more) of the lists with ids of several components."""
     by_key = Window.partitionBy("key")
-    if comps is None:  # each id is its component: two columns are dealt, not three
+    if comps is None and not more:  # each id is its component: two columns are dealt, not three
         led = lists.withColumns({"lead": F.min("id").over(by_key), "high": F.max("id").over(by_key)}).where("lead <> high")
         return led.select("key", "id", F.col("id").alias("comp"), "lead", F.col("lead").alias("lead_comp"))
-    led = _with_components(lists, comps).withColumns({"lead": F.min(F.struct("id", "comp")).over(by_key), "low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)})
-    return led.where("low <> high").select("key", "id", "comp", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp"))
-
-
-def _pairs_an_entry(lists: DataFrame, comps: DataFrame | None) -> float:
-    """Pairs across components in the lists, to an entry; from counts alone."""
-    by_comp = _with_components(lists, comps).groupBy("key", "comp").agg(F.count("*").cast("double").alias("n"))
-    by_key = by_comp.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
-    entries, pairs = by_key.where("n * n > within").agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2)).first()
-    return pairs / entries if entries else 0.0
+    led = _with_components(lists, comps).withColumns({"lead": F.min(F.struct("id", "comp", *more)).over(by_key), "low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)})
+    held = [F.struct(*(f"lead.{c}" for c in more)).alias("lead_more")] if more else []
+    return led.where("low <> high").select("key", "id", *more, "comp", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp"), *held)
 
 
 def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -49,41 +39,46 @@ def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
     return lists.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None) -> DataFrame | None:
+def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None) -> DataFrame | None:
     """(id, root) of the ids that have links.
 
-    ``lists``: (key, id). ``verify`` gives, of pairs (a, b), those that are linked. ``known``: links found by other means.
+    ``lists``: (key, id), and columns for ``fits``. A pair that is linked has to fit in at least one list. ``verify`` gives, of pairs (a, b), those that are linked. ``known``: links found by other means.
     ``prepare`` is called once, with the ids that may be verified.
     """
     links = scratch.write(known, "links") if known is not None else None
     comps = components(scratch, links) if links is not None else None
-    live, turn = lists, 0
-    while turn < rounds or (turn < MOST_ROUNDS and _pairs_an_entry(live, comps) > PAIRS_AN_ENTRY):
-        old, live = live, scratch.write(_led(live, comps), "lists")
+    live = lists
+    more = [c for c in lists.columns if c not in ("key", "id")]
+    entry = ["key", "id", *more]
+    for turn in range(rounds):
+        old, live = live, scratch.write(_led(live, comps, more), "lists")
         scratch.drop(old)
         if live.isEmpty():
             return comps
         if prepare and not turn:
             prepare(live.select("id").distinct())
         across = live.where("comp <> lead_comp")
+        across = across.where(fits(F.col("lead_more"), F.struct(*more))) if fits else across
         pairs = across.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct() if turn else across.groupBy(F.col("id").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
         found = scratch.write(verify(pairs), "links")
         if not found.isEmpty():
             links = found if comps is None else found.unionByName(comps.select(F.col("id").alias("a"), F.col("root").alias("b")))
             comps = components(scratch, links)
         if turn:
-            old, live = live, scratch.write(live.where("id <> lead").select("key", "id"), "lists")
+            old, live = live, scratch.write(live.where("id <> lead").select(entry), "lists")
             scratch.drop(old)
         else:
-            live = live.select("key", "id")
-        turn += 1
+            live = live.select(entry)
     by_key = Window.partitionBy("key")
-    left = _with_components(live, comps).withColumns({"low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)}).where("low <> high").select("key", "id", "comp")
+    left = _with_components(live, comps).withColumns({"low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)}).where("low <> high").select(*entry, "comp")
     left = scratch.write(left, "lists")
     if left.isEmpty():
         return comps
     x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))
+    if fits:
+        met = met & fits(*(F.struct(*(F.col(f"{side}.{c}").alias(c) for c in more)) for side in "xy"))
+    pairs = x.join(y, met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     found = scratch.write(verify(pairs), "links")
     if found.isEmpty():
         return comps

@@ -120,13 +120,25 @@ def boundary(sizes: dict[int, int]) -> int:
     return min(range(0, LIGHT_MOST + 1), key=cost)
 
 
+def may_link(p, q):
+    """Whether two sets may be linked that have an element in common at ``rest`` elements from the end, and none before.
+
+    Each linked pair has a first common element, and there this holds; what follows it has to suffice for the overlap.
+    """
+    alike = DENOMINATOR * F.least(p["n"], q["n"]) >= NUMERATOR * F.greatest(p["n"], q["n"])
+    return alike & ((NUMERATOR + DENOMINATOR) * F.least(p["rest"], q["rest"]) >= NUMERATOR * (p["n"] + q["n"]))
+
+
 def prefix_lists(docs: DataFrame, level: np.ndarray, light: int) -> DataFrame:
-    """(key, id): the first elements of each class under the order (frequency, hash)."""
+    """(key, id, n, rest): the first elements of each class under the order (frequency, hash).
+
+    ``n`` is the size of the set, ``rest`` the number of its elements from this one on.
+    """
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            keys, ids = [], []
+            keys, ids, sizes, rest = [], [], [], []
             for _, s in _sets(batch, "text"):
                 if not len(s) or len(s) <= light * NUMERATOR // DENOMINATOR:
                     continue
@@ -138,10 +150,12 @@ def prefix_lists(docs: DataFrame, level: np.ndarray, light: int) -> DataFrame:
                 frequency = level[(s >> np.uint64(46)).astype(np.int64)]
                 keys.append(s[np.argsort(frequency, kind="stable")[:p]] if frequency.any() else s[:p])
                 ids.append(np.full(len(keys[-1]), cls, np.int64))
+                sizes.append(np.full(len(keys[-1]), len(s), np.int64))
+                rest.append(np.arange(len(s), len(s) - p, -1, dtype=np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))], names=["key", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (ids, sizes, rest))], names=["key", "id", "n", "rest"])
 
-    return docs.select("text").mapInArrow(run, "key long, id long")
+    return docs.select("text").mapInArrow(run, "key long, id long, n long, rest long")
 
 
 def light_links(scratch: Scratch, classes: DataFrame, light: int) -> DataFrame | None:
@@ -262,7 +276,7 @@ def join_documents(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         held.append(scratch.write(fetch_sets(docs, key, classes, ids), "sets"))
         return verified(*held)
 
-    comps = link(scratch, prefix_lists(docs, level, light), verify, known=light_links(scratch, classes, light))
+    comps = link(scratch, prefix_lists(docs, level, light), verify, known=light_links(scratch, classes, light), fits=may_link)
     joined = rows.join(comps, F.col("cls") == comps["id"], "left").select(rows["id"].alias(key), "th", F.col("n").alias("n_shingles"), "cls", F.coalesce("root", "cls").alias("root")) if comps is not None else rows.select(F.col("id").alias(key), "th", F.col("n").alias("n_shingles"), "cls", F.col("cls").alias("root"))
     least = joined.where("root is not null").groupBy("root").agg(F.min(key).alias("least"))
     return joined.join(least, "root", "left").select(key, "n_shingles", F.coalesce("least", key).alias("component_id"), F.col("root").alias("class_id"), "th")
