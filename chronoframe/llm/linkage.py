@@ -39,11 +39,12 @@ def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
     return lists.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None) -> DataFrame | None:
+def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None) -> DataFrame | None:
     """(id, root) of the ids that have links.
 
     ``lists``: (key, id), and columns for ``fits``. A pair that is linked has to fit in at least one list. ``verify`` gives, of pairs (a, b), those that are linked. ``known``: links found by other means.
-    ``prepare`` is called once, with the ids that may be verified.
+    ``prepare`` is called once, with the ids that may be verified. ``details``: (id, columns) that ``fits`` has in the last
+    join alone, where the lists themselves have none.
     """
     links = scratch.write(known, "links") if known is not None else None
     comps = components(scratch, links) if links is not None else None
@@ -58,7 +59,7 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, kn
         if prepare and not turn:
             prepare(live.select("id").distinct())
         across = live.where("comp <> lead_comp")
-        across = across.where(fits(F.col("lead_more"), F.struct(*more))) if fits else across
+        across = across.where(fits(F.col("lead_more"), F.struct(*more))) if fits and more else across
         pairs = across.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct() if turn else across.groupBy(F.col("id").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
         found = scratch.write(verify(pairs), "links")
         if not found.isEmpty():
@@ -76,6 +77,10 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, kn
         return comps
     x, y = left.alias("x"), left.alias("y")
     met = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))
+    if details is not None:
+        more = [c for c in details.columns if c != "id"]
+        both = left.join(details, "id")
+        x, y = both.alias("x"), both.alias("y")
     if fits:
         met = met & fits(*(F.struct(*(F.col(f"{side}.{c}").alias(c) for c in more)) for side in "xy"))
     pairs = x.join(y, met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
