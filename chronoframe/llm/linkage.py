@@ -4,8 +4,8 @@ A list holds the ids that share a key. At first, each id is paired with the leas
 group of near copies collapses with as many pairs as ids. In each further round, each list pairs its least id, the
 leader, with its other ids that are not yet in the leader's component; pairs are verified, components updated, and the
 leader, now compared with everything it had to be, leaves the list. Lists whose ids are all in one component are done.
-After ``rounds`` rounds, the pairs across components that remain (short lists that meet by chance) are verified too, so no
-link between components is missed.
+Once the lists are so short that few pairs an entry remain, or after ``rounds`` rounds, the pairs across components that
+remain are verified too, so no link between components is missed.
 """
 
 from __future__ import annotations
@@ -20,17 +20,19 @@ from .shared import Scratch, components
 Verify = Callable[[DataFrame], DataFrame]
 #: (condition) of two structs of what else an entry holds: whether the pair may be linked by this list.
 Fits = Callable[[Column, Column], Column]
+#: With so many pairs an entry or fewer, lists are joined with themselves instead of in further rounds.
+PAIRS_AN_ENTRY = 4
 
 
 def _led(lists: DataFrame, comps: DataFrame | None, more: list[str]) -> DataFrame:
-    """(key, id, *more, comp, lead, lead_comp, lead_more) of the lists with ids of several components."""
+    """(key, id, *more, length, comp, lead, lead_comp, lead_more) of the lists with ids of several components."""
     by_key = Window.partitionBy("key")
     if comps is None and not more:  # each id is its component: two columns are dealt, not three
-        led = lists.withColumns({"lead": F.min("id").over(by_key), "high": F.max("id").over(by_key)}).where("lead <> high")
-        return led.select("key", "id", F.col("id").alias("comp"), "lead", F.col("lead").alias("lead_comp"))
-    led = _with_components(lists, comps).withColumns({"lead": F.min(F.struct("id", "comp", *more)).over(by_key), "low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)})
+        led = lists.withColumns({"lead": F.min("id").over(by_key), "high": F.max("id").over(by_key), "length": F.count("*").over(by_key)}).where("lead <> high")
+        return led.select("key", "id", "length", F.col("id").alias("comp"), "lead", F.col("lead").alias("lead_comp"))
+    led = _with_components(lists, comps).withColumns({"lead": F.min(F.struct("id", "comp", *more)).over(by_key), "low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key), "length": F.count("*").over(by_key)})
     held = [F.struct(*(f"lead.{c}" for c in more)).alias("lead_more")] if more else []
-    return led.where("low <> high").select("key", "id", *more, "comp", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp"), *held)
+    return led.where("low <> high").select("key", "id", *more, "length", "comp", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp"), *held)
 
 
 def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -39,12 +41,12 @@ def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
     return lists.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None) -> DataFrame | None:
+def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None, fits_last: Fits | None = None) -> DataFrame | None:
     """(id, root) of the ids that have links.
 
     ``lists``: (key, id), and columns for ``fits``. A pair that is linked has to fit in at least one list. ``verify`` gives, of pairs (a, b), those that are linked. ``known``: links found by other means.
-    ``prepare`` is called once, with the ids that may be verified. ``details``: (id, columns) that ``fits`` has in the last
-    join alone, where the lists themselves have none.
+    ``prepare`` is called once, with the ids that may be verified. ``details``: (id, columns) that the last join has besides;
+    there, ``fits_last`` has to hold as well.
     """
     links = scratch.write(known, "links") if known is not None else None
     comps = components(scratch, links) if links is not None else None
@@ -56,6 +58,8 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, kn
         scratch.drop(old)
         if live.isEmpty():
             return comps
+        if turn and live.agg(F.coalesce(F.sum("length") - F.count("*") <= 2 * PAIRS_AN_ENTRY * F.count("*"), F.lit(True))).first()[0]:
+            break
         if prepare and not turn:
             prepare(live.select("id").distinct())
         across = live.where("comp <> lead_comp")
@@ -70,19 +74,20 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 3, kn
             scratch.drop(old)
         else:
             live = live.select(entry)
-    by_key = Window.partitionBy("key")
-    left = _with_components(live, comps).withColumns({"low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key)}).where("low <> high").select(*entry, "comp")
-    left = scratch.write(left, "lists")
-    if left.isEmpty():
-        return comps
+    else:
+        old, live = live, scratch.write(_led(live, comps, more), "lists")
+        scratch.drop(old)
+        if live.isEmpty():
+            return comps
+    left = live.select(*entry, "comp")
     x, y = left.alias("x"), left.alias("y")
     met = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))
     if details is not None:
-        more = [c for c in details.columns if c != "id"]
+        more = [*more, *(c for c in details.columns if c != "id")]
         both = left.join(details, "id")
         x, y = both.alias("x"), both.alias("y")
-    if fits:
-        met = met & fits(*(F.struct(*(F.col(f"{side}.{c}").alias(c) for c in more)) for side in "xy"))
+    for holds in filter(None, (fits, fits_last)):
+        met = met & holds(*(F.struct(*(F.col(f"{side}.{c}").alias(c) for c in more)) for side in "xy"))
     pairs = x.join(y, met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     found = scratch.write(verify(pairs), "links")
     if found.isEmpty():

@@ -34,6 +34,8 @@ SLOTS = 1 << 18
 LIGHT_MOST = 12
 #: Cost of an entry of an inverted list against that of an enumerated subset.
 LIST_COST = 4
+#: Parity bits that the last join compares.
+SIGNATURE_BITS = 512
 
 
 def needed_overlap(n: int, m: int) -> int:
@@ -61,10 +63,15 @@ def prefix_length(n: int) -> int:
 
 def parity_bits(s: np.ndarray) -> bytes:
     """A bit per slot: whether an odd number of elements fall there. About as many slots as elements."""
-    size = 1 << min(16, max(8, (len(s) - 1).bit_length()))
+    size = max(SIGNATURE_BITS, 1 << min(16, (len(s) - 1).bit_length()))
     return np.packbits((np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def signature(bits: bytes) -> list[int]:
+    """Parity bits folded to ``SIGNATURE_BITS``, as signed 64-bit numbers."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.int64).reshape(-1, SIGNATURE_BITS // 64), axis=0).tolist()
+
+
 def least_difference(p: np.ndarray, q: np.ndarray) -> int:
     """A lower bound of the symmetric difference of two sets, from their parity bits; longer ones fold into shorter."""
     while len(p) > len(q):
@@ -129,6 +136,12 @@ def may_link(p, q):
     return alike & ((NUMERATOR + DENOMINATOR) * F.least(p["rest"], q["rest"]) >= NUMERATOR * (p["n"] + q["n"]))
 
 
+def signatures_allow(p, q):
+    """Whether the signatures leave room for a link: bits that differ are elements in one set only."""
+    apart = sum((F.bit_count(p["sig"][i].bitwiseXOR(q["sig"][i])) for i in range(1, SIGNATURE_BITS // 64)), F.bit_count(p["sig"][0].bitwiseXOR(q["sig"][0])))
+    return (DENOMINATOR + NUMERATOR) * apart <= (DENOMINATOR - NUMERATOR) * (p["n"] + q["n"])
+
+
 def prefix_lists(docs: DataFrame, level: np.ndarray, light: int) -> DataFrame:
     """(key, id, n, rest): the first elements of each class under the order (frequency, hash).
 
@@ -276,7 +289,13 @@ def join_documents(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         held.append(scratch.write(fetch_sets(docs, key, classes, ids), "sets"))
         return verified(*held)
 
-    comps = link(scratch, prefix_lists(docs, level, light), verify, known=light_links(scratch, classes, light), fits=may_link)
+    def sign(batches):
+        for batch in batches:
+            sigs = [signature(raw) for raw in batch.column("bits").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(sigs, pa.list_(pa.int64()))], names=["id", "sig"])
+
+    signed = classes.select("cls", "bits").mapInArrow(sign, "id long, sig array<long>")
+    comps = link(scratch, prefix_lists(docs, level, light), verify, known=light_links(scratch, classes, light), fits=may_link, details=signed, fits_last=signatures_allow)
     joined = rows.join(comps, F.col("cls") == comps["id"], "left").select(rows["id"].alias(key), "th", F.col("n").alias("n_shingles"), "cls", F.coalesce("root", "cls").alias("root")) if comps is not None else rows.select(F.col("id").alias(key), "th", F.col("n").alias("n_shingles"), "cls", F.col("cls").alias("root"))
     least = joined.where("root is not null").groupBy("root").agg(F.min(key).alias("least"))
     return joined.join(least, "root", "left").select(key, "n_shingles", F.coalesce("least", key).alias("component_id"), F.col("root").alias("class_id"), "th")
