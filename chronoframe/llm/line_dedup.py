@@ -1,9 +1,17 @@
 """Operator 3: fuzzy line dedup by SimHash, pigeonhole blocks and edit similarity.
 
-Lines are normalised (A-Z lower-cased, white space runs to one space); equal ones are one. Each distinct line has a 64-bit
-SimHash of its distinct words (a separator repeated all over a line would else outvote the rest), cut into blocks; lines that agree on enough blocks meet. With five blocks of which two must agree,
-any two lines within three bits meet for certain. Pairs within ``FAR_BITS`` bits are verified: edit similarity, one minus
-the edit distance over the longer length, at least ``SIMILAR``. Of each connected group one occurrence stays, the first by
+Lines are normalised (A-Z lower-cased, white space runs to one space); equal ones are one. Two lines are similar if one
+minus the edit distance over the longer length is at least ``SIMILAR``; that alone decides on a pair that meets. Lines
+meet in three ways:
+
+* up to ``SHORT`` characters by text segments, so that every similar pair meets (a line cut into one more piece than
+  edits are allowed has a piece that is whole in the other, and not far from its place);
+* longer ones by the least hashes of ``GRAM`` characters in windows, so wide that every similar pair whose edits lie in
+  at most as many places as ``PLACES`` says for its length meets;
+* all by the 64-bit SimHash of their distinct words (a separator repeated all over a line would else outvote the rest),
+  if two of five blocks agree: certain within three bits.
+
+Similar longer lines with edits in more places meet by chance. Of each connected group one occurrence stays, the first by
 (doc_id, hash of the text, line number); blank lines always stay.
 
 Defined results: null and blank texts are returned as they are. Rows equal in doc_id and text count as one document and
@@ -14,6 +22,7 @@ their normalised form. Extra columns are carried along.
 from __future__ import annotations
 
 import hashlib
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -23,12 +32,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linkage import link
-from .shared import Scratch, mix, utf8_buffers, word_hashes
+from .shared import Scratch, mix, powers, utf8_buffers, word_hashes
 
 SIMILAR = 0.9
-FAR_BITS = 10
+#: Pairs this many SimHash bits apart are still verified: all.
+FAR_BITS = 64
 #: (blocks, blocks that must agree): the first whose agreeing bits are so many that random lines rarely meet.
 SCHEMES = ((5, 2), (6, 3), (8, 4))
+#: Most characters of lines that meet by segments.
+SHORT = 60
+#: Characters in a window's hash.
+GRAM = 16
+#: (least length, places): edits in so many places leave a common run that fills a window.
+PLACES = ((54, 1), (90, 2), (135, 3), (200, 4), (300, 5), (450, 5), (675, 5), (1012, 5), (1518, 5), (3000, 5), (6000, 5), (12000, 5), (24000, 5), (48000, 5), (96000, 5))
+#: Bits of the parities of a line's character pairs, in numbers of 64.
+PARITIES = 8
 
 
 def normalise(line: bytes) -> bytes:
@@ -89,8 +107,132 @@ def block_keys(sims: np.ndarray, blocks: int, agree: int) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Edit distance by bit-parallel columns, after the common ends are taken off."""
+def most_edits(longer: int) -> int:
+    return int((1 - SIMILAR) * longer + 1e-9)
+
+
+def least_length(longer: int) -> int:
+    """Of a line similar to one of ``longer`` characters that is no longer itself."""
+    return longer - most_edits(longer)
+
+
+def segments(n: int) -> list[tuple[int, int]]:
+    """(start, length) of the pieces that a line of n characters is cut into: one more than it may have edits."""
+    longer = n
+    while least_length(longer + 1) <= n:
+        longer += 1
+    edges = np.linspace(0, n, most_edits(longer) + 2).astype(int).tolist()
+    return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+@cache
+def segment_places(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, salt) of all pieces by which a line of n characters meets others of its length or less.
+
+    The salt tells the length and the piece they stand for. If the pieces before one need an edit each, and those behind
+    it too, it lies no farther from its place than there are pieces before it, or behind it when counted from the end.
+    """
+    out = set()
+    for m in range(max(1, least_length(n)), n + 1):
+        cut = segments(m)
+        for i, (start, length) in enumerate(cut):
+            behind, shift = len(cut) - 1 - i, n - m
+            for at in range(max(0, start - i, start + shift - behind), min(n - length, start + i, start + shift + behind) + 1):
+                out.add((at, length, m * 256 + i))
+    for i, (start, length) in enumerate(segments(n)):
+        out.add((start, length, n * 256 + i))
+    return tuple(np.array(x) for x in zip(*sorted(out), strict=True))
+
+
+def window_size(scale: int) -> int:
+    """Hashes in a window: with the edits in so many places, a common run is at least this and GRAM - 1 characters."""
+    length, places = PLACES[scale]
+    matched = length - most_edits(length)
+    return -(-matched // (places + 1)) - GRAM + 1
+
+
+def scales(n: int) -> list[int]:
+    """Of a line longer than SHORT, or of one that may be similar to such a line."""
+    return sorted({max(i for i, (length, _) in enumerate(PLACES) if length <= m) for m in (n, max(PLACES[0][0], least_length(n)))}) if n >= PLACES[0][0] else []
+
+
+def _least_in_windows(h: np.ndarray, width: int) -> np.ndarray:
+    """Least of each run of ``width`` values."""
+    size, out = 1, h
+    while 2 * size <= width:
+        out = np.minimum(out[:-size], out[size:])
+        size *= 2
+    return np.minimum(out[: len(h) - width + 1], out[width - size :]) if width > size else out
+
+
+def text_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the line, key): the keys by which lines meet as texts, each once."""
+    rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    at = 0
+    while at < len(lines):
+        size, end = 0, at
+        while end < len(lines) and (end == at or size + len(lines[end]) <= 1 << 19):
+            size += len(lines[end])
+            end += 1
+        some = lines[at:end]
+        lengths = np.array([len(x) for x in some])
+        code = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        up, down = powers(len(code) + 1)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(code + np.uint64(1)) * up[: len(code)])))
+        offsets = np.cumsum(lengths) - lengths
+        for n in np.unique(lengths[lengths <= SHORT]).tolist():
+            row = np.flatnonzero(lengths == n)
+            start, length, salt = segment_places(n)
+            first = offsets[row][:, None] + start
+            h = mix((total[first + length] - total[first]) * down[first]) ^ mix(salt.astype(np.uint64) + np.uint64(1))
+            rows.append(np.repeat(row + at, len(start)))
+            keys.append(h.reshape(-1))
+        gram = mix((total[GRAM:] - total[:-GRAM]) * down[: len(total) - GRAM]) if len(code) >= GRAM else np.zeros(0, np.uint64)
+        of = [scales(n) for n in lengths.tolist()]
+        for scale in sorted({x for some_scales in of for x in some_scales}):
+            width = window_size(scale)
+            row = np.array([i for i, x in enumerate(of) if scale in x])
+            row = row[lengths[row] >= width + GRAM - 1]
+            if not len(row):
+                continue
+            least = _least_in_windows(gram, width)
+            count = lengths[row] - (width + GRAM - 1) + 1
+            first = np.repeat(offsets[row], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            owner, value = np.repeat(row, count), least[first]
+            fresh = np.concatenate(([True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])))
+            owner, value = owner[fresh], value[fresh]
+            order = np.lexsort((value, owner))
+            owner, value = owner[order], value[order]
+            fresh = np.concatenate(([True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])))
+            rows.append(owner[fresh] + at)
+            keys.append(mix(value[fresh] + np.uint64(scale + 1)))
+        at = end
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def parities(lines: list[str]) -> np.ndarray:
+    """A row of 64 * PARITIES bits a line: which slots have an odd number of its pairs of neighbouring characters. An edit changes four at most."""
+    out = np.zeros((len(lines), PARITIES), np.int64)
+    width = 64 * PARITIES
+    at = 0
+    while at < len(lines):
+        size, end = 0, at
+        while end < len(lines) and end - at < 4096 and (end == at or size + len(lines[end]) <= 1 << 19):
+            size += len(lines[end])
+            end += 1
+        lengths = np.array([len(x) for x in lines[at:end]])
+        code = np.frombuffer("".join(lines[at:end]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        owner = np.repeat(np.arange(end - at), lengths)
+        inside = owner[1:] == owner[:-1]
+        slot = (mix(code[:-1] << np.uint64(32) | code[1:]) >> np.uint64(40)).astype(np.int64) % width
+        odd = np.bincount((owner[1:] * width + slot)[inside], minlength=(end - at) * width) & 1
+        out[at:end] = np.packbits(odd.astype(np.uint8).reshape(-1, width), axis=1).view(np.int64)
+        at = end
+    return out
+
+
+def edit_distance(a: str, b: str, most: int | None = None) -> int:
+    """Edit distance by bit-parallel columns, after the common ends are taken off; if it is over ``most``, any number over it."""
     n = min(len(a), len(b))
     if a[:n] == b[:n]:
         return max(len(a), len(b)) - n
@@ -112,12 +254,14 @@ def edit_distance(a: str, b: str) -> int:
         where[c] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
     full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, score = full, 0, len(a)
-    for c in b:
+    for left, c in zip(range(len(b) - 1, -1, -1), b, strict=True):
         equal = where.get(c, 0)
         v = equal | down
         h = (((equal & up) + up) ^ up) | equal
         plus, minus = down | (full & ~(h | up)), up & h
         score += bool(plus & top) - bool(minus & top)
+        if most is not None and score - left > most:
+            return score - left
         plus, minus = ((plus << 1) | 1) & full, (minus << 1) & full
         up, down = minus | (full & ~(v | plus)), plus & v
     return score
@@ -130,25 +274,27 @@ def within(a: str, b: str, most: int) -> bool:
     p, q = a.split(" "), b.split(" ")
     if len(p) == len(q) and sum(max(len(x), len(y)) for x, y in zip(p, q, strict=True) if x != y) <= most:
         return True  # word for word, no more edits than that
-    return edit_distance(a, b) <= most
+    return edit_distance(a, b, most) <= most
 
 
 def near_enough(p, q):
-    """Whether the SimHashes and lengths of two lines allow that they are similar."""
-    return (F.bit_count(p["sim"].bitwiseXOR(q["sim"])) <= FAR_BITS) & (F.least(p["chars"], q["chars"]) >= SIMILAR * F.greatest(p["chars"], q["chars"]))
+    """False only where lengths or parities rule out that two lines are similar."""
+    edits = F.floor(F.greatest(p["chars"], q["chars"]) * (1 - SIMILAR) + 1e-9)
+    apart = sum((F.bit_count(p[f"p{i}"].bitwiseXOR(q[f"p{i}"])) for i in range(PARITIES)), F.lit(0))
+    return (F.abs(p["chars"] - q["chars"]) <= edits) & (apart <= 4 * edits)
 
 
 def _similar_pairs(batches):
     for batch in batches:
-        keep = [within(x, y, int((1 - SIMILAR) * max(len(x), len(y)) + 1e-9)) for x, y in zip(*(batch.column(c).to_pylist() for c in ("x", "y")), strict=True)]
+        keep = [within(x, y, most_edits(max(len(x), len(y)))) for x, y in zip(*(batch.column(c).to_pylist() for c in ("x", "y")), strict=True)]
         mask = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
 
 def occurrences(docs: DataFrame, key: str) -> DataFrame:
-    """(id, th, line, number, sim, chars) of every line that is not blank."""
+    """(id, th, line, number) of every line that is not blank."""
     source = docs.where("text is not null").select(F.col(key).alias("id"), F.xxhash64("text").alias("th"), "text")
-    names = ["id", "th", "number", "line", "sim", "chars"]
+    names = ["id", "th", "number", "line"]
 
     def run(batches):
         for batch in batches:
@@ -157,8 +303,7 @@ def occurrences(docs: DataFrame, key: str) -> DataFrame:
 
             def flush(batch=batch, rows=rows, number=number, lines=lines):
                 taken = batch.select(["id", "th"]).take(pa.array(rows, pa.int64()))
-                chars = [len(x) if x.isascii() else len(x.decode("utf-8", "replace")) for x in lines]
-                out = pa.RecordBatch.from_arrays([*taken.columns, pa.array(number, pa.int32()), pa.array([line_key(x) for x in lines], pa.int64()), pa.array(simhashes(lines).view(np.int64)), pa.array(chars, pa.int32())], names=names)
+                out = pa.RecordBatch.from_arrays([*taken.columns, pa.array(number, pa.int32()), pa.array([line_key(x) for x in lines], pa.int64())], names=names)
                 rows.clear(), number.clear(), lines.clear()
                 return out
 
@@ -174,21 +319,30 @@ def occurrences(docs: DataFrame, key: str) -> DataFrame:
             if lines:
                 yield flush()
 
-    return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, th long, number int, line long, sim long, chars int")
+    return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, th long, number int, line long")
 
 
-def _lists(lines: DataFrame, blocks: int, agree: int) -> DataFrame:
+DETAILS = ["chars", *(f"p{i}" for i in range(PARITIES))]
+
+
+def _lists(bodies: DataFrame, blocks: int, agree: int) -> DataFrame:
+    """(key, id) of all ways in which lines meet."""
+
     def run(batches):
         for batch in batches:
-            keys = block_keys(batch.column("sim").to_numpy().view(np.uint64), blocks, agree)
-            ids = np.repeat(batch.column("line").to_numpy(), keys.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids)], names=["key", "id"])
+            ids, lines = batch.column("line").to_numpy(), batch.column("body").to_pylist()
+            keys = block_keys(simhashes([x.encode() for x in lines]), blocks, agree)
+            row, more = text_keys(lines)
+            at = np.concatenate((np.repeat(np.arange(len(ids)), keys.shape[1]), row))
+            keys = np.concatenate((keys.reshape(-1), more)).view(np.int64)
+            for i in range(0, len(at), 1 << 18):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 18)]), pa.array(ids[at[i : i + (1 << 18)]])], names=["key", "id"])
 
-    return lines.select("line", "sim").mapInArrow(run, "key long, id long")
+    return bodies.select("line", "body").mapInArrow(run, "key long, id long")
 
 
 def _fetch(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """(line, body): the normalised text of lines, each from one place (id, th, number)."""
+    """(line, body, *DETAILS): the normalised text of lines, each from one place (id, th, number)."""
     source = docs.where("text is not null").select(F.col(key).alias("id"), F.xxhash64("text").alias("th"), "text")
     kind = dict(source.dtypes)["id"]
 
@@ -207,12 +361,13 @@ def _fetch(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
                 lines = codec.decompress(packed.as_buffer()).split(b"\n")
                 found += ids
                 bodies += [normalise(lines[n]).decode("utf-8", "replace") for n in numbers]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(bodies, pa.string())], names=["line", "body"])
+            chars = pa.array([len(x) for x in bodies], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(bodies, pa.string()), chars, *(pa.array(x) for x in parities(bodies).T.copy())], names=["line", "body", *DETAILS])
 
     places = wanted.groupBy(F.col("at.id").alias("wid"), F.col("at.th").alias("wth")).agg(F.collect_list(F.struct(F.col("at.number").alias("number"), "line")).alias("w")).select("wid", "wth", F.col("w.number").alias("numbers"), F.col("w.line").alias("lines"))
-    packed = source.mapInArrow(pack, f"id {kind}, th long, packed binary")
+    packed = source.mapInArrow(pack, f"id {kind}, th long, packed binary").dropDuplicates(["id", "th"])
     joined = packed.join(places, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("packed", "numbers", "lines")
-    return joined.mapInArrow(cut, "line long, body string")
+    return joined.mapInArrow(cut, "line long, body string, chars int, " + ", ".join(f"{c} long" for c in DETAILS[1:]))
 
 
 def _rebuild(docs: DataFrame, key: str, gone: DataFrame, counts: tuple[str, str]) -> DataFrame:
@@ -249,27 +404,21 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] =
     """Documents with one occurrence of each group of similar lines, and the numbers of lines and of kept lines."""
     scratch = Scratch(docs.sparkSession, "lines")
     found = scratch.write(occurrences(docs, key), "occurrences")
-    lines = scratch.write(found.groupBy("line").agg(F.first("sim").alias("sim"), F.first("chars").alias("chars"), F.min(F.struct("id", "th", "number")).alias("at")), "lines")
-    blocks, agree = scheme_for(lines.count())
+    places = found.groupBy("line").agg(F.min(F.struct("id", "th", "number")).alias("at"))
+    bodies = scratch.write(_fetch(docs, key, places), "bodies")
 
     tables: dict[str, DataFrame] = {}
 
-    def prepare(ids: DataFrame) -> None:
-        """Bodies of all lines that meet another, fetched once for all rounds."""
-        wanted = lines.join(ids.withColumnRenamed("id", "line"), "line", "left_semi").select("line", "at")
-        bodies = _fetch(docs, key, wanted).dropDuplicates(["line"])
-        tables["bodies"] = scratch.write(bodies.join(lines.select("line", "sim", "chars"), "line"), "bodies")
-
     def verify(pairs: DataFrame) -> DataFrame:
         scratch.drop(tables.pop("close", None))
-        side = lambda c, *names: tables["bodies"].select(F.col("line").alias(c), *(F.col(n).alias(f"{n}_{c}") for n in names))
-        near = near_enough(F.struct(F.col("sim_a").alias("sim"), F.col("chars_a").alias("chars")), F.struct(F.col("sim_b").alias("sim"), F.col("chars_b").alias("chars")))
-        close = scratch.write(pairs.join(side("a", "sim", "chars"), "a").join(side("b", "sim", "chars"), "b").where(near).select("a", "b"), "close")
+        side = lambda c, *names: bodies.select(F.col("line").alias(c), *(F.col(n).alias(f"{n}_{c}") for n in names))
+        near = near_enough(*({n: F.col(f"{n}_{c}") for n in DETAILS} for c in "ab"))
+        close = scratch.write(pairs.join(side("a", *DETAILS), "a").join(side("b", *DETAILS), "b").where(near).select("a", "b"), "close")
         tables["close"] = close
         both = close.join(side("a", "body"), "a").join(side("b", "body"), "b")
         return both.select("a", "b", F.col("body_a").alias("x"), F.col("body_b").alias("y")).mapInArrow(_similar_pairs, "a long, b long")
 
-    comps = link(scratch, _lists(lines, blocks, agree), verify, prepare=prepare, fits_last=near_enough, details=lines.select(F.col("line").alias("id"), "sim", "chars"))
+    comps = link(scratch, _lists(bodies, *scheme_for(bodies.count())), verify, fits_last=near_enough, details=bodies.select(F.col("line").alias("id"), *DETAILS))
     grouped = found.join(comps, F.col("line") == comps["id"], "left").select(found["id"], "th", "number", F.coalesce("root", "line").alias("root")) if comps is not None else found.select("id", "th", "number", F.col("line").alias("root"))
     first = grouped.groupBy("root").agg(F.min(F.struct("id", "th", "number")).alias("stays"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(first, "root").where(~F.struct("id", "th", "number").eqNullSafe(F.col("stays"))).groupBy(F.col("id").alias("__gid"), F.col("th").alias("__gth")).agg(F.collect_set("number").alias("__numbers"))

@@ -109,7 +109,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> list[np.ndarray]:
+def powers(n: int) -> list[np.ndarray]:
+    """Powers of an odd number, and of its inverse, at least n of each."""
     if len(_POWERS[0]) < n:
         size = max(1 << 20, n)
         for k, base in enumerate((_ODD, _ODD_INVERSE)):
@@ -121,7 +122,7 @@ def _powers(n: int) -> list[np.ndarray]:
 
 def _words_of_slice(data: np.ndarray, breaks: np.ndarray, fold: bool, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
-    up, down = _powers(n)
+    up, down = powers(n)
     kind = classes[data]
     fresh = np.empty(n + 1, bool)  # a new class begins, or a text
     fresh[0] = fresh[n] = True

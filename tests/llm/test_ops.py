@@ -242,6 +242,96 @@ def test_line_dedup_against_brute_force(spark):
         assert got[i]["text"] == "\n".join(keep) and (got[i]["n_lines"], got[i]["n_kept"]) == (4, len(keep))
 
 
+def edited(rng, line, edits, letters="abcdef é"):
+    line = list(line)
+    for _ in range(edits):
+        at = int(rng.integers(len(line)))
+        line[at : at + int(rng.integers(2))] = [letters[rng.integers(len(letters))]] if rng.random() < 0.7 else []
+    return line_dedup.normalise("".join(line).encode()).decode()
+
+
+def meets(a, b):
+    row, keys = line_dedup.text_keys([a, b])
+    return bool(set(keys[row == 0].tolist()) & set(keys[row == 1].tolist()))
+
+
+def test_short_similar_lines_always_meet():
+    rng = np.random.default_rng(31)
+    tried = 0
+    for _ in range(3000):
+        a = edited(rng, "".join("abcdef é"[i] for i in rng.integers(0, 8, int(rng.integers(10, 64)))), 0)
+        b = edited(rng, a, int(rng.integers(1, 8)))
+        longer = max(len(a), len(b))
+        if a != b and 0 < longer <= line_dedup.SHORT and edit_distance(a, b) <= 0.1 * longer + 1e-9:
+            tried += 1
+            assert meets(a, b), (a, b)
+    assert tried > 500
+
+
+def test_long_similar_lines_with_edits_in_few_places_meet():
+    rng = np.random.default_rng(32)
+    for length, places in [(61, 1), (90, 1), (104, 2), (150, 3), (230, 4), (340, 5), (900, 5), (5000, 5)]:
+        for _ in range(60):
+            a = "".join("abcdef"[i] for i in rng.integers(0, 6, length))
+            b, most = a, length // 10 // places
+            for at in sorted(rng.choice(length - most, places, replace=False).tolist(), reverse=True):
+                n = int(rng.integers(most + 1))
+                b = b[:at] + "".join("xyz"[i] for i in rng.integers(0, 3, n)) + b[at + int(rng.integers(n + 1)) :]
+            assert line_dedup.within(a, b, line_dedup.most_edits(max(len(a), len(b)))) and meets(a, b), (a, b)
+
+
+def test_filters_of_line_pairs_lose_none():
+    rng = np.random.default_rng(33)
+    for _ in range(300):
+        a = "".join("abcdef é"[i] for i in rng.integers(0, 8, int(rng.integers(1, 90))))
+        b = edited(rng, a, int(rng.integers(0, 12)))
+        d = edit_distance(a, b)
+        p, q = line_dedup.parities([a, b])
+        assert np.bitwise_count((p ^ q).view(np.uint64)).sum() <= 4 * d
+        assert all(line_dedup.within(a, b, most) == (d <= most) for most in range(14))
+
+
+def test_line_dedup_links_all_short_similar_lines(spark):
+    """By edit similarity alone: one typo in a short line flips many SimHash bits, yet the lines are linked."""
+    rng = np.random.default_rng(34)
+    lines = []
+    for _ in range(60):
+        a = " ".join("".join("abcdefghij"[i] for i in rng.integers(0, 10, int(rng.integers(3, 9)))) for _ in range(int(rng.integers(3, 9))))[: line_dedup.SHORT - 6].strip()
+        lines += [a, *(edited(rng, a, int(rng.integers(1, 4)), "abcdefghij") for _ in range(3))]
+    lines = [x for x in dict.fromkeys(lines) if x]
+    links = [(a, b) for a in lines for b in lines if a < b and edit_distance(a, b) <= 0.1 * max(len(a), len(b)) + 1e-9]
+    comp = components_of(lines, links)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_kept"] for r in line_dedup.dedup_lines(docs).collect()}
+    seen = set()
+    for i, line in enumerate(lines):
+        assert got[i] == (comp[line] not in seen), line
+        seen.add(comp[line])
+    assert 60 <= len(seen) < len(lines)
+
+
+def test_line_dedup_by_edit_similarity_alone(spark):
+    """Links are those of all pairs by edit similarity alone."""
+    rng = np.random.default_rng(35)
+    lines = []
+    for _ in range(60):
+        words = [f"word{rng.integers(500)}" for _ in range(int(rng.integers(14, 60)))]
+        lines.append(" ".join(words))
+        for _ in range(2):
+            some = list(words)
+            some[rng.integers(len(some))] += "s"
+            lines.append(" ".join(some))
+    lines = list(dict.fromkeys(lines))
+    links = [(a, b) for a in lines for b in lines if a < b and line_dedup.within(a, b, int(0.1 * max(len(a), len(b)) + 1e-9))]
+    comp = components_of(lines, links)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_kept"] for r in line_dedup.dedup_lines(docs).collect()}
+    seen = set()
+    for i, line in enumerate(lines):
+        assert got[i] == (comp[line] not in seen), line
+        seen.add(comp[line])
+
+
 def test_line_dedup_on_odd_rows(spark):
     odd = odd_documents(spark)
     got = line_dedup.dedup_lines(odd)
