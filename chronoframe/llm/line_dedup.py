@@ -2,7 +2,7 @@
 
 Lines are normalised (A-Z lower-cased, white space runs to one space); equal ones are one. Two lines are similar if one
 minus the edit distance over the longer length is at least ``SIMILAR``; that alone decides on a pair that meets. Lines
-meet in three ways:
+meet in three ways, the same for any number of lines:
 
 * up to ``SHORT`` characters by text segments, so that every similar pair meets (a line cut into one more piece than
   edits are allowed has a piece that is whole in the other, and not far from its place);
@@ -37,8 +37,8 @@ from .shared import Scratch, mix, powers, utf8_buffers, word_hashes
 SIMILAR = 0.9
 #: Pairs this many SimHash bits apart are still verified: all.
 FAR_BITS = 64
-#: (blocks, blocks that must agree): the first whose agreeing bits are so many that random lines rarely meet.
-SCHEMES = ((5, 2), (6, 3), (8, 4))
+#: SimHash blocks, and how many must agree.
+BLOCKS, AGREE = 5, 2
 #: Most characters of lines that meet by segments.
 SHORT = 60
 #: Characters in a window's hash.
@@ -86,13 +86,6 @@ def simhashes(lines: list[bytes]) -> np.ndarray:
     return out
 
 
-def scheme_for(lines: int) -> tuple[int, int]:
-    for blocks, agree in SCHEMES[:-1]:
-        if lines / 2.0 ** (64 * agree / blocks) <= 4:
-            return blocks, agree
-    return SCHEMES[-1]
-
-
 def block_keys(sims: np.ndarray, blocks: int, agree: int) -> np.ndarray:
     """A row of keys for each SimHash, one key for each choice of agreeing blocks."""
     edges = np.linspace(0, 64, blocks + 1).astype(int)
@@ -325,13 +318,13 @@ def occurrences(docs: DataFrame, key: str) -> DataFrame:
 DETAILS = ["chars", *(f"p{i}" for i in range(PARITIES))]
 
 
-def _lists(bodies: DataFrame, blocks: int, agree: int) -> DataFrame:
+def _lists(bodies: DataFrame) -> DataFrame:
     """(key, id) of all ways in which lines meet."""
 
     def run(batches):
         for batch in batches:
             ids, lines = batch.column("line").to_numpy(), batch.column("body").to_pylist()
-            keys = block_keys(simhashes([x.encode() for x in lines]), blocks, agree)
+            keys = block_keys(simhashes([x.encode() for x in lines]), BLOCKS, AGREE)
             row, more = text_keys(lines)
             at = np.concatenate((np.repeat(np.arange(len(ids)), keys.shape[1]), row))
             keys = np.concatenate((keys.reshape(-1), more)).view(np.int64)
@@ -418,7 +411,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] =
         both = close.join(side("a", "body"), "a").join(side("b", "body"), "b")
         return both.select("a", "b", F.col("body_a").alias("x"), F.col("body_b").alias("y")).mapInArrow(_similar_pairs, "a long, b long")
 
-    comps = link(scratch, _lists(bodies, *scheme_for(bodies.count())), verify, fits_last=near_enough, details=bodies.select(F.col("line").alias("id"), *DETAILS))
+    comps = link(scratch, _lists(bodies), verify, fits_last=near_enough, details=bodies.select(F.col("line").alias("id"), *DETAILS))
     grouped = found.join(comps, F.col("line") == comps["id"], "left").select(found["id"], "th", "number", F.coalesce("root", "line").alias("root")) if comps is not None else found.select("id", "th", "number", F.col("line").alias("root"))
     first = grouped.groupBy("root").agg(F.min(F.struct("id", "th", "number")).alias("stays"), F.count("*").alias("n")).where("n > 1")
     gone = grouped.join(first, "root").where(~F.struct("id", "th", "number").eqNullSafe(F.col("stays"))).groupBy(F.col("id").alias("__gid"), F.col("th").alias("__gth")).agg(F.collect_set("number").alias("__numbers"))

@@ -245,7 +245,7 @@ def test_line_dedup_against_brute_force(spark):
 def edited(rng, line, edits, letters="abcdef é"):
     line = list(line)
     for _ in range(edits):
-        at = int(rng.integers(len(line)))
+        at = int(rng.integers(max(1, len(line))))
         line[at : at + int(rng.integers(2))] = [letters[rng.integers(len(letters))]] if rng.random() < 0.7 else []
     return line_dedup.normalise("".join(line).encode()).decode()
 
@@ -332,6 +332,24 @@ def test_line_dedup_by_edit_similarity_alone(spark):
         seen.add(comp[line])
 
 
+def test_line_dedup_meets_by_blocks_the_same_way_at_any_size(spark, monkeypatch):
+    """A similar pair that only two of five SimHash blocks join is linked also where 300 million lines are counted."""
+    rng = np.random.default_rng(36)
+    while True:
+        words = [f"word{rng.integers(500)}" for _ in range(int(rng.integers(9, 12)))]
+        a, some = " ".join(words), list(words)
+        for at in rng.choice(len(words), 3, replace=False):
+            some[at] += "s"
+        b = " ".join(some)
+        sims = line_dedup.simhashes([a.encode(), b.encode()])
+        five, six = (line_dedup.block_keys(sims, *scheme) for scheme in ((5, 2), (6, 3)))
+        if line_dedup.within(a, b, len(b) // 10) and not meets(a, b) and set(five[0]) & set(five[1]) and not set(six[0]) & set(six[1]):
+            break
+    docs = spark.createDataFrame([(0, a), (1, b)], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "count", lambda self: 300_000_000)
+    assert [r["n_kept"] for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [1, 0]
+
+
 def test_line_dedup_on_odd_rows(spark):
     odd = odd_documents(spark)
     got = line_dedup.dedup_lines(odd)
