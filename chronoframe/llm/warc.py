@@ -6,8 +6,9 @@ at least ``revisit_from`` bytes that occur more than once are stored by the reco
 revisit records that name it.
 
 Defined results: null html: an empty payload. Rows that share payload and the largest id are all responses. A null id
-never is the largest and is written as an empty id. Repeated rows stay repeated; extra columns are dropped. Where too few
-records are at hand to build a dictionary, the skippable frame is empty and frames go without one.
+never is the largest and is written as an empty id. Repeated rows stay repeated; extra columns are dropped. Few long records
+are cut into pieces for the dictionary; where even these are too few, or nothing repeats in them, the skippable frame is
+empty and frames go without one.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from .shared import Scratch, utf8_buffers
 DICTIONARY_MAGIC = 0x184D2A5D
 DICTIONARY_SAMPLE = 4 << 20
 DICTIONARY_BYTES = 64 << 10
+#: Fewer than 16 records are cut into pieces of this length to train on.
+DICTIONARY_PIECE = 1 << 14
 REVISIT_FROM = 1000
 
 
@@ -60,6 +63,8 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 def _dictionary(samples: list[bytes]):
     import zstandard
 
+    if len(samples) < 16:
+        samples = [r[i : i + DICTIONARY_PIECE] for r in samples for i in range(0, len(r), DICTIONARY_PIECE)]
     if len(samples) < 16:
         return None
     try:

@@ -423,6 +423,27 @@ def test_warc(spark):
     assert warc.archive(pages_of(spark, [])).count() == 0
 
 
+def test_warc_of_long_pages_has_a_dictionary():
+    rng = np.random.default_rng(40)
+    words = [f"word{rng.integers(10**6)}" for _ in range(3000)]
+    pages = [" ".join(words[i] for i in rng.integers(0, 3000, 40000)).encode() for _ in range(3)]
+    long = [warc.record(i, f"http://h/{i}", x, "d", len(x), None) for i, x in enumerate(pages)]
+    short = [warc.record(i, f"http://h/{i}", pages[0][600 * i : 600 * i + 600], "d", 600, None) for i in range(3, 60)]
+
+    class Sink(io.BytesIO):
+        def close(self):
+            pass
+
+    sink = Sink()
+    w = warc.Writer(sink, sample=300_000)  # full after two records
+    for r in long + short:
+        w.add(r)
+    w.close()
+    raw = sink.getvalue()
+    assert int.from_bytes(raw[4:8], "little") > 1000
+    assert list(warc.read_archive(io.BytesIO(raw))) == long + short
+
+
 def test_archive_has_a_leading_dictionary_and_single_frames():
     import zstandard
 
