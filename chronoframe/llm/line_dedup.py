@@ -1,27 +1,29 @@
 """Operator 3: fuzzy line dedup by SimHash, pigeonhole blocks and edit similarity.
 
 Lines are normalised (A-Z lower-cased, white space runs to one space); equal ones are one. Two lines are similar if one
-minus the edit distance over the longer length is at least ``SIMILAR``; that alone decides on a pair that meets. Lines
-meet in three ways, the same for any number of lines:
+minus the edit distance over the longer length is at least ``SIMILAR``; that alone decides on a pair that meets.
 
-* up to ``SHORT`` characters by text segments, so that every similar pair meets (a line cut into one more piece than
-  edits are allowed has a piece that is whole in the other, and not far from its place);
-* longer ones by the least hashes of ``GRAM`` characters in windows, so wide that every similar pair whose edits lie in
-  at most as many places as ``PLACES`` says for its length meets;
-* all by the 64-bit SimHash of their distinct words (a separator repeated all over a line would else outvote the rest),
-  if two of five blocks agree: certain within three bits.
+The SimHash of a line has blocks that share no words: a hash deals the line's distinct words to the blocks, and each
+block is the SimHash of its own words. A changed word thus reaches two blocks at most, the old word's and the new one's,
+and by the pigeonhole principle the others agree exactly, however long the line. ``SCHEMES`` says how many blocks lines
+of a length have and how many must agree; keys of fewer than ``LEAST_WORDS`` words are left out, since they would join
+everything. Lines of at most ``SHORT`` characters, of few words, meet by text segments as well: one is cut into one more
+piece than edits are allowed, so that a piece is whole in the other, not far from its place, and every similar pair meets.
+Runs of bytes longer than ``LONG_WORD`` (scripts without spaces) are cut by content. The same keys serve any number of
+lines. The recall of the keys against all pairs by edit similarity is measured in tests/llm and stated in the README.
 
-Similar longer lines with edits in more places meet by chance. Of each connected group one occurrence stays, the first by
-(doc_id, hash of the text, line number); blank lines always stay.
+Keys travel as sorted blocks, one for each batch and target; a target's task sorts them in memory of bounded size, with
+sorted runs on disk beyond it. Of each connected group one occurrence stays, the first by (doc_id, hash of the text,
+line number); blank lines always stay.
 
 Defined results: null and blank texts are returned as they are. Rows equal in doc_id and text count as one document and
 keep the same lines. A document whose lines all go has an empty text, n_kept 0. Lines are compared by 64-bit hashes of
-their normalised form. Extra columns are carried along.
+their words. Extra columns are carried along; should one be called like a count, the count gets an underscore more.
 """
 
 from __future__ import annotations
 
-import hashlib
+import tempfile
 from functools import cache
 from itertools import combinations
 
@@ -32,72 +34,118 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linkage import link
-from .shared import Scratch, mix, powers, utf8_buffers, word_hashes
+from .shared import Scratch, chunks, fresh, mix, partitions_for, powers, trim, utf8_buffers, word_hashes
 
 SIMILAR = 0.9
-#: Pairs this many SimHash bits apart are still verified: all.
-FAR_BITS = 64
-#: SimHash blocks, and how many must agree.
-BLOCKS, AGREE = 5, 2
+#: (words up to, blocks, blocks that must agree) of a line's SimHash.
+SCHEMES = ((24, 5, 2), (64, 7, 1), (None, 14, 1))
+#: Distinct words that a key stands for, at least.
+LEAST_WORDS = 3
+#: Bytes of a run without white space beyond which it is cut into several words.
+LONG_WORD = 32
 #: Most characters of lines that meet by segments.
 SHORT = 60
-#: Characters in a window's hash.
-GRAM = 16
-#: (least length, places): edits in so many places leave a common run that fills a window.
-PLACES = ((54, 1), (90, 2), (135, 3), (200, 4), (300, 5), (450, 5), (675, 5), (1012, 5), (1518, 5), (3000, 5), (6000, 5), (12000, 5), (24000, 5), (48000, 5), (96000, 5))
-#: Bits of the parities of a line's character pairs, in numbers of 64.
-PARITIES = 8
+#: Slots that pairs of neighbouring bytes are counted in, to rule pairs of lines out.
+SLOTS = 256
+#: Entries of inverted lists that a task sorts in memory.
+HELD = 1 << 23
+#: Entries that a target should get, and keys that a line has about.
+TARGET, KEYS_A_LINE = 1 << 21, 16
+
+
+#: Whether a byte begins a character that is no white space.
+_BEGINS = np.array([b not in (0x20, *range(0x09, 0x0E)) and not 0x80 <= b < 0xC0 for b in range(256)], np.uint8)
 
 
 def normalise(line: bytes) -> bytes:
     return b" ".join(line.lower().split())
 
 
-def line_key(normal: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(normal, digest_size=8).digest(), "little", signed=True)
-
-
-def simhashes(lines: list[bytes]) -> np.ndarray:
-    """64-bit SimHash of the distinct words of each (non-blank) line."""
-    out = np.zeros(len(lines), np.uint64)
-    at = 0
-    while at < len(lines):
-        size, end = 0, at
-        while end < len(lines) and (end == at or size + len(lines[end]) <= 1 << 19):
-            size += len(lines[end])
-            end += 1
-        offsets = np.concatenate(([0], np.cumsum([len(x) for x in lines[at:end]])))
-        words, place = word_hashes(np.frombuffer(b"".join(lines[at:end]), np.uint8), offsets)
-        # One sort brings equal words of a line together: the line's number above 44 bits of the word's hash.
-        pairs = np.repeat(np.arange(end - at, dtype=np.uint64) << np.uint64(44), np.diff(place)) | (words >> np.uint64(20))
-        pairs.sort()
+def _long_cuts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places within long runs where a word ends by what stands there: after bytes whose hash is a multiple of eight."""
+    out = [np.zeros(0, np.int64)]
+    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+        x = data[a:b].astype(np.uint64)
+        h = mix(x[2:-1] + (x[1:-2] << np.uint64(8)) + (x[:-3] << np.uint64(16)))
+        out.append(np.flatnonzero((h & np.uint64(7)) == 0) + a + 3)
+    return np.concatenate(out)
+
+
+def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number in the text, start, end) of every line of consecutive texts."""
+    feeds = np.flatnonzero(data == 10)
+    start = np.sort(np.concatenate((offsets[:-1], feeds + 1)))
+    first = np.arange(len(offsets) - 1) + np.searchsorted(feeds, offsets[:-1])
+    count = np.diff(np.append(first, len(start)))
+    text = np.repeat(np.arange(len(offsets) - 1), count)
+    return text, np.arange(len(start)) - first[text], start, np.append(start[1:], len(data))
+
+
+def line_words(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of words, place of each line's first word and one behind the last, hash of each line's words)."""
+    words, at = word_hashes(data, np.append(start, len(data)))
+    up, down = powers(len(words) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)])))
+    key = mix((total[at[1:]] - total[at[:-1]]) * down[at[:-1]] + np.diff(at).astype(np.uint64))
+    return words, at, key
+
+
+def block_keys(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the line, key) by the blocks of SimHashes; line i has words[at[i]:at[i + 1]]."""
+    count = np.diff(at)
+    rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    low = 0
+    for number, (high, blocks, agree) in enumerate(SCHEMES):
+        # The longer of two similar lines may belong to the scheme above; it meets the other in both.
+        line = np.flatnonzero((count >= low) & (count > 0) & (count <= (high or np.inf) / SIMILAR + 1))
+        low = high
+        if not len(line):
+            continue
+        lead = np.cumsum(count[line]) - count[line]
+        place = np.repeat(at[line] - lead, count[line]) + np.arange(count[line].sum())
+        word = words[place] >> np.uint64(24)
+        owner = np.repeat(np.arange(len(line)), count[line])
+        group = (owner * blocks + (mix(word) % np.uint64(blocks)).astype(np.int64)).astype(np.uint64)
+        # One sort brings the equal words of a block together: the block's number above 40 bits of the word's hash.
+        pairs = np.sort((group << np.uint64(40)) | word)
         pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))]
-        counts = np.bincount((pairs >> np.uint64(44)).astype(np.int64), minlength=end - at)
-        spread = mix(pairs & np.uint64((1 << 44) - 1))
-        bits = np.unpackbits(spread.view(np.uint8).reshape(-1, 8), axis=1)
-        # Eight one-byte counters go into each addition; runs of 255 words cannot overflow them.
-        runs = -(-counts // 255)
-        lead = np.cumsum(runs) - runs
-        starts = np.repeat(np.cumsum(counts) - counts, runs) + 255 * (np.arange(runs.sum()) - np.repeat(lead, runs))
-        parts = np.add.reduceat(bits.view(np.uint64), starts, axis=0).view(np.uint8)
-        sums = np.add.reduceat(parts, lead, axis=0, dtype=np.int32)
-        out[at:end] = np.packbits(2 * sums > counts[:, None], axis=1).view(np.uint64)[:, 0]
-        at = end
-    return out
+        block = (pairs >> np.uint64(40)).astype(np.int64)
+        begin = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+        sizes = np.diff(np.append(begin, len(block)))
+        sims = np.zeros(len(line) * blocks, np.uint64)
+        held = np.zeros(len(line) * blocks, np.int64)
+        held[block[begin]] = sizes
+        sims[block[begin]] = _majority(mix(pairs & np.uint64((1 << 40) - 1)), begin, sizes)
+        sims, held = sims.reshape(-1, blocks), held.reshape(-1, blocks)
+        for n, chosen in enumerate(combinations(range(blocks), agree)):
+            enough = np.flatnonzero(held[:, chosen].sum(axis=1) >= LEAST_WORDS)
+            key = np.full(len(enough), (number << 8) + n + 1, np.uint64)
+            for block_number in chosen:
+                key = mix(key ^ sims[enough, block_number])
+            rows.append(line[enough])
+            keys.append(key)
+    return np.concatenate(rows), np.concatenate(keys)
 
 
-def block_keys(sims: np.ndarray, blocks: int, agree: int) -> np.ndarray:
-    """A row of keys for each SimHash, one key for each choice of agreeing blocks."""
-    edges = np.linspace(0, 64, blocks + 1).astype(int)
-    masks = [np.uint64(((1 << (int(b) - int(a))) - 1) << int(a)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    keys = []
-    for n, chosen in enumerate(combinations(range(blocks), agree)):
-        mask = np.uint64(0)
-        for i in chosen:
-            mask |= masks[i]
-        x = (sims & mask) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n + 1)
-        keys.append(x ^ (x >> np.uint64(29)))
-    return np.stack(keys, axis=1)
+def _majority(hashes: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SimHash of each run of hashes: the bits that more than half of them have."""
+    out = np.empty(len(begin), np.uint64)
+    step = 1 << 13  # runs at a time, so that the counters stay in a cache
+    for i in range(0, len(begin), step):
+        a, n = begin[i : i + step], sizes[i : i + step]
+        # Eight one-byte counters go into each addition; pieces of 255 words cannot overflow them.
+        lanes = np.unpackbits(hashes[a[0] : a[-1] + n[-1]].view(np.uint8)).view(np.uint64).reshape(-1, 8)
+        pieces = -(-n // 255)
+        if pieces.max() > 1:
+            lead = np.cumsum(pieces) - pieces
+            starts = np.repeat(a - a[0], pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(lead, pieces))
+            sums = np.add.reduceat(np.add.reduceat(lanes, starts, axis=0).view(np.uint8), lead, axis=0, dtype=np.int32)
+            half = (n // 2)[:, None]
+        else:
+            sums = np.add.reduceat(lanes, a - a[0], axis=0).view(np.uint8)
+            half = (n // 2).astype(np.uint8)[:, None]
+        out[i : i + step] = np.packbits(sums > half, axis=1).view(np.uint64)[:, 0]
+    return out
 
 
 def most_edits(longer: int) -> int:
@@ -137,91 +185,32 @@ def segment_places(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.array(x) for x in zip(*sorted(out), strict=True))
 
 
-def window_size(scale: int) -> int:
-    """Hashes in a window: with the edits in so many places, a common run is at least this and GRAM - 1 characters."""
-    length, places = PLACES[scale]
-    matched = length - most_edits(length)
-    return -(-matched // (places + 1)) - GRAM + 1
-
-
-def scales(n: int) -> list[int]:
-    """Of a line longer than SHORT, or of one that may be similar to such a line."""
-    return sorted({max(i for i, (length, _) in enumerate(PLACES) if length <= m) for m in (n, max(PLACES[0][0], least_length(n)))}) if n >= PLACES[0][0] else []
-
-
-def _least_in_windows(h: np.ndarray, width: int) -> np.ndarray:
-    """Least of each run of ``width`` values."""
-    size, out = 1, h
-    while 2 * size <= width:
-        out = np.minimum(out[:-size], out[size:])
-        size *= 2
-    return np.minimum(out[: len(h) - width + 1], out[width - size :]) if width > size else out
-
-
-def text_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the line, key): the keys by which lines meet as texts, each once."""
+def segment_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the line, key) by the segments of lines of at most SHORT characters."""
+    lengths = np.array([len(x) for x in lines], np.int64)
+    code = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    up, down = powers(len(code) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(code + np.uint64(1)) * up[: len(code)])))
+    offsets = np.cumsum(lengths) - lengths
     rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    at = 0
-    while at < len(lines):
-        size, end = 0, at
-        while end < len(lines) and (end == at or size + len(lines[end]) <= 1 << 19):
-            size += len(lines[end])
-            end += 1
-        some = lines[at:end]
-        lengths = np.array([len(x) for x in some])
-        code = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        up, down = powers(len(code) + 1)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(code + np.uint64(1)) * up[: len(code)])))
-        offsets = np.cumsum(lengths) - lengths
-        for n in np.unique(lengths[lengths <= SHORT]).tolist():
-            row = np.flatnonzero(lengths == n)
-            start, length, salt = segment_places(n)
-            first = offsets[row][:, None] + start
-            h = mix((total[first + length] - total[first]) * down[first]) ^ mix(salt.astype(np.uint64) + np.uint64(1))
-            rows.append(np.repeat(row + at, len(start)))
-            keys.append(h.reshape(-1))
-        gram = mix((total[GRAM:] - total[:-GRAM]) * down[: len(total) - GRAM]) if len(code) >= GRAM else np.zeros(0, np.uint64)
-        of = [scales(n) for n in lengths.tolist()]
-        for scale in sorted({x for some_scales in of for x in some_scales}):
-            width = window_size(scale)
-            row = np.array([i for i, x in enumerate(of) if scale in x])
-            row = row[lengths[row] >= width + GRAM - 1]
-            if not len(row):
-                continue
-            least = _least_in_windows(gram, width)
-            count = lengths[row] - (width + GRAM - 1) + 1
-            first = np.repeat(offsets[row], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            owner, value = np.repeat(row, count), least[first]
-            fresh = np.concatenate(([True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])))
-            owner, value = owner[fresh], value[fresh]
-            order = np.lexsort((value, owner))
-            owner, value = owner[order], value[order]
-            fresh = np.concatenate(([True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])))
-            rows.append(owner[fresh] + at)
-            keys.append(mix(value[fresh] + np.uint64(scale + 1)))
-        at = end
+    for n in np.unique(lengths[lengths <= SHORT]).tolist():
+        row = np.flatnonzero(lengths == n)
+        start, length, salt = segment_places(n)
+        first = offsets[row][:, None] + start
+        h = mix((total[first + length] - total[first]) * down[first]) ^ mix(salt.astype(np.uint64) + np.uint64(1))
+        rows.append(np.repeat(row, len(start)))
+        keys.append(h.reshape(-1))
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def parities(lines: list[str]) -> np.ndarray:
-    """A row of 64 * PARITIES bits a line: which slots have an odd number of its pairs of neighbouring characters. An edit changes four at most."""
-    out = np.zeros((len(lines), PARITIES), np.int64)
-    width = 64 * PARITIES
-    at = 0
-    while at < len(lines):
-        size, end = 0, at
-        while end < len(lines) and end - at < 4096 and (end == at or size + len(lines[end]) <= 1 << 19):
-            size += len(lines[end])
-            end += 1
-        lengths = np.array([len(x) for x in lines[at:end]])
-        code = np.frombuffer("".join(lines[at:end]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        owner = np.repeat(np.arange(end - at), lengths)
-        inside = owner[1:] == owner[:-1]
-        slot = (mix(code[:-1] << np.uint64(32) | code[1:]) >> np.uint64(40)).astype(np.int64) % width
-        odd = np.bincount((owner[1:] * width + slot)[inside], minlength=(end - at) * width) & 1
-        out[at:end] = np.packbits(odd.astype(np.uint8).reshape(-1, width), axis=1).view(np.int64)
-        at = end
-    return out
+def pair_counts(lines: list[bytes]) -> np.ndarray:
+    """A row a line: how many of its pairs of neighbouring bytes fall in each of SLOTS slots."""
+    data = np.frombuffer(b"".join(lines), np.uint8)
+    lengths = np.array([len(x) for x in lines], np.int64)
+    owner = np.repeat(np.arange(len(lines)), lengths)
+    inside = owner[1:] == owner[:-1]
+    slot = (data[:-1].astype(np.int64) * 31 + data[1:]) % SLOTS
+    return np.bincount((owner[1:] * SLOTS + slot)[inside], minlength=len(lines) * SLOTS).reshape(-1, SLOTS)
 
 
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
@@ -260,159 +249,344 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     return score
 
 
+def aligned(p: list[str], q: list[str]) -> int:
+    """An upper bound of the edit distance of two lines of these words: that of an alignment found in one pass."""
+    i = j = cost = 0
+    n, m = len(p), len(q)
+    while i < n and j < m:
+        if p[i] == q[j]:
+            i += 1
+            j += 1
+        elif i + 1 < n and j + 1 < m and p[i + 1] == q[j + 1]:
+            cost += max(len(p[i]), len(q[j]))
+            i += 1
+            j += 1
+        elif j + 1 < m and p[i] == q[j + 1]:
+            cost += len(q[j]) + 1
+            j += 1
+        elif i + 1 < n and p[i + 1] == q[j]:
+            cost += len(p[i]) + 1
+            i += 1
+        else:
+            cost += max(len(p[i]), len(q[j]))
+            i += 1
+            j += 1
+    return cost + sum(len(x) + 1 for x in p[i:]) + sum(len(x) + 1 for x in q[j:])
+
+
 def within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most ``most``; bounds that settle it are tried before the distance itself."""
     if abs(len(a) - len(b)) > most:
         return False
-    p, q = a.split(" "), b.split(" ")
-    if len(p) == len(q) and sum(max(len(x), len(y)) for x, y in zip(p, q, strict=True) if x != y) <= most:
-        return True  # word for word, no more edits than that
-    return edit_distance(a, b, most) <= most
+    return aligned(a.split(" "), b.split(" ")) <= most or edit_distance(a, b, most) <= most
 
 
-def near_enough(p, q):
-    """False only where lengths or parities rule out that two lines are similar."""
-    edits = F.floor(F.greatest(p["chars"], q["chars"]) * (1 - SIMILAR) + 1e-9)
-    apart = sum((F.bit_count(p[f"p{i}"].bitwiseXOR(q[f"p{i}"])) for i in range(PARITIES)), F.lit(0))
-    return (F.abs(p["chars"] - q["chars"]) <= edits) & (apart <= 4 * edits)
+def similar(x: list[str], y: list[str]) -> np.ndarray:
+    """Which of the pairs of lines are similar. An edit of a character changes at most its bytes and one pair of bytes more, on either side."""
+    keep = np.zeros(len(x), bool)
+    for at in range(0, len(x), 512):
+        p, q = x[at : at + 512], y[at : at + 512]
+        most = np.array([most_edits(max(len(a), len(b))) for a, b in zip(p, q, strict=True)])
+        apart = pair_counts([a.encode() for a in p]) - pair_counts([b.encode() for b in q])
+        wide = np.array([1 if a.isascii() and b.isascii() else 4 for a, b in zip(p, q, strict=True)])
+        may = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= (wide + 1) * most
+        for i in np.flatnonzero(may).tolist():
+            keep[at + i] = within(p[i], q[i], int(most[i]))
+    return keep
 
 
 def _similar_pairs(batches):
     for batch in batches:
-        keep = [within(x, y, most_edits(max(len(x), len(y)))) for x, y in zip(*(batch.column(c).to_pylist() for c in ("x", "y")), strict=True)]
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+        for i in range(0, batch.num_rows, 4096):
+            some = batch.slice(i, 4096)
+            mask = pa.array(similar(some.column("x").to_pylist(), some.column("y").to_pylist()), pa.bool_())
+            yield pa.RecordBatch.from_arrays([some.column("a").filter(mask), some.column("b").filter(mask)], names=["a", "b"])
+    trim()
+
+
+def _texts(docs: DataFrame, key: str) -> DataFrame:
+    """(id, th, text) of the texts there are; th tells the texts of one id apart."""
+    return docs.where(F.col("text").isNotNull()).select(F.col(key).alias("id"), F.xxhash64("text").alias("th"), F.col("text").alias("text"))
 
 
 def occurrences(docs: DataFrame, key: str) -> DataFrame:
     """(id, th, line, number) of every line that is not blank."""
-    source = docs.where("text is not null").select(F.col(key).alias("id"), F.xxhash64("text").alias("th"), "text")
+    source = _texts(docs, key)
     names = ["id", "th", "number", "line"]
 
     def run(batches):
         for batch in batches:
             data, off = utf8_buffers(batch.column("text"))
-            rows, number, lines = [], [], []
-
-            def flush(batch=batch, rows=rows, number=number, lines=lines):
-                taken = batch.select(["id", "th"]).take(pa.array(rows, pa.int64()))
-                out = pa.RecordBatch.from_arrays([*taken.columns, pa.array(number, pa.int32()), pa.array([line_key(x) for x in lines], pa.int64())], names=names)
-                rows.clear(), number.clear(), lines.clear()
-                return out
-
-            for i in range(batch.num_rows):
-                for k, raw in enumerate(data[off[i] : off[i + 1]].tobytes().split(b"\n")):
-                    normal = normalise(raw)
-                    if normal:
-                        rows.append(i)
-                        number.append(k)
-                        lines.append(normal)
-                if len(lines) > 20000:
-                    yield flush()
-            if lines:
-                yield flush()
+            for i, j in chunks(off):
+                some = data[off[i] : off[j]]
+                text, number, start, _ = lines_of(some, off[i : j + 1] - off[i])
+                _, at, line = line_words(some, start)
+                full = np.flatnonzero(at[1:] > at[:-1])
+                taken = batch.select(["id", "th"]).take(pa.array(text[full] + i))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(number[full], pa.int32()), pa.array(line[full].view(np.int64))], names=names)
+        trim()
 
     return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, th long, number int, line long")
 
 
-DETAILS = ["chars", *(f"p{i}" for i in range(PARITIES))]
-
-
-def _lists(bodies: DataFrame) -> DataFrame:
-    """(key, id) of all ways in which lines meet."""
+class Seen:
+    """Lines that a task has had, up to a bound; those beyond it are entered again, which changes nothing."""
+
+    def __init__(self, most: int = 1 << 18):
+        self.most, self.old, self.new = most, np.zeros(0, np.uint64), []
+
+    def first(self, lines: np.ndarray) -> np.ndarray:
+        """Places of lines that were not here before."""
+        at = np.sort(np.unique(lines, return_index=True)[1])
+        if len(self.old):
+            near = np.minimum(np.searchsorted(self.old, lines[at]), len(self.old) - 1)
+            at = at[self.old[near] != lines[at]]
+        if len(self.old) < self.most:
+            self.new.append(lines[at])
+            if sum(map(len, self.new)) > 1 << 14:
+                self.old = np.sort(np.concatenate((self.old, *self.new)))
+                self.new = []
+        return at
+
+
+def entries(data: np.ndarray, offsets: np.ndarray, seen: Seen) -> tuple[np.ndarray, np.ndarray]:
+    """(key, line) of all ways in which lines meet."""
+    _, _, start, end = lines_of(data, offsets)
+    words, at, line = line_words(data, start)
+    fresh_lines = seen.first(line)
+    fresh_lines = fresh_lines[at[fresh_lines + 1] > at[fresh_lines]]
+    if not len(fresh_lines):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    size = end[fresh_lines] - start[fresh_lines]
+    count = at[fresh_lines + 1] - at[fresh_lines]
+    # Runs far longer than words are: cut by content, on a copy with a space at each cut.
+    sparse = np.flatnonzero(size > LONG_WORD * count)
+    if len(sparse):
+        words, at2 = _cut_words(data, start[fresh_lines], end[fresh_lines], words, at[fresh_lines], count, sparse)
+    else:
+        lead = np.cumsum(count) - count
+        words = words[np.repeat(at[fresh_lines] - lead, count) + np.arange(count.sum())]
+        at2 = np.append(lead, count.sum())
+    row, key = block_keys(words, at2)
+    # Characters of the normalised line: bytes that begin one and are no white space, and a space between words.
+    chars = np.add.reduceat(np.append(_BEGINS[data], np.uint8(0)), start, dtype=np.int32)[fresh_lines]
+    brief = np.flatnonzero(chars + count - 1 <= SHORT)
+    raw = [data[a:b].tobytes() for a, b in zip(start[fresh_lines[brief]].tolist(), end[fresh_lines[brief]].tolist(), strict=True)]
+    normal = [normalise(x).decode("utf-8", "replace") for x in raw]
+    few = [k for k, x in enumerate(normal) if len(x) <= SHORT]
+    row2, key2 = segment_keys([normal[k] for k in few])
+    row = np.concatenate((row, brief[np.array(few, np.int64)][row2] if few else row2))
+    return np.concatenate((key, key2)), line[fresh_lines][row]
+
+
+def _cut_words(data, start, end, words, at, count, sparse) -> tuple[np.ndarray, np.ndarray]:
+    """Words of lines, those of ``sparse`` lines hashed anew with long runs cut by content."""
+    parts = [words[a : a + n] for a, n in zip(at.tolist(), count.tolist(), strict=True)]
+    for i in sparse.tolist():
+        raw = data[start[i] : end[i]]
+        gap = np.isin(raw, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+        bounds = np.flatnonzero(np.diff(np.concatenate(([1], gap, [1])).astype(np.int8)))
+        runs = bounds.reshape(-1, 2)
+        runs = runs[runs[:, 1] - runs[:, 0] > LONG_WORD]
+        cut = np.insert(raw, _long_cuts(raw, runs[:, 0], runs[:, 1]), 0x20)
+        parts[i] = word_hashes(cut, np.array([0, len(cut)]))[0]
+    sizes = np.array([len(x) for x in parts])
+    return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _blocks(docs: DataFrame, targets: int) -> DataFrame:
+    """(target, keys, lines): entries sorted by key, a row for each target that a batch has entries for."""
 
     def run(batches):
+        seen = Seen()
         for batch in batches:
-            ids, lines = batch.column("line").to_numpy(), batch.column("body").to_pylist()
-            keys = block_keys(simhashes([x.encode() for x in lines]), BLOCKS, AGREE)
-            row, more = text_keys(lines)
-            at = np.concatenate((np.repeat(np.arange(len(ids)), keys.shape[1]), row))
-            keys = np.concatenate((keys.reshape(-1), more)).view(np.int64)
-            for i in range(0, len(at), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 18)]), pa.array(ids[at[i : i + (1 << 18)]])], names=["key", "id"])
-
-    return bodies.select("line", "body").mapInArrow(run, "key long, id long")
-
-
-def _fetch(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """(line, body, *DETAILS): the normalised text of lines, each from one place (id, th, number)."""
-    source = docs.where("text is not null").select(F.col(key).alias("id"), F.xxhash64("text").alias("th"), "text")
-    kind = dict(source.dtypes)["id"]
+            data, off = utf8_buffers(batch.column(0))
+            got = [entries(data[off[i] : off[j]], off[i : j + 1] - off[i], seen) for i, j in chunks(off, 1 << 21)]
+            if not got:
+                continue
+            keys, lines = (np.concatenate(x) for x in zip(*got, strict=True))
+            order = np.argsort(keys)
+            keys, lines = keys[order], lines[order]
+            target = ((keys >> np.uint64(32)) * np.uint64(targets)) >> np.uint64(32)
+            edge = np.searchsorted(target, np.arange(targets + 1))
+            some = np.flatnonzero(np.diff(edge))
+            raw = [[x[edge[t] : edge[t + 1]].tobytes() for t in some.tolist()] for x in (keys, lines)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(x, pa.binary()) for x in raw)], names=["target", "keys", "lines"])
+        trim()
+
+    return docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, "target int, keys binary, lines binary")
+
+
+def _groups(keys: np.ndarray, lines: np.ndarray) -> pa.RecordBatch | None:
+    """(key, id, lead, length) of the entries, each once, whose keys have several lines."""
+    order = np.argsort(keys)
+    keys, lines = keys[order], lines[order]
+    begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    several = np.minimum.reduceat(lines, begin) < np.maximum.reduceat(lines, begin)
+    mask = np.repeat(several, np.diff(np.append(begin, len(keys))))
+    keys, lines = keys[mask], lines[mask].view(np.int64)
+    if not len(keys):
+        return None
+    order = np.lexsort((lines, keys))
+    keys, lines = keys[order], lines[order]
+    once = np.concatenate(([True], (keys[1:] != keys[:-1]) | (lines[1:] != lines[:-1])))
+    keys, lines = keys[once], lines[once]
+    begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    length = np.diff(np.append(begin, len(keys)))
+    lead, of = np.repeat(lines[begin], length), np.repeat(length, length)
+    keep = (of > 2) | (lines != lead)
+    return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (keys.view(np.int64), lines, lead, of)], names=["key", "id", "lead", "length"])
+
+
+def _meet(batches):
+    """Groups of the blocks of a task. What is over HELD entries goes to disk in sorted runs, read again by ranges of keys."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    runs: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+
+    def joined(parts):
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64),) * 2
+
+    def run_of(parts):
+        keys, lines = joined(parts)
+        order = np.argsort(keys)
+        out = []
+        for x in (keys, lines):
+            file = tempfile.TemporaryFile()
+            file.write(x[order].tobytes())
+            file.flush()
+            out.append(np.memmap(file, np.uint64, "r"))
+        return tuple(out)
 
-    def pack(batches):
-        codec = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            data, off = utf8_buffers(batch.column("text"))
-            packed = [codec.compress(data[a:b].tobytes()) for a, b in zip(off[:-1], off[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), pa.array(packed, pa.binary())], names=["id", "th", "packed"])
+    for batch in batches:
+        for keys, lines in zip(batch.column("keys"), batch.column("lines"), strict=True):
+            held.append(tuple(np.frombuffer(x.as_buffer(), np.uint64) for x in (keys, lines)))
+            n += len(held[-1][0])
+            if n >= HELD:
+                runs.append(run_of(held))
+                held, n = [], 0
+    if not runs:
+        pieces = [joined(held)] if n else []
+    else:
+        runs.append(joined(held))
+        order = np.argsort(runs[-1][0])
+        runs[-1] = tuple(x[order] for x in runs[-1])
+        step = max(1, HELD // (4 * len(runs)))
+        marks = np.unique(np.concatenate([r[0][::step] for r in runs]))
+        edges = [np.append(np.searchsorted(r[0], marks[:: max(1, len(runs))]), len(r[0])) for r in runs]
+        pieces = ((tuple(np.concatenate([r[i][e[k] : e[k + 1]] for r, e in zip(runs, edges, strict=True)]) for i in range(2))) for k in range(len(edges[0]) - 1))
+    for keys, lines in pieces:
+        if len(keys):
+            found = _groups(keys, lines)
+            if found is not None:
+                yield found
+    del held, runs
+    trim()
+
+
+def _bodies(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """(line, body): the normalised text of lines, each from one place ``at`` (id, th, number)."""
+    source = _texts(docs, key)
 
     def cut(batches):
         codec = zstandard.ZstdDecompressor()
         for batch in batches:
-            found, bodies = [], []
+            found, bodies, size = [], [], 0
             for packed, numbers, ids in zip(batch.column("packed"), batch.column("numbers").to_pylist(), batch.column("lines").to_pylist(), strict=True):
                 lines = codec.decompress(packed.as_buffer()).split(b"\n")
                 found += ids
                 bodies += [normalise(lines[n]).decode("utf-8", "replace") for n in numbers]
-            chars = pa.array([len(x) for x in bodies], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(bodies, pa.string()), chars, *(pa.array(x) for x in parities(bodies).T.copy())], names=["line", "body", *DETAILS])
+                size += sum(len(x) for x in bodies[-len(ids) :])
+                if size > 1 << 23:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(bodies, pa.string())], names=["line", "body"])
+                    found, bodies, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(bodies, pa.string())], names=["line", "body"])
+        trim()
 
     places = wanted.groupBy(F.col("at.id").alias("wid"), F.col("at.th").alias("wth")).agg(F.collect_list(F.struct(F.col("at.number").alias("number"), "line")).alias("w")).select("wid", "wth", F.col("w.number").alias("numbers"), F.col("w.line").alias("lines"))
-    packed = source.mapInArrow(pack, f"id {kind}, th long, packed binary").dropDuplicates(["id", "th"])
-    joined = packed.join(places, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("packed", "numbers", "lines")
-    return joined.mapInArrow(cut, "line long, body string, chars int, " + ", ".join(f"{c} long" for c in DETAILS[1:]))
+    packed = source.mapInArrow(_pack, f"id {dict(source.dtypes)['id']}, th long, packed binary")
+    joined = packed.join(places.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("packed", "numbers", "lines")
+    return joined.mapInArrow(cut, "line long, body string")
+
+
+def _pack(batches):
+    """Texts compressed for a shuffle; the other columns as they are."""
+    codec = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        data, off = utf8_buffers(batch.column(at))
+        packed = pa.array([codec.compress(data[a:b].tobytes()) for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary(), mask=np.asarray(batch.column(at).is_null()) if batch.num_rows else None)
+        yield pa.RecordBatch.from_arrays([packed if k == at else c for k, c in enumerate(batch.columns)], names=["packed" if k == at else n for k, n in enumerate(batch.schema.names)])
+    trim()
 
 
 def _rebuild(docs: DataFrame, key: str, gone: DataFrame, counts: tuple[str, str]) -> DataFrame:
-    """Documents without the lines in ``gone`` (__gid, __gth, __numbers), with the numbers of lines and of kept lines."""
-    marked = docs.withColumn("__th", F.xxhash64("text")).join(gone, F.col(key).eqNullSafe(F.col("__gid")) & (F.col("__th") == F.col("__gth")), "left")
+    """Documents without the lines in ``gone`` (gid, gth, numbers), with the numbers of lines and of kept lines."""
     names = docs.columns
-    fields = ", ".join(f"`{n}` {k}" for n, k in docs.dtypes)
+    others = [n for n in names if n != "text"]
+    source = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64("text").alias("th"), F.struct(*(F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate(others))).alias("row"), F.col("text"))
+    kinds = dict(source.dtypes)
+    packed = source.mapInArrow(_pack, f"id {kinds['id']}, th long, row {kinds['row']}, packed binary")
+    marked = packed.join(gone.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
 
     def run(batches):
+        codec = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts, total, kept = [], [], []
-            for text, numbers in zip(batch.column("text"), batch.column("__numbers").to_pylist(), strict=True):
-                raw = text.as_py()
-                lines = [] if raw is None else raw.split("\n")
-                full = [k for k, x in enumerate(lines) if normalise(x.encode())] if numbers else None
-                if numbers:
-                    drop = set(numbers)
-                    left = [k for k in full if k not in drop]
-                    texts.append("\n".join(x for k, x in enumerate(lines) if k not in drop) if left else "")
-                    total.append(len(full))
-                    kept.append(len(left))
-                else:
-                    n = sum(1 for x in lines if normalise(x.encode()))
-                    texts.append(raw)
-                    total.append(n)
-                    kept.append(n)
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(kept, pa.int64())], names=[*names, *counts])
-
-    return marked.select(*names, "__numbers").mapInArrow(run, fields + ", " + ", ".join(f"`{c}` long" for c in counts))
+            at, n = 0, batch.num_rows
+            texts, total, kept, size = [], [], [], 0
+            for i, (value, numbers) in enumerate(zip(batch.column("packed"), batch.column("numbers").to_pylist(), strict=True)):
+                raw = codec.decompress(value.as_buffer()) if value.is_valid else None
+                lines = [] if raw is None else raw.split(b"\n")
+                full = sum(1 for x in lines if x.strip())
+                drop = set(numbers or ())
+                if drop:
+                    raw = b"\n".join(x for k, x in enumerate(lines) if k not in drop) if full > len(drop) else b""
+                texts.append(raw)
+                total.append(full)
+                kept.append(full - len(drop))
+                size += len(raw or b"")
+                if size > 1 << 23 or i == n - 1:
+                    yield pa.RecordBatch.from_arrays([batch.column("row").slice(at, i + 1 - at), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(kept, pa.int64())], names=["row", "text", "total", "kept"])
+                    texts, total, kept, size, at = [], [], [], 0, i + 1
+        trim()
+
+    out = marked.select("row", "packed", "numbers").mapInArrow(run, f"row {kinds['row']}, text string, total long, kept long")
+    values = {n: F.col("row").getField(f"c{k}") for k, n in enumerate(others)} | {"text": F.col("text")}
+    made = []
+    for c in counts:
+        made.append(fresh(c, [*names, *made]))
+    return out.select(*(values[n].alias(n) for n in names), F.col("total").alias(made[0]), F.col("kept").alias(made[1]))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] = ("n_lines", "n_kept")) -> DataFrame:
     """Documents with one occurrence of each group of similar lines, and the numbers of lines and of kept lines."""
-    scratch = Scratch(docs.sparkSession, "lines")
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "lines")
     found = scratch.write(occurrences(docs, key), "occurrences")
-    places = found.groupBy("line").agg(F.min(F.struct("id", "th", "number")).alias("at"))
-    bodies = scratch.write(_fetch(docs, key, places), "bodies")
-
-    tables: dict[str, DataFrame] = {}
+    targets = max(partitions_for(spark), -(-KEYS_A_LINE * found.count() // TARGET))
+    met = scratch.write(_blocks(docs, 4 * targets).repartition(targets, "target").mapInArrow(_meet, "key long, id long, lead long, length long"), "met")
+    scratch.release()
+    lines = scratch.write(found.groupBy("line").agg(F.min(F.struct("id", "th", "number")).alias("at"), F.count("*").alias("n")), "places")
+    wanted = met.select("id").unionByName(met.select(F.col("lead").alias("id"))).distinct()
+    bodies = scratch.write(_bodies(docs, key, lines.join(wanted, lines["line"] == wanted["id"], "left_semi")), "bodies")
+    scratch.release()
 
     def verify(pairs: DataFrame) -> DataFrame:
-        scratch.drop(tables.pop("close", None))
-        side = lambda c, *names: bodies.select(F.col("line").alias(c), *(F.col(n).alias(f"{n}_{c}") for n in names))
-        near = near_enough(*({n: F.col(f"{n}_{c}") for n in DETAILS} for c in "ab"))
-        close = scratch.write(pairs.join(side("a", *DETAILS), "a").join(side("b", *DETAILS), "b").where(near).select("a", "b"), "close")
-        tables["close"] = close
-        both = close.join(side("a", "body"), "a").join(side("b", "body"), "b")
-        return both.select("a", "b", F.col("body_a").alias("x"), F.col("body_b").alias("y")).mapInArrow(_similar_pairs, "a long, b long")
-
-    comps = link(scratch, _lists(bodies), verify, fits_last=near_enough, details=bodies.select(F.col("line").alias("id"), *DETAILS))
-    grouped = found.join(comps, F.col("line") == comps["id"], "left").select(found["id"], "th", "number", F.coalesce("root", "line").alias("root")) if comps is not None else found.select("id", "th", "number", F.col("line").alias("root"))
-    first = grouped.groupBy("root").agg(F.min(F.struct("id", "th", "number")).alias("stays"), F.count("*").alias("n")).where("n > 1")
-    gone = grouped.join(first, "root").where(~F.struct("id", "th", "number").eqNullSafe(F.col("stays"))).groupBy(F.col("id").alias("__gid"), F.col("th").alias("__gth")).agg(F.collect_set("number").alias("__numbers"))
-    return _rebuild(docs, key, scratch.write(gone, "gone"), counts)
+        side = lambda c, body: bodies.select(F.col("line").alias(c), F.col("body").alias(body))
+        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_similar_pairs, "a long, b long")
+
+    comps = link(scratch, met, verify, met=True)
+    scratch.drop(bodies)
+    known = lines
+    if comps is not None:
+        rooted = lines.join(comps, lines["line"] == comps["id"]).select("line", "at", "n", "root")
+        stays = rooted.groupBy("root").agg(F.min("at").alias("stay"))
+        linked = rooted.join(stays, "root").select("line", "stay")
+        known = lines.join(comps, lines["line"] == comps["id"], "left_anti")
+    repeated = known.where("n > 1").select("line", F.col("at").alias("stay"))
+    hot = scratch.write(repeated if comps is None else repeated.unionByName(linked), "stays")
+    gone = found.join(hot, "line").where(~F.struct("id", "th", "number").eqNullSafe(F.col("stay"))).groupBy(F.col("id").alias("gid"), F.col("th").alias("gth")).agg(F.collect_set("number").alias("numbers"))
+    gone = scratch.write(gone, "gone")
+    scratch.drop(found, lines, hot)
+    scratch.release()
+    return _rebuild(docs, key, gone, counts)

@@ -41,22 +41,30 @@ def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
     return lists.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None, fits_last: Fits | None = None) -> DataFrame | None:
+def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None, fits_last: Fits | None = None, met: bool = False) -> DataFrame | None:
     """(id, root) of the ids that have links.
 
     ``lists``: (key, id), and columns for ``fits``. A pair that is linked has to fit in at least one list. ``verify`` gives, of pairs (a, b), those that are linked. ``known``: links found by other means.
     ``prepare`` is called once, with the ids that may be verified. ``details``: (id, columns) that the last join has besides;
-    there, ``fits_last`` has to hold as well.
+    there, ``fits_last`` has to hold as well. ``met``: the lists are (key, id, lead, length) of keys that several ids share,
+    those of two ids as one row, which is done with once the pair is verified.
     """
     links = scratch.write(known, "links") if known is not None else None
     comps = components(scratch, links) if links is not None else None
     live = lists
-    more = [c for c in lists.columns if c not in ("key", "id")]
+    more = [] if met else [c for c in lists.columns if c not in ("key", "id")]
     entry = ["key", "id", *more]
+    pair = None
+    if met:
+        pair = lists.where("length = 2").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+        live = lists.where("length > 2").withColumns({"comp": F.col("id"), "lead_comp": F.col("lead")})
     for turn in range(rounds):
-        old, live = live, scratch.write(_led(live, comps, more), "lists")
-        scratch.drop(old)
-        if live.isEmpty():
+        if pair is None or turn:
+            old, live = live, scratch.write(_led(live, comps, more), "lists")
+            scratch.drop(old)
+        elif lists.isEmpty():
+            return comps
+        if (pair is None or turn) and live.isEmpty():
             return comps
         if turn and live.agg(F.coalesce(F.sum("length") - F.count("*") <= 2 * PAIRS_AN_ENTRY * F.count("*"), F.lit(True))).first()[0]:
             break
@@ -65,6 +73,7 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, kn
         across = live.where("comp <> lead_comp")
         across = across.where(fits(F.col("lead_more"), F.struct(*more))) if fits and more else across
         pairs = across.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct() if turn else across.groupBy(F.col("id").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
+        pairs = pairs.unionByName(pair).distinct() if pair is not None and not turn else pairs
         found = scratch.write(verify(pairs), "links")
         if not found.isEmpty():
             links = found if comps is None else found.unionByName(comps.select(F.col("id").alias("a"), F.col("root").alias("b")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -11,22 +13,49 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library: nothing to trim
+    _LIBC = None
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a folder of our own only where it is unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a folder of our own only in local mode where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='chronoframe-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+def fresh(name: str, taken) -> str:
+    """``name``, with as many underscores behind it as keep it apart from the columns ``taken``."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def trim() -> None:
+    """Give memory that a worker no longer uses back to the machine: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession, what: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
         self.made = 0
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)  # results may still be read until the driver ends
 
     def folder(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -48,6 +77,11 @@ class Scratch:
                 path = jvm.org.apache.hadoop.fs.Path(t.scratch_path)
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def release(self) -> None:
+        """Let Spark's cleaner remove the shuffle files of plans that are no longer referenced."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 def partitions_for(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -83,17 +117,17 @@ def chunks(offsets: np.ndarray, most: int = 1 << 20):
 # ---------------------------------------------------------------- hashes of words
 
 _RNG = np.random.default_rng(20240607)
-_BYTE = (_RNG.integers(1, 1 << 62, 256, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE[_SPACE] = 0
-_FOLDED = _BYTE.copy()
 #: Byte classes: 0 white space, 1 anything else. RUNS tells letters (and bytes beyond ASCII), digits and marks apart.
 WORDS = (~_SPACE).astype(np.uint8)
 RUNS = WORDS * np.uint8(3)
 RUNS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 RUNS[48:58] = 2
-_FOLDED[65:91] = _BYTE[97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: The first bytes of eight, by their number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _PLACE = _RNG.integers(1, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,21 +156,40 @@ def powers(n: int) -> list[np.ndarray]:
 
 def _words_of_slice(data: np.ndarray, breaks: np.ndarray, fold: bool, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
-    up, down = powers(n)
     kind = classes[data]
     fresh = np.empty(n + 1, bool)  # a new class begins, or a text
     fresh[0] = fresh[n] = True
     np.not_equal(kind[1:], kind[:-1], out=fresh[1:n])
     fresh[breaks[breaks < n]] = True
-    starts = np.flatnonzero(fresh[:n] & (kind > 0))
+    edge = np.flatnonzero(fresh)
+    inside = kind[edge[:-1]] > 0
+    starts, ends = edge[:-1][inside], edge[1:][inside]
     if not len(starts):
         return np.zeros(0, np.uint64), starts
-    ends = np.flatnonzero(fresh[1:] & (kind > 0))
-    total = np.cumsum((_FOLDED if fold else _BYTE)[data] * up[:n])
-    h = total[ends]
-    before = starts > 0
-    h[before] -= total[starts[before] - 1]
-    return mix(h * down[starts]), starts
+    padded = np.zeros(-(-n // 8) * 8 + 16, np.uint8)
+    padded[:n] = _LOWER[data] if fold else data
+    aligned = padded.view(np.uint64)
+
+    def eight(at: np.ndarray) -> np.ndarray:
+        """The eight bytes from each place on."""
+        bits = (at & 7).astype(np.uint64) << np.uint64(3)
+        at = at >> 3
+        return (aligned[at] >> bits) | ((aligned[at + 1] << (np.uint64(63) - bits)) << np.uint64(1))
+
+    length = ends - starts
+    h = mix((eight(starts) & _FIRST[np.minimum(length, 8)]) + length.astype(np.uint64) * _ODD)
+    more = np.flatnonzero(length > 8)
+    at = 8
+    while len(more):  # each turn takes eight bytes of the words that have so many, the last ones from the end
+        h[more] = mix(h[more] ^ eight(np.minimum(starts[more] + at, ends[more] - 8)) * _ODD)
+        at += 8
+        more = more[length[more] > at]
+        if at >= 512 and len(more):
+            for i in more.tolist():
+                rest = eight(np.append(np.arange(starts[i] + at, ends[i] - 7, 8), ends[i] - 8))
+                h[i] = mix(h[i : i + 1] ^ (mix(rest) * powers(len(rest))[0][: len(rest)]).sum(dtype=np.uint64, keepdims=True))[0]
+            break
+    return h, starts
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True, slice_bytes: int = 1 << 20, classes: np.ndarray = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -241,23 +294,32 @@ def sum_tables(blocks: DataFrame, dtype, fan_in: int = 64) -> dict[int, np.ndarr
 FEW_EDGES = 100_000
 
 
-def _roots(batches):
-    root: dict[int, int] = {}
+def least_labels(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(id, smallest id of its component) of all ids in the edges."""
+    ids, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(ids))
+    while len(a):
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while True:  # point to the end of each chain
+            jump = root[root]
+            if (jump == root).all():
+                break
+            root = jump
+        a, b = root[a], root[b]
+        differ = a != b
+        a, b = a[differ], b[differ]
+    return ids, ids[root]
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
 
+def _roots(batches):
+    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for batch in batches:
-        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            root.setdefault(u, u)
-            root.setdefault(v, v)
-            u, v = find(u), find(v)
-            root[max(u, v)] = min(u, v)
-    if root:
-        yield pa.RecordBatch.from_arrays([pa.array(list(root), pa.int64()), pa.array([find(x) for x in root], pa.int64())], names=["id", "root"])
+        u.append(batch.column(0).to_numpy())
+        v.append(batch.column(1).to_numpy())
+    ids, root = least_labels(np.concatenate(u), np.concatenate(v))
+    if len(ids):
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(root)], names=["id", "root"])
 
 
 def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b", few: int = FEW_EDGES) -> DataFrame:
