@@ -5,13 +5,15 @@ applied to all fixed-length windows of every text. A document's probabilities ar
 by their bytes. Convolution over bytes is a sum of table rows: tables of byte pairs are made once for a trained model.
 
 Defined results: null text, or none of its characters a letter: ``und``, score 0; so too if nothing was learned.
-Repeated rows stay repeated; ``doc_id`` null: never learned from. Very long texts go through in bounded groups of windows.
+Repeated rows stay repeated; ``doc_id`` null: never learned from; of rows with one doc_id that are learned from, the least
+by (lang, text) counts. Very long texts go through in bounded groups of windows. Extra columns stay as they are; should
+one be called like a result, the result gets an underscore more.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import utf8_buffers
+from .shared import fresh, trim, utf8_buffers
 
 WINDOW = 512
 WIDTHS = (2, 3, 4)
@@ -29,8 +31,6 @@ WIDTHS = (2, 3, 4)
 class Settings:
     #: Labelled documents per language that the network is fitted on, at most; the least by a hash of doc_id.
     rows_per_language: int = 1500
-    #: Windows cut from each of them.
-    crops: int = 4
     embedding: int = 8
     filters: int = 16
     batch: int = 128
@@ -64,16 +64,23 @@ class ByteCnn:
             out.append(np.take_along_axis(z, where[w][:, None, :], 1)[:, 0] + self.p[f"b{w}"])
         return np.concatenate(out, axis=1), where
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> ByteCnn:
+    def fit(self, texts: list[bytes], y: np.ndarray) -> ByteCnn:
+        """Steps over windows of whole texts: a batch draws a text of each label, and a place anywhere in it."""
         s = self.settings
         rng = np.random.default_rng(s.seed + 1)
         by = [np.flatnonzero(y == k) for k in range(len(self.labels))]
+        size = np.array([len(t) for t in texts])
+        first = np.cumsum(size) - size
+        data = np.concatenate((np.frombuffer(b"".join(texts), np.uint8), np.zeros(WINDOW, np.uint8)))
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
         lengths = np.array([12, 24, 48, 96, 200, WINDOW])
         for step in range(1, s.steps + 1):
             pick = np.concatenate([rng.choice(i, -(-s.batch // len(by))) for i in by])
-            xb = x[pick, : int(lengths[rng.integers(len(lengths))])]
+            wide = int(lengths[rng.integers(len(lengths))])
+            at = (rng.random(len(pick)) * np.maximum(1, size[pick] - WINDOW + 1)).astype(np.int64)
+            reach = np.arange(wide)
+            xb = data[(first[pick] + at)[:, None] + reach] * (at[:, None] + reach < size[pick][:, None])
             xb = np.pad(xb, ((0, 0), (0, 4)))
             pre, where = self._pooled(xb)
             hid = np.maximum(pre, 0)
@@ -153,80 +160,76 @@ def learnable(key: Column, parts: int, held: int) -> Column:
 
 
 def train(docs: DataFrame, may_learn: Column, settings: Settings = Settings(), key: str = "doc_id") -> ByteCnn | None:
-    """Fit on a bounded sample: ``rows_per_language`` documents of each label, ``crops`` windows of each."""
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64(key), key)
-    chosen = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(key, "lang").withColumn("r", F.row_number().over(rank)).where(F.col("r") <= settings.rows_per_language)
-    ids = chosen.select(F.col(key).alias("k")).distinct()  # bounded by rows_per_language x languages
-    rows = docs.where(may_learn & F.col("lang").isNotNull()).select(key, "lang", "text").join(F.broadcast(ids), F.col(key) == F.col("k"), "left_semi")
-
-    def crop(batches):
-        for batch in batches:
-            data, off = utf8_buffers(batch.column("text"))
-            langs, cuts = [], []
-            for i, lang in enumerate(batch.column("lang").to_pylist()):
-                raw = data[off[i] : off[i + 1]]
-                rng = np.random.default_rng(zlib.crc32(raw))
-                for _ in range(settings.crops):
-                    at = int(rng.integers(0, max(1, len(raw) - WINDOW + 1)))
-                    langs.append(lang)
-                    cuts.append(raw[at : at + WINDOW].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(cuts, pa.binary())], names=["lang", "cut"])
-
-    got = sorted((r["lang"], bytes(r["cut"])) for r in rows.mapInArrow(crop, "lang string, cut binary").collect())
+    """Fit on a bounded sample: ``rows_per_language`` documents of each label, the least by a hash of the key, whole."""
+    hashed = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("k"), F.col("lang").alias("label"), F.xxhash64(key).alias("h"))
+    # Least in each of 64 parts of a language first, so that no task sorts a whole language.
+    part = Window.partitionBy("label", F.pmod(F.spark_partition_id(), F.lit(64))).orderBy("h", "k")
+    fewer = hashed.groupBy("label", "k").agg(F.first("h").alias("h")).withColumn("r", F.row_number().over(part)).where(F.col("r") <= settings.rows_per_language)
+    chosen = fewer.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h", "k"))).where(F.col("r") <= settings.rows_per_language)
+    ids = chosen.select("k").distinct()  # bounded by rows_per_language x languages
+    rows = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("k"), F.col("lang").alias("label"), F.col("text").alias("body")).join(F.broadcast(ids), "k", "left_semi")
+    got = sorted((r["s"]["label"], r["s"]["body"].encode()) for r in rows.groupBy("k").agg(F.min(F.struct("label", "body")).alias("s")).select("s").collect() if r["s"]["body"])
     if not got:
         return None
     labels = sorted({g[0] for g in got})
-    x = np.zeros((len(got), WINDOW), np.uint8)
-    for i, (_, cut) in enumerate(got):
-        x[i, : len(cut)] = np.frombuffer(cut, np.uint8)
-    return ByteCnn(labels, settings).fit(x, np.array([labels.index(g[0]) for g in got]))
-
-
-def classify(docs: DataFrame, model: ByteCnn | None, key: str = "doc_id", keep: tuple[str, ...] = (), out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """(key, kept columns, language, score) of every row from its whole text."""
-    source = docs.select(key, *keep, F.col("text").alias("__text"))
-    kinds = dict(source.dtypes)
-    names = [key, *keep]
-
-    def run(batches):
-        for batch in batches:
-            data, off = utf8_buffers(batch.column("__text"))
-            langs, scores = [], np.zeros(batch.num_rows)
-            group: list[tuple[int, np.ndarray]] = []
-            total = np.zeros((batch.num_rows, len(model.labels) if model else 1))
-
-            def flush(group=group, total=total):
-                if group:
-                    prob = model.probabilities(np.concatenate([w for _, w in group]))
-                    at = 0
-                    for i, w in group:
-                        weight = (w != 0).sum(axis=1, keepdims=True)
-                        total[i] += (prob[at : at + len(w)] * weight).sum(axis=0)
-                        at += len(w)
-                    group.clear()
-
-            held = 0
-            known = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                raw = data[off[i] : off[i + 1]]
-                known[i] = model is not None and len(raw) > 0 and has_letter(raw.tobytes())
-                if not known[i]:
-                    continue
-                for at in range(0, len(raw), 1024 * WINDOW):
-                    w = windows_of(raw[at : at + 1024 * WINDOW])
-                    group.append((i, w))
-                    held += len(w)
-                    if held >= 1024:
-                        flush()
-                        held = 0
-            flush()
-            for i in range(batch.num_rows):
-                if known[i] and total[i].sum() > 0:
-                    k = int(total[i].argmax())
-                    langs.append(model.labels[k])
-                    scores[i] = min(1.0, total[i][k] / total[i].sum())
-                else:
-                    langs.append("und")
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(langs, pa.string()), pa.array(scores)], names=[*names, *out])
-
-    return source.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in names) + f", `{out[0]}` string, `{out[1]}` double")
+    return ByteCnn(labels, settings).fit([g[1] for g in got], np.array([labels.index(g[0]) for g in got]))
+
+
+def languages(texts: pa.Array, model: ByteCnn | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    data, off = utf8_buffers(texts)
+    count = len(texts)
+    langs, scores = [], np.zeros(count)
+    group: list[tuple[int, np.ndarray]] = []
+    total = np.zeros((count, len(model.labels) if model else 1))
+    known = np.zeros(count, bool)
+    held = 0
+
+    def flush():
+        if group:
+            prob = model.probabilities(np.concatenate([w for _, w in group]))
+            at = 0
+            for i, w in group:
+                weight = (w != 0).sum(axis=1, keepdims=True)
+                total[i] += (prob[at : at + len(w)] * weight).sum(axis=0)
+                at += len(w)
+            group.clear()
+
+    for i in range(count):
+        raw = data[off[i] : off[i + 1]]
+        known[i] = model is not None and len(raw) > 0 and has_letter(raw.tobytes())
+        if not known[i]:
+            continue
+        for at in range(0, len(raw), 1024 * WINDOW):
+            w = windows_of(raw[at : at + 1024 * WINDOW])
+            group.append((i, w))
+            held += len(w)
+            if held >= 1024:
+                flush()
+                held = 0
+    flush()
+    for i in range(count):
+        if known[i] and total[i].sum() > 0:
+            k = int(total[i].argmax())
+            langs.append(model.labels[k])
+            scores[i] = min(1.0, total[i][k] / total[i].sum())
+        else:
+            langs.append("und")
+    return langs, scores
+
+
+def classify(docs: DataFrame, model: ByteCnn | None, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Every row, with language and score of its whole text. The text alone goes to the workers."""
+
+    @F.arrow_udf("struct<lang string, score double>")
+    def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            langs, scores = languages(texts, model)
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], names=["lang", "score"])
+        trim()
+
+    names = [fresh(out[0], docs.columns)]
+    names.append(fresh(out[1], [*docs.columns, *names]))
+    held = fresh("told", [*docs.columns, *names])
+    found = docs.withColumn(held, told.asNondeterministic()("text"))
+    return found.select(*(F.col(f"`{c}`") for c in docs.columns), F.col(held)["lang"].alias(names[0]), F.col(held)["score"].alias(names[1]))

@@ -38,7 +38,7 @@ from .shared import Scratch, chunks, fresh, mix, partitions_for, powers, trim, u
 
 SIMILAR = 0.9
 #: (words up to, blocks, blocks that must agree) of a line's SimHash.
-SCHEMES = ((24, 5, 2), (64, 7, 1), (None, 14, 1))
+SCHEMES = ((24, 6, 2), (64, 7, 1), (None, 14, 1))
 #: Distinct words that a key stands for, at least.
 LEAST_WORDS = 3
 #: Bytes of a run without white space beyond which it is cut into several words.
@@ -210,7 +210,7 @@ def pair_counts(lines: list[bytes]) -> np.ndarray:
     owner = np.repeat(np.arange(len(lines)), lengths)
     inside = owner[1:] == owner[:-1]
     slot = (data[:-1].astype(np.int64) * 31 + data[1:]) % SLOTS
-    return np.bincount((owner[1:] * SLOTS + slot)[inside], minlength=len(lines) * SLOTS).reshape(-1, SLOTS)
+    return np.bincount((owner[1:] * SLOTS + slot)[inside], minlength=len(lines) * SLOTS).reshape(-1, SLOTS).astype(np.int32)
 
 
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
@@ -249,7 +249,11 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     return score
 
 
-def aligned(p: list[str], q: list[str]) -> int:
+#: (words left out of one line, of the other) tried where two lines differ, fewest first.
+_SKIPS = [(d - e, e) for d in range(1, 6) for e in sorted(range(d + 1), key=lambda e: abs(d - 2 * e))]
+
+
+def aligned(p: list[str], q: list[str], most: int) -> int:
     """An upper bound of the edit distance of two lines of these words: that of an alignment found in one pass."""
     i = j = cost = 0
     n, m = len(p), len(q)
@@ -257,53 +261,126 @@ def aligned(p: list[str], q: list[str]) -> int:
         if p[i] == q[j]:
             i += 1
             j += 1
-        elif i + 1 < n and j + 1 < m and p[i + 1] == q[j + 1]:
-            cost += max(len(p[i]), len(q[j]))
-            i += 1
-            j += 1
-        elif j + 1 < m and p[i] == q[j + 1]:
-            cost += len(q[j]) + 1
-            j += 1
-        elif i + 1 < n and p[i + 1] == q[j]:
-            cost += len(p[i]) + 1
-            i += 1
+            continue
+        for x, y in _SKIPS:
+            if i + x < n and j + y < m and p[i + x] == q[j + y]:
+                break
         else:
-            cost += max(len(p[i]), len(q[j]))
-            i += 1
-            j += 1
-    return cost + sum(len(x) + 1 for x in p[i:]) + sum(len(x) + 1 for x in q[j:])
+            x = y = 1
+        cost += max(sum(map(len, p[i : i + x])) + x, sum(map(len, q[j : j + y])) + y) - (x > 0 and y > 0)
+        if cost > most:
+            return cost
+        i += x
+        j += y
+    return cost + max(sum(map(len, p[i:])) + n - i, sum(map(len, q[j:])) + m - j)
 
 
 def within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most ``most``; bounds that settle it are tried before the distance itself."""
     if abs(len(a) - len(b)) > most:
         return False
-    return aligned(a.split(" "), b.split(" ")) <= most or edit_distance(a, b, most) <= most
+    return aligned(a.split(" "), b.split(" "), most) <= most or edit_distance(a, b, most) <= most
+
+
+class Lines:
+    """Some lines, and what rules pairs of them out: an edit of a character changes its bytes and one pair of bytes more, on either side, at most."""
+
+    def __init__(self, lines: list[str]):
+        raw = [x.encode() for x in lines]
+        self.lines = lines
+        self.chars = np.array([len(x) for x in lines], np.int64)
+        self.wide = np.where(self.chars == np.array([len(x) for x in raw], np.int64), 2, 5)
+        self.counts = pair_counts(raw)
+        self.total = self.counts.sum(axis=1)
+
+    def may(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs (i, j) lengths and counts do not rule out."""
+        longer = np.maximum(self.chars[i], self.chars[j])
+        most = ((1 - SIMILAR) * longer + 1e-9).astype(np.int64)
+        out = np.abs(self.chars[i] - self.chars[j]) <= most
+        for at in range(0, len(i), 4096):
+            some = np.flatnonzero(out[at : at + 4096]) + at
+            x, y = i[some], j[some]
+            common = np.minimum(self.counts[x], self.counts[y]).sum(axis=1, dtype=np.int64)
+            out[some] = np.maximum(self.total[x], self.total[y]) - common <= np.maximum(self.wide[x], self.wide[y]) * most[some]
+        return out
+
+    def similar(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs (i, j) are similar."""
+        out = self.may(i, j)
+        for k in np.flatnonzero(out).tolist():
+            a, b = self.lines[i[k]], self.lines[j[k]]
+            out[k] = within(a, b, most_edits(max(len(a), len(b))))
+        return out
+
 
+def _similar_pairs(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2048):
+            some = batch.slice(at, 2048)
+            n = some.num_rows
+            ids, place = np.unique(np.concatenate([some.column(c).to_numpy() for c in "ab"]), return_index=True)
+            bodies = pa.concat_arrays([some.column(c) for c in "xy"]).take(pa.array(place)).to_pylist()
+            held = Lines(bodies)
+            mask = pa.array(held.similar(*(np.searchsorted(ids, some.column(c).to_numpy()) for c in "ab")), pa.bool_())
+            if n:
+                yield pa.RecordBatch.from_arrays([some.column("a").filter(mask), some.column("b").filter(mask)], names=["a", "b"])
+    trim()
 
-def similar(x: list[str], y: list[str]) -> np.ndarray:
-    """Which of the pairs of lines are similar. An edit of a character changes at most its bytes and one pair of bytes more, on either side."""
-    keep = np.zeros(len(x), bool)
-    for at in range(0, len(x), 512):
-        p, q = x[at : at + 512], y[at : at + 512]
-        most = np.array([most_edits(max(len(a), len(b))) for a, b in zip(p, q, strict=True)])
-        apart = pair_counts([a.encode() for a in p]) - pair_counts([b.encode() for b in q])
-        wide = np.array([1 if a.isascii() and b.isascii() else 4 for a, b in zip(p, q, strict=True)])
-        may = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= (wide + 1) * most
-        for i in np.flatnonzero(may).tolist():
-            keep[at + i] = within(p[i], q[i], int(most[i]))
-    return keep
 
+#: Lines of a list that are compared with so many others at a time.
+BLOCK = 256
+
+
+def _similar_in_lists(batches):
+    """Links (a, b) within the groups (key, i, j): rows of block i with those of block j, from sorted rows."""
+    held: list[pa.RecordBatch] = []
+
+    def links(group: pa.Table):
+        ids, comp, own = (group.column(c).to_numpy() for c in ("id", "comp", "own"))
+        held = Lines(group.column("body").to_pylist())
+        same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+        left = np.arange(len(ids)) if same else np.flatnonzero(own)
+        right = left if same else np.flatnonzero(~own)
+        for k in left.tolist():
+            other = right[(comp[right] != comp[k]) & ((ids[right] > ids[k]) if same else True)]
+            if len(other):
+                other = other[held.similar(np.full(len(other), k), other)]
+                yield from ((int(ids[k]), int(x)) for x in ids[other])
+
+    def out(table: pa.Table):
+        n = table.num_rows
+        k, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
+        edge = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True])))
+        found = [x for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if b > a + 1 for x in links(table.slice(a, b - a))] if n else []
+        return pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in range(2)], names=["a", "b"])
 
-def _similar_pairs(batches):
     for batch in batches:
-        for i in range(0, batch.num_rows, 4096):
-            some = batch.slice(i, 4096)
-            mask = pa.array(similar(some.column("x").to_pylist(), some.column("y").to_pylist()), pa.bool_())
-            yield pa.RecordBatch.from_arrays([some.column("a").filter(mask), some.column("b").filter(mask)], names=["a", "b"])
+        for at in range(0, batch.num_rows, 4 * BLOCK):
+            held.append(batch.slice(at, 4 * BLOCK))
+            table = pa.Table.from_batches(held)
+            n = table.num_rows
+            last = table.slice(n - 1)
+            k, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
+            done = int(np.flatnonzero((k == last.column("key")[0].as_py()) & (i == last.column("i")[0].as_py()) & (j == last.column("j")[0].as_py()))[0])
+            if done:
+                yield out(table.slice(0, done))
+            held = table.slice(done).to_batches()
+    if held:
+        yield out(pa.Table.from_batches(held))
     trim()
 
 
+def in_lists(lists: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Links (a, b) across components within lists (key, id, comp, length), by blocks of each list: a long list is several tasks' work."""
+    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
+    with_body = lists.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(bodies.select(F.col("line").alias("id"), "body"), "id")
+    dealt = with_body.select("key", "id", "comp", "body", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "comp", (F.col("block") <= F.col("other")).alias("own"), "body")
+    sorted_rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return sorted_rows.mapInArrow(_similar_in_lists, "a long, b long").distinct()
+
+
 def _texts(docs: DataFrame, key: str) -> DataFrame:
     """(id, th, text) of the texts there are; th tells the texts of one id apart."""
     return docs.where(F.col("text").isNotNull()).select(F.col(key).alias("id"), F.xxhash64("text").alias("th"), F.col("text").alias("text"))
@@ -575,7 +652,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] =
         side = lambda c, body: bodies.select(F.col("line").alias(c), F.col("body").alias(body))
         return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_similar_pairs, "a long, b long")
 
-    comps = link(scratch, met, verify, met=True)
+    comps = link(scratch, met, verify, rounds=2, met=True, in_lists=lambda lists: in_lists(lists, bodies))
     scratch.drop(bodies)
     known = lines
     if comps is not None:

@@ -41,13 +41,14 @@ def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
     return lists.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None, fits_last: Fits | None = None, met: bool = False) -> DataFrame | None:
+def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None, fits_last: Fits | None = None, met: bool = False, in_lists: Verify | None = None) -> DataFrame | None:
     """(id, root) of the ids that have links.
 
     ``lists``: (key, id), and columns for ``fits``. A pair that is linked has to fit in at least one list. ``verify`` gives, of pairs (a, b), those that are linked. ``known``: links found by other means.
     ``prepare`` is called once, with the ids that may be verified. ``details``: (id, columns) that the last join has besides;
     there, ``fits_last`` has to hold as well. ``met``: the lists are (key, id, lead, length) of keys that several ids share,
-    those of two ids as one row, which is done with once the pair is verified.
+    those of two ids as one row, which is done with once the pair is verified. ``in_lists`` gives the links across components
+    within the lists (key, id, comp, length) that remain, instead of a join of the lists with themselves.
     """
     links = scratch.write(known, "links") if known is not None else None
     comps = components(scratch, links) if links is not None else None
@@ -66,7 +67,7 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, kn
             return comps
         if (pair is None or turn) and live.isEmpty():
             return comps
-        if turn and live.agg(F.coalesce(F.sum("length") - F.count("*") <= 2 * PAIRS_AN_ENTRY * F.count("*"), F.lit(True))).first()[0]:
+        if in_lists is None and turn and live.agg(F.coalesce(F.sum("length") - F.count("*") <= 2 * PAIRS_AN_ENTRY * F.count("*"), F.lit(True))).first()[0]:
             break
         if prepare and not turn:
             prepare(live.select("id").distinct())
@@ -88,6 +89,12 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, kn
         scratch.drop(old)
         if live.isEmpty():
             return comps
+    if in_lists is not None:
+        found = scratch.write(in_lists(live.select("key", "id", "comp", "length")), "links")
+        scratch.drop(live)
+        if found.isEmpty():
+            return comps
+        return components(scratch, found if comps is None else found.unionByName(comps.select(F.col("id").alias("a"), F.col("root").alias("b"))))
     left = live.select(*entry, "comp")
     x, y = left.alias("x"), left.alias("y")
     met = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))

@@ -2,8 +2,9 @@
 
 A payload is a text in UTF-8, filled up with zero bytes to a positive multiple of 64, stored as an 8-bit greyscale PNG
 64 samples wide (lossless). Every task writes the distinct payloads it meets to a tar shard of its own; an index gives
-each digest one place (shard, offset, length). Readers take the header's range alone for metadata (format, width, height,
-depth) and the stored form's range for what needs samples. Work on a payload is done once per digest.
+each digest one place (shard, offset, length), which the rows carry. The metadata columns (format, width, height, depth)
+come from range reads of the header alone, the digests and the feature from the stored form's range. Work on a payload is
+done once per digest.
 
 A shard's name has the task's attempt; a task that runs again writes a new shard, and the index, written to the shared
 folder, names only shards whose task ended. Equal payloads of several tasks are stored by each; the index keeps the first.
@@ -140,39 +141,53 @@ def _ranges(folder: str, batches, work, names):
             handle.close()
 
 
-def metadata(index: DataFrame, folder: str) -> DataFrame:
-    """Format columns per digest; reads the header's bytes only."""
+META = {"format": "string", "width": "long", "height": "long", "depth": "long"}
+FEATURES = {"payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
+
+
+def _head(handle, offset: int, length: int) -> tuple:
+    """Metadata from a range read of the header."""
+    h = png_header(handle.read_at(HEADER_BYTES, offset))
+    return "png", h["width"], h["height"], h["depth"]
+
 
-    def head(handle, offset, length):
-        h = png_header(handle.read_at(HEADER_BYTES, offset))
-        return "png", h["width"], h["height"], h["depth"]
+def _samples(handle, offset: int, length: int, meta: tuple) -> tuple:
+    """What needs the samples, from a range read of the stored form."""
+    media = handle.read_at(length, offset)
+    payload = from_png(media)
+    sample = np.frombuffer(payload, np.uint8)
+    counts = np.bincount(sample, minlength=256)
+    share = counts[counts > 0] / len(sample)
+    form, width, height, depth = meta
+    text = f"{form}:{width}x{height}x{depth}:mean={sample.mean():.4f}:entropy={-(share * np.log2(share)).sum():.4f}:max={int(sample.max())}"
+    return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), text
 
-    return index.mapInArrow(lambda b: _ranges(folder, b, head, ["format", "width", "height", "depth"]), "digest binary, format string, width long, height long, depth long")
+
+def _fields(columns: dict[str, str]) -> str:
+    return "digest binary, " + ", ".join(f"{n} {k}" for n, k in columns.items())
+
+
+def metadata(index: DataFrame, folder: str) -> DataFrame:
+    """Format columns per digest; reads the header's bytes only."""
+    return index.mapInArrow(lambda b: _ranges(folder, b, _head, list(META)), _fields(META))
 
 
 def features(index: DataFrame, folder: str) -> DataFrame:
-    """What needs the samples, per digest, from the stored bytes."""
+    """Format columns from the header's range, then what needs the samples from the stored form's, per digest."""
 
-    def whole(handle, offset, length):
-        media = handle.read_at(length, offset)
-        h = png_header(media[:HEADER_BYTES])
-        payload = from_png(media)
-        sample = np.frombuffer(payload, np.uint8)
-        counts = np.bincount(sample, minlength=256)
-        share = counts[counts > 0] / len(sample)
-        text = f"png:{h['width']}x{h['height']}x{h['depth']}:mean={sample.mean():.4f}:entropy={-(share * np.log2(share)).sum():.4f}:max={int(sample.max())}"
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), text
+    def both(handle, offset, length):
+        meta = _head(handle, offset, length)
+        return *meta, *_samples(handle, offset, length, meta)
 
-    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    return index.mapInArrow(lambda b: _ranges(folder, b, whole, names), "digest binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return index.mapInArrow(lambda b: _ranges(folder, b, both, [*META, *FEATURES]), _fields(META | FEATURES))
 
 
 def media_columns(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Store all texts, read them back, and give each row its payload's columns."""
+    """Store all texts, read them back, and give each row its payload's place and columns."""
     scratch = Scratch(docs.sparkSession, "media")
     rows, index = store(docs, scratch, key)
-    found = features(index, scratch.folder("shards"))
-    return rows.join(found, "digest").select(key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    found = features(index, scratch.folder("shards")).join(index, "digest")
+    return rows.join(found, "digest").select(key, "n_bytes", *FEATURES, *META, F.hex("digest").alias("digest"), "shard", "offset", "length")
 
 
 def tar_members(raw: bytes) -> list[tuple[str, bytes]]:

@@ -22,6 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .linkage import link
 from .shared import Scratch, chunks, mix, set_key, shingle_sets, sum_tables, table_blocks, utf8_buffers
@@ -111,7 +112,7 @@ def describe(docs: DataFrame, key: str) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.nulls(k, ids), empty, empty, empty, pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), *blocks.columns], names=names)
 
     kind = dict(source.dtypes)["id"]
-    ids = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    ids = to_arrow_type(source.schema["id"].dataType)
     return source.mapInArrow(run, f"id {kind}, th long, n long, cls long, small binary, bits binary, block int, data binary")
 
 
@@ -273,7 +274,7 @@ def join_documents(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     usual = 2 * max(1.0, float(counts.mean()))
     level = np.where(counts <= usual, 0, np.minimum(counts / usual, 250) + 1).astype(np.uint8)
 
-    classes = scratch.write(rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("small").alias("small"), F.first("bits").alias("bits"), F.min(F.struct("id", "th")).alias("rep")), "classes")
+    classes = scratch.write(rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("small").alias("small"), F.first("bits").alias("bits"), F.min(F.struct("id", "th")).alias("rep"), F.min("id").alias("least")), "classes")
     sizes = {r["n"]: r["count"] for r in classes.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").count().collect()}
     light = boundary(sizes)
 
@@ -296,18 +297,26 @@ def join_documents(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
     signed = classes.select("cls", "bits").mapInArrow(sign, "id long, sig array<long>")
     comps = link(scratch, prefix_lists(docs, level, light), verify, known=light_links(scratch, classes, light), fits=may_link, details=signed, fits_last=signatures_allow)
-    joined = rows.join(comps, F.col("cls") == comps["id"], "left").select(rows["id"].alias(key), "th", F.col("n").alias("n_shingles"), "cls", F.coalesce("root", "cls").alias("root")) if comps is not None else rows.select(F.col("id").alias(key), "th", F.col("n").alias("n_shingles"), "cls", F.col("cls").alias("root"))
-    least = joined.where("root is not null").groupBy("root").agg(F.min(key).alias("least"))
-    return joined.join(least, "root", "left").select(key, "n_shingles", F.coalesce("least", key).alias("component_id"), F.col("root").alias("class_id"), "th")
+    scratch.drop(*held)
+    # Components are named by class: rows meet their class, never all rows of a component in one task.
+    named = classes.select("cls", "least", F.col("cls").alias("root"))
+    if comps is not None:
+        rooted = scratch.write(classes.join(comps, F.col("cls") == comps["id"], "left").select("cls", "least", F.coalesce("root", "cls").alias("root")), "rooted")
+        alone = rooted.groupBy("root").agg(F.min("least").alias("least"))
+        named = scratch.write(rooted.select("cls", "root").join(alone, "root"), "named")
+    found = rows.select(F.col("id").alias("row_id"), "th", "n", F.col("cls").alias("row_cls")).join(named, F.col("row_cls") == F.col("cls"), "left")
+    return found.select(F.col("row_id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "row_id").alias("component_id"), F.col("root").alias("class_id"), "th")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """One document of each component: that with the least id, once. Documents without shingles all stay."""
-    found = join_documents(docs, key)
-    stay = found.where(F.col("class_id").isNull() | F.col(key).eqNullSafe(F.col("component_id")))
-    with_words = stay.where("class_id is not null").groupBy("class_id").agg(F.min(F.struct(F.col(key).alias("id"), "th")).alias("s")).select("s.*", F.lit(True).alias("__once"))
-    empty = stay.where("class_id is null").select(F.col(key).alias("id"), "th", F.lit(False).alias("__once")).distinct()
-    chosen = Scratch(docs.sparkSession, "kept").write(with_words.unionByName(empty).withColumnsRenamed({"id": "__id", "th": "__sth"}), "rows")
-    marked = docs.withColumn("__th", F.xxhash64("text")).join(chosen, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__th") == F.col("__sth")))
-    again = F.row_number().over(Window.partitionBy("__id", "__th").orderBy(F.lit(0)))
-    return marked.withColumn("__row", again).where("not __once or __row = 1").select(docs.columns)
+    found = join_documents(docs.select(F.col(f"`{key}`").alias("id"), "text"), "id")
+    stay = found.where(F.col("class_id").isNull() | F.col("id").eqNullSafe(F.col("component_id")))
+    with_words = stay.where("class_id is not null").groupBy("class_id").agg(F.min(F.struct("id", "th")).alias("s")).select("s.*", F.lit(True).alias("once"))
+    empty = stay.where("class_id is null").select("id", "th", F.lit(False).alias("once")).distinct()
+    chosen = Scratch(docs.sparkSession, "kept").write(with_words.unionByName(empty).withColumnsRenamed({"id": "chosen_id", "th": "chosen_th"}), "rows")
+    packed = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64("text").alias("th"), F.struct(*(F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate(docs.columns))).alias("row"))
+    marked = packed.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("th") == F.col("chosen_th")))
+    again = F.row_number().over(Window.partitionBy("chosen_id", "chosen_th", "once").orderBy(F.lit(0)))
+    once = marked.where("once").withColumn("number", again).where("number = 1").drop("number")
+    return once.unionByName(marked.where("not once")).select(*(F.col("row")[f"c{k}"].alias(n) for k, n in enumerate(docs.columns)))

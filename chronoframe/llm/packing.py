@@ -5,8 +5,10 @@ fixed size, each packed on its own, so a group wastes at most part of a few sequ
 greedily with the longest piece that fits the gap; when none fits, take the sequence's smallest piece out if two unpacked
 pieces fill its expanded gap more tightly.
 
-Defined results: null and empty texts have only the end token. Repeated rows are pieces of their own. Ties between
-pieces of one length go by position in the group. Extra columns are dropped, or carried by ``keep``.
+Defined results: null and empty texts have only the end token. Literals of the tokenizer's added tokens in a text are these
+tokens, as the library encodes them. Repeated rows are pieces of their own. Ties between pieces of one length go by
+position in the group. Extra columns are dropped, or carried by ``keep``; one called like a result of the operator makes
+that result get an underscore more.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import Scratch, fresh, trim
 
 SEQUENCE = 4096
 END_ID = 1
@@ -43,7 +45,10 @@ class _Words(dict):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        added = self.whole.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized or " " in t.content for t in added):
+            raise ValueError("added tokens that reach across spaces or are looked for in normalised text")
+        self.added = tuple(t.content for t in added)  # as in the library, their literals are these tokens
         self.model, self.parts = self.whole.model, {}
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.sign = {b: chr(b) for b in printable}
@@ -53,7 +58,7 @@ class _Words(dict):
         if len(self) > REMEMBERED:
             self.clear()
             self.parts.clear()
-        if _PLAIN.fullmatch(word):  # letters up to U+00FF: lower case and composed form are the same everywhere
+        if _PLAIN.fullmatch(word) and not any(t in word for t in self.added):  # letters up to U+00FF: lower case and composed form are the same everywhere
             ids = b"".join([self.parts.get(p) or self.part(p) for p in _SPLIT.findall(word.lower())])
         else:
             ids = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes() if word else b""
@@ -77,15 +82,17 @@ def token_ids(text: str | None, path: str) -> bytes:
     return b"".join(map(words.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
+RESULTS = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
+
+
 def pieces(docs: DataFrame, path: str, key: str = "doc_id", keep: tuple[str, ...] = (), with_ids: bool = False, sequence: int = SEQUENCE) -> DataFrame:
-    """A row per piece: key, kept columns, piece, start, length, ids_crc32, and the ids themselves on demand."""
-    source = docs.select(key, *keep, F.col("text").alias("__text"))
-    kinds, names = dict(source.dtypes), [key, *keep]
+    """A row per piece: its document as the struct ``row``, piece, start, length, ids_crc32, and the ids themselves on demand."""
+    source = docs.select(F.struct(*(F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate((key, *keep)))).alias("row"), F.col("text").alias("text"))
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches):
         for batch in batches:
-            column = batch.column("__text")
+            column = batch.column("text")
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for i in range(batch.num_rows):
                 raw = token_ids(column[i].as_py(), path) + end
@@ -98,12 +105,11 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", keep: tuple[str, ...
                     crc.append(zlib.crc32(cut))
                     if with_ids:
                         ids.append(cut)
-            taken = batch.select(names).take(pa.array(rows, pa.int64())) if rows else batch.select(names).slice(0, 0)
-            out = [*taken.columns, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            yield pa.RecordBatch.from_arrays(out + ([pa.array(ids, pa.binary())] if with_ids else []), names=[*names, "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
+            out = [batch.column("row").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            yield pa.RecordBatch.from_arrays(out + ([pa.array(ids, pa.binary())] if with_ids else []), names=["row", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
+        trim()
 
-    fields = ", ".join(f"`{n}` {kinds[n]}" for n in names)
-    return source.mapInArrow(run, fields + ", piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
+    return source.mapInArrow(run, f"row {dict(source.dtypes)['row']}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
 
 def pack(lengths: np.ndarray, sequence: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +139,7 @@ def pack(lengths: np.ndarray, sequence: int = SEQUENCE) -> tuple[np.ndarray, np.
         while (s := longest(gap)) > 0:
             content.append((s, take(s)))
             gap -= s
-        if gap and there and len(content) > 1:
+        if gap and there:
             small = content[-1][0]
             room, best = gap + small, (small, 0, 0)
             a = longest(room - 1)
@@ -179,4 +185,6 @@ def pack_pieces(table: DataFrame, sequence: int = SEQUENCE, group: int = GROUP_P
 def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", keep: tuple[str, ...] = (), sequence: int = SEQUENCE) -> DataFrame:
     """Tokenise, cut and pack all documents. The tokeniser runs once; the pieces are written to the shared folder."""
     table = Scratch(docs.sparkSession, "packing").write(pieces(docs, path, key, keep, sequence=sequence), "pieces")
-    return pack_pieces(table, sequence)
+    own = [key, *keep]
+    packed = pack_pieces(table, sequence)
+    return packed.select(*(F.col("row")[f"c{k}"].alias(n) for k, n in enumerate(own)), *(F.col(c).alias(fresh(c, own)) for c in RESULTS if c in packed.columns))

@@ -6,11 +6,14 @@ the mean, spread and mean step of its words' vectors. A two-layer network, train
 labelled rows, scores it; a temperature fitted on rows kept apart calibrates the probabilities.
 
 Defined results: null and empty texts are scored as a text without words; with no labelled row of both kinds the score
-is the share of label 1 (0.5 if none). Repeated rows stay repeated; a null doc_id is never learned from.
+is the share of label 1 (0.5 if none). Repeated rows stay repeated; a null doc_id is never learned from; of the texts of
+one labelled doc_id the least counts. Extra columns stay as they are; should one be called like a result, the result gets
+an underscore more.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import RUNS, chunks, sum_tables, table_blocks, utf8_buffers, word_hashes
+from .shared import RUNS, chunks, fresh, sum_tables, table_blocks, trim, utf8_buffers, word_hashes
 
 
 @dataclass(frozen=True)
@@ -53,7 +56,7 @@ def context_sums(docs: DataFrame, s: Settings) -> np.ndarray:
         table = np.zeros((s.slots, s.size), np.float64)
         for batch in batches:
             data, off = utf8_buffers(batch.column(0))
-            for i, j in chunks(off):
+            for i, j in chunks(off, 1 << 18):
                 w, at = _slots(data[off[i] : off[j]], off[i : j + 1] - off[i], s)
                 if not len(w):
                     continue
@@ -67,6 +70,7 @@ def context_sums(docs: DataFrame, s: Settings) -> np.ndarray:
                 first = np.flatnonzero(np.concatenate(([True], np.diff(w[order]) != 0)))
                 table[w[order][first]] += np.add.reduceat(around[order], first, axis=0)
         yield table_blocks(table, 1 << 13)
+        trim()
 
     sums = sum_tables(docs.select("text").mapInArrow(run, "block int, data binary"), np.float64)
     flat = np.concatenate([sums[k] for k in sorted(sums)]) if sums else np.zeros(s.slots * s.size)
@@ -78,7 +82,7 @@ def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray, s: Settin
     """Mean, spread and mean step of the word vectors of each text, and the logarithm of their number."""
     n = len(offsets) - 1
     out = np.zeros((n, 3 * s.size + 1), np.float32)
-    for i, j in chunks(offsets):
+    for i, j in chunks(offsets, 1 << 18):
         w, at = _slots(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], s)
         count = np.diff(at)
         full = np.flatnonzero(count > 0)
@@ -145,7 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, s: Settings = S
     vectors = context_sums(docs, s)
     known = labels.where(may_learn & F.col("quality").isin(0, 1)).select(F.col(key).alias("k"), "quality")
     ids = known.groupBy("k").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("k"), "k").limit(s.labelled_rows)
-    rows = docs.select(key, "text").join(F.broadcast(ids), F.col(key) == F.col("k"))
+    texts = docs.select(F.col(key).alias("id"), F.col("text").alias("body")).join(F.broadcast(ids), F.col("id") == F.col("k"))
+    rows = texts.groupBy("k", "quality").agg(F.min("body").alias("text"))
 
     def features(batches):
         for batch in batches:
@@ -169,14 +174,16 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, s: Settings = S
     return model
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", keep: tuple[str, ...] = (), threshold: float = 0.7, out: tuple[str, str] = ("score", "predicted")) -> DataFrame:
-    """(key, kept columns, score, predicted) of every row from its whole text."""
-    source = docs.select(key, *keep, F.col("text").alias("__text"))
-    kinds, names = dict(source.dtypes), [key, *keep]
+def score(docs: DataFrame, model: Model, threshold: float = 0.7, out: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """Every row, with score and prediction of its whole text. The text alone goes to the workers."""
 
-    def run(batches):
-        for batch in batches:
-            p = model.scores(pooled(*utf8_buffers(batch.column("__text")), model.vectors, model.settings))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[*names, *out])
+    @F.arrow_udf("double")
+    def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(model.scores(pooled(*utf8_buffers(texts), model.vectors, model.settings)).astype(np.float64))
+        trim()
 
-    return source.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in names) + f", `{out[0]}` double, `{out[1]}` int")
+    names = [fresh(out[0], docs.columns)]
+    names.append(fresh(out[1], [*docs.columns, *names]))
+    found = docs.withColumn(names[0], told.asNondeterministic()("text"))
+    return found.withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))

@@ -65,14 +65,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs, language_id.learnable(F.col("doc_id"), 3, 1))
-    told = language_id.classify(docs, model)
+    told = language_id.classify(docs.select("doc_id", "text"), model)
     return told.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels, language_id.learnable(F.col("doc_id"), 4, 2))
-    told = quality.score(docs, model)
+    told = quality.score(docs.select("doc_id", "text"), model)
     return told.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 

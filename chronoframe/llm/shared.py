@@ -290,8 +290,8 @@ def sum_tables(blocks: DataFrame, dtype, fan_in: int = 64) -> dict[int, np.ndarr
 # ---------------------------------------------------------------- connected components
 
 
-#: So few edges are joined by one task, in bounded memory, rather than in rounds of the whole cluster.
-FEW_EDGES = 100_000
+#: So few edges are joined by one task, in bounded memory (some 100 MB), rather than in rounds of the whole cluster.
+FEW_EDGES = 1_000_000
 
 
 def least_labels(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

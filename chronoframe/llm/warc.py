@@ -1,6 +1,6 @@
 """Operator 5: WARC archives, compressed record by record with a Zstandard dictionary.
 
-Each task writes one archive: it builds a dictionary from records of its own (a bounded sample of ``dictionary_sample``
+Each task writes an archive, another one after each ``ARCHIVE_BYTES``: it builds a dictionary from records of its own (a bounded sample of ``dictionary_sample``
 bytes), puts it in a skippable frame at the file's start, and compresses every record as a frame of its own. Payloads of
 at least ``revisit_from`` bytes that occur more than once are stored by the record with the largest id; the others are
 revisit records that name it.
@@ -32,6 +32,8 @@ DICTIONARY_BYTES = 64 << 10
 #: Fewer than 16 records are cut into pieces of this length to train on.
 DICTIONARY_PIECE = 1 << 14
 REVISIT_FROM = 1000
+#: A task begins another archive once one has so many bytes.
+ARCHIVE_BYTES = 1 << 30
 
 
 def record(key, url: str | None, payload: bytes, digest: str, size: int, refers_to) -> bytes:
@@ -139,29 +141,39 @@ def with_revisits(pages: DataFrame, key: str = "page_id", html: str = "html", re
     text = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(key).alias("id"), "url", text.alias("html")).withColumns({"payload_digest": F.sha1(F.col("html").cast("binary")), "payload_bytes": F.octet_length("html").cast("long")})
     first = rows.where(F.col("payload_bytes") >= revisit_from).groupBy(F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("n")).agg(F.max("id").alias("top"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    joined = rows.join(first, (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") == F.col("n")), "left")
-    return joined.withColumn("refers_to", F.when(~F.col("id").eqNullSafe(F.col("top")), F.col("top"))).select("id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "payload_digest", "payload_bytes", "refers_to")
+    # Only ids and digests meet by digest, which may be hot; pages meet their marks by id.
+    narrow = rows.where(F.col("payload_bytes") >= revisit_from).select("id", "payload_digest", "payload_bytes")
+    marks = narrow.join(first, (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") == F.col("n"))).where(~F.col("id").eqNullSafe(F.col("top"))).select(F.col("id").alias("i"), "d", "n", F.col("top").alias("refers_to")).distinct()
+    joined = rows.join(marks, F.col("id").eqNullSafe(F.col("i")) & (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") == F.col("n")), "left")
+    return joined.select("id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "payload_digest", "payload_bytes", "refers_to")
 
 
-def write_archives(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """Write one archive a task; the written table of (shard, records) names those whose task ended."""
+def write_archives(rows: DataFrame, scratch: Scratch, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Write an archive a task, more where it has much; the written table of (shard, records) names those whose task ended."""
     folder = scratch.folder("archives")
     path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).mkdirs(path)
 
     def run(batches):
         system, base = fs.FileSystem.from_uri(folder)
-        name, out, n = f"{uuid.uuid4().hex}.warc.zst", None, 0
+        name, out, n = "", None, 0
+        named = lambda: pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["shard", "records"])
         for batch in batches:
             data, off = utf8_buffers(batch.column("html"))
             cols = [batch.column(c).to_pylist() for c in ("id", "url", "payload_digest", "payload_bytes", "refers_to")]
             for i, (key, url, digest, size, refers) in enumerate(zip(*cols, strict=True)):
-                out = out or Writer(system.open_output_stream(f"{base}/{name}"))
+                if out is None:
+                    name, n = f"{uuid.uuid4().hex}.warc.zst", 0
+                    out = Writer(system.open_output_stream(f"{base}/{name}"))
                 out.add(record(key, url, data[off[i] : off[i + 1]].tobytes(), digest, size, refers))
                 n += 1
+                if out.at >= archive_bytes:
+                    out.close()
+                    out = None
+                    yield named()
         if out:
             out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["shard", "records"])
+            yield named()
 
     return scratch.write(rows.mapInArrow(run, "shard string, records long"), "archives")
 
