@@ -29,6 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -332,42 +333,55 @@ def _similar_pairs(batches):
 BLOCK = 256
 
 
+def _pairs_in(table: pa.Table, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (x, y) of one group, of different components, whose lengths allow that they are similar; own and other block where they differ."""
+    comp, own, i, j = (table.column(c).to_numpy() for c in ("comp", "own", "i", "j"))
+    chars = pc.utf8_length(table.column("body")).to_numpy()
+    size = np.diff(edge)
+    group = np.repeat(np.arange(len(size)), size)
+    one = i == j
+    xs, ys = [], []
+    for d in range(1, int(size.max()) if len(size) else 0):
+        x = np.flatnonzero(group[:-d] == group[d:])
+        y = x + d
+        longer = np.maximum(chars[x], chars[y])
+        may = (comp[x] != comp[y]) & (one[x] | (own[x] != own[y])) & (np.abs(chars[x] - chars[y]) <= (1 - SIMILAR) * longer + 1e-9)
+        xs.append(x[may])
+        ys.append(y[may])
+    return (np.concatenate(xs), np.concatenate(ys)) if xs else (np.zeros(0, np.int64),) * 2
+
+
 def _similar_in_lists(batches):
     """Links (a, b) within the groups (key, i, j): rows of block i with those of block j, from sorted rows."""
-    held: list[pa.RecordBatch] = []
 
-    def links(group: pa.Table):
-        ids, comp, own = (group.column(c).to_numpy() for c in ("id", "comp", "own"))
-        held = Lines(group.column("body").to_pylist())
-        same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-        left = np.arange(len(ids)) if same else np.flatnonzero(own)
-        right = left if same else np.flatnonzero(~own)
-        for k in left.tolist():
-            other = right[(comp[right] != comp[k]) & ((ids[right] > ids[k]) if same else True)]
-            if len(other):
-                other = other[held.similar(np.full(len(other), k), other)]
-                yield from ((int(ids[k]), int(x)) for x in ids[other])
-
-    def out(table: pa.Table):
-        n = table.num_rows
+    def edges(table: pa.Table) -> np.ndarray:
         k, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
-        edge = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True])))
-        found = [x for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if b > a + 1 for x in links(table.slice(a, b - a))] if n else []
-        return pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in range(2)], names=["a", "b"])
+        return np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True])))
+
+    def links(table: pa.Table, edge: np.ndarray):
+        x, y = _pairs_in(table, edge)
+        ids = table.column("id").to_numpy()
+        pairs = np.unique(np.stack((np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]))), axis=1) if len(x) else np.zeros((2, 0), np.int64)
+        lines, place = np.unique(ids, return_index=True)
+        rows = np.searchsorted(lines, pairs)
+        some, rows = np.unique(rows, return_inverse=True)
+        held = Lines(table.column("body").take(pa.array(place[some])).to_pylist())
+        rows = rows.reshape(2, -1)
+        found = pairs[:, held.similar(rows[0], rows[1])] if len(some) else pairs
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["a", "b"])
 
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         for at in range(0, batch.num_rows, 4 * BLOCK):
             held.append(batch.slice(at, 4 * BLOCK))
             table = pa.Table.from_batches(held)
-            n = table.num_rows
-            last = table.slice(n - 1)
-            k, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
-            done = int(np.flatnonzero((k == last.column("key")[0].as_py()) & (i == last.column("i")[0].as_py()) & (j == last.column("j")[0].as_py()))[0])
-            if done:
-                yield out(table.slice(0, done))
-            held = table.slice(done).to_batches()
+            edge = edges(table)
+            if len(edge) > 2:  # the last group may go on
+                yield links(table.slice(0, edge[-2]), edge[:-1])
+            held = table.slice(edge[-2]).to_batches()
     if held:
-        yield out(pa.Table.from_batches(held))
+        table = pa.Table.from_batches(held)
+        yield links(table, edges(table))
     trim()
 
 

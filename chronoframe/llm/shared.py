@@ -146,7 +146,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def powers(n: int) -> list[np.ndarray]:
     """Powers of an odd number, and of its inverse, at least n of each."""
     if len(_POWERS[0]) < n:
-        size = max(1 << 20, n)
+        size = max(1 << 17, 2 * n)
         for k, base in enumerate((_ODD, _ODD_INVERSE)):
             p = np.full(size, base, np.uint64)
             p[0] = 1
