@@ -6,28 +6,43 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stats import upper_median
 
-
-def line_fit(df: DataFrame, keys: Sequence[str], t: str, x: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.regr_slope(x, t).alias("slope"), F.regr_intercept(x, t).alias("intercept"), F.count("*").alias("n"))
+def robust_fit(t: np.ndarray, x: np.ndarray, passes: int = 3) -> tuple[float, float, int]:
+    """(slope, intercept, rows kept): each pass keeps rows within max(2.5 upper median residuals, 0.5), if that is enough of those it had."""
+    slope = intercept = 0.0
+    for _ in range(passes):
+        n = len(t)
+        if n < 2:
+            break
+        dt = t - t.mean()
+        spread = float((dt * dt).sum())
+        if n * spread < 1e-9:
+            slope, intercept = 0.0, float(x.mean())
+            break
+        slope = float((dt * x).sum() / spread)
+        intercept = float(x.mean() - slope * t.mean())
+        r = np.abs(x - (slope * t + intercept))
+        keep = r <= max(2.5 * np.partition(r, n // 2)[n // 2], 0.5)
+        if keep.sum() < max(4, 0.3 * n):
+            break
+        t, x = t[keep], x[keep]
+    return slope, intercept, len(t)
 
 
 def robust_line(df: DataFrame, keys: Sequence[str], t: str, x: str, passes: int = 3) -> DataFrame:
-    """Least squares in passes; each keeps rows within max(2.5 upper median residuals, 0.5), if that is enough of them."""
-    total = df.groupBy(*keys).agg(F.count("*").alias("__all"))
-    cur, fit = df, line_fit(df, keys, t, x)
-    for _ in range(passes - 1):
-        res = cur.join(fit.drop("n"), list(keys)).withColumn("__r", F.abs(F.col(x) - (F.col("intercept") + F.col("slope") * F.col(t)))).drop("slope", "intercept")
-        cut = upper_median(res, keys, "__r", "__m")
-        kept = res.join(cut, list(keys)).withColumn("__k", F.col("__r") <= F.greatest(2.5 * F.col("__m"), F.lit(0.5)))
-        enough = kept.groupBy(*keys).agg(F.sum(F.col("__k").cast("int")).alias("__n")).join(total, list(keys)).where(F.col("__n") >= F.greatest(F.lit(4.0), 0.3 * F.col("__all"))).select(*keys, F.lit(True).alias("__go"))
-        cur = kept.join(enough, list(keys), "left").where("__k or __go is null").drop("__r", "__m", "__k", "__go")
-        fit = line_fit(cur, keys, t, x)
-    return fit
+    """``robust_fit`` of each key: one shuffle by key; a task holds two numbers a row of one key."""
+    narrow = df.where(F.col(t).isNotNull() & F.col(x).isNotNull()).select(F.struct(*keys).alias("k"), F.col(t).cast("double").alias("t"), F.col(x).cast("double").alias("x"))
+
+    def fit(table: pa.Table) -> pa.Table:
+        slope, intercept, n = robust_fit(table.column("t").to_numpy(), table.column("x").to_numpy(), passes)
+        return pa.table({"k": table.column("k").slice(0, 1), "slope": [slope], "intercept": [intercept], "n": pa.array([n], pa.int64())})
+
+    found = narrow.groupBy("k").applyInArrow(fit, f"k {dict(narrow.dtypes)['k']}, slope double, intercept double, n long")
+    return found.select("k.*", "slope", "intercept", "n")
 
 
 def circle_fit(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
@@ -100,19 +115,23 @@ def crossings(dx: Sequence[float], dy: Sequence[float], distance: float) -> tupl
     return (-b - math.sqrt(d)) / (2 * a), (-b + math.sqrt(d)) / (2 * a)
 
 
-def contacts(dx: Sequence[float], dy: Sequence[float], r_sun: float, r_moon: float) -> dict[str, float | None]:
-    """c1..c4: outer contacts at the sum of the radii, inner ones at their difference."""
-    outer, inner = crossings(dx, dy, r_sun + r_moon), crossings(dx, dy, abs(r_moon - r_sun))
-    return {"c1": outer and outer[0], "c2": inner and inner[0], "c3": inner and inner[1], "c4": outer and outer[1]}
+def contacts(dx: Sequence[float], dy: Sequence[float], r_sun: float, r_moon: float, t0: float = -math.inf, t1: float = math.inf) -> dict[str, float | None]:
+    """c1..c4 within [t0, t1]: the outer ones at the sum of the radii; the inner ones, where the Moon is the larger, at their difference."""
+    outer = crossings(dx, dy, r_sun + r_moon)
+    inner = crossings(dx, dy, r_moon - r_sun) if r_moon > r_sun else None
+    found = {"c1": outer and outer[0], "c2": inner and inner[0], "c3": inner and inner[1], "c4": outer and outer[1]}
+    return {k: v if v is not None and t0 <= v <= t1 else None for k, v in found.items()}
 
 
 def phase(t: Column, sep: Column, beads: Column, c: dict[str, float | None], r_sun: float, r_moon: float) -> Column:
-    """Beads, then totality or annularity, then partial, else before or after the closest approach."""
-    mid = sum(c[k] for k in ("c1", "c4")) / 2 if c["c1"] is not None else 0.0
-    out = F.when(beads, "beads")
-    if c["c2"] is not None:
-        out = out.when((t >= c["c2"]) & (t <= c["c3"]), "totality" if r_moon >= r_sun else "annularity")
-    return out.when(sep < r_sun + r_moon, "partial").when(t < mid, "before").otherwise("after")
+    """Beads, then totality (between c2 and c3, or by the separation where these are not known), partial, before c1, or after c4."""
+    out = F.when(beads, "baily's beads")
+    if c["c2"] is not None and c["c3"] is not None:
+        out = out.when((t >= c["c2"]) & (t <= c["c3"]), "totality")
+    elif r_moon > r_sun:
+        out = out.when(sep <= r_moon - r_sun, "totality")
+    out = out.when(sep < r_sun + r_moon, "partial")
+    return (out if c["c1"] is None else out.when(t < c["c1"], "before first contact")).otherwise("after fourth contact")
 
 
 def radial_flatten(df: DataFrame, keys: Sequence[str], radius: Column, x: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sequences import around
+
 
 def last_wins(left: DataFrame, right: DataFrame, keys: Sequence[str], order: str, how: str = "left") -> DataFrame:
     """Join on keys; of several right rows with a key, the one last in ``order``."""
@@ -15,18 +17,21 @@ def last_wins(left: DataFrame, right: DataFrame, keys: Sequence[str], order: str
     return left.join(one, list(keys), how)
 
 
-def range_join(points: DataFrame, ranges: DataFrame, key: str, i: str, start: str = "start", count: str = "count") -> DataFrame:
-    """Points within half-open ranges of the same key."""
-    return points.join(ranges, (points[key] == ranges[key]) & (points[i] >= ranges[start]) & (points[i] < ranges[start] + ranges[count])).drop(ranges[key])
+def range_join(points: DataFrame, ranges: DataFrame, key: str, i: str, start: str = "start", count: str = "count", bin: int = 1024) -> DataFrame:
+    """Points within half-open ranges of the same key: both meet in bins of the index, so a key's points and ranges are not all paired."""
+    bins = F.sequence(F.floor(F.col(start) / bin), F.floor((F.col(start) + F.col(count) - 1) / bin))
+    dealt = ranges.where(F.col(count) > 0).withColumn("__bin", F.explode(bins)).withColumnRenamed(key, "__key")
+    binned = points.withColumn("__at", F.floor(F.col(i) / bin))
+    met = (F.col(key) == F.col("__key")) & (F.col("__at") == F.col("__bin")) & (F.col(i) >= F.col(start)) & (F.col(i) < F.col(start) + F.col(count))
+    return binned.join(dealt, met).drop("__key", "__bin", "__at")
 
 
 def nearest(probes: DataFrame, samples: DataFrame, key: str, i: str, value: str) -> DataFrame:
-    """Each probe with the sample nearest to it, the lower one on ties: an as-of join to both sides, by one sort."""
+    """Each probe with the sample nearest to it, the lower one on ties: an as-of join to both sides, by two sorts of each key."""
     s = F.struct(F.col(i).alias("i"), F.col(value).alias("v"))
     extra = [c for c in probes.columns if c not in (key, i)]
     both = samples.select(key, i, s.alias("s"), F.lit(0).alias("probe"), *(F.lit(None).alias(c) for c in extra)).unionByName(probes.select(key, i, F.lit(None).alias("s"), F.lit(1).alias("probe"), *extra))
-    w = Window.partitionBy(key).orderBy(i, "probe")
-    found = both.withColumns({"p": F.last("s", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "q": F.first("s", True).over(w.rowsBetween(0, Window.unboundedFollowing))}).where("probe = 1")
+    found = around(both, [key], [i, "probe"], F.col("s"), "p", "q").where("probe = 1")
     below = F.col("q").isNull() | (F.col("p").isNotNull() & (F.col(i) - F.col("p.i") <= F.col("q.i") - F.col(i)))
     return found.select(key, *extra, i, F.when(below, F.col("p.i")).otherwise(F.col("q.i")).alias("near_i"), F.when(below, F.col("p.v")).otherwise(F.col("q.v")).alias(value))
 
@@ -37,23 +42,36 @@ def intersect_intervals(segs: DataFrame, windows: DataFrame, key: str, least: in
     return segs.join(windows, key).withColumns({"from": lo, "to": hi}).where(F.col("to") - F.col("from") >= least)
 
 
-def within_any(points: DataFrame, spans: DataFrame, t: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """Flag points that lie in any of the spans, by one ordered pass over merged spans."""
-    return points.join(spans, (points[t] >= spans[lo]) & (points[t] <= spans[hi]), "left_semi")
+def within_any(points: DataFrame, spans: DataFrame, t: str, lo: str = "lo", hi: str = "hi", bin: float = 10000.0) -> DataFrame:
+    """Points that lie in any of the spans: both meet in bins of the time, neither side is sent to all."""
+    dealt = spans.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(lo) / bin), F.floor(F.col(hi) / bin)))).select("__bin", F.col(lo).alias("__lo"), F.col(hi).alias("__hi"))
+    met = (F.floor(F.col(t) / bin) == F.col("__bin")) & (F.col(t) >= F.col("__lo")) & (F.col(t) <= F.col("__hi"))
+    return points.join(dealt, met, "left_semi")
 
 
-def differs_nearby(df: DataFrame, keys: Sequence[str], order: str, state: str, reach: int) -> DataFrame:
-    """``near``: some row within ``reach`` rows has another state."""
+def differs_nearby(df: DataFrame, keys: Sequence[str], order: str, state: str, reach: int, always: Column | None = None) -> DataFrame:
+    """``near``: some row within ``reach`` rows has another state, or ``always`` holds."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-reach, reach)
-    return df.withColumn("near", F.min(state).over(w) != F.max(state).over(w))
+    near = F.min(state).over(w) != F.max(state).over(w)
+    return df.withColumn("near", near if always is None else near | F.coalesce(always, F.lit(False)))
 
 
-def first_other_state(df: DataFrame, keys: Sequence[str], order: str, state: str, reach: int) -> DataFrame:
-    """State of the nearest row, within ``reach`` and later before earlier, that differs from a row's own."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    later = F.filter(F.collect_list(state).over(w.rowsBetween(1, reach)), lambda s: s != F.col(state))
-    sooner = F.reverse(F.filter(F.collect_list(state).over(w.rowsBetween(-reach, -1)), lambda s: s != F.col(state)))
-    return df.withColumn("other", F.coalesce(F.try_element_at(later, F.lit(1)), F.try_element_at(sooner, F.lit(1))))
+def first_other_state(df: DataFrame, keys: Sequence[str], order: str, state: str, reach: int, more: Sequence[str] = ()) -> DataFrame:
+    """``other``: (state, more) of the first row, from ``reach`` before to ``reach`` behind, whose state differs from a row's own."""
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-reach, reach)
+    around = F.filter(F.collect_list(F.struct(state, *more)).over(w), lambda r: r[state] != F.col(state))
+    return df.withColumn("other", F.try_element_at(around, F.lit(1)))
+
+
+def unstack_near_contacts(df: DataFrame, keys: Sequence[str], order: str, state: str, stack: str, reach: int, beads: str | None = None, dense: str | None = None) -> DataFrame:
+    """Depth 1 beside a contact: a change of state within ``reach`` where either side has beads (any change if ``beads`` is not known). Dense rows stay."""
+    found = first_other_state(df, keys, order, state, reach, [beads] if beads else [])
+    contact = F.col("other").isNotNull()
+    if beads:
+        contact &= F.coalesce(F.col(beads), F.lit(False)) | F.coalesce(F.col("other")[beads], F.lit(False))
+    if dense:
+        contact &= ~F.coalesce(F.col(dense), F.lit(False))
+    return found.withColumn(stack, F.when(contact, F.lit(1)).otherwise(F.col(stack)))
 
 
 def widest_pair(df: DataFrame, key: str, t: str, name: str) -> DataFrame:

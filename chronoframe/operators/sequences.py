@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,12 @@ def _by(keys: Sequence[str], order: str):
     return Window.partitionBy(*keys).orderBy(order)
 
 
+def around(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, before: str, behind: str) -> DataFrame:
+    """The last value that is not null up to each row, and the first from it on. Both windows grow with the rows, so a key costs two sorts."""
+    up, down = (Window.partitionBy(*keys).orderBy(*(F.col(c) if asc else F.col(c).desc() for c in order)).rowsBetween(Window.unboundedPreceding, 0) for asc in (True, False))
+    return df.withColumns({before: F.last(value, True).over(up), behind: F.last(value, True).over(down)})
+
+
 def islands(df: DataFrame, keys: Sequence[str], order: str, starts: Column, name: str = "island") -> DataFrame:
     """Number the runs that begin where ``starts`` is true."""
     w = _by(keys, order)
@@ -50,12 +57,14 @@ def merge_short(segs: DataFrame, keys: Sequence[str], shortest: int, blown: floa
 def exposure_levels(segs: DataFrame, gap: float = 0.5) -> DataFrame:
     """Levels over all segments: a new one where log2 of the sorted medians jumps by more than ``gap``.
 
-    One ordered pass over the distinct medians: a table of segments, which is small beside the frames.
+    No jump is within a bin of width ``gap``, so only the ends of the occupied bins are ordered: as many rows as the
+    range of brightness has bins.
     """
-    logged = segs.select(F.log2(F.greatest("med", F.lit(1 / 65535))).alias("l")).distinct()
-    w = Window.orderBy("l")
-    steps = logged.withColumn("level", F.sum(F.when(F.col("l") - F.lag("l").over(w) > gap, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return segs.withColumn("l", F.log2(F.greatest("med", F.lit(1 / 65535)))).join(steps, "l").drop("l")
+    logged = segs.withColumn("__l", F.log2(F.greatest("med", F.lit(1 / 65535)))).withColumn("__bin", F.floor(F.col("__l") / gap))
+    w = Window.orderBy("__bin")
+    ends = logged.groupBy("__bin").agg(F.min("__l").alias("lo"), F.max("__l").alias("hi"))
+    levels = ends.withColumn("level", F.sum(F.when(F.col("lo") - F.lag("hi").over(w) > gap, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return logged.join(levels.select("__bin", "level"), "__bin").drop("__l", "__bin")
 
 
 def sessions(df: DataFrame, keys: Sequence[str], order: str, gap: float) -> DataFrame:
@@ -97,10 +106,16 @@ def gain_chain(df: DataFrame, keys: Sequence[str], order: str, entry: str, leave
     return summed.join(anchor, list(keys)).withColumn("gain", F.exp(F.col("__c") - F.col("__a"))).drop("__r", "__c", "__a")
 
 
-def stack_depth(df: DataFrame, keys: Sequence[str], index: str, most: int) -> DataFrame:
-    """Frames that may be stacked: up to the next row's, at most ``most``, at least 1."""
-    gap = F.lead(index).over(_by(keys, index)) - F.col(index)
-    return df.withColumn("stack", F.greatest(F.lit(1), F.least(F.lit(most), F.coalesce(gap, F.lit(most)))))
+def stack_depth(df: DataFrame, keys: Sequence[str], index: str, most: int, end: str, dense: Column | None = None, bead: Column | None = None, resolve: Column | None = None, bead_most: int = 3) -> DataFrame:
+    """Frames that may be stacked, at least 1 and never past the segment's ``end``.
+
+    Bead frames: ``bead_most``. Resolve frames: 1. Dense ones: ``most``, their groups overlap. Others: up to the next row's.
+    """
+    yes = lambda c: F.lit(False) if c is None else F.coalesce(c, F.lit(False))
+    left = F.col(end) - F.col(index)
+    gap = F.coalesce(F.lead(index).over(_by(keys, index)) - F.col(index), F.lit(most))
+    depth = F.when(yes(bead), F.least(F.lit(bead_most), left)).when(yes(resolve), F.lit(1)).when(yes(dense), F.least(F.lit(most), left)).otherwise(F.least(F.lit(most), gap, left))
+    return df.withColumn("stack", F.greatest(F.lit(1), depth))
 
 
 def resample(df: DataFrame, keys: Sequence[str], index: str, values: Sequence[str], want: int) -> DataFrame:
@@ -115,18 +130,16 @@ def interpolate(df: DataFrame, probes: DataFrame, keys: Sequence[str], index: st
     extra = [c for c in probes.columns if c not in keys and c != index]
     sample = F.struct(F.col(index).alias("i"), *values)
     both = df.select(*keys, index, sample.alias("s"), F.lit(0).alias("probe"), *(F.lit(None).alias(c) for c in extra)).unionByName(probes.select(*keys, index, F.lit(None).alias("s"), F.lit(1).alias("probe"), *extra))
-    w = Window.partitionBy(*keys).orderBy(index, "probe")
-    around = both.withColumns({"p": F.last("s", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "q": F.first("s", True).over(w.rowsBetween(0, Window.unboundedFollowing))}).where("probe = 1")
+    met = around(both, keys, [index, "probe"], F.col("s"), "p", "q").where("probe = 1")
     p, q = F.coalesce("p", "q"), F.coalesce("q", "p")
-    around = around.withColumns({"p": p, "q": q})
+    met = met.withColumns({"p": p, "q": q})
     share = F.when(F.col("q.i") == F.col("p.i"), 0.0).otherwise((F.col(index) - F.col("p.i")) / (F.col("q.i") - F.col("p.i")))
-    return around.select(*keys, *extra, index, *((F.col(f"p.{v}") + (F.col(f"q.{v}") - F.col(f"p.{v}")) * share).alias(v) for v in values))
+    return met.select(*keys, *extra, index, *((F.col(f"p.{v}") + (F.col(f"q.{v}") - F.col(f"p.{v}")) * share).alias(v) for v in values))
 
 
 def fill_gaps(df: DataFrame, keys: Sequence[str], order: str, x: str) -> DataFrame:
     """Forward fill, then backward fill, then 0."""
-    w = _by(keys, order)
-    return df.withColumn("filled", F.coalesce(F.last(x, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first(x, True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.lit(0.0)))
+    return around(df, keys, [order], F.col(x), "__p", "__q").withColumn("filled", F.coalesce("__p", "__q", F.lit(0.0))).drop("__p", "__q")
 
 
 def _upper(a: Column) -> Column:
@@ -148,12 +161,22 @@ def time_smooth(df: DataFrame, keys: Sequence[str], t: str, x: str, half: float,
 
 
 def slew_limit(df: DataFrame, keys: Sequence[str], order: str, x: str, most: float, name: str) -> DataFrame:
-    """Each value follows the one before by at most ``most`` a step. One list per key, folded in its order."""
-    packed = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, x))).alias("a"))
-    step = lambda acc, r: F.concat(acc, F.array(F.struct(r[order].alias(order), F.when(F.size(acc) == 0, r[x]).otherwise(F.element_at(acc, -1)[name] + F.greatest(F.lit(-most), F.least(F.lit(most), r[x] - F.element_at(acc, -1)[name]))).alias(name))))
+    """Each value follows the one before by at most ``most`` a step. Rows stream through in their order; a task holds one value."""
     kinds = dict(df.dtypes)
-    folded = packed.select(*keys, F.explode(F.aggregate("a", F.expr(f"cast(array() as array<struct<{order}:{kinds[order]},{name}:double>>)"), step)).alias("r"))
-    return folded.select(*keys, f"r.{order}", f"r.{name}")
+    rows = df.select(F.struct(*keys).alias("k"), order, F.col(x).cast("double").alias(x))
+    sorted_rows = rows.repartition("k").sortWithinPartitions("k", order)
+
+    def run(batches):
+        key, at = None, 0.0
+        for batch in batches:
+            out = []
+            for k, value in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                at = value if k != key else at + max(-most, min(most, value - at))
+                key = k
+                out.append(at)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["k", order, name])
+
+    return sorted_rows.mapInArrow(run, f"k {dict(rows.dtypes)['k']}, `{order}` {kinds[order]}, `{name}` double").select("k.*", order, name)
 
 
 def smooth_series(df: DataFrame, keys: Sequence[str], order: str, x: str) -> DataFrame:
@@ -214,19 +237,27 @@ def leading_prefix(df: DataFrame, keys: Sequence[str], order: str, pred: Column)
     return df.withColumn("__ok", run).where("__ok = 1").drop("__ok")
 
 
-def flatten_levels(df: DataFrame, keys: Sequence[str], order: str, x: str, least: int = 3) -> DataFrame:
-    """Gain that brings each row to its key's upper median level, within x2 and /2; the nearest measured holds over gaps."""
-    good = df.where(F.col(x) > 0)
-    many = good.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") >= least)
-    target = upper_median(good, keys, x, "__target").join(many, list(keys)).drop("__n")
-    g = F.least(F.greatest(F.col("__target") / F.col(x), F.lit(0.5)), F.lit(2.0))
-    marked = df.join(target, list(keys), "left").withColumn("__g", F.when(F.col(x) > 0, g))
-    w, own = _by(keys, order), F.when(F.col("__g").isNotNull(), F.struct(F.col(order).alias("o"), F.col("__g").alias("g")))
-    around = marked.withColumn("__s", own).withColumns({"__p": F.last("__s", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "__q": F.first("__s", True).over(w.rowsBetween(0, Window.unboundedFollowing))})
-    near = F.when(F.col("__p").isNull() | ((F.col("__q").isNotNull()) & (F.col("__q.o") - F.col(order) < F.col(order) - F.col("__p.o"))), F.col("__q.g")).otherwise(F.col("__p.g"))
-    return around.withColumn("correction", F.coalesce(near, F.lit(1.0))).drop("__target", "__g", "__s", "__p", "__q")
-
+def flatten_levels(df: DataFrame, keys: Sequence[str], order: str, x: str, gain: str, measurable: Column, most: float = 2.0, least: int = 3) -> DataFrame:
+    """``gain`` times a correction that holds the rendered level (x times gain) at its key's upper median, within x``most`` and its inverse.
 
-def settle(df: DataFrame, keys: Sequence[str], order: str, gain: str) -> DataFrame:
-    """Gains may only fall after the first measured one."""
-    return df.withColumn("settled", F.min(gain).over(_by(keys, order).rowsBetween(Window.unboundedPreceding, 0)))
+    Rows that are not measurable take the correction of the nearest one that is, the earlier on ties; a key with fewer than ``least`` keeps its gains.
+    """
+    w = _by(keys, order)
+    level = df.withColumns({"__l": F.col(x) * F.col(gain), "__ok": F.coalesce(measurable, F.lit(False)), "__n": F.row_number().over(w)})
+    good = level.where("__ok")
+    many = good.groupBy(*keys).agg(F.count("*").alias("__many")).where(F.col("__many") >= least)
+    target = upper_median(good, keys, "__l", "__target").join(many, list(keys)).drop("__many")
+    g = F.when(F.col("__l") > 0, F.least(F.greatest(F.col("__target") / F.col("__l"), F.lit(1 / most)), F.lit(most))).otherwise(1.0)
+    own = F.when(F.col("__ok") & F.col("__target").isNotNull(), F.struct(F.col("__n").alias("n"), g.alias("g")))
+    met = around(level.join(target, list(keys), "left"), keys, [order], own, "__p", "__q")
+    later = F.col("__p").isNull() | (F.col("__q").isNotNull() & (F.col("__q.n") - F.col("__n") < F.col("__n") - F.col("__p.n")))
+    correction = F.coalesce(F.when(later, F.col("__q.g")).otherwise(F.col("__p.g")), F.lit(1.0))
+    return met.withColumn("correction", correction).withColumn("flattened", F.when(F.col("__target").isNull(), F.col(gain)).otherwise(F.round(F.col(gain) * F.col("correction"), 8))).drop("__l", "__ok", "__n", "__target", "__p", "__q")
+
+
+def settle(df: DataFrame, keys: Sequence[str], order: str, level: str, gain: str, measurable: Column) -> DataFrame:
+    """``settled``: gains of measurable rows, brought down to what holds the level that the first of them is rendered with."""
+    ok = F.coalesce(measurable, F.lit(False))
+    anchor = df.where(ok).groupBy(*keys).agg(F.min_by(F.col(level) * F.col(gain), order).alias("__anchor"))
+    want = F.col("__anchor") / F.col(level)
+    return df.join(anchor, list(keys), "left").withColumn("settled", F.when(ok & (want < F.col(gain)), F.round(want, 8)).otherwise(F.col(gain))).drop("__anchor")

@@ -218,7 +218,7 @@ _EDGES = f""", l AS (SELECT *, log2(greatest(v + 20, 1.0 / 65535)) AS l, count(*
 st AS (SELECT *, abs(l - lag(l) OVER (PARTITION BY capture ORDER BY i)) AS step FROM l),
 m0 AS (SELECT capture, {MED.format('step')} AS m FROM st WHERE step IS NOT NULL AND n >= 3 GROUP BY capture),
 m1 AS (SELECT m0.capture, {MED.format('abs(step - m)')} AS d FROM st JOIN m0 ON st.capture = m0.capture WHERE step IS NOT NULL GROUP BY m0.capture),
-ed AS (SELECT st.capture, i, step FROM st JOIN m1 ON st.capture = m1.capture WHERE n >= 3 AND step > greatest(0.35, 3.0 * 2 * d))"""
+ed AS (SELECT st.capture, i, step FROM st JOIN m1 ON st.capture = m1.capture WHERE n >= 3 AND step > greatest(0.35, 6 * d))"""
 
 
 def _bright(spark, sf):
@@ -268,11 +268,11 @@ def f7_runs_where(spark, sf):
     return sequences.runs_where(frames(spark, sf), KEY, "i", F.col("v") > 30)
 
 
-@query(""", q AS (SELECT capture, i, (row_number() OVER (PARTITION BY capture ORDER BY i) - 1) // CAST(ceil(count(*) OVER (PARTITION BY capture) / 4.0) AS BIGINT) AS b FROM f WHERE i % 11 <> 5),
+@query(""", q AS (SELECT capture, i, (row_number() OVER (PARTITION BY capture ORDER BY i) - 1) // CAST(ceil(count(*) OVER (PARTITION BY capture) / 4.0) AS BIGINT) AS b FROM f WHERE v <= 120),
 c AS (SELECT *, CASE WHEN i - lag(i) OVER w = 1 AND b = lag(b) OVER w THEN 0 ELSE 1 END AS s FROM q WINDOW w AS (PARTITION BY capture ORDER BY i)),
 n AS (SELECT *, sum(s) OVER (PARTITION BY capture ORDER BY i) AS k FROM c) SELECT capture, min(i) AS lo, max(i) AS hi FROM n GROUP BY capture, k""")
 def f9_shard_spans(spark, sf):
-    return sequences.shard_spans(frames(spark, sf).where("i % 11 <> 5"), KEY, "i", 4).select("capture", "lo", "hi")
+    return sequences.shard_spans(frames(spark, sf).where("v <= 120"), KEY, "i", 4).select("capture", "lo", "hi")
 
 
 @query(_SEGS + """, e AS (SELECT *, med + 1 AS entry, mx + 1 AS leave FROM sg), r AS (SELECT *, coalesce(ln(lag(leave) OVER (PARTITION BY capture ORDER BY start) / entry), 0) AS r FROM e),
@@ -283,16 +283,18 @@ def f11_gain_chain(spark, sf):
     return sequences.gain_chain(segs, KEY, "start", "entry", "leave", "count").select("capture", "start", F.round("gain", 4).alias("gain"))
 
 
-@query(""" SELECT capture, i, greatest(1, least(20, coalesce(lead(i) OVER (PARTITION BY capture ORDER BY i) - i, 20))) AS stack FROM f WHERE v > 60""")
+@query(""", g AS (SELECT *, (i // 40 + 1) * 40 - i AS left_over, lead(i) OVER (PARTITION BY capture ORDER BY i) - i AS gap FROM f WHERE v > 20)
+SELECT capture, i, CAST(greatest(1, CASE WHEN v > 150 THEN least(3, left_over) WHEN state = 'error' THEN 1 WHEN state = 'view' THEN least(20, left_over) ELSE least(20, coalesce(gap, 20), left_over) END) AS BIGINT) AS stack FROM g""")
 def f13_stack_depth(spark, sf):
-    return sequences.stack_depth(frames(spark, sf).where("v > 60"), KEY, "i", 20).select("capture", "i", "stack")
+    f = frames(spark, sf).where("v > 20").withColumn("seg_end", (F.floor(F.col("i") / 40) + 1) * 40)
+    return sequences.stack_depth(f, KEY, "i", 20, "seg_end", F.col("state") == "view", F.col("v") > 150, F.col("state") == "error").select("capture", "i", F.col("stack").cast("long").alias("stack"))
 
 
-@query(""", s AS (SELECT capture, min(i) AS lo, max(i) AS hi FROM f WHERE i % 5 = 0 GROUP BY capture), g AS (SELECT capture, j, lo + CAST(floor(j * (hi - lo) / 24.0) AS BIGINT) AS i FROM s, range(24) r(j)), p AS (SELECT * FROM f WHERE i % 5 = 0),
+@query(""", s AS (SELECT capture, min(i) AS lo, max(i) AS hi FROM f WHERE v > 60 GROUP BY capture), g AS (SELECT capture, j, lo + CAST(floor(j * (hi - lo) / 24.0) AS BIGINT) AS i FROM s, range(24) r(j)), p AS (SELECT * FROM f WHERE v > 60),
 a AS (SELECT g.capture, g.j, g.i, max(p.i) FILTER (WHERE p.i <= g.i) AS x, min(p.i) FILTER (WHERE p.i > g.i) AS y FROM g JOIN p ON g.capture = p.capture GROUP BY 1, 2, 3)
 SELECT a.capture, j, a.i, round(u.v + CASE WHEN y IS NULL THEN 0 ELSE (w.v - u.v) * (a.i - x) / CAST(y - x AS DOUBLE) END, 6) AS v FROM a JOIN p u ON u.capture = a.capture AND u.i = x LEFT JOIN p w ON w.capture = a.capture AND w.i = y""")
 def f14_d6_resample(spark, sf):
-    return sequences.resample(frames(spark, sf).where("i % 5 = 0"), KEY, "i", ["v"], 24).select("capture", F.col("j").cast("long").alias("j"), "i", r6(F.col("v"), "v"))
+    return sequences.resample(frames(spark, sf).where("v > 60"), KEY, "i", ["v"], 24).select("capture", F.col("j").cast("long").alias("j"), "i", r6(F.col("v"), "v"))
 
 
 @query(""", g AS (SELECT capture, i, CASE WHEN v > 50 THEN NULL ELSE v END AS x FROM f)
@@ -353,10 +355,11 @@ def f43_leading_prefix(spark, sf):
     return sequences.leading_prefix(frames(spark, sf), KEY, "i", F.col("v") < 120).select("capture", "i")
 
 
-@query(""" SELECT capture, i, min(CASE WHEN v > 5 THEN 100 / v END) OVER (PARTITION BY capture ORDER BY i) AS settled FROM f""")
+@query(""", g AS (SELECT *, v / 500 AS l, 1 + i % 7 / 10.0 AS gain, v > 5 AS ok FROM f), a AS (SELECT capture, arg_min(l * gain, i) AS anchor FROM g WHERE ok GROUP BY capture)
+SELECT g.capture, i, round(CASE WHEN ok AND anchor / l < gain THEN round(anchor / l, 8) ELSE gain END, 6) AS settled FROM g LEFT JOIN a ON g.capture = a.capture""")
 def f17_settle(spark, sf):
-    f = frames(spark, sf).withColumn("g", F.when(F.col("v") > 5, 100 / F.col("v")))
-    return sequences.settle(f, KEY, "i", "g").select("capture", "i", "settled")
+    f = frames(spark, sf).withColumns({"level": F.col("v") / 500, "gain": 1 + F.col("i") % 7 / 10})
+    return sequences.settle(f, KEY, "i", "level", "gain", F.col("v") > 5).select("capture", "i", r6(F.col("settled"), "settled"))
 
 
 @query(""" SELECT event_id, least(2.5, 1.15 * 90 / (v + 1)) AS gain FROM f""")
@@ -369,13 +372,19 @@ def f35_grouping_key(spark, sf):
     return frames(spark, sf).select("event_id", F.when(F.col("v") > 100, "TOTALITY").otherwise(F.col("capture").cast("string")).alias("grp"))
 
 
-@query(f""", g AS (SELECT * FROM f WHERE v > 5), n AS (SELECT capture FROM g GROUP BY capture HAVING count(*) >= 3), m AS (SELECT g.capture, {MED.format('v')} AS m FROM g JOIN n ON g.capture = n.capture GROUP BY g.capture),
-w AS (SELECT f.capture, f.i, f.v, CASE WHEN f.v > 5 THEN least(greatest(m / f.v, 0.5), 2.0) END AS g FROM f LEFT JOIN m ON f.capture = m.capture),
-c AS (SELECT w.capture, w.i, arg_min(q.g, abs(q.i - w.i) * 2 + CASE WHEN q.i > w.i THEN 1 ELSE 0 END) AS correction FROM w JOIN w q ON q.capture = w.capture AND q.g IS NOT NULL GROUP BY 1, 2)
-SELECT w.capture, w.i, round(coalesce(correction, 1.0), 6) AS correction FROM w LEFT JOIN c ON c.capture = w.capture AND c.i = w.i""")
+@query(f""", g AS (SELECT *, 1 + i % 7 / 10.0 AS gain, v / 500 * (1 + i % 7 / 10.0) AS l, v > 5 AND v < 0.97 * 500 AND v * 40 >= 2000 AS ok FROM f),
+m AS (SELECT capture, {MED.format('l')} AS target FROM g WHERE ok GROUP BY capture HAVING count(*) >= 3),
+w AS (SELECT g.*, target, CASE WHEN ok AND target IS NOT NULL THEN CASE WHEN l > 0 THEN least(greatest(target / l, 0.5), 2.0) ELSE 1.0 END END AS c FROM g LEFT JOIN m ON g.capture = m.capture),
+u AS (SELECT *, last_value(CASE WHEN c IS NOT NULL THEN i END IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pi,
+  last_value(c IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pc,
+  first_value(CASE WHEN c IS NOT NULL THEN i END IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS qi,
+  first_value(c IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS qc FROM w),
+x AS (SELECT *, coalesce(CASE WHEN pi IS NULL OR qi - i < i - pi THEN qc ELSE pc END, 1.0) AS correction FROM u)
+SELECT capture, i, round(correction, 6) AS correction, round(CASE WHEN target IS NULL THEN gain ELSE round(gain * correction, 8) END, 6) AS flattened FROM x""")
 def f16_flatten_levels(spark, sf):
-    f = frames(spark, sf).withColumn("x", F.when(F.col("v") > 5, F.col("v")))
-    return sequences.flatten_levels(f, KEY, "i", "x").select("capture", "i", r6(F.col("correction"), "correction"))
+    f = frames(spark, sf).withColumns({"x": F.col("v") / 500, "gain": 1 + F.col("i") % 7 / 10})
+    ok = (F.col("v") > 5) & (F.col("x") < 0.97) & (F.col("v") * 40 >= 2000)
+    return sequences.flatten_levels(f, KEY, "i", "x", "gain", ok).select("capture", "i", r6(F.col("correction"), "correction"), r6(F.col("flattened"), "flattened"))
 
 
 _TRACK = {"dx": [0.0004, -400.0], "dy": [0.0, 5.0], "r_sun": 279.0, "r_moon": 292.0}
@@ -383,7 +392,7 @@ _CONTACTS = fits.contacts(**_TRACK)
 
 
 @query(f""", p AS (SELECT event_id, t, sqrt(pow(0.0004 * t - 400, 2) + 25) AS sep, t % 100000 < 500 AS bead FROM f)
-SELECT event_id, CASE WHEN bead THEN 'beads' WHEN t BETWEEN {_CONTACTS['c2']!r} AND {_CONTACTS['c3']!r} THEN 'totality' WHEN sep < 571 THEN 'partial' WHEN t < {(_CONTACTS['c1'] + _CONTACTS['c4']) / 2!r} THEN 'before' ELSE 'after' END AS phase FROM p""")
+SELECT event_id, CASE WHEN bead THEN 'baily''s beads' WHEN t BETWEEN {_CONTACTS['c2']!r} AND {_CONTACTS['c3']!r} THEN 'totality' WHEN sep < 571 THEN 'partial' WHEN t < {_CONTACTS['c1']!r} THEN 'before first contact' ELSE 'after fourth contact' END AS phase FROM p""")
 def f32_f34_phase(spark, sf):
     f = frames(spark, sf)
     sep = scalar.separation(F.array(*map(F.lit, _TRACK["dx"])), F.array(*map(F.lit, _TRACK["dy"])), F.col("t"))
@@ -417,28 +426,30 @@ def d4_interval_intersection(spark, sf):
     return joins.intersect_intervals(segs, _windows(spark, sf), "capture", 2).select("capture", "from", "to")
 
 
-@query(""", p AS (SELECT capture, i, v FROM f WHERE i % 6 = 0), d AS (SELECT f.capture, f.i, p.i AS near_i, p.v, row_number() OVER (PARTITION BY f.capture, f.i ORDER BY abs(p.i - f.i), p.i) AS k FROM f JOIN p ON f.capture = p.capture)
+@query(""", p AS (SELECT capture, i, v FROM f WHERE v > 100), d AS (SELECT f.capture, f.i, p.i AS near_i, p.v, row_number() OVER (PARTITION BY f.capture, f.i ORDER BY abs(p.i - f.i), p.i) AS k FROM f JOIN p ON f.capture = p.capture)
 SELECT capture, i, near_i, v FROM d WHERE k = 1""")
 def d3_d5_nearest_sample(spark, sf):
     f = frames(spark, sf)
-    return joins.nearest(f.select("capture", "i"), f.where("i % 6 = 0"), "capture", "i", "v").select("capture", "i", "near_i", "v")
+    return joins.nearest(f.select("capture", "i"), f.where("v > 100"), "capture", "i", "v").select("capture", "i", "near_i", "v")
 
 
 @query(""", s AS (SELECT r AS k, r * 150000.0 AS lo, r * 150000.0 + 20000 AS hi FROM range(12) x(r)) SELECT event_id FROM f WHERE EXISTS (SELECT 1 FROM s WHERE t BETWEEN lo AND hi)""")
 def d10_within_spans(spark, sf):
     spans = spark.range(12).select((F.col("id") * 150000.0).alias("lo"), (F.col("id") * 150000.0 + 20000).alias("hi"))
-    return joins.within_any(frames(spark, sf), F.broadcast(spans), "t").select("event_id")
+    return joins.within_any(frames(spark, sf), spans, "t").select("event_id")
 
 
-@query(""" SELECT event_id, min(state) OVER w <> max(state) OVER w AS near FROM f WINDOW w AS (PARTITION BY capture ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""")
+@query(""" SELECT event_id, v > 150 OR min(state) OVER w <> max(state) OVER w AS near FROM f WINDOW w AS (PARTITION BY capture ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""")
 def d12_differs_nearby(spark, sf):
-    return joins.differs_nearby(frames(spark, sf), KEY, "i", "state", 2).select("event_id", "near")
+    return joins.differs_nearby(frames(spark, sf), KEY, "i", "state", 2, F.col("v") > 150).select("event_id", "near")
 
 
-@query(""", n AS (SELECT a.event_id, arg_min(b.state, CASE WHEN b.i > a.i THEN b.i - a.i ELSE 1000 + a.i - b.i END) AS other FROM f a JOIN f b ON a.capture = b.capture AND b.state <> a.state AND abs(b.i - a.i) <= 3 GROUP BY 1)
-SELECT f.event_id, n.other FROM f LEFT JOIN n ON f.event_id = n.event_id""")
+@query(""", g AS (SELECT *, i // 50 % 3 = 1 AS beads, v > 170 AS dense FROM f),
+n AS (SELECT a.event_id, arg_min(b.state, b.i) AS other, arg_min(b.beads, b.i) AS there FROM g a JOIN g b ON a.capture = b.capture AND b.state <> a.state AND abs(b.i - a.i) <= 3 GROUP BY 1)
+SELECT g.event_id, n.other, CASE WHEN n.other IS NOT NULL AND (beads OR there) AND NOT dense THEN 1 ELSE 20 END AS stack FROM g LEFT JOIN n ON g.event_id = n.event_id""")
 def d13_first_other_state(spark, sf):
-    return joins.first_other_state(frames(spark, sf), KEY, "i", "state", 3).select("event_id", "other")
+    f = frames(spark, sf).withColumns({"beads": F.floor(F.col("i") / 50) % 3 == 1, "dense": F.col("v") > 170, "stack": F.lit(20)})
+    return joins.unstack_near_contacts(f, KEY, "i", "state", "stack", 3, "beads", "dense").select("event_id", F.col("other.state").alias("other"), "stack")
 
 
 @query(""" SELECT capture, arg_min(event_id, t) AS "first", arg_max(event_id, t) AS "last", round(max(t) - min(t), 4) AS gap FROM f GROUP BY capture HAVING count(*) > 1""")
@@ -455,14 +466,16 @@ def c12_i9_not_done(spark, sf):
 # ---------------------------------------------------------------- fits
 
 
-@query(""", k0 AS (SELECT capture, t, v, count(*) OVER (PARTITION BY capture) AS total FROM f), """ + ", ".join(
-    f"""l{j} AS (SELECT capture, regr_slope(v, t) AS s, regr_intercept(v, t) AS c FROM k{j} GROUP BY capture),
-r{j} AS (SELECT k.*, abs(v - (c + s * t)) AS r FROM k{j} k JOIN l{j} l ON k.capture = l.capture),
+@query(""", k0 AS (SELECT capture, t, v FROM f), """ + ", ".join(
+    f"""l{j} AS (SELECT capture, count(*) AS n, CASE WHEN count(*) < 2 THEN 0.0 WHEN count(*) * count(*) * var_pop(t) < 1e-9 THEN 0.0 ELSE regr_slope(v, t) END AS s,
+  CASE WHEN count(*) < 2 THEN 0.0 WHEN count(*) * count(*) * var_pop(t) < 1e-9 THEN avg(v) ELSE regr_intercept(v, t) END AS c, count(*) < 2 OR count(*) * count(*) * var_pop(t) < 1e-9 AS flat FROM k{j} GROUP BY capture),
+r{j} AS (SELECT k.*, l.n, l.flat, abs(v - (c + s * t)) AS r FROM k{j} k JOIN l{j} l ON k.capture = l.capture),
 q{j} AS (SELECT capture, list_sort(list(r))[len(list(r)) // 2 + 1] AS m FROM r{j} GROUP BY capture),
 g{j} AS (SELECT r.*, r <= greatest(2.5 * m, 0.5) AS ok FROM r{j} r JOIN q{j} q ON r.capture = q.capture),
-n{j} AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY capture) >= greatest(4, 0.3 * total) AS go FROM g{j}),
-k{j + 1} AS (SELECT capture, t, v, total FROM n{j} WHERE ok OR NOT go)""" for j in range(2)) + """
-SELECT capture, round(regr_slope(v, t) * 1000000, 4) AS slope, round(regr_intercept(v, t), 4) AS intercept, count(*) AS n FROM k2 GROUP BY capture""")
+n{j} AS (SELECT *, NOT flat AND sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY capture) >= greatest(4, 0.3 * n) AS go FROM g{j}),
+k{j + 1} AS (SELECT capture, t, v FROM n{j} WHERE ok OR NOT go)""" for j in range(3)) + """,
+z AS (SELECT capture, count(*) AS n FROM k3 GROUP BY capture)
+SELECT l2.capture, round(s * 1000000, 4) AS slope, round(c, 4) AS intercept, z.n FROM l2 JOIN z ON l2.capture = z.capture""")
 def g1_robust_line(spark, sf):
     return fits.robust_line(frames(spark, sf), KEY, "t", "v").select("capture", F.round(F.col("slope") * 1000000, 4).alias("slope"), F.round("intercept", 4).alias("intercept"), "n")
 
