@@ -17,6 +17,11 @@ def last_wins(left: DataFrame, right: DataFrame, keys: Sequence[str], order: str
     return left.join(one, list(keys), how)
 
 
+def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], ok: Column) -> DataFrame:
+    """Rows with what was measured for them, where that is ``ok``; the engine picks the side to send by its size."""
+    return left.join(right.where(ok), list(keys), "left")
+
+
 def range_join(points: DataFrame, ranges: DataFrame, key: str, i: str, start: str = "start", count: str = "count", bin: int = 1024) -> DataFrame:
     """Points within half-open ranges of the same key: both meet in bins of the index, so a key's points and ranges are not all paired."""
     bins = F.sequence(F.floor(F.col(start) / bin), F.floor((F.col(start) + F.col(count) - 1) / bin))

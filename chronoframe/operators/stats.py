@@ -79,3 +79,18 @@ def mean_of_means(df: DataFrame, keys: Sequence[str], inner: str, x: str, least:
     """Mean over inner groups of at least ``least`` rows of their means, clamped."""
     m = df.groupBy(*keys, inner).agg(F.avg(x).alias("m"), F.count("*").alias("n")).where(F.col("n") >= least)
     return m.groupBy(*keys).agg(F.least(F.greatest(F.avg("m"), F.lit(-clamp)), F.lit(clamp)).alias("bias"), F.count("*").alias("groups"))
+
+
+def counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of each key."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def slot_medians(df: DataFrame, keys: Sequence[str], xs: str) -> DataFrame:
+    """Upper median of each slot of an array, over the rows of a key."""
+    return upper_median(df.select(*keys, F.posexplode(xs).alias("slot", "__x")), [*keys, "slot"], "__x", "med")
+
+
+def pedestal(df: DataFrame, keys: Sequence[str], x: str, percent: float, share: float) -> DataFrame:
+    """The additive level of a plane: a share of a low percentile, interpolated."""
+    return df.groupBy(*keys).agg((F.percentile(x, percent / 100) * share).alias("pedestal"))

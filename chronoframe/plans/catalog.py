@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import scalar
-from ..operators import fits, joins, sequences, stats
+from ..functions import scalar, text
+from ..operators import chapters, fits, joins, placement, sequences, stats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -530,3 +530,157 @@ def i7_i8_set_operations(spark, sf):
     f = frames(spark, sf)
     both = f.where("state = 'error'").select("i").intersect(f.where("state = 'view'").select("i"))
     return f.where("v > 150").select("i").union(both).distinct()
+
+
+# ---------------------------------------------------------------- chapters, placement, text
+
+
+_FLAGS = """, g AS (SELECT *, CASE WHEN i // 10 % 5 >= 3 THEN 'unfiltered' ELSE 'filtered' END AS kind, i // 10 % 5 = 2 AND i > 20 AS resolve, i // 10 % 5 = 3 AND v > 20 AS bead FROM f)"""
+
+
+def _flagged(spark, sf):
+    phase = F.floor(F.col("i") / 10) % 5
+    return frames(spark, sf).withColumns({"state": F.when(phase >= 3, "unfiltered").otherwise("filtered"), "resolve": (phase == 2) & (F.col("i") > 20), "bead": (phase == 3) & (F.col("v") > 20)})
+
+
+@query(_FLAGS + """, b AS (SELECT *, kind = 'filtered' AND NOT resolve AS p, kind = 'unfiltered' AND NOT bead AND NOT resolve AS c FROM g),
+m AS (SELECT capture, i, 'partial phases' AS chapter, 1.0 AS weight, 'end' AS place FROM b WHERE p UNION ALL SELECT capture, i, 'the filter coming off', 1.0, 'start' FROM b WHERE resolve
+  UNION ALL SELECT capture, i, 'second contact', 1.5, 'start' FROM b WHERE bead UNION ALL SELECT capture, i, 'totality', 1.5, 'middle' FROM b WHERE c),
+k AS (SELECT *, i - row_number() OVER (PARTITION BY capture, chapter ORDER BY i) AS grp FROM m),
+r AS (SELECT capture, chapter, weight, place, min(i) AS start, count(*) AS count FROM k GROUP BY capture, chapter, weight, place, grp),
+z AS (SELECT capture, count(*) AS n, min(CASE WHEN kind = 'unfiltered' THEN i END) AS t0 FROM g GROUP BY capture),
+e AS (SELECT r.*, chapter = 'partial phases' AND (t0 IS NULL OR start + count <= t0) AS early FROM r JOIN z ON r.capture = z.capture),
+o AS (SELECT *, row_number() OVER (PARTITION BY capture, chapter ORDER BY early DESC, CASE WHEN early THEN start + count ELSE count END DESC, start) AS k FROM e),
+w AS (SELECT *, CAST(round_even(90 * weight / sum(weight) OVER (PARTITION BY capture), 0) AS BIGINT) AS want FROM o WHERE k = 1),
+t AS (SELECT *, least(want, count) AS n FROM w WHERE want >= 10 AND least(want, count) >= 10),
+s AS (SELECT capture, chapter, start + CASE place WHEN 'start' THEN 0 WHEN 'end' THEN count - n ELSE (count - n) // 2 END AS start, n AS count FROM t)
+SELECT * FROM s UNION ALL SELECT capture, 'the whole sequence', 0, least(90, n) FROM z WHERE capture NOT IN (SELECT capture FROM s)""")
+def f8_c8_pick_segments(spark, sf):
+    return chapters.pick_segments(_flagged(spark, sf), KEY, "i")
+
+
+@query(""", b AS (SELECT *, i // 40 AS blk FROM f), g AS (SELECT capture || ':' || blk AS seg, min(i) AS start, count(*) - 20 AS n FROM b GROUP BY 1),
+r AS (SELECT seg, j, start + least(n - 1, CAST(floor(j * n / CAST(greatest(n, 36) AS DOUBLE)) AS BIGINT)) AS i FROM g, range(36) x(j) WHERE n >= 2),
+p AS (SELECT capture || ':' || blk AS seg, i, t FROM b WHERE v > 40),
+d AS (SELECT r.seg, r.j, r.i, p.i AS near_i, p.t, row_number() OVER (PARTITION BY r.seg, r.j ORDER BY abs(p.i - r.i), p.i) AS k FROM r LEFT JOIN p ON p.seg = r.seg)
+SELECT seg, j, i, round(t + (i - near_i) / 23.3, 6) AS t FROM d WHERE k = 1""")
+def f15_dense_points(spark, sf):
+    f = frames(spark, sf).withColumn("seg", F.concat_ws(":", "capture", F.floor(F.col("i") / 40)))
+    segs = f.groupBy("seg").agg(F.min("i").alias("start"), F.count("*").alias("count"))
+    return chapters.dense_points(segs, f.where("v > 40"), "seg", "i", "t", 1.2, 30, 23.3, 20).select("seg", "j", "i", r6(F.col("t"), "t"))
+
+
+@query(_FLAGS + """, h AS (SELECT *, i // 25 AS file, 1 + v / 200 AS gain FROM g),
+a AS (SELECT *, row_number() OVER (PARTITION BY capture, file ORDER BY i) - 1 AS pos, count(*) OVER (PARTITION BY capture, file) AS n,
+  coalesce(file <> lag(file) OVER w OR i * 3 - lag(i * 3) OVER w > 40 OR greatest(gain / lag(gain) OVER w, lag(gain) OVER w / gain) > 1.9, false) AS cut FROM h WINDOW w AS (PARTITION BY capture ORDER BY i)),
+c AS (SELECT capture, i, max(CAST(cut AS INTEGER)) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN 4 PRECEDING AND 1 FOLLOWING) AS near FROM a),
+q AS (SELECT capture, i, row_number() OVER (PARTITION BY capture ORDER BY i) - 1 AS pos, count(*) OVER (PARTITION BY capture) AS n FROM h WHERE resolve),
+u AS (SELECT capture, i, row_number() OVER (PARTITION BY capture ORDER BY i) - 1 AS pos, count(*) OVER (PARTITION BY capture) AS n FROM h WHERE bead)
+SELECT capture, i FROM a WHERE pos = 0 OR pos = n // 2 UNION SELECT capture, i FROM c WHERE near = 1
+UNION SELECT capture, i FROM q WHERE pos = 0 OR pos = n // 2 OR pos = n - 1 UNION SELECT capture, i FROM u WHERE pos = 0 OR pos = n // 2 OR pos = n - 1""")
+def f10_sample_frames(spark, sf):
+    f = _flagged(spark, sf).withColumns({"file": F.floor(F.col("i") / 25), "index": F.col("i") * 3, "gain": 1 + F.col("v") / 200})
+    return chapters.sample_frames(f, KEY, "i", ["file"], "file", "index", "gain", ["resolve", "bead"], jump=1.9)
+
+
+@query(_SEGS + """ SELECT capture, start, count FROM (SELECT *, CASE WHEN med < 60 THEN 'transition' ELSE 'stable' END AS kind FROM sg) WHERE kind <> 'transition' OR count >= 3""")
+def c3_short_transitions(spark, sf):
+    segs = sequences.segments(_bright(spark, sf), KEY, "i", "b").withColumn("kind", F.when(F.col("med") < 60, "transition").otherwise("stable"))
+    return chapters.drop_short_transitions(segs).select("capture", "start", "count")
+
+
+@query(""" SELECT capture, i FROM f WHERE i >= 17""")
+def i4_from_start(spark, sf):
+    return chapters.from_start(frames(spark, sf), "i", 17).select("capture", "i")
+
+
+@query(""", g AS (SELECT capture, i // 30 AS grp, i, 50 + v / 4 * sin(i * 0.05) AS x, 20 + v / 40 AS y, state = 'error' AS dense, v < 2 AS cen FROM f),
+a AS (SELECT *, count(*) OVER w AS n, min(CAST(cen AS INTEGER)) OVER w = 1 AS allc, dense AND min(CAST(dense AS INTEGER)) OVER w = 0 AS left_out FROM g WINDOW w AS (PARTITION BY capture, grp)),
+h AS (SELECT *, sqrt((x - 50) ** 2 + (y - 20) ** 2) AS dev, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS st FROM a WHERE NOT left_out WINDOW w AS (PARTITION BY capture, grp ORDER BY i)),
+m AS (SELECT capture, grp, any_value(n) AS n, any_value(allc) AS allc, max(dev) AS far, list_sort(list(st) FILTER (WHERE st IS NOT NULL)) AS steps FROM h GROUP BY 1, 2)
+SELECT capture, grp, allc OR (n >= 12 AND far > 15 AND coalesce(steps[len(steps) // 2 + 1] < 8, false)) AS follow FROM m""")
+def f23_follow(spark, sf):
+    f = frames(spark, sf).withColumns({"grp": F.floor(F.col("i") / 30), "x": 50 + F.col("v") / 4 * F.sin(F.col("i") * 0.05), "y": 20 + F.col("v") / 40})
+    return placement.follow_decision(f, ["capture", "grp"], "i", "x", "y", F.lit(50.0), F.lit(20.0), F.col("v") < 2, F.col("state") == "error", F.lit(True))
+
+
+@query(""" SELECT event_id FROM f WHERE state <> 'error' AND sqrt((v - (0.0001 * t + 10)) ** 2 + (v / 2 - 20) ** 2) <= 40""")
+def f37_place_partials(spark, sf):
+    f = frames(spark, sf).withColumn("y", F.col("v") / 2)
+    return placement.place_partials(f, "v", "y", 0.0001 * F.col("t") + 10, F.lit(20.0), F.col("state") != "error").select("event_id")
+
+
+@query(""", g AS (SELECT capture, i, CASE WHEN v > 60 THEN NULL ELSE v END AS x FROM f)
+SELECT capture, i, coalesce(last_value(x IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 960.0) AS x FROM g""")
+def f26_inherit_position(spark, sf):
+    f = frames(spark, sf).withColumn("x", F.when(F.col("v") <= 60, F.col("v")))
+    return placement.inherit_position(f, KEY, "i", "x", 960.0).select("capture", "i", "x")
+
+
+@query(_SEGS + """, k AS (SELECT *, CASE WHEN count < 4 THEN 'transition' ELSE 'stable' END AS kind, 0.78 * 65535 / (mx + 1) AS direct, med + 1 AS e, capture % 2 = 0 AS tot FROM sg),
+n AS (SELECT *, CASE WHEN tot AND kind = 'stable' THEN direct ELSE 1.5 END AS gain,
+  first_value(CASE WHEN kind = 'stable' THEN direct END IGNORE NULLS) OVER w AS ng, first_value(CASE WHEN kind = 'stable' THEN e END IGNORE NULLS) OVER w AS ne FROM k WINDOW w AS (PARTITION BY capture ORDER BY start ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+b AS (SELECT capture, start AS slow FROM (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY gain DESC, start) AS q FROM n WHERE tot AND kind = 'stable') WHERE q = 1),
+a AS (SELECT n.*, CASE WHEN tot AND kind <> 'stable' AND ng IS NOT NULL THEN ng * ne / e ELSE gain END AS anchor, coalesce(start = slow, false) AS slow FROM n LEFT JOIN b ON n.capture = b.capture)
+SELECT capture, start, round(gain, 4) AS gain, round(anchor, 4) AS anchor, slow, round(least(anchor * e / (e + 3), 0.9 * 0.78 * 65535 / greatest(mx + 1, 1 / 65535)), 4) AS ramp FROM a""")
+def f41_f42_f44_totality_gains(spark, sf):
+    segs = sequences.segments(_bright(spark, sf), KEY, "i", "b").withColumns({"kind": F.when(F.col("count") < 4, "transition").otherwise("stable"), "p99": F.col("max") + 1, "e": F.col("med") + 1, "chain": F.lit(1.5)})
+    found = placement.totality_gains(segs, KEY, "start", "kind", "chain", "p99", "e", F.col("capture") % 2 == 0, 0.78, 65535.0)
+    ramp = placement.ramp_gain(F.col("anchor"), F.col("e"), F.col("e") + 3, F.col("p99"), 0.78, 65535.0, 0.9)
+    return found.select("capture", "start", F.round("gain", 4).alias("gain"), F.round("anchor", 4).alias("anchor"), "slow", F.round(ramp, 4).alias("ramp"))
+
+
+@query(""", s AS (SELECT capture, i - 16 AS lo, i AS hi, lag(v, 16) OVER w AS lo_med, v AS hi_med FROM f WINDOW w AS (PARTITION BY capture ORDER BY i)),
+b0 AS (SELECT capture, lo, hi, lo AS a, hi AS b, (log2(greatest(lo_med, 1.0 / 65535)) + log2(greatest(hi_med, 1.0 / 65535))) / 2 AS target, hi_med > lo_med AS rising FROM s WHERE abs(hi_med - lo_med) > 60),
+""" + ", ".join(f"""b{j + 1} AS (SELECT b.capture, lo, hi, target, rising, CASE WHEN b - a > 1 AND (log2(greatest(v, 1.0 / 65535)) >= target) <> rising THEN (a + b) // 2 ELSE a END AS a,
+  CASE WHEN b - a > 1 AND (log2(greatest(v, 1.0 / 65535)) >= target) = rising THEN (a + b) // 2 ELSE b END AS b FROM b{j} b JOIN f ON f.capture = b.capture AND f.i = (a + b) // 2)""" for j in range(5)) + " SELECT capture, lo, hi, b AS frame FROM b5")
+def f2_refine_boundaries(spark, sf):
+    f = frames(spark, sf)
+    w = Window.partitionBy("capture").orderBy("i")
+    edges = f.select("capture", (F.col("i") - 16).alias("lo"), F.col("i").alias("hi"), F.lag("v", 16).over(w).alias("lo_med"), F.col("v").alias("hi_med")).where("abs(hi_med - lo_med) > 60")
+    return placement.refine_boundaries(edges, f, "capture", "i", "v", 16)
+
+
+@query(""", s(lo, hi) AS (VALUES (30.0, 10.0), (50.0, 90.0), (NULL, 5.0)) SELECT least(lo, hi) AS lo, greatest(lo, hi) AS hi FROM s WHERE lo IS NOT NULL AND hi IS NOT NULL""")
+def f33_bead_windows(spark, sf):
+    measured = spark.createDataFrame([(30.0, 10.0), (50.0, 90.0), (None, 5.0)], "lo double, hi double")
+    return placement.bead_windows(measured, _CONTACTS)
+
+
+@query(f""", p AS (SELECT event_id, t, sqrt(pow(0.0004 * t - 400, 2) + 25) AS sep, t % 100000 < 500 AS bead FROM f),
+c AS (SELECT CASE WHEN bead THEN 'baily''s beads' WHEN t BETWEEN {_CONTACTS['c2']!r} AND {_CONTACTS['c3']!r} THEN 'totality' WHEN sep < 571 THEN 'partial' WHEN t < {_CONTACTS['c1']!r} THEN 'before first contact' ELSE 'after fourth contact' END AS phase FROM p)
+SELECT phase, count(*) AS n FROM c GROUP BY phase""")
+def e13_phase_counts(spark, sf):
+    return stats.counts(f32_f34_phase(spark, sf), ["phase"])
+
+
+@query(""", g AS (SELECT capture, state, unnest([0, 1]) AS slot, unnest([v, v + i % 7]) AS x FROM f)
+SELECT capture, state, CAST(slot AS BIGINT) AS slot, list_sort(list(x))[len(list(x)) // 2 + 1] AS med FROM g GROUP BY 1, 2, 3""")
+def e17_clip_medians(spark, sf):
+    f = frames(spark, sf).withColumn("xs", F.array(F.col("v"), F.col("v") + F.col("i") % 7))
+    return stats.slot_medians(f, ["capture", "state"], "xs").select("capture", "state", F.col("slot").cast("long").alias("slot"), "med")
+
+
+@query(""" SELECT capture, round(quantile_cont(v, 0.01) * 0.9, 6) AS pedestal FROM f GROUP BY capture""")
+def b13_sky_pedestal(spark, sf):
+    return stats.pedestal(frames(spark, sf), KEY, "v", 1.0, 0.9).select("capture", r6(F.col("pedestal"), "pedestal"))
+
+
+@query(""", e AS (SELECT event_id, v, t, string_split(format('{:.4e}', v + 0.00001), 'e') AS x, CAST(round_even(least(v / 500, 1) * 28, 0) AS BIGINT) AS n, CAST(floor(t) AS BIGINT) AS s FROM f)
+SELECT event_id, x[1] || 'e' || CAST(CAST(x[2] AS INTEGER) AS VARCHAR) AS number, repeat('#', n) || repeat('.', 28 - n) AS bar, (s // 3600) || ':' || lpad(CAST(s // 60 % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') AS clock,
+       v > 0.3 * 2 * least(t, 300) AS too_large, least(v * CASE WHEN v > 100 THEN 0.5 ELSE 0.1 END, 1000000) <= 20 AS few FROM e""")
+def b25_c9_c11_text(spark, sf):
+    f, v, t = frames(spark, sf), F.col("v"), F.col("t")
+    return f.select("event_id", text.exponential(v + 0.00001, 4).alias("number"), text.bar(F.least(v / 500, F.lit(1.0))).alias("bar"), text.clock(t).alias("clock"), text.panel_too_large(v, t, F.lit(300.0), 2).alias("too_large"), text.few_enough(v, F.when(v > 100, 0.5), F.lit(None).cast("double"), 20).alias("few"))
+
+
+@query(""" SELECT event_id FROM f WHERE abs(v / 500 - (1 - v / 400)) <= 0.35""")
+def c14_lit_area(spark, sf):
+    return frames(spark, sf).where(placement.lit_area_agrees(F.col("v") / 500, 1 - F.col("v") / 400)).select("event_id")
+
+
+@query(""", s AS (SELECT capture, i AS k, i * 2 AS shift, v > 30 AS ok FROM f WHERE state = 'view') SELECT f.event_id, s.shift FROM f LEFT JOIN s ON s.capture = f.capture AND s.k = f.i AND s.ok""")
+def d7_d8_d16_lookups(spark, sf):
+    f = frames(spark, sf)
+    shifts = f.where("state = 'view'").select("capture", "i", (F.col("i") * 2).alias("shift"), (F.col("v") > 30).alias("ok"))
+    return joins.lookup(f, shifts, ["capture", "i"], F.col("ok")).select("event_id", "shift")
