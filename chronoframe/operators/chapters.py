@@ -91,6 +91,7 @@ def sample_frames(frames: DataFrame, keys: Sequence[str], seq: str, clip: Sequen
 
     own, before = F.coalesce(F.col(gain), F.lit(1.0)), F.coalesce(F.lag(gain).over(w), F.lit(1.0))
     cut = (F.col(file) != F.lag(file).over(w)) | (F.col(index) - F.lag(index).over(w) > gap) | (F.greatest(own / before, before / own) > jump)
+    cut = F.lag(seq).over(w).isNotNull() & cut
     near = F.max(F.col("__cut").cast("int")).over(w.rowsBetween(-(dissolve + 1), 1)) == 1
     out = picked(frames, [*keys, *clip], False).unionByName(frames.withColumn("__cut", F.coalesce(cut, F.lit(False))).withColumn("__near", near).where("__near").select(*keys, seq))
     for flag in flags:
