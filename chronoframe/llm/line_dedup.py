@@ -204,6 +204,13 @@ def segment_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def byte_counts(lines: list[bytes]) -> np.ndarray:
+    """A row a line: how many of its bytes fall in each of 64 slots."""
+    data = np.frombuffer(b"".join(lines), np.uint8)
+    owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    return np.bincount(owner * 64 + (data & 63), minlength=len(lines) * 64).reshape(-1, 64).astype(np.int32)
+
+
 def pair_counts(lines: list[bytes]) -> np.ndarray:
     """A row a line: how many of its pairs of neighbouring bytes fall in each of SLOTS slots."""
     data = np.frombuffer(b"".join(lines), np.uint8)
@@ -291,6 +298,8 @@ class Lines:
         self.lines = lines
         self.chars = np.array([len(x) for x in lines], np.int64)
         self.wide = np.where(self.chars == np.array([len(x) for x in raw], np.int64), 2, 5)
+        self.bytes = byte_counts(raw)
+        self.size = self.bytes.sum(axis=1)
         self.counts = pair_counts(raw)
         self.total = self.counts.sum(axis=1)
 
@@ -302,6 +311,10 @@ class Lines:
         for at in range(0, len(i), 4096):
             some = np.flatnonzero(out[at : at + 4096]) + at
             x, y = i[some], j[some]
+            common = np.minimum(self.bytes[x], self.bytes[y]).sum(axis=1, dtype=np.int64)
+            out[some] = np.maximum(self.size[x], self.size[y]) - common <= (np.maximum(self.wide[x], self.wide[y]) - 1) * most[some]
+            some = some[out[some]]
+            x, y = i[some], j[some]
             common = np.minimum(self.counts[x], self.counts[y]).sum(axis=1, dtype=np.int64)
             out[some] = np.maximum(self.total[x], self.total[y]) - common <= np.maximum(self.wide[x], self.wide[y]) * most[some]
         return out
@@ -666,7 +679,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] =
         side = lambda c, body: bodies.select(F.col("line").alias(c), F.col("body").alias(body))
         return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_similar_pairs, "a long, b long")
 
-    comps = link(scratch, met, verify, rounds=2, met=True, in_lists=lambda lists: in_lists(lists, bodies))
+    comps = link(scratch, met, verify, rounds=2, met=True, in_lists=lambda lists: in_lists(lists, bodies), rank=lines.select(F.col("line").alias("id"), (-F.col("n")).alias("rank")))
     scratch.drop(bodies)
     known = lines
     if comps is not None:

@@ -27,12 +27,13 @@ PAIRS_AN_ENTRY = 4
 def _led(lists: DataFrame, comps: DataFrame | None, more: list[str]) -> DataFrame:
     """(key, id, *more, length, comp, lead, lead_comp, lead_more) of the lists with ids of several components."""
     by_key = Window.partitionBy("key")
-    if comps is None and not more:  # each id is its component: two columns are dealt, not three
+    order = ["rank"] if "rank" in lists.columns else []
+    if comps is None and not more and not order:  # each id is its component: two columns are dealt, not three
         led = lists.withColumns({"lead": F.min("id").over(by_key), "high": F.max("id").over(by_key), "length": F.count("*").over(by_key)}).where("lead <> high")
         return led.select("key", "id", "length", F.col("id").alias("comp"), "lead", F.col("lead").alias("lead_comp"))
-    led = _with_components(lists, comps).withColumns({"lead": F.min(F.struct("id", "comp", *more)).over(by_key), "low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key), "length": F.count("*").over(by_key)})
+    led = _with_components(lists, comps).withColumns({"lead": F.min(F.struct(*order, "id", "comp", *more)).over(by_key), "low": F.min("comp").over(by_key), "high": F.max("comp").over(by_key), "length": F.count("*").over(by_key)})
     held = [F.struct(*(f"lead.{c}" for c in more)).alias("lead_more")] if more else []
-    return led.where("low <> high").select("key", "id", *more, "length", "comp", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp"), *held)
+    return led.where("low <> high").select("key", "id", *order, *more, "length", "comp", F.col("lead.id").alias("lead"), F.col("lead.comp").alias("lead_comp"), *held)
 
 
 def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -41,7 +42,7 @@ def _with_components(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
     return lists.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None, fits_last: Fits | None = None, met: bool = False, in_lists: Verify | None = None) -> DataFrame | None:
+def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, known: DataFrame | None = None, prepare: Callable[[DataFrame], None] | None = None, fits: Fits | None = None, details: DataFrame | None = None, fits_last: Fits | None = None, met: bool = False, in_lists: Verify | None = None, rank: DataFrame | None = None) -> DataFrame | None:
     """(id, root) of the ids that have links.
 
     ``lists``: (key, id), and columns for ``fits``. A pair that is linked has to fit in at least one list. ``verify`` gives, of pairs (a, b), those that are linked. ``known``: links found by other means.
@@ -49,6 +50,7 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, kn
     there, ``fits_last`` has to hold as well. ``met``: the lists are (key, id, lead, length) of keys that several ids share,
     those of two ids as one row, which is done with once the pair is verified. ``in_lists`` gives the links across components
     within the lists (key, id, comp, length) that remain, instead of a join of the lists with themselves.
+    ``rank`` (id, rank): from the second round on the id of least rank leads a list; what most others are like should have it.
     """
     links = scratch.write(known, "links") if known is not None else None
     comps = components(scratch, links) if links is not None else None
@@ -84,6 +86,9 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, kn
             scratch.drop(old)
         else:
             live = live.select(entry)
+            if rank is not None:
+                live = live.join(rank, "id")
+                entry.append("rank")
     else:
         old, live = live, scratch.write(_led(live, comps, more), "lists")
         scratch.drop(old)

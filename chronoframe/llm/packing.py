@@ -31,7 +31,7 @@ END_ID = 1
 #: Pieces packed together, about.
 GROUP_PIECES = 20000
 #: Words that a worker remembers, at most; it forgets all of them then, which changes no result.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
 #: Fixed: the published splitting pattern of the vocabulary.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
