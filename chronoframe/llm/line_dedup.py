@@ -295,8 +295,12 @@ class Lines:
 
     def __init__(self, lines: list[str]):
         raw = [x.encode() for x in lines]
-        self.lines = lines
+        code = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+        used = np.flatnonzero(np.bincount(code)) if len(code) else code
+        # Numbers from one in as few bytes as they need; 0 is what stands beyond a line.
+        self.code = (np.searchsorted(used, code) + 1).astype(np.min_scalar_type(len(used) + 1))
         self.chars = np.array([len(x) for x in lines], np.int64)
+        self.start = np.cumsum(self.chars) - self.chars
         self.wide = np.where(self.chars == np.array([len(x) for x in raw], np.int64), 2, 5)
         self.bytes = byte_counts(raw)
         self.size = self.bytes.sum(axis=1)
@@ -322,12 +326,126 @@ class Lines:
     def similar(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which pairs (i, j) are similar."""
         out = self.may(i, j)
-        for k in np.flatnonzero(out).tolist():
-            a, b = self.lines[i[k]], self.lines[j[k]]
-            out[k] = within(a, b, most_edits(max(len(a), len(b))))
+        some = np.flatnonzero(out)
+        i, j = i[some], j[some]
+        swap = self.chars[i] > self.chars[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        most = ((1 - SIMILAR) * self.chars[j] + 1e-9).astype(np.int64)
+        out[some] = within_many(self.code, self.start[i], self.chars[i], self.start[j], self.chars[j], most)
         return out
 
 
+#: Cells of the tables of characters that pairs are compared in at a time, and columns between looks at which pairs are settled.
+CELLS, COLUMNS = 1 << 21, 16
+
+
+def _spread(code: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """A row for each piece of ``code``, with zeros behind it."""
+    at = np.arange(width)
+    return np.where(at < size[:, None], code[np.minimum(start[:, None] + at, len(code) - 1)], code.dtype.type(0))
+
+
+def _strip(code, a, m, b, n) -> tuple[np.ndarray, np.ndarray]:
+    """How many characters the pieces (start, size) have in common at the head, and at the tail of what is left."""
+    head, tail = np.zeros_like(m), np.zeros_like(m)
+    order = np.argsort(m)
+    for rows in _portions(m[order]):
+        k = order[rows]
+        width = int(m[k].max())
+        x, y = (_spread(code, s[k], m[k], width + 1) for s in (a, b))
+        head[k] = np.where(np.arange(width + 1) < m[k][:, None], x != y, True).argmax(axis=1)
+        left = m[k] - head[k]
+        back = np.arange(width + 1)
+        x, y = (code[np.maximum((s[k] + size[k] - 1)[:, None] - back, 0)] for s, size in ((a, m), (b, n)))
+        tail[k] = np.where(back < left[:, None], x != y, True).argmax(axis=1)
+    return head, tail
+
+
+def _portions(width: np.ndarray):
+    """Slices of rows of ascending widths that have at most CELLS cells, one row at least."""
+    at = 0
+    while at < len(width):
+        # The widest is the last, so a portion that fits by its last row fits.
+        fits = np.arange(1, len(width) - at + 1) * (width[at:] + 1) <= CELLS
+        n = max(1, int(fits.argmin()) if not fits.all() else len(fits))
+        yield slice(at, at + n)
+        at += n
+
+
+def within_many(code, a, m, b, n, most) -> np.ndarray:
+    """For each pair of pieces of ``code``, a of m characters and b of n >= m, whether their edit distance is at most ``most``."""
+    out = n - m <= most
+    todo = np.flatnonzero(out)
+    head, tail = _strip(code, a[todo], m[todo], b[todo], n[todo])
+    a, b, m, n, most = a[todo] + head, b[todo] + head, m[todo] - head - tail, n[todo] - head - tail, most[todo]
+    # The rest is settled where one is empty, or where as many edits are allowed as the longer has characters.
+    hard = np.flatnonzero(n > most)
+    out[todo[hard[m[hard] == 0]]] = False
+    hard = hard[m[hard] > 0]
+    words = most[hard] // 64 + 1
+    for w in np.unique(words).tolist():
+        k = hard[words == w]
+        k = k[np.argsort(n[k])]
+        for rows in _portions(n[k] + 64 * w):
+            x = k[rows]
+            out[todo[x]] = _banded(code, a[x], m[x], b[x], n[x], most[x], w)
+    return out
+
+
+def _banded(code, a, m, b, n, most, words: int) -> np.ndarray:
+    """Edit distances held against ``most`` by bit-parallel columns of the diagonals that a path of so few edits can reach.
+
+    Bit t of a column j is the row j - top + t; the diagonal that ends at both ends is ``own``. What goes up along it is the
+    distance, which never falls, so a pair is settled as soon as it is over ``most``.
+    """
+    own = (most - (n - m)) // 2
+    top = n - m + own
+    width = int(n.max())
+    # Row i of a line stands at top + i, so that the band of column j begins at j.
+    short = np.zeros((len(m), width + 64 * words + 1), code.dtype)
+    at = np.arange(int(m.max()))
+    r, c = np.nonzero(at < m[:, None])
+    short[r, top[r] + 1 + c] = code[a[r] + c]
+    long = _spread(code, b, n, width)
+    long[long == 0] = np.iinfo(code.dtype).max  # beyond its end a line equals nothing
+    bit = np.clip(top[:, None] - 64 * np.arange(words), 0, 64).astype(np.uint64)
+    one, ones = np.uint64(1), ~np.uint64(0)
+    up = np.where(bit < 64, ones << np.minimum(bit, np.uint64(63)), np.uint64(0)).T.copy()
+    down = np.zeros_like(up)
+    score, delta = n - m, n - m
+    shift, word = (own % 64).astype(np.uint64), own // 64
+    out, row = np.zeros(len(m), bool), np.arange(len(m))
+    for j in range(1, width + 1):
+        same = np.packbits(short[:, j : j + 64 * words] == long[:, j - 1, None], axis=1, bitorder="little").view(np.uint64).T
+        diagonal = np.empty_like(up)
+        carry = None
+        for w in range(words):
+            x = same[w] & up[w]
+            total = x + up[w]
+            over = total < x
+            if carry is not None:
+                total = total + carry
+                over |= total < carry
+            carry = over.astype(np.uint64)
+            diagonal[w] = (total ^ up[w]) | same[w] | down[w]
+        plus, minus = down | ~(diagonal | up), diagonal & up
+        step = diagonal >> one
+        if words > 1:
+            step[:-1] |= diagonal[1:] << np.uint64(63)
+        up, down = minus | ~(step | plus), step & plus
+        here = diagonal[0] if words == 1 else diagonal[word, np.arange(len(word))]
+        score = score + ((j > delta) & (j <= n) & ((here >> shift) & one == 0))
+        if j % COLUMNS == 0 or j == width:
+            live = (score <= most) & (n > j)
+            if live.sum() * 4 <= len(live) * 3:
+                out[row[(score <= most) & (n <= j)]] = True
+                if not live.any():
+                    break
+                short, long, row, score, most, delta, n, shift, word = (x[live] for x in (short, long, row, score, most, delta, n, shift, word))
+                up, down = up[:, live], down[:, live]
+    return out
+
+
 def _similar_pairs(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):

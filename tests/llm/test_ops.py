@@ -322,6 +322,20 @@ def test_filters_of_line_pairs_lose_none():
         assert all(line_dedup.within(a, b, most) == (d <= most) for most in range(14))
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh ", "aé漢😀 ", "".join(chr(0x4E00 + i) for i in range(600))])
+def test_batches_of_edit_distances(letters):
+    """Lines of one to forty machine words of diagonals, in one batch, as the plain distance has it."""
+    rng = np.random.default_rng(38)
+    lines = []
+    for length in (1, 3, 9, 50, 300, 660, 2600) * 3:
+        x = "".join(letters[i] for i in rng.integers(0, len(letters), int(rng.integers(1, length + 1))))
+        lines += [x, *(edited(rng, x, int(rng.integers(0, len(x) * 0.14 + 2))) or "a" for _ in range(3))]
+    i, j = np.array([(i, j) for i in range(len(lines)) for j in range(i) if i // 4 == j // 4 or len(lines[i] + lines[j]) < 150]).T
+    want = [line_dedup.edit_distance(lines[x], lines[y]) <= line_dedup.most_edits(max(len(lines[x]), len(lines[y]))) for x, y in zip(i, j, strict=True)]
+    assert any(want) and not all(want)
+    assert line_dedup.Lines(lines).similar(i, j).tolist() == want
+
+
 def test_runs_on_disk_give_the_same_groups(monkeypatch):
     rng = np.random.default_rng(37)
     keys, lines = rng.integers(0, 900, 4000).astype(np.uint64), rng.integers(0, 60, 4000).astype(np.uint64)
