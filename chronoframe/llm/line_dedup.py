@@ -295,6 +295,7 @@ class Lines:
 
     def __init__(self, lines: list[str]):
         raw = [x.encode() for x in lines]
+        self.lines, self.words = lines, {}
         code = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
         used = np.flatnonzero(np.bincount(code)) if len(code) else code
         # Numbers from one in as few bytes as they need; 0 is what stands beyond a line.
@@ -331,12 +332,27 @@ class Lines:
         swap = self.chars[i] > self.chars[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         most = ((1 - SIMILAR) * self.chars[j] + 1e-9).astype(np.int64)
-        out[some] = within_many(self.code, self.start[i], self.chars[i], self.start[j], self.chars[j], most)
+        # Near copies are settled by an alignment of their words; the rest takes the distance itself.
+        hard = []
+        for k, (x, y, d) in enumerate(zip(i.tolist(), j.tolist(), most.tolist(), strict=True)):
+            if aligned(self._words(x), self._words(y), d) > d:
+                hard.append(k)
+        self.words.clear()
+        hard = np.array(hard, np.int64)
+        i, j = i[hard], j[hard]
+        out[some[hard]] = within_many(self.code, self.start[i], self.chars[i], self.start[j], self.chars[j], most[hard], lambda k: (self.lines[i[k]], self.lines[j[k]]))
         return out
 
+    def _words(self, i: int) -> list[str]:
+        if i not in self.words:
+            self.words[i] = self.lines[i].split(" ")
+        return self.words[i]
+
 
 #: Cells of the tables of characters that pairs are compared in at a time, and columns between looks at which pairs are settled.
 CELLS, COLUMNS = 1 << 21, 16
+#: So many pairs, and twice as many more for each word of diagonals, pay for a batch; fewer are compared one by one.
+FEW_ROWS = 5
 
 
 def _spread(code: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
@@ -372,8 +388,11 @@ def _portions(width: np.ndarray):
         at += n
 
 
-def within_many(code, a, m, b, n, most) -> np.ndarray:
-    """For each pair of pieces of ``code``, a of m characters and b of n >= m, whether their edit distance is at most ``most``."""
+def within_many(code, a, m, b, n, most, pair) -> np.ndarray:
+    """For each pair of pieces of ``code``, a of m characters and b of n >= m, whether their edit distance is at most ``most``.
+
+    ``pair`` gives the two lines of a pair: where few pairs need many words of diagonals, one by one is the cheaper way.
+    """
     out = n - m <= most
     todo = np.flatnonzero(out)
     head, tail = _strip(code, a[todo], m[todo], b[todo], n[todo])
@@ -386,6 +405,10 @@ def within_many(code, a, m, b, n, most) -> np.ndarray:
     for w in np.unique(words).tolist():
         k = hard[words == w]
         k = k[np.argsort(n[k])]
+        if len(k) < FEW_ROWS * (1 + 2 * w):
+            for x in k.tolist():
+                out[todo[x]] = edit_distance(*pair(todo[x]), int(most[x])) <= most[x]
+            continue
         for rows in _portions(n[k] + 64 * w):
             x = k[rows]
             out[todo[x]] = _banded(code, a[x], m[x], b[x], n[x], most[x], w)
