@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, line_dedup, media, ngram_join, packing, quality, url_filter, warc
+from . import alignment, bpe, clustering, decontamination, embedding_dedup, language_id, line_dedup, media, ngram_join, packing, quality, url_filter, warc
 
 URL_RULES = (
     url_filter.Rule("com", "/en/", "block"),
@@ -76,10 +76,44 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op2_packing, op3_line_dedup, op4_media, op5_warc, op6_byte_bpe, op7_embedding_dedup, op8_url_filter, op9_language_id, op10_quality)
+    f.__name__: f for f in (op1_ngram_join, op2_packing, op3_line_dedup, op4_media, op5_warc, op6_byte_bpe, op7_embedding_dedup, op8_url_filter, op9_language_id, op10_quality, op11_alignment, op12_decontamination, op13_clustering)
 }
 
+def _clustering_sql(k: int = 40, rounds: int = 5, dim: int = 64, scale: int = 256, seed: int = 2) -> str:
+    """Lloyd's rounds, each a pair of common table expressions over (vector, component) rows."""
+    out = f"""WITH kept AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) = {dim} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {dim}),
+v AS MATERIALIZED (SELECT r, unnest(range({dim})) AS d, unnest([CAST(floor({scale} * x) AS BIGINT) FOR x IN e]) AS x FROM kept),
+s AS (SELECT r, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c FROM kept WHERE vec_id IS NOT NULL),
+c0 AS MATERIALIZED (SELECT c, d, x FROM v JOIN s ON v.r = s.r WHERE c < {k})"""
+    for i in range(rounds + 1):
+        out += f""",
+f{i} AS (SELECT r, c, sum((v.x - c.x) * (v.x - c.x)) AS far FROM v JOIN c{i} c ON v.d = c.d GROUP BY r, c),
+a{i} AS MATERIALIZED (SELECT r, c, far FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY far, c) AS k FROM f{i}) WHERE k = 1)"""
+        if i < rounds:
+            out += f""",
+m{i} AS (SELECT a.c, v.d, sum(v.x) AS s, count(*) AS n FROM v JOIN a{i} a ON v.r = a.r GROUP BY a.c, v.d),
+c{i + 1} AS MATERIALIZED (SELECT c.c, c.d, CASE WHEN s IS NULL THEN c.x WHEN s % n < 0 THEN (s - s % n) // n - 1 ELSE (s - s % n) // n END AS x FROM c{i} c LEFT JOIN m{i} m ON c.c = m.c AND c.d = m.d)"""
+    return out + f""",
+t AS (SELECT c, sum(far) AS s FROM a{rounds} GROUP BY c),
+h AS (SELECT c, sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY d)) AS h FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(far AS BIGINT) AS distance, CAST(t.s AS BIGINT) AS cluster_inertia, CAST((SELECT sum(s) FROM t) AS BIGINT) AS inertia, h.h AS centroid_sha256
+FROM kept JOIN a{rounds} a ON kept.r = a.r JOIN t ON a.c = t.c JOIN h ON a.c = h.c"""
+
+
 #: The components need transitive closure; hash and token digests and trained models have no SQL. Those are held
 #: against brute force in tests/llm.
 ORACLE_SQL = {
@@ -120,4 +154,18 @@ c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
 SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
 FROM v LEFT JOIN n ON v.vec_id = n.x JOIN c ON v.vec_id = c.x
 """,
+    "op12_decontamination": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[s : s + 9], ' ') AS p FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+places AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n),
+grams AS (SELECT r, s, n, array_to_string(w[s : s + n - 1], ' ') AS p FROM places),
+hits AS (SELECT r, s, grams.n, item_id FROM grams JOIN win ON grams.p = win.p),
+words AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(s, s + n)) AS q FROM (SELECT DISTINCT r, s, n FROM hits)) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, words.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN words ON d.r = words.r LEFT JOIN items ON d.r = items.r
+""",
+    "op13_clustering": _clustering_sql(),
 }
