@@ -19,6 +19,8 @@ bounded by the chunk, by the block, or by the longest run of text without a cut.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import os
 import re
 from functools import lru_cache
 
@@ -33,9 +35,11 @@ from .shared import Scratch, chunks, partitions_for, trim, utf8_buffers
 #: B ids of one stripe; a block has so many rows of 8 bytes an A id.
 STRIPE = 128
 #: Bytes of text turned into links at once, and rows at most.
-CHUNK, CHUNK_ROWS = 8 << 20, 1 << 15
-#: Units remembered by a worker, none longer than UNIT characters.
-REMEMBERED, UNIT = 200_000, 64
+CHUNK, CHUNK_ROWS = 4 << 20, 1 << 15
+#: Units are forgotten after a chunk that brings them over this size (characters, and bytes of links and of keeping them).
+REMEMBERED = 40 << 20
+#: Characters of new units encoded as one text.
+BLOCK = 1 << 16
 #: Sums kept by a task before it hands them on.
 HELD = 2_000_000
 #: Links of a stripe, in bytes, that one task takes.
@@ -57,12 +61,13 @@ def _byte_decoder() -> dict[str, int]:
 
 
 class Sides:
-    """Both tokenizers, their ids' bytes, and the units seen so far."""
+    """Both tokenizers, their ids' bytes, and the units seen so far: sizes, links and groups of each by its number."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel already
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -73,57 +78,92 @@ class Sides:
             self.a_bytes[i] = bytes(table[c] for c in token) if all(c in table for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b_size)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_length, self.b_length = (np.array([len(x) for x in raw], np.int64) for raw in (self.a_bytes, self.b_bytes))
+        self.decimal = [str(i) for i in range(max(self.a_size, self.b_size))]
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.groups: list[bytes] = []
-        self.sizes: list[tuple[int, int, int, int]] = []  # A tokens, B tokens, groups, links
-        self.pairs: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []  # per batch of units, rows of: tokens of A, of B, groups, links
+        self.pairs: list[np.ndarray] = []  # A id << 32 | B id of each link, unit by unit
+        self.held = 0
 
-    def units(self, text: str) -> list[str]:
-        if not self.cuts:
-            return [text]
-        parts = text.split(" ")
+    def units(self, text: str, fresh: set[str]) -> list[str]:
+        """The text's units; those not seen before are added to ``fresh``."""
+        parts = text.split(" ") if self.cuts else [text]
         known = self.number
-        for p in parts:
-            if p not in known and (not p or p[0].isspace() or p[-1].isspace() or p[0] == "▁" or p[-1] == "▁"):
-                return _CUT.split(text)
+        new = [p for p in parts if p not in known]
+        if self.cuts and any(not p or p[0].isspace() or p[-1].isspace() or p[0] == "▁" or p[-1] == "▁" for p in new):
+            parts = _CUT.split(text)
+            new = [p for p in parts if p not in known]
+        fresh.update(new)
         return parts
 
-    def align(self, unit: str) -> tuple[bytes, tuple[int, int, int, int], np.ndarray] | None:
-        """(groups, sizes, links as rows of a, b) of a unit with a space before it; None if a side doesn't give its bytes back."""
-        want = b" " + unit.encode()
-        a, b = self.a.encode(" " + unit, add_special_tokens=False).ids, self.b.encode(unit)
-        if b"".join(map(self.a_bytes.__getitem__, a)) != want or b"".join(map(self.b_bytes.__getitem__, b)) != want:
-            return None
-        ends_a = np.cumsum([len(self.a_bytes[i]) for i in a])
-        ends_b = np.cumsum([len(self.b_bytes[i]) for i in b])
+    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Ids of both sides for a space and ``text``; None if one of them doesn't give it back byte by byte."""
+        a, b, want = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text), b" " + text.encode()
+        good = b"".join(map(self.a_bytes.__getitem__, a)) == want and b"".join(map(self.b_bytes.__getitem__, b)) == want
+        return (a, b) if good else None
+
+    def learn(self, units: list[str]) -> None:
+        """Number new units, all aligned at once; -1 for those that a side doesn't give back byte by byte.
+
+        Units with a space between each two are encoded as one text, for no token crosses a cut.
+        """
+        good, flat_a, flat_b = [], [], []
+        for block in _blocks_of(units, BLOCK if self.cuts else 1):
+            told = self.encode(" ".join(block))
+            for part in [block] if told or len(block) == 1 else ([u] for u in block):
+                each = told if part is block else self.encode(part[0])
+                if each:
+                    good += part
+                    flat_a.append(np.array(each[0], np.int64))
+                    flat_b.append(np.array(each[1], np.int64))
+                else:
+                    self.number[part[0]] = -1
+        self.held += sum(map(len, units)) + 64 * len(units)
+        if not good:
+            return
+        self.number.update(zip(good, range(len(self.groups), len(self.groups) + len(good)), strict=True))
+        flat_a, flat_b = np.concatenate(flat_a), np.concatenate(flat_b)
+        ends_a, ends_b = np.cumsum(self.a_length[flat_a]), np.cumsum(self.b_length[flat_b])
+        ends = np.cumsum([len(u.encode()) + 1 for u in good])  # tokens of both sides end there
+        n_a, n_b = (np.diff(np.searchsorted(x, ends, side="right"), prepend=0) for x in (ends_a, ends_b))
         both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        at_a, at_b = np.searchsorted(ends_a, both) + 1, np.searchsorted(ends_b, both) + 1
-        text, i, j = [], 0, 0
-        for x, y in zip(at_a.tolist(), at_b.tolist(), strict=True):
-            text.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
-            i, j = x, y
+        n_groups = np.bincount(np.searchsorted(ends, both), minlength=len(good))
         # each link begins where the later of its tokens begins: one for each distinct begin of either side
-        begins = np.union1d(np.concatenate(([0], ends_a[:-1])), np.concatenate(([0], ends_b[:-1])))
+        begins = np.union1d(np.append(0, ends_a[:-1]), np.append(0, ends_b[:-1]))
         of_a, of_b = np.searchsorted(ends_a, begins, side="right"), np.searchsorted(ends_b, begins, side="right")
-        links = np.stack((np.array(a, np.int64)[of_a], np.array(b, np.int64)[of_b]), axis=1)
-        return ";".join(text).encode(), (len(a), len(b), len(both), len(links)), links
-
-    def look_up(self, unit: str) -> int:
-        """The unit's number, -1 if a side doesn't give its bytes back."""
-        n = self.number.get(unit)
-        if n is None:
-            told = self.align(unit)
-            n = -1
-            if told is not None:
-                n = len(self.groups)
-                for store, x in zip((self.groups, self.sizes, self.pairs), told, strict=True):
-                    store.append(x)
-            self.number[unit] = n
-        return n
+        n_links = np.bincount(np.searchsorted(ends, begins, side="right"), minlength=len(good))
+        self.pairs.append(flat_a[of_a] << 32 | flat_b[of_b])
+        self.sizes.append(np.stack((n_a, n_b, n_groups, n_links), axis=1))
+        self.held += 8 * len(begins)
+        text_a, text_b = ([self.decimal[i] for i in x.tolist()] for x in (flat_a, flat_b))
+        to_a, to_b = (np.searchsorted(ends_a, both) + 1).tolist(), (np.searchsorted(ends_b, both) + 1).tolist()
+        each = [f"{text_a[i]}|{text_b[j]}" if x == i + 1 and y == j + 1 else ",".join(text_a[i:x]) + "|" + ",".join(text_b[j:y]) for i, x, j, y in zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)]
+        at = np.append(0, np.cumsum(n_groups)).tolist()
+        self.groups += [";".join(each[i:j]).encode() for i, j in itertools.pairwise(at)]
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sizes, links, each unit's place among the links), by number."""
+        self.sizes = [np.concatenate(self.sizes)] if self.sizes else [np.zeros((0, 4), np.int64)]
+        self.pairs = [np.concatenate(self.pairs)] if self.pairs else [np.zeros(0, np.int64)]
+        return self.sizes[0], self.pairs[0], np.append(0, np.cumsum(self.sizes[0][:, 3]))
+
+
+def _blocks_of(units: list[str], most: int):
+    """Units in lists of about ``most`` characters."""
+    block, size = [], 0
+    for u in units:
+        block.append(u)
+        size += len(u) + 1
+        if size >= most:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
 
 
 @lru_cache(maxsize=2)
@@ -142,63 +182,39 @@ def _sum_up(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[at], np.add.reduceat(weights, at)
 
 
-def _text(side: Sides, text: str, doc: int, small: list, large: list) -> tuple[int, int, int, int, str]:
-    """(tokens of A, of B, groups, links, digest) of one text; its units go to ``small`` by number, the long ones' links to ``large``."""
-    numbers, digest, sep, sums, own = [], hashlib.sha256(), b"", np.zeros(4, np.int64), []
-    held: list[bytes] = []
-    for unit in side.units(text):
-        if len(unit) <= UNIT:
-            n = side.look_up(unit)
-            if n < 0:
-                return 0, 0, 0, 0, ""
-            numbers.append(n)
-            held.append(side.groups[n])
+def align_texts(side: Sides, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Each text's tokens of A, of B, groups, links; its digest; the links as rows (text, B id, A id, times) in order of B, A, text."""
+    fresh: set[str] = set()
+    parts = [side.units(t, fresh) if t else [] for t in texts]
+    known = side.number
+    if fresh:
+        side.learn(sorted(fresh))
+    del fresh
+    sizes, pairs, at = side.tables()
+    sums, digests = np.zeros((len(texts), 4), np.int64), []
+    numbers = []
+    for doc, p in enumerate(parts):
+        parts[doc] = None
+        own = list(map(known.__getitem__, p))
+        if not own or min(own) < 0:
+            digests.append("")
             continue
-        told = side.align(unit)
-        if told is None:
-            return 0, 0, 0, 0, ""
-        held.append(told[0])
-        digest.update(sep + b";".join(held))
-        held, sep = [], b";"
-        sums += told[1]
-        own.append(told[2])
-    if held:
-        digest.update(sep + b";".join(held))
-    if numbers:
-        numbers = np.array(numbers, np.int64)
-        distinct, times = np.unique(numbers, return_counts=True)
-        sizes = np.array([side.sizes[i] for i in distinct.tolist()], np.int64)
-        sums += (sizes * times[:, None]).sum(axis=0)
-        small.append((doc, distinct, times))
-    for x in own:
-        pair, times = np.unique(x[:, 0] << 32 | x[:, 1], return_counts=True)
-        large.append((doc, pair >> 32, pair & 0xFFFFFFFF, times))
-    return (*sums.tolist(), digest.hexdigest())
-
-
-def _links_of(side: Sides, small: list, large: list) -> np.ndarray:
-    """The links of a chunk as (doc, b, a, n) rows in order of b, a, doc; each once."""
-    docs, a, b, n = [], [], [], []
-    for doc, numbers, times in small:
-        rows = [side.pairs[i] for i in numbers.tolist()]
-        each = np.array([len(r) for r in rows])
-        flat = np.concatenate(rows)
-        a.append(flat[:, 0])
-        b.append(flat[:, 1])
-        n.append(np.repeat(times, each))
-        docs.append(np.full(len(flat), doc, np.int64))
-    for doc, x, y, times in large:
-        a.append(x)
-        b.append(y)
-        n.append(times)
-        docs.append(np.full(len(x), doc, np.int64))
-    if not docs:
-        return np.zeros((4, 0), np.int64)
-    a, b, n, docs = map(np.concatenate, (a, b, n, docs))
-    bits = int(docs.max()).bit_length()
-    key, n = _sum_up(((b * side.a_size + a) << bits) | docs, n)
+        digests.append(hashlib.sha256(b";".join(map(side.groups.__getitem__, own))).hexdigest())
+        numbers.append(np.array(own, np.int64) | doc << 40)
+    if not numbers:
+        return sums, digests, np.zeros((4, 0), np.int64)
+    numbers = np.sort(np.concatenate(numbers))
+    first = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+    times = np.diff(first, append=len(numbers))
+    docs, numbers = numbers[first] >> 40, numbers[first] & ((1 << 40) - 1)
+    some = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+    sums[docs[some]] = np.add.reduceat(sizes[numbers] * times[:, None], some, axis=0)
+    each = sizes[numbers, 3]
+    pair = pairs[np.arange(each.sum()) + np.repeat(at[numbers] - np.cumsum(each) + each, each)]
+    bits = max(1, int(docs[-1]).bit_length())
+    key, n = _sum_up((((pair & 0xFFFFFFFF) * side.a_size + (pair >> 32)) << bits) | np.repeat(docs, each), np.repeat(times, each))
     pair = key >> bits
-    return np.stack((key & ((1 << bits) - 1), pair // side.a_size, pair % side.a_size, n))
+    return sums, digests, np.stack((key & ((1 << bits) - 1), pair // side.a_size, pair % side.a_size, n))
 
 
 def links(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -216,13 +232,10 @@ def links(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
             for lo, hi in chunks(offsets, CHUNK):
                 for i in range(lo, hi, CHUNK_ROWS):
                     j = min(hi, i + CHUNK_ROWS)
-                    small: list = []
-                    large: list = []
-                    told = [_text(side, t, d, small, large) if (t := batch.column(1)[i + d].as_py()) else (0, 0, 0, 0, "") for d in range(j - i)]
-                    found = _links_of(side, small, large)
+                    sums, digests, found = align_texts(side, batch.column(1).slice(i, j - i).to_pylist())
                     rows = j - i
                     own = [pa.array(np.full(rows, -1, np.int32)), pa.array(np.full(rows, chunk)), pa.array(np.arange(rows, dtype=np.int32)), batch.column(0).slice(i, rows)]
-                    own += [pa.array([t[k] for t in told], pa.int64()) for k in range(4)] + [pa.array([t[4] for t in told], pa.string()), pa.nulls(rows, pa.binary())]
+                    own += [pa.array(np.ascontiguousarray(sums[:, k])) for k in range(4)] + [pa.array(digests, pa.string()), pa.nulls(rows, pa.binary())]
                     yield pa.RecordBatch.from_arrays(own, names=fields)
                     stripe = found[1] // STRIPE
                     edges = np.flatnonzero(np.concatenate(([True], stripe[1:] != stripe[:-1]))) if len(stripe) else np.zeros(0, np.int64)
@@ -234,7 +247,7 @@ def links(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
                         nulls = [pa.nulls(n, t) for t in types[2:9]]
                         yield pa.RecordBatch.from_arrays([pa.array(stripe[edges].astype(np.int32)), pa.array(np.full(n, chunk)), *nulls, pa.array(data, pa.binary())], names=fields)
                     chunk += 1
-                    if len(side.number) > REMEMBERED:
+                    if side.held > REMEMBERED:
                         side.clear()
             trim()
 

@@ -67,7 +67,7 @@ def rows_by_text(docs, out):
 
 
 @pytest.mark.parametrize("what", ["sf", "odd", "empty"])
-def test_alignment_against_whole_texts(spark, what, monkeypatch):
+def test_alignment_against_whole_texts(spark, what):
     docs = {"sf": lambda s: queries.table(s, SF, "documents").orderBy("doc_id").limit(250), "odd": odd_documents, "empty": empty_documents}[what](spark)
     out = alignment.align_documents(docs, A, B)
     assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -83,14 +83,17 @@ def test_alignment_of_spaces_marks_and_scripts(spark):
     rows_by_text(docs, alignment.align_documents(frame, A, B).collect())
 
 
-def test_alignment_with_small_chunks_stripes_and_shares(spark, monkeypatch):
-    """Functions that run in tasks carry the bounds of their module: the sums alone are held against each other here."""
+def test_units_give_what_whole_texts_give():
+    """Units learned together, apart or again after clear() are the same."""
     side = alignment.Sides(A, B)
-    for name, most in (("the cat's hat", 3), ("x" * 200 + " yz", 2)):
-        small, large = [], []
-        told = alignment._text(side, name, 7, small, large)
-        found = alignment._links_of(side, small, large)
-        assert found[3].sum() == told[3] and set(found[0].tolist()) == {7} and len(small) + len(large) <= most
+    texts = ["the cat's hat", "x" * 200 + " yz", None, "hat the  cat", ""]
+    whole = alignment.align_texts(side, texts)
+    assert whole[0][:, 3].tolist() == [whole[2][3][whole[2][0] == d].sum() for d in range(5)]
+    again = alignment.align_texts(side, texts)
+    side.clear()
+    apart = [alignment.align_texts(side, [t]) for t in texts]
+    assert (again[0] == whole[0]).all() and again[1] == whole[1] == [a[1][0] for a in apart] and (again[2] == whole[2]).all()
+    assert (np.concatenate([a[0] for a in apart]) == whole[0]).all()
     keys, sums = alignment._sum_up(np.array([5, 1, 5, 1, 2]), np.array([1, 2, 3, 4, 5]))
     assert keys.tolist() == [1, 2, 5] and sums.tolist() == [6, 5, 4]
     assert list(alignment._sum_up(np.zeros(0, np.int64), np.zeros(0, np.int64))[0]) == []
