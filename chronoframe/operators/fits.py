@@ -33,13 +33,20 @@ def robust_fit(t: np.ndarray, x: np.ndarray, passes: int = 3) -> tuple[float, fl
     return slope, intercept, len(t)
 
 
+def loose(k: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """A struct column whose fields may be null, as Spark declares the columns that a task returns."""
+    if isinstance(k, pa.ChunkedArray):
+        k = k.combine_chunks()
+    return pa.StructArray.from_arrays(k.flatten(), fields=[pa.field(f.name, f.type) for f in k.type])
+
+
 def robust_line(df: DataFrame, keys: Sequence[str], t: str, x: str, passes: int = 3) -> DataFrame:
     """``robust_fit`` of each key: one shuffle by key; a task holds two numbers a row of one key."""
     narrow = df.where(F.col(t).isNotNull() & F.col(x).isNotNull()).select(F.struct(*keys).alias("k"), F.col(t).cast("double").alias("t"), F.col(x).cast("double").alias("x"))
 
     def fit(table: pa.Table) -> pa.Table:
         slope, intercept, n = robust_fit(table.column("t").to_numpy(), table.column("x").to_numpy(), passes)
-        return pa.table({"k": table.column("k").slice(0, 1), "slope": [slope], "intercept": [intercept], "n": pa.array([n], pa.int64())})
+        return pa.table({"k": loose(table.column("k").slice(0, 1)), "slope": [slope], "intercept": [intercept], "n": pa.array([n], pa.int64())})
 
     found = narrow.groupBy("k").applyInArrow(fit, f"k {dict(narrow.dtypes)['k']}, slope double, intercept double, n long")
     return found.select("k.*", "slope", "intercept", "n")

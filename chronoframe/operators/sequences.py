@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .fits import loose
 from .stats import mad, upper_median
 
 
@@ -174,7 +175,7 @@ def slew_limit(df: DataFrame, keys: Sequence[str], order: str, x: str, most: flo
                 at = value if k != key else at + max(-most, min(most, value - at))
                 key = k
                 out.append(at)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["k", order, name])
+            yield pa.RecordBatch.from_arrays([loose(batch.column(0)), batch.column(1), pa.array(out, pa.float64())], names=["k", order, name])
 
     return sorted_rows.mapInArrow(run, f"k {dict(rows.dtypes)['k']}, `{order}` {kinds[order]}, `{name}` double").select("k.*", order, name)
 

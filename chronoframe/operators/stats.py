@@ -31,6 +31,47 @@ def nearest_rank(df: DataFrame, keys: Sequence[str], x: str, quantiles: dict[str
     return r.groupBy(*keys).agg(*(at_rank(x, F.least(F.col("cnt") - 1, F.floor(F.col("cnt") * F.lit(q)))).alias(n) for n, q in quantiles.items()))
 
 
+#: Keys whose brackets are sent to all tasks: some tens of megabytes.
+FEW_KEYS = 100_000
+
+
+def selected(df: DataFrame, keys: Sequence[str], x: str, quantiles: dict[str, float]) -> DataFrame:
+    """``nearest_rank`` for few keys of many rows: no key is sorted.
+
+    A mergeable sketch brackets each rank, counts place the bracket exactly, and only the distinct values within it (some
+    thousandths of the rows) are ordered. Three passes over ``df``, each counted within tasks before rows move.
+    """
+    rows = df.where(F.col(x).isNotNull()).select(*keys, F.col(x).alias("__v"))
+    names, margin = list(quantiles), 0.001
+    at = [min(1.0, max(0.0, q + d)) for q in quantiles.values() for d in (-margin, margin)]
+    brackets = rows.groupBy(*keys).agg(F.count("*").alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.percentile_approx("__v", at, 10_000).alias("__at"))
+    if keys and brackets.count() > FEW_KEYS:
+        return nearest_rank(df, keys, x, quantiles)
+
+    def end(j: int, side: int):
+        """An end of a bracket; the least or the greatest value where the margin goes past it."""
+        q = list(quantiles.values())[j]
+        past = q - margin <= 0 if side == 0 else q + margin >= 1
+        return F.col("__lo" if side == 0 else "__hi") if past else F.col("__at")[2 * j + side]
+
+    rank = [F.least(F.col("__n") - 1, F.floor(F.col("__n") * F.lit(q))) for q in quantiles.values()]
+    told = F.broadcast(brackets.select(*keys, *(e.alias(f"__{k}{j}") for j in range(len(names)) for k, e in (("a", end(j, 0)), ("b", end(j, 1)), ("k", rank[j])))))
+    near = rows.join(told, list(keys)) if keys else rows.join(told)
+    v = F.col("__v")
+    below = near.groupBy(*keys).agg(*(F.sum((v < F.col(f"__a{j}")).cast("long")).alias(f"__below{j}") for j in range(len(names))))
+    which = F.array_compact(F.array(*(F.when(v.between(F.col(f"__a{j}"), F.col(f"__b{j}")), F.lit(j)) for j in range(len(names)))))
+    inside = near.select(*keys, "__v", F.explode(which).alias("__j")).groupBy(*keys, "__j", "__v").agg(F.count("*").alias("__m"))
+    running = F.sum("__m").over(Window.partitionBy(*keys, "__j").orderBy("__v"))
+    both = inside.withColumn("__upto", running).join(F.broadcast(below), list(keys)) if keys else inside.withColumn("__upto", running).join(F.broadcast(below))
+    both = both.join(told, list(keys)) if keys else both.join(told)
+
+    def value(j: int):
+        upto = F.col("__upto") + F.col(f"__below{j}")
+        return F.max(F.when((F.col("__j") == j) & (upto > F.col(f"__k{j}")) & (upto - F.col("__m") <= F.col(f"__k{j}")), v))
+
+    return both.groupBy(*keys).agg(*(value(j).alias(n) for j, n in enumerate(names)))
+
+
 def mad(df: DataFrame, keys: Sequence[str], x: str, name: str = "mad") -> DataFrame:
     """Upper median of deviations from the upper median."""
     med = upper_median(df, keys, x, "__med")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar, text
-from ..operators import chapters, fits, joins, placement, sequences, stats
+from ..operators import chapters, fits, joins, levels, placement, rings, sequences, stats, tracking
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -684,3 +684,263 @@ def d7_d8_d16_lookups(spark, sf):
     f = frames(spark, sf)
     shifts = f.where("state = 'view'").select("capture", "i", (F.col("i") * 2).alias("shift"), (F.col("v") > 30).alias("ok"))
     return joins.lookup(f, shifts, ["capture", "i"], F.col("ok")).select("event_id", "shift")
+
+
+# ---------------------------------------------------------------- tracks
+
+
+@query(""", c AS (SELECT capture, i, 100 + 2 * i + event_id * (k + 3) * 37 % 41 + 0.0 AS x, 200 + event_id * (k + 5) * 53 % 37 + 0.0 AS y, event_id * (k + 7) * 11 % 120 + 0.0 AS n, event_id * (k + 2) * 13 % 200 + 0.0 AS arc, event_id * (k + 11) * 17 % 97 + 0.0 AS s FROM f, range(3) r(k) WHERE v > 15 * k + 5),
+l AS (SELECT capture, i, list({'s': -s, 'x': x, 'y': y, 'n': n, 'arc': arc}) AS c FROM c GROUP BY capture, i), g AS (SELECT f.capture, f.i, coalesce(l.c, []) AS c FROM f LEFT JOIN l ON f.capture = l.capture AND f.i = l.i),
+r(capture, i, lx, ly, x, y, n, arc, method) AS (SELECT DISTINCT capture, -1::BIGINT, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, '' FROM f
+ UNION ALL SELECT capture, i, coalesce(CASE WHEN u THEN best.x ELSE near.x END, lx), coalesce(CASE WHEN u THEN best.y ELSE near.y END, ly), CASE WHEN u THEN best.x ELSE near.x END, CASE WHEN u THEN best.y ELSE near.y END, CASE WHEN u THEN best.n ELSE near.n END, CASE WHEN u THEN best.arc ELSE near.arc END, CASE WHEN best IS NULL THEN 'none' WHEN u THEN 'best' ELSE 'near' END
+ FROM (SELECT *, lx IS NULL OR near IS NULL OR near.d > 400 OR ((near.arc < 100 OR near.n < 60) AND (best.arc > near.arc OR best.n > near.n)) AS u FROM
+  (SELECT g.capture, g.i, r.lx, r.ly, list_sort(g.c)[1] AS best, list_sort([{'d': (e.x - r.lx) * (e.x - r.lx) + (e.y - r.ly) * (e.y - r.ly), 's': e.s, 'x': e.x, 'y': e.y, 'n': e.n, 'arc': e.arc} FOR e IN g.c])[1] AS near FROM r JOIN g ON g.capture = r.capture AND g.i = r.i + 1)))
+SELECT capture, i, x, y, n, arc, method FROM r WHERE i >= 0""")
+def g26_g55_follow(spark, sf):
+    f, e = frames(spark, sf), F.col("event_id")
+    k = F.posexplode_outer(F.filter(F.array(*(F.struct(F.lit(k).alias("k"), (F.col("v") > 15 * k + 5).alias("there")) for k in range(3))), lambda s: s["there"])).alias("p", "s")
+    some = f.select("capture", "i", "event_id", k).withColumn("k", F.col("s.k"))
+    mixed = lambda add, times, size: (e * (F.col("k") + add) * times % size).cast("double")
+    fits_of = some.select("capture", "i", (100 + 2 * F.col("i") + mixed(3, 37, 41)).alias("x"), (200 + mixed(5, 53, 37)).alias("y"), mixed(7, 11, 120).alias("n"), mixed(2, 13, 200).alias("arc"), mixed(11, 17, 97).alias("score"))
+    return tracking.follow(fits_of, KEY, "i", 20.0).select("capture", "i", "x", "y", "n", "arc", "method")
+
+
+def _local_polynomials_sql() -> str:
+    """Spans of each width, four robust quadratic fits of each, the residuals of their middles, the widest that passes."""
+    out = """, z AS (SELECT capture, i, CAST(i AS DOUBLE) AS t, v / 50 + 12.0 * (i - 30) / (1 + abs(i - 30) / 4.0) AS x, count(*) OVER (PARTITION BY capture) AS n FROM f),
+dd AS (SELECT capture, abs(lag(x) OVER w - 2 * x + lead(x) OVER w) AS d FROM z WINDOW w AS (PARTITION BY capture ORDER BY i)),
+tol AS (SELECT capture, greatest(2.5 * list_sort(list(d))[len(list(d)) // 2 + 1] / 0.6745 / sqrt(6.0), 0.0001) AS tol FROM dd WHERE d IS NOT NULL GROUP BY capture),
+ws(capture, n, w) AS (SELECT DISTINCT capture, n, n FROM z UNION ALL SELECT capture, n, greatest(least(n, 9), w // 2) FROM ws WHERE w > least(n, 9)),
+pt AS (SELECT z.capture, z.i, z.t, ws.w, greatest(0, least(z.i - ws.w // 2, z.n - ws.w)) AS lo, greatest(1, ws.w // 4) AS q FROM z JOIN ws ON z.capture = ws.capture),
+sp AS (SELECT DISTINCT capture, w, lo FROM pt),
+k0 AS (SELECT sp.capture, sp.w, sp.lo, z.i, (2 * (z.i - sp.lo) - (sp.w - 1)) / greatest(CAST(sp.w - 1 AS DOUBLE), 1e-12) AS u, z.x, true AS keep FROM sp JOIN z ON sp.capture = z.capture AND z.i >= sp.lo AND z.i < sp.lo + sp.w)"""
+    for k in range(4):
+        out += f""",
+s{k} AS (SELECT capture, w, lo, count(*) AS m, sum(u) AS s1, sum(u * u) AS s2, sum(u * u * u) AS s3, sum(u * u * u * u) AS s4, sum(x) AS b0, sum(x * u) AS b1, sum(x * u * u) AS b2 FROM k{k} WHERE keep GROUP BY capture, w, lo),
+d{k} AS (SELECT *, m * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) AS det FROM s{k}),
+c{k} AS (SELECT capture, w, lo, m, (b0 * (s2 * s4 - s3 * s3) - s1 * (b1 * s4 - s3 * b2) + s2 * (b1 * s3 - s2 * b2)) / det AS c0, (m * (b1 * s4 - s3 * b2) - b0 * (s1 * s4 - s3 * s2) + s2 * (s1 * b2 - b1 * s2)) / det AS c1, (m * (s2 * b2 - b1 * s3) - s1 * (s1 * b2 - b1 * s2) + b0 * (s1 * s3 - s2 * s2)) / det AS c2 FROM d{k})"""
+        if k < 3:
+            out += f""",
+r{k} AS (SELECT k.*, c.m, abs(x - (c0 + c1 * u + c2 * u * u)) AS r FROM k{k} k JOIN c{k} c ON k.capture = c.capture AND k.w = c.w AND k.lo = c.lo),
+q{k} AS (SELECT capture, w, lo, greatest(2.5 * list_sort(list(r) FILTER (WHERE keep))[m // 2 + 1], 0.0001) AS cut FROM r{k} GROUP BY capture, w, lo, m),
+n{k} AS (SELECT r.*, r.keep AND r <= cut AS new FROM r{k} r JOIN q{k} q ON r.capture = q.capture AND r.w = q.w AND r.lo = q.lo),
+k{k + 1} AS (SELECT capture, w, lo, i, u, x, CASE WHEN sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY capture, w, lo) >= greatest(4, 0.4 * m) THEN new ELSE keep END AS keep FROM n{k})"""
+    return out + """,
+e AS (SELECT pt.capture, pt.i, pt.w, max(CASE WHEN k.i = pt.i THEN c0 + c1 * u + c2 * u * u END) AS fitted, list_sort(list(abs(k.x - (c0 + c1 * u + c2 * u * u))) FILTER (WHERE k.i BETWEEN pt.i - q AND pt.i + q)) AS res
+ FROM pt JOIN c3 c ON pt.capture = c.capture AND pt.w = c.w AND pt.lo = c.lo JOIN k0 k ON pt.capture = k.capture AND pt.w = k.w AND pt.lo = k.lo GROUP BY pt.capture, pt.i, pt.w),
+o AS (SELECT e.*, res[len(res) // 2 + 1] <= tol OR e.w = min(e.w) OVER (PARTITION BY e.capture) AS good FROM e JOIN tol ON e.capture = tol.capture)
+SELECT capture, i, round(arg_max(fitted, w), 5) AS fitted, CAST(max(w) AS BIGINT) AS width FROM o WHERE good GROUP BY capture, i"""
+
+
+@query(_local_polynomials_sql())
+def f30_local_polynomials(spark, sf):
+    f = frames(spark, sf).withColumn("x", F.col("v") / 50 + 12.0 * (F.col("i") - 30) / (1 + F.abs(F.col("i") - 30) / 4.0))
+    return tracking.local_polynomials(f, KEY, "i", "x", 2).select("capture", F.col("i").cast("long").alias("i"), F.round("fitted", 5).alias("fitted"), "width")
+
+
+def _fixed_radius_sql(rounds: int = 8) -> str:
+    out = """, p AS (SELECT capture, 50 + capture % 5 + (30 + v / 200) * cos(i * 0.37) AS x, 20 + (30 + v / 200) * sin(i * 0.37) AS y FROM f),
+c0 AS (SELECT DISTINCT capture, 56.0 AS cx, 15.0 AS cy, 0 AS n FROM f)"""
+    for k in range(rounds):
+        tolerance = 40 + (14 - 40) * k / (rounds - 1)
+        out += f""",
+s{k} AS (SELECT capture, sum(a * a) AS uu, sum(a * b) AS uv, sum(b * b) AS vv, sum(a * r) AS ur, sum(b * r) AS vr, count(*) AS m FROM (SELECT p.capture, (x - cx) / d AS a, (y - cy) / d AS b, d - 30.0 AS r FROM (SELECT p.capture, x, y, cx, cy, sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy)) AS d FROM p JOIN c{k} c ON p.capture = c.capture) p WHERE abs(d - 30.0) <= {tolerance!r} AND d > 0) p GROUP BY capture),
+c{k + 1} AS (SELECT c.capture, cx + CASE WHEN m >= 3 AND abs(uu * vv - uv * uv) > 1e-9 THEN (ur * vv - vr * uv) / (uu * vv - uv * uv) ELSE 0 END AS cx, cy + CASE WHEN m >= 3 AND abs(uu * vv - uv * uv) > 1e-9 THEN (vr * uu - ur * uv) / (uu * vv - uv * uv) ELSE 0 END AS cy, coalesce(m, 0) AS n FROM c{k} c LEFT JOIN s{k} s ON c.capture = s.capture)"""
+    return out
+
+
+_MOONS = _fixed_radius_sql()
+
+
+def _moons(spark, sf):
+    f = frames(spark, sf)
+    rad, turn = 30 + F.col("v") / 200, F.col("i") * 0.37
+    points = f.select("capture", (50 + F.col("capture") % 5 + rad * F.cos(turn)).alias("x"), (20 + rad * F.sin(turn)).alias("y"))
+    return tracking.fixed_radius_fits(points, KEY, "x", "y", f.select("capture").distinct().withColumns({"cx": F.lit(56.0), "cy": F.lit(15.0)}), 30.0)
+
+
+@query(_MOONS + " SELECT capture, round(cx, 5) AS cx, round(cy, 5) AS cy, n FROM c8")
+def g16_fixed_radius_fits(spark, sf):
+    return _moons(spark, sf).select("capture", F.round("cx", 5).alias("cx"), F.round("cy", 5).alias("cy"), "n")
+
+
+@query(_MOONS + """, w AS (SELECT f.capture, min(epoch_us(ts)) / 1e6 - 1704067200 AS t FROM events JOIN f ON events.event_id = f.event_id GROUP BY f.capture), o AS (SELECT c8.capture, t, cx - 60 + t / 400 AS x, cy - 20 AS y FROM c8 JOIN w ON c8.capture = w.capture),
+l AS (SELECT regr_slope(x, t) AS ax, regr_intercept(x, t) AS bx, regr_slope(y, t) AS ay, regr_intercept(y, t) AS by_, count(*) AS n FROM o),
+q AS (SELECT *, ax * ax + ay * ay AS a, 2 * (ax * bx + ay * by_) AS b, bx * bx + by_ * by_ - 900.0 AS c FROM l), z AS (SELECT *, CASE WHEN b * b - 4 * a * c >= 0 THEN sqrt(b * b - 4 * a * c) / a END AS predicted FROM q)
+SELECT round(ax, 8) AS ax, round(ay, 8) AS ay, round(predicted, 2) AS predicted, n, coalesce(abs(predicted - 24000) <= 0.25 * 24000, false) AS valid FROM z""")
+def g3_measured_track(spark, sf):
+    f = spark.read.parquet(f"{sf}/events.parquet")
+    began = f.groupBy(F.col("user_id").alias("capture")).agg((F.unix_micros(F.min(F.col("ts").cast("timestamp"))) / 1e6 - 1704067200).alias("t"))
+    offsets = _moons(spark, sf).join(began, "capture").select("t", (F.col("cx") - 60 + F.col("t") / 400).alias("x"), (F.col("cy") - 20).alias("y"))
+    told = tracking.validated_track(tracking.linear_track(offsets, "t", "x", "y"), 30.0, F.lit(24000.0))
+    return told.select(F.round("ax", 8).alias("ax"), F.round("ay", 8).alias("ay"), F.round("predicted", 2).alias("predicted"), "n", "valid")
+
+
+# ---------------------------------------------------------------- levels as tables of pixels
+
+
+def _levels(spark, sf):
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_orderkey").alias("pixel"), F.col("l_linenumber").cast("int").alias("level"), F.col("l_discount").cast("double").alias("d"))
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("pixel"), F.col("o_totalprice").cast("double").alias("o"))
+    return lines.join(orders, "pixel").select("level", "pixel", (F.col("o") / 500000 * 0.1 * F.pow(F.lit(1.4), F.col("level")) + F.col("d") * 0.05).alias("value"))
+
+
+_AFFINE = """, px AS (SELECT l_linenumber AS level, l_orderkey AS pixel, CAST(o_totalprice AS DOUBLE) / 500000 * 0.1 * pow(1.4, l_linenumber) + CAST(l_discount AS DOUBLE) * 0.05 AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+pr AS (SELECT b.level, a.value AS x, b.value AS y FROM px a JOIN px b ON a.pixel = b.pixel AND b.level = a.level + 1 WHERE a.value > 0.002 AND a.value < 0.9 AND b.value > 0.005 AND b.value < 0.85),
+s1 AS (SELECT level, regr_slope(y, x) AS a, regr_intercept(y, x) AS b, count(*) AS n, max(x) / min(x) AS span, count(*) >= 100 AND max(x) > min(x) * 3 AS ok FROM pr GROUP BY level),
+rs AS (SELECT pr.level, x, y, abs(y - (a * x + b)) AS r FROM pr JOIN s1 ON pr.level = s1.level WHERE ok AND a > 0), md AS (SELECT level, list_sort(list(r))[len(list(r)) // 2 + 1] AS m FROM rs GROUP BY level),
+s2 AS (SELECT rs.level, regr_slope(y, x) AS a2, regr_intercept(y, x) AS b2, count(*) AS n2 FROM rs JOIN md ON rs.level = md.level WHERE r <= 3 * m + 1e-9 GROUP BY rs.level),
+fit AS (SELECT s1.level, CASE WHEN n2 >= 100 THEN a2 WHEN ok THEN a ELSE 0 END AS a, CASE WHEN n2 >= 100 THEN b2 WHEN ok THEN b ELSE 0 END AS b, n, span FROM s1 LEFT JOIN s2 ON s1.level = s2.level)"""
+
+
+def _affine(spark, sf):
+    return levels.fit_affine(levels.neighbours(_levels(spark, sf), "level", "value", ["pixel"]), ["level"], "short", "long")
+
+
+@query(_AFFINE + " SELECT level, round(a, 6) AS a, round(b, 6) AS b, n, round(span, 4) AS span FROM fit")
+def g5_fit_affine(spark, sf):
+    return _affine(spark, sf).select("level", r6(F.col("a"), "a"), r6(F.col("b"), "b"), "n", F.round("span", 4).alias("span"))
+
+
+@query(_AFFINE + """, o AS (SELECT *, row_number() OVER (ORDER BY level) AS k FROM fit),
+ch(k, level, scale, off) AS (SELECT 0::BIGINT, NULL::INTEGER, 1.0::DOUBLE, 0.0::DOUBLE UNION ALL SELECT o.k, CAST(o.level AS INTEGER), CASE WHEN ch.scale > 0 AND o.a > 0 THEN ch.scale * o.a ELSE 0 END, CASE WHEN ch.scale > 0 AND o.a > 0 THEN o.a * ch.off + o.b ELSE 0 END FROM ch JOIN o ON o.k = ch.k + 1)
+SELECT level, round(scale, 6) AS scale, round(off, 6) AS "offset" FROM ch WHERE level IS NOT NULL""")
+def g33_level_chain(spark, sf):
+    return levels.level_chain(_affine(spark, sf), "level").select("level", r6(F.col("scale"), "scale"), r6(F.col("offset"), "offset"))
+
+
+@query(""", s AS (SELECT s_suppkey AS k, NULLIF(s_nationkey, 3) AS level FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_quantity >= 50 AND l_discount >= 0.1)),
+m AS (SELECT k FROM s ORDER BY coalesce(level, 1000000000), k LIMIT 1) SELECT k, level, k = (SELECT k FROM m) AS reference FROM s""")
+def d15_reference_level(spark, sf):
+    segs = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("k"), F.nullif(F.col("s_nationkey"), F.lit(3)).alias("level"))
+    made = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_quantity >= 50 and l_discount >= 0.1").select(F.col("l_suppkey").alias("k"))
+    return levels.with_artefacts(segs, made, ["k"], "level").select("k", "level", "reference")
+
+
+_PIXELS = """, px AS (SELECT l_linenumber AS image, l_orderkey AS o, (l_orderkey * 7 + l_partkey) % 160 + 0.0 AS x, (l_suppkey * 13 + l_orderkey) % 120 + 0.0 AS y, CAST(l_extendedprice AS DOUBLE) / 100000 AS value FROM lineitem),
+pl AS (SELECT *, sqrt(pow(x - (70 + image), 2) + pow(y - 60, 2)) AS d, CAST(ceil(sqrt(pow(greatest(70 + image, 160 - 70 - image), 2) + 3600)) AS INTEGER) AS rmax FROM px),
+sk AS (SELECT image, CAST(floor(d + 0.5) AS INTEGER) AS r, CAST(least(2047, greatest(0, floor((CASE WHEN value > 0 THEN log2(value) ELSE -20 END + 20) / 22 * 2047 + 0.5))) AS INTEGER) AS b, count(*) AS n FROM pl WHERE floor(d + 0.5) <= rmax GROUP BY 1, 2, 3),
+ru AS (SELECT *, sum(n) OVER (PARTITION BY image, r) AS total, sum(n) OVER (PARTITION BY image, r ORDER BY b) AS upto FROM sk),
+md AS (SELECT image, r, CAST(max(total) AS BIGINT) AS n, least(2047, min(b) + 1) AS b FROM ru WHERE upto >= total // 2 GROUP BY image, r),
+im AS (SELECT image, max(rmax) AS rmax FROM pl GROUP BY image), rr AS (SELECT image, CAST(unnest(range(0, rmax + 1)) AS INTEGER) AS r FROM im),
+g0 AS (SELECT rr.image, rr.r, coalesce(md.n, 0) AS n, CASE WHEN md.n > 0 THEN pow(2.0, -20 + md.b / 2047.0 * 22) END AS own FROM rr LEFT JOIN md ON rr.image = md.image AND rr.r = md.r),
+g1 AS (SELECT *, min(CASE WHEN r >= 20 AND n < 30 THEN r END) OVER (PARTITION BY image) - 1 AS stop, coalesce(last_value(own IGNORE NULLS) OVER (PARTITION BY image ORDER BY r ROWS UNBOUNDED PRECEDING), 1e-6) AS p FROM g0),
+g2 AS (SELECT image, r, CASE WHEN r > stop THEN max(CASE WHEN r = stop THEN p END) OVER (PARTITION BY image) ELSE p END AS p FROM g1),
+g3 AS (SELECT image, r, CASE WHEN r < 20 THEN max(CASE WHEN r = 20 THEN p END) OVER (PARTITION BY image) ELSE p END AS p FROM g2),
+g4 AS (SELECT image, r, avg(p) OVER (PARTITION BY image ORDER BY r ROWS BETWEEN 9 PRECEDING AND 9 FOLLOWING) AS sm FROM g3),
+g5 AS (SELECT image, r, pow(max(CASE WHEN r = 20 THEN sm END) OVER (PARTITION BY image) / sm, 0.55) AS gain FROM g4)"""
+
+
+@query(_PIXELS + """ SELECT o, pl.image, round(value * gain, 6) AS flat FROM pl JOIN g5 ON pl.image = g5.image AND g5.r = least(CAST(floor(d + 0.5) AS INTEGER), rmax)""")
+def g6_flatten(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    px = li.select(F.col("l_linenumber").cast("int").alias("image"), F.col("l_orderkey").alias("o"), ((F.col("l_orderkey") * 7 + F.col("l_partkey")) % 160).cast("double").alias("x"), ((F.col("l_suppkey") * 13 + F.col("l_orderkey")) % 120).cast("double").alias("y"), (F.col("l_extendedprice").cast("double") / 100000).alias("value"))
+    shape = px.select("image").distinct().withColumns({"cx": (70 + F.col("image")).cast("double"), "cy": F.lit(60.0), "width": F.lit(160.0), "height": F.lit(120.0), "limb": F.lit(20.0)})
+    return levels.flatten(px, shape, ["image"], "x", "y", "value", least=30).select("o", "image", r6(F.col("flat"), "flat"))
+
+
+@query(""", v AS (SELECT l_returnflag AS flag, CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem), q AS (SELECT flag, list_sort(list(x)) AS a, count(*) AS n FROM v GROUP BY flag)
+SELECT flag, a[floor(n * 0.05)::BIGINT + 1] AS black, a[n // 2 + 1] AS med, a[floor(n * 0.99)::BIGINT + 1] AS p99, a[n] AS top, a[1] AS least FROM q""")
+def e1_e5_selected_ranks(spark, sf):
+    v = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_returnflag").alias("flag"), F.col("l_extendedprice").cast("double").alias("x"))
+    return stats.selected(v, ["flag"], "x", {"black": 0.05, "med": 0.5, "p99": 0.99, "top": 1.0, "least": 0.0}).select("flag", "black", "med", "p99", "top", "least")
+
+
+# ---------------------------------------------------------------- placement
+
+
+def _robust_sql(rows: str, keys: str, t: str, x: str) -> str:
+    """Three passes of the robust line over a table, as CTEs that end in ``l2``."""
+    on = " AND ".join(f"k.{c} = l.{c}" for c in keys.split(", "))
+    onq, own = on.replace("k.", "r.").replace("l.", "q."), ", ".join(f"r.{c}" for c in keys.split(", "))
+    out = f", k0 AS (SELECT {keys}, {t} AS t, {x} AS v FROM {rows})"
+    for j in range(3):
+        out += f""",
+l{j} AS (SELECT {keys}, count(*) AS n, CASE WHEN count(*) < 2 THEN 0.0 WHEN count(*) * count(*) * var_pop(t) < 1e-9 THEN 0.0 ELSE regr_slope(v, t) END AS s, CASE WHEN count(*) < 2 THEN 0.0 WHEN count(*) * count(*) * var_pop(t) < 1e-9 THEN avg(v) ELSE regr_intercept(v, t) END AS c FROM k{j} GROUP BY {keys}),
+r{j} AS (SELECT k.*, l.n, abs(v - (c + s * t)) AS r FROM k{j} k JOIN l{j} l ON {on}), q{j} AS (SELECT {keys}, list_sort(list(r))[len(list(r)) // 2 + 1] AS m FROM r{j} GROUP BY {keys}),
+g{j} AS (SELECT r.*, r <= greatest(2.5 * m, 0.5) AS ok FROM r{j} r JOIN q{j} q ON {onq}), n{j} AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY {keys}) >= greatest(4, 0.3 * n) AS go FROM g{j}),
+k{j + 1} AS (SELECT {keys}, t, v FROM n{j} WHERE ok OR NOT go)"""
+    return out
+
+
+@query(""", p AS (SELECT capture, i * 5 + 0.0 AS tt, 400 + 0.02 * (capture % 7) * i + v * 0.05 AS x, 300 - 0.01 * i + i % 9 + 0.0 AS y, v <= 100 AS acc, state <> 'error' AS filtered FROM f),
+ok AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY capture) AS gn, max(tt) OVER (PARTITION BY capture) - min(tt) OVER (PARTITION BY capture) AS gs FROM p WHERE acc AND filtered) WHERE gn >= 20 AND gs > 200),
+ax AS (SELECT capture, 'x' AS axis, tt, x AS pos FROM ok UNION ALL SELECT capture, 'y', tt, y FROM ok)""" + _robust_sql("ax", "capture, axis", "tt", "pos") + """,
+md AS (SELECT list_sort(list(s) FILTER (WHERE axis = 'x'))[len(list(s) FILTER (WHERE axis = 'x')) // 2 + 1] AS gx, list_sort(list(s) FILTER (WHERE axis = 'y'))[len(list(s) FILTER (WHERE axis = 'y')) // 2 + 1] AS gy FROM l2),
+rest AS (SELECT capture, x - gx * tt AS dx, y - gy * tt AS dy, gx, gy FROM p, md WHERE acc)
+SELECT capture, round(gx, 8) AS drift_x, round(gy, 8) AS drift_y, round(list_sort(list(dx))[len(list(dx)) // 2 + 1], 6) AS at_x, round(list_sort(list(dy))[len(list(dy)) // 2 + 1], 6) AS at_y FROM rest GROUP BY capture, gx, gy""")
+def f36_shared_drift(spark, sf):
+    i, v = F.col("i"), F.col("v")
+    p = frames(spark, sf).select("capture", (i * 5).cast("double").alias("tt"), (400 + 0.02 * (F.col("capture") % 7) * i + v * 0.05).alias("x"), (300 - 0.01 * i + i % 9).alias("y"), (v <= 100).alias("acc"), (F.col("state") != "error").alias("filtered"))
+    drift = placement.shared_drift(p, KEY, "tt", "x", "y", F.col("acc"), F.col("filtered"))
+    told = placement.shared_intercepts(p, drift, KEY, "tt", "x", "y", F.col("acc"))
+    return told.select("capture", F.round("drift_x", 8).alias("drift_x"), F.round("drift_y", 8).alias("drift_y"), r6(F.col("at_x"), "at_x"), r6(F.col("at_y"), "at_y"))
+
+
+_SIZES = [(w, round(w / (4 / 3) / 20) * 20) for w in range(440, 319, -20)]
+
+
+@query(f""", p AS (SELECT capture, 260 + 5.0 * (i % 40) + v / 10 AS x, 300 + v / 3 AS y FROM f), w(j, w, h) AS (VALUES {', '.join(f'({j}, {w}, {h})' for j, (w, h) in enumerate(_SIZES))}),
+s AS (SELECT capture, j, w, h, avg(CASE WHEN x - w / 2.0 < 0 OR x + w / 2.0 > 620 OR y - h / 2.0 < 0 OR y + h / 2.0 > 480 THEN 1.0 ELSE 0.0 END) AS padded FROM p, w GROUP BY capture, j, w, h),
+b AS (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY j) AS k FROM s WHERE padded <= 0.35 OR j = {len(_SIZES) - 1}) SELECT capture, w AS window_w, h AS window_h, round(padded, 6) AS padded FROM b WHERE k = 1""")
+def f39_output_window(spark, sf):
+    p = frames(spark, sf).select("capture", (260 + 5.0 * (F.col("i") % 40) + F.col("v") / 10).alias("x"), (300 + F.col("v") / 3).alias("y"))
+    return placement.output_window(p, KEY, "x", "y", 620.0, 480.0, 100.0).select("capture", "window_w", "window_h", r6(F.col("padded"), "padded"))
+
+
+_SMOOTH = "list_sort(list({0}) OVER w)[len(list({0}) OVER w) // 2 + 1]"
+
+
+def _residual_sql(k: str) -> str:
+    """Gaps filled, rolling median of 7, mean of 9, at most 1 a step; and the lag-1 of what was measured."""
+    return f""",
+fg{k} AS (SELECT capture, i, coalesce(last_value(r{k} IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS UNBOUNDED PRECEDING), first_value(r{k} IGNORE NULLS) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS x FROM p),
+ra{k} AS (SELECT capture, i, {_SMOOTH.format('x')} AS m FROM fg{k} WINDOW w AS (PARTITION BY capture ORDER BY i ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+rb{k} AS (SELECT capture, i, avg(m) OVER (PARTITION BY capture ORDER BY i ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS m FROM ra{k}),
+rs{k}(capture, i, y) AS (SELECT capture, i, m FROM rb{k} WHERE i = 0 UNION ALL SELECT b.capture, b.i, s.y + greatest(-1, least(1, b.m - s.y)) FROM rs{k} s JOIN rb{k} b ON b.capture = s.capture AND b.i = s.i + 1),
+lm{k} AS (SELECT capture, avg(r{k}) AS m, count(*) AS n FROM p WHERE r{k} IS NOT NULL GROUP BY capture),
+ld{k} AS (SELECT p.capture, n, r{k} - m AS d, lag(r{k} - m) OVER (PARTITION BY p.capture ORDER BY i) AS q FROM p JOIN lm{k} l ON p.capture = l.capture WHERE r{k} IS NOT NULL),
+lg{k} AS (SELECT capture, CASE WHEN max(n) < 8 OR sum(d * d) <= 0 THEN 0 ELSE sum(d * q) / sum(d * d) END AS lag FROM ld{k} GROUP BY capture),
+cs{k} AS (SELECT capture, file, i, lx, ly, t, {_SMOOTH.format(f'd{k}')} AS m FROM sh WINDOW w AS (PARTITION BY capture, file ORDER BY t RANGE BETWEEN 90000 PRECEDING AND 90000 FOLLOWING)),
+ct{k} AS (SELECT *, avg(m) OVER (PARTITION BY capture, file ORDER BY t RANGE BETWEEN 90000 PRECEDING AND 90000 FOLLOWING) AS s FROM cs{k}),
+cc{k} AS (SELECT capture, i, s + avg(l{k}) OVER (PARTITION BY capture, file) - avg(s) OVER (PARTITION BY capture, file) AS c FROM ct{k})"""
+
+
+@query(""", p AS (SELECT capture, i, t, state AS level, i // 15 AS file, 400 + 0.1 * i AS lx, 300 - 0.2 * i AS ly, CASE WHEN v < 90 THEN 8 * sin(i * 0.2) + v / 40 END AS rx, CASE WHEN v > 3 THEN CASE WHEN capture % 3 = 0 THEN i * 0.2998727361 ELSE v * 0.1107219341 END END AS ry,
+  CASE WHEN v < 60 THEN v * 0.0460829493 END AS dx, CASE WHEN v < 60 THEN i * 0.0516978721 END AS dy, capture % 4 = 0 AS ring, 0.001 * i AS ox, 1 - 0.001 * i AS oy FROM f),
+sh AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY capture, file) AS n FROM p WHERE dx IS NOT NULL AND dy IS NOT NULL) WHERE n >= 8)""" + _residual_sql("x") + _residual_sql("y") + """,
+tr AS (SELECT r.capture, NOT ring AND greatest(coalesce(x.lag, -9), coalesce(y.lag, -9)) >= 0.55 AS tracked FROM (SELECT capture, bool_and(ring) AS ring FROM p GROUP BY capture) r LEFT JOIN lgx x ON r.capture = x.capture LEFT JOIN lgy y ON r.capture = y.capture),
+b0 AS (SELECT capture, file, level, avg(rx) AS mx, avg(ry) AS my FROM p WHERE rx IS NOT NULL AND ry IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) >= 4), b1 AS (SELECT capture, file, level, mx - avg(mx) OVER (PARTITION BY capture) AS mx, my - avg(my) OVER (PARTITION BY capture) AS my FROM b0),
+b2 AS (SELECT *, CASE WHEN sqrt(mx * mx + my * my) > 12 THEN 12 / sqrt(mx * mx + my * my) ELSE 1 END AS h FROM b1)
+SELECT p.capture, p.i, round(CASE WHEN cx.c IS NOT NULL THEN cx.c + CASE WHEN tracked THEN coalesce(mx * h, 0) ELSE 0 END ELSE lx + CASE WHEN tracked THEN rsx.y + coalesce(mx * h, 0) ELSE 0 END - ox END, 5) AS x,
+ round(CASE WHEN cy.c IS NOT NULL THEN cy.c + CASE WHEN tracked THEN coalesce(my * h, 0) ELSE 0 END ELSE ly + CASE WHEN tracked THEN rsy.y + coalesce(my * h, 0) ELSE 0 END - oy END, 5) AS y, CASE WHEN cx.c IS NOT NULL THEN 'corona' WHEN tracked THEN 'tracked' ELSE 'line' END AS placed
+FROM p JOIN tr ON p.capture = tr.capture JOIN rsx ON p.capture = rsx.capture AND p.i = rsx.i JOIN rsy ON p.capture = rsy.capture AND p.i = rsy.i LEFT JOIN ccx cx ON p.capture = cx.capture AND p.i = cx.i LEFT JOIN ccy cy ON p.capture = cy.capture AND p.i = cy.i
+ LEFT JOIN b2 ON p.capture = b2.capture AND p.file = b2.file AND p.level = b2.level""")
+def f38_place_totality(spark, sf):
+    i, v, c = F.col("i"), F.col("v"), F.col("capture")
+    p = frames(spark, sf).select(
+        "capture", "i", "t", F.col("state").alias("level"), F.floor(i / 15).alias("file"), (400 + 0.1 * i).alias("lx"), (300 - 0.2 * i).alias("ly"), F.when(v < 90, 8 * F.sin(i * 0.2) + v / 40).alias("rx"), F.when(v > 3, F.when(c % 3 == 0, i * 0.2998727361).otherwise(v * 0.1107219341)).alias("ry"),
+        F.when(v < 60, v * 0.0460829493).alias("dx"), F.when(v < 60, i * 0.0516978721).alias("dy"), (c % 4 == 0).alias("ring"),
+    )
+    told = placement.place_totality(p, KEY, "file", "i", "t", ["lx", "ly"], ["rx", "ry"], ["dx", "dy"], "level", F.col("ring"), [0.001 * i, 1 - 0.001 * i], smooth=90000.0)
+    return told.select("capture", "i", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), "placed")
+
+
+# ---------------------------------------------------------------- rings
+
+
+_RING = """, b AS (SELECT capture, i * 7 % 60 AS b, max(v) AS v FROM f GROUP BY 1, 2), lit AS (SELECT capture, b FROM b WHERE v > 12),
+tw AS (SELECT capture, b FROM lit UNION ALL SELECT capture, b + 60 FROM lit), ru AS (SELECT capture, b, b - row_number() OVER (PARTITION BY capture ORDER BY b) AS g FROM tw),
+rn AS (SELECT capture, min(b) AS s, least(60, count(*)) AS n FROM ru GROUP BY capture, g),
+best AS (SELECT capture, s, n FROM (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY n DESC, s) AS k FROM rn WHERE s < 60) WHERE k = 1)"""
+
+
+@query(_RING + f""", e AS (SELECT best.*, coalesce(a0.v, 0) AS a0, coalesce(a1.v, 0) AS a1, coalesce(b0.v, 0) AS b0, coalesce(b1.v, 0) AS b1 FROM best LEFT JOIN b a0 ON a0.capture = best.capture AND a0.b = (s + 59) % 60 LEFT JOIN b a1 ON a1.capture = best.capture AND a1.b = s
+ LEFT JOIN b b1 ON b1.capture = best.capture AND b1.b = (s + n - 1) % 60 LEFT JOIN b b0 ON b0.capture = best.capture AND b0.b = (s + n) % 60),
+z AS (SELECT *, CASE WHEN a1 = a0 THEN 0 ELSE least(greatest((12 - a0) / (a1 - a0), 0), 1) END AS fa, CASE WHEN b1 = b0 THEN 0 ELSE least(greatest((12 - b0) / (b1 - b0), 0), 1) END AS fb FROM e)
+SELECT capture, CAST(s AS INTEGER) AS "start", CAST(n AS INTEGER) AS length, CASE WHEN n < 60 THEN round(((s + 59) % 60 + fa) * 2 * pi() / 60, 6) END AS "first", CASE WHEN n < 60 THEN round(((s + n) % 60 - fb) * 2 * pi() / 60, 6) END AS "last",
+ round((s + (n - 1) / 2.0) % 60 * 2 * pi() / 60, 6) AS middle FROM z""")
+def g10_g13_ring_runs(spark, sf):
+    f = frames(spark, sf).withColumn("b", F.col("i") * 7 % 60)
+    runs = rings.longest_ring_run(f, KEY, "b", 60, F.col("v") > 12)
+    return rings.ring_edges(f, runs, KEY, "b", "v", 60, F.lit(12.0)).select("capture", "start", "length", *(r6(F.col(c), c) for c in ("first", "last", "middle")))
