@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import nearest
-from .sequences import runs_where
 
 #: (chapter, weight of its share, end of the run that is shown), in order.
 CHAPTERS = (("partial phases", 1.0, "end"), ("the filter coming off", 1.0, "start"), ("second contact", 1.5, "start"), ("totality", 1.5, "middle"))
@@ -47,10 +46,11 @@ def pick_segments(frames: DataFrame, keys: Sequence[str], seq: str, spec: Previe
     predicates = chapter_predicates()
     marked = frames.select(*keys, seq, *(p.alias(name) for name, p in predicates.items()), (F.col("state") == "unfiltered").alias("__total"))
     size = marked.groupBy(*keys).agg(F.count("*").alias("__n"), F.min(F.when(F.col("__total"), F.col(seq))).alias("__t0"))
-    runs = None
-    for name, weight, where in CHAPTERS:
-        found = runs_where(marked, keys, seq, F.col(f"`{name}`")).select(*keys, "start", "count", F.lit(name).alias("chapter"), F.lit(weight).alias("weight"), F.lit(where).alias("where"))
-        runs = found if runs is None else runs.unionByName(found)
+    # a row for each frame and chapter it belongs to; places in the key tell runs apart
+    each = F.array_compact(F.array(*(F.when(F.coalesce(F.col(f"`{name}`"), F.lit(False)), F.struct(F.lit(name).alias("chapter"), F.lit(weight).alias("weight"), F.lit(where).alias("where"))) for name, weight, where in CHAPTERS)))
+    placed = marked.withColumn("__at", F.row_number().over(Window.partitionBy(*keys).orderBy(seq))).select(*keys, seq, "__at", F.explode(each).alias("c")).select(*keys, seq, "__at", "c.*")
+    run = F.col("__at") - F.row_number().over(Window.partitionBy(*keys, "chapter").orderBy(seq))
+    runs = placed.withColumn("__run", run).groupBy(*keys, "chapter", "weight", "where", "__run").agg(F.min(seq).alias("start"), F.count("*").alias("count")).drop("__run")
     end = F.col("start") + F.col("count")
     early = (F.col("chapter") == CHAPTERS[0][0]) & (F.col("__t0").isNull() | (end <= F.col("__t0")))
     rank = F.struct(early.alias("early"), F.when(early, end).otherwise(F.col("count")).alias("size"), (-F.col("start")).alias("first"))
@@ -89,7 +89,8 @@ def sample_frames(frames: DataFrame, keys: Sequence[str], seq: str, clip: Sequen
         some = (F.col("__at") == 0) | (F.col("__at") == F.floor(F.col("__n") / 2))
         return marked.where(some | (F.col("__at") == F.col("__n") - 1) if last else some).select(*keys, seq)
 
-    own, before = F.coalesce(F.col(gain), F.lit(1.0)), F.coalesce(F.lag(gain).over(w), F.lit(1.0))
+    own = F.when(F.coalesce(F.col(gain), F.lit(0.0)) == 0, 1.0).otherwise(F.col(gain))
+    before = F.coalesce(F.lag(own).over(w), F.lit(1.0))
     cut = (F.col(file) != F.lag(file).over(w)) | (F.col(index) - F.lag(index).over(w) > gap) | (F.greatest(own / before, before / own) > jump)
     cut = F.lag(seq).over(w).isNotNull() & cut
     near = F.max(F.col("__cut").cast("int")).over(w.rowsBetween(-(dissolve + 1), 1)) == 1

@@ -48,28 +48,30 @@ def lit_area_agrees(measured: Column, expected: Column, tolerance: float = 0.35)
 def totality_gains(segs: DataFrame, keys: Sequence[str], start: str, kind: str, chain: str, p99: str, entry: str, totality: Column, target: float, full: float) -> DataFrame:
     """``gain`` of each segment, ``anchor`` of transitions, and ``slow``: the stable one with the largest gain, the first on ties.
 
-    In totality a stable segment is brought to the target directly, and a transition is anchored to the next stable one.
+    Levels count as at least 1/65535. In totality a stable segment is brought to the target directly, and a transition is anchored to the next stable one.
     """
     stable = F.col(kind) == "stable"
-    direct = target * full / F.col(p99)
+    lit = lambda c: F.greatest(c, F.lit(1 / 65535))
+    direct = target * full / lit(F.col(p99))
     w = Window.partitionBy(*keys).orderBy(F.col(start).desc()).rowsBetween(Window.unboundedPreceding, -1)
     following = F.last(F.when(stable, F.struct(direct.alias("g"), F.col(entry).alias("e"))), True).over(w)
     gained = segs.withColumns({"gain": F.when(totality & stable, direct).otherwise(F.col(chain)), "__next": following})
-    anchor = F.when(totality & ~stable & F.col("__next").isNotNull(), F.col("__next.g") * F.col("__next.e") / F.col(entry)).otherwise(F.col("gain"))
-    best = gained.where(totality & stable).groupBy(*keys).agg(F.max_by(F.col(start), F.struct(F.col("gain"), (-F.col(start)).alias("first"))).alias("__slow"))
-    return gained.withColumn("anchor", anchor).join(best, list(keys), "left").withColumn("slow", F.coalesce(F.col(start) == F.col("__slow"), F.lit(False))).drop("__next", "__slow")
+    anchor = F.when(totality & ~stable & F.col("__next").isNotNull(), F.col("__next.g") * F.col("__next.e") / lit(F.col(entry))).otherwise(F.col("gain"))
+    rank = F.when(totality & stable, F.struct(F.col("gain"), (-F.col(start)).alias("first")))
+    best = F.max_by(F.when(totality & stable, F.col(start)), rank).over(Window.partitionBy(*keys))
+    return gained.withColumn("anchor", anchor).withColumn("slow", F.coalesce(F.col(start) == best, F.lit(False))).drop("__next")
 
 
 def ramp_gain(anchor: Column, entry: Column, level: Column, p99: Column, target: float, full: float, ceiling: float) -> Column:
     """Gain of a row of a transition: it follows the level, never brighter than the ceiling on the row's own p99."""
-    return F.least(anchor * entry / level, ceiling * target * full / F.greatest(p99, F.lit(1 / 65535)))
+    return F.least(anchor * entry / F.greatest(level, F.lit(1 / 65535)), ceiling * target * full / F.greatest(p99, F.lit(1 / 65535)))
 
 
-def refine_boundaries(edges: DataFrame, frames: DataFrame, key: str, i: str, x: str, reach: int) -> DataFrame:
+def refine_boundaries(edges: DataFrame, frames: DataFrame, key: str, i: str, x: str) -> DataFrame:
     """(key, lo, hi, frame): the frame where the level crosses the middle of both sides' logarithms, by bisection between lo and hi.
 
-    ``edges`` has key, lo, hi (at most ``reach`` apart), lo_med, hi_med. A bisection reads few frames and keeps to what they
-    say, also where the level is not monotone.
+    ``edges`` has key, lo, hi, lo_med, hi_med. The frames between lo and hi meet the edge by a join; the bisection goes by few of them and
+    keeps to what they say, also where the level is not monotone. It takes as many turns as the edge is wide.
     """
     log2s = lambda c: F.log2(F.greatest(c, F.lit(1 / 65535)))
     dealt = edges.withColumn(i, F.explode(F.sequence("lo", "hi")))
@@ -82,8 +84,8 @@ def refine_boundaries(edges: DataFrame, frames: DataFrame, key: str, i: str, x:
         open_ = s["b"] - s["a"] > 1
         return F.struct(F.when(open_ & ~there, mid).otherwise(s["a"]).alias("a"), F.when(open_ & there, mid).otherwise(s["b"]).alias("b"))
 
-    turns = max(1, reach - 1).bit_length()
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(turns)), F.struct(F.col("lo").cast("long").alias("a"), F.col("hi").cast("long").alias("b")), halve)
+    turns = F.greatest(F.lit(1), F.ceil(F.log2((F.col("hi") - F.col("lo")).cast("double"))) + 1).cast("int")
+    found = F.aggregate(F.sequence(F.lit(1), turns), F.struct(F.col("lo").cast("long").alias("a"), F.col("hi").cast("long").alias("b")), halve)
     return level.select(key, "lo", "hi", found["b"].alias("frame"))
 
 

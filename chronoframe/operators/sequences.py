@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .fits import loose
-from .stats import mad, upper_median
+from .stats import upper_median, with_mad, with_upper_median
 
 
 def _by(keys: Sequence[str], order: str):
@@ -29,22 +29,75 @@ def islands(df: DataFrame, keys: Sequence[str], order: str, starts: Column, name
     return flagged.withColumn(name, F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__s")
 
 
-def boundaries(df: DataFrame, keys: Sequence[str], order: str, x: str) -> DataFrame:
-    """Change points: a step in log2 larger than max(0.35, 6 MAD of the steps); none under three points."""
+def steps(df: DataFrame, keys: Sequence[str], order: str, x: str) -> DataFrame:
+    """``df`` with ``step``, the change of log2 from the row before, and ``edge``: it is larger than max(0.35, 6 MAD of the steps); none under three points."""
     w = _by(keys, order)
     logged = F.log2(F.greatest(F.col(x), F.lit(1 / 65535)))
-    steps = df.withColumn("__l", logged).withColumn("step", F.abs(F.col("__l") - F.lag("__l").over(w))).withColumn("__n", F.count("*").over(Window.partitionBy(*keys)))
-    some = steps.where(F.col("step").isNotNull() & (F.col("__n") >= 3))
-    spread = mad(some.select(*keys, "step"), keys, "step", "__mad")
-    return some.join(spread, list(keys)).where(F.col("step") > F.greatest(F.lit(0.35), 6 * F.col("__mad"))).drop("__l", "__n", "__mad")
+    stepped = df.withColumn("__l", logged).withColumn("step", F.abs(F.col("__l") - F.lag("__l").over(w))).withColumn("__n", F.count("*").over(Window.partitionBy(*keys)))
+    spread = with_mad(stepped, keys, F.col("step"), "__mad")
+    edge = (F.col("__n") >= 3) & (F.col("step") > F.greatest(F.lit(0.35), 6 * F.col("__mad")))
+    return spread.withColumn("edge", F.coalesce(edge, F.lit(False))).drop("__l", "__n", "__mad", "__med")
+
+
+def boundaries(df: DataFrame, keys: Sequence[str], order: str, x: str) -> DataFrame:
+    """Change points: the rows at an edge, with their step."""
+    return steps(df, keys, order, x).where("edge").drop("edge")
 
 
 def segments(df: DataFrame, keys: Sequence[str], order: str, x: str) -> DataFrame:
-    """Half-open ranges [start, start + count) between change points with the upper median and maximum of x."""
-    edge = boundaries(df, keys, order, x).select(*keys, order, F.lit(True).alias("__edge"))
-    marked = islands(df.join(edge, [*keys, order], "left"), keys, order, F.coalesce(F.col("__edge"), F.lit(False)), "segment")
-    sizes = marked.groupBy(*keys, "segment").agg(F.min(order).alias("start"), F.count("*").alias("count"), F.max(x).alias("max"))
-    return sizes.join(upper_median(marked, [*keys, "segment"], x, "med"), [*keys, "segment"])
+    """Half-open ranges [start, start + count) between change points with the upper median and maximum of x: one scan, one exchange by key."""
+    own = [*keys, "segment"]
+    marked = islands(steps(df.select(*keys, order, x), keys, order, x), keys, order, F.col("edge"), "segment")
+    med = with_upper_median(marked, own, F.col(x), "med")
+    return med.groupBy(*own).agg(F.min(order).alias("start"), F.count("*").alias("count"), F.max(x).alias("max"), F.first("med").alias("med"))
+
+
+def capture_segments(points: DataFrame, frames: DataFrame, totals: DataFrame, key: str, i: str, x: str, values: Sequence[str]) -> DataFrame:
+    """(key, start, count, values): segments of whole captures from sampled points, their edges refined to the frame.
+
+    ``points`` are samples, ``frames`` has (key, i, x) of the frames between them, ``totals`` (key, total). A segment has the upper median of
+    each of ``values`` over its points; one without points has those of the point nearest to its start, the earlier on ties.
+    Captures of fewer than three points, or without an edge, are one segment. Windows are by capture.
+    """
+    from .placement import refine_boundaries
+
+    w = _by([key], i)
+    told = steps(points, [key], i, x).withColumns({"__lo": F.lag(i).over(w), "__lo_med": F.lag(x).over(w)})
+    edges = told.where("edge").select(key, F.col("__lo").alias("lo"), F.col(i).alias("hi"), F.col("__lo_med").alias("lo_med"), F.col(x).alias("hi_med"))
+    exact = refine_boundaries(edges, frames, key, i, x).select(key, F.col("frame").cast("long").alias("start"))
+    starts = exact.unionByName(totals.select(key, F.lit(0).cast("long").alias("start"))).distinct().join(totals, key).where(F.col("start") < F.col("total"))
+    ranges = starts.withColumn("count", F.coalesce(F.lead("start").over(_by([key], "start")), F.col("total")) - F.col("start"))
+    sample = F.struct(F.col(i).cast("long").alias("at"), *values)
+    both = ranges.select(key, F.col("start").alias("__i"), F.lit(0).alias("__kind"), "start", "count", F.lit(None).cast(points.select(sample.alias("s")).schema["s"].dataType).alias("s"))
+    both = both.unionByName(points.select(key, F.col(i).cast("long").alias("__i"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("count"), sample.alias("s")))
+    at = Window.partitionBy(key).orderBy("__i", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    placed = around(both, [key], ["__i", "__kind"], F.col("s"), "__p", "__q").withColumns({"start": F.last("start", True).over(at), "count": F.last("count", True).over(at)})
+    for v in values:
+        placed = with_upper_median(placed, [key, "start"], F.col(f"s.{v}"), f"__{v}")
+    rows = placed.where("__kind = 0 and count > 0")
+    later = F.col("__p").isNull() | (F.col("__q").isNotNull() & (F.col("__q.at") - F.col("start") < F.col("start") - F.col("__p.at")))
+    near = F.when(later, F.col("__q")).otherwise(F.col("__p"))
+    return rows.select(key, "start", "count", *(F.coalesce(f"__{v}", near[v]).alias(v) for v in values))
+
+
+#: Names of the levels where there are three of them.
+THREE_LEVELS = ("short", "mid", "long")
+
+
+def classify(segs: DataFrame, order: Sequence[str], gap: float = 0.5) -> DataFrame:
+    """Segments with ``state``, ``level`` and ``level_name``: unfiltered from the first blown one to the last, in ``order``; levels among the stable ones of these.
+
+    Without a blown segment all are filtered. The span, and the highest level, are one row each that goes to all.
+    """
+    at = F.struct(*order)
+    span = segs.where("kind = 'blown'").agg(F.min(at).alias("__first"), F.max(at).alias("__last"))
+    told = segs.join(F.broadcast(span)).withColumn("state", F.when((at >= F.col("__first")) & (at <= F.col("__last")), "unfiltered").otherwise("filtered")).drop("__first", "__last")
+    corona = exposure_levels(told.where("state = 'unfiltered' and kind = 'stable'"), gap)
+    most = F.broadcast(corona.agg(F.max("level").alias("__most")))
+    three = F.element_at(F.array(*map(F.lit, THREE_LEVELS)), F.col("level").cast("int") + 1)
+    named = corona.join(most).withColumn("level_name", F.when(F.col("__most") == 2, three).otherwise(F.concat(F.lit("L"), F.col("level").cast("string")))).drop("__most")
+    others = told.where("not (state = 'unfiltered' and kind = 'stable')")
+    return named.unionByName(others.withColumns({"level": F.lit(None).cast(corona.schema["level"].dataType), "level_name": F.lit(None).cast("string")}))
 
 
 def merge_short(segs: DataFrame, keys: Sequence[str], shortest: int, blown: float) -> DataFrame:
@@ -99,12 +152,14 @@ def shard_spans(df: DataFrame, keys: Sequence[str], seq: str, workers: int) -> D
 
 
 def gain_chain(df: DataFrame, keys: Sequence[str], order: str, entry: str, leave: str, anchor_size: str) -> DataFrame:
-    """Gains that join neighbours' levels, relative to the longest row of each key (first on ties)."""
+    """Gains that join neighbours' levels (at least 1/65535), relative to the longest row of each key (first on ties)."""
     w = _by(keys, order)
-    ratio = F.log(F.lag(leave).over(w) / F.col(entry))
+    lit = lambda c: F.greatest(c, F.lit(1 / 65535))
+    ratio = F.log(lit(F.lag(leave).over(w)) / lit(F.col(entry)))
+    ratio = F.when(F.lag(leave).over(w).isNotNull() & F.col(entry).isNotNull(), ratio)
     summed = df.withColumn("__r", F.coalesce(ratio, F.lit(0.0))).withColumn("__c", F.sum("__r").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    anchor = longest(summed, keys, F.col(anchor_size), order).select(*keys, F.col("__c").alias("__a"))
-    return summed.join(anchor, list(keys)).withColumn("gain", F.exp(F.col("__c") - F.col("__a"))).drop("__r", "__c", "__a")
+    anchor = F.first("__c").over(Window.partitionBy(*keys).orderBy(F.col(anchor_size).desc(), order))
+    return summed.withColumn("gain", F.exp(F.col("__c") - anchor)).drop("__r", "__c")
 
 
 def stack_depth(df: DataFrame, keys: Sequence[str], index: str, most: int, end: str, dense: Column | None = None, bead: Column | None = None, resolve: Column | None = None, bead_most: int = 3) -> DataFrame:
@@ -196,8 +251,8 @@ def longest_steady_run(df: DataFrame, keys: Sequence[str], order: str, x: str, t
 
 def trust_gate(df: DataFrame, keys: Sequence[str], x: str, floor: float) -> DataFrame:
     """``trusted``: not farther from the upper median than max(6 times the upper median deviation, floor)."""
-    stats = upper_median(df, keys, x, "__m").join(mad(df, keys, x, "__d"), list(keys))
-    return df.join(stats, list(keys)).withColumn("trusted", F.abs(F.col(x) - F.col("__m")) <= F.greatest(6 * F.col("__d"), F.lit(floor))).drop("__m", "__d")
+    told = with_mad(df, keys, F.col(x), "__d", "__m")
+    return told.withColumn("trusted", F.abs(F.col(x) - F.col("__m")) <= F.greatest(6 * F.col("__d"), F.lit(floor))).drop("__m", "__d")
 
 
 def drop_failed_groups(df: DataFrame, keys: Sequence[str], x: str, spread: float, measurable: float) -> DataFrame:
@@ -216,9 +271,11 @@ def ranked_p90(dev: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def discontinuities(df: DataFrame, keys: Sequence[str], order: str, gap: int, ratio: float, blend: int) -> DataFrame:
-    """``blend_left``: rows of a dissolve still to come after a jump in index or gain."""
+    """``blend_left``: rows of a dissolve still to come after a jump in index or gain. No gain, or one of 0, counts as 1."""
     w = _by(keys, order)
-    cut = (F.col("index") - F.lag("index").over(w) > gap) | (F.greatest(F.col("gain") / F.lag("gain").over(w), F.lag("gain").over(w) / F.col("gain")) > ratio)
+    own = F.when(F.coalesce(F.col("gain"), F.lit(0.0)) == 0, 1.0).otherwise(F.col("gain"))
+    before = F.lag(own).over(w)
+    cut = (F.col("index") - F.lag("index").over(w) > gap) | (F.greatest(own / before, before / own) > ratio)
     n = F.row_number().over(w)
     marked = df.withColumns({"__n": n, "cut": F.coalesce(cut, F.lit(False))})
     last = F.last(F.when(F.col("cut"), F.col("__n")), True).over(w.rowsBetween(Window.unboundedPreceding, 0))

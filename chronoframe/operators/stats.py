@@ -25,6 +25,18 @@ def upper_median(df: DataFrame, keys: Sequence[str], x: str, name: str = "med")
     return ranked(df, keys, x).groupBy(*keys).agg(at_rank(x, F.floor(F.col("cnt") / 2)).alias(name))
 
 
+def with_upper_median(df: DataFrame, keys: Sequence[str], x: Column, name: str) -> DataFrame:
+    """``df`` with its key's upper median of x, nulls left out, in a column: two windows over one exchange by key, no join back."""
+    w = Window.partitionBy(*keys)
+    ranked_rows = df.withColumn("__x", x).withColumns({"__rn": F.row_number().over(w.orderBy(F.col("__x").asc_nulls_last())) - 1, "__cnt": F.count("__x").over(w)})
+    return ranked_rows.withColumn(name, F.max(F.when(F.col("__rn") == F.floor(F.col("__cnt") / 2), F.col("__x"))).over(w)).drop("__x", "__rn", "__cnt")
+
+
+def with_mad(df: DataFrame, keys: Sequence[str], x: Column, name: str, med: str = "__med") -> DataFrame:
+    """``df`` with its key's upper median of x (``med``) and the upper median of deviations from it."""
+    return with_upper_median(with_upper_median(df, keys, x, med), keys, F.abs(x - F.col(med)), name)
+
+
 def nearest_rank(df: DataFrame, keys: Sequence[str], x: str, quantiles: dict[str, float]) -> DataFrame:
     """Sorted value at min(n - 1, int(n q)) for each named quantile."""
     r = ranked(df, keys, x)
@@ -74,24 +86,33 @@ def selected(df: DataFrame, keys: Sequence[str], x: str, quantiles: dict[str, fl
 
 def mad(df: DataFrame, keys: Sequence[str], x: str, name: str = "mad") -> DataFrame:
     """Upper median of deviations from the upper median."""
-    med = upper_median(df, keys, x, "__med")
-    return upper_median(df.join(med, list(keys)).withColumn("__dev", F.abs(F.col(x) - F.col("__med"))), keys, "__dev", name)
+    some = df.where(F.col(x).isNotNull()).select(*keys, x)
+    return with_mad(some, keys, F.col(x), "__dev").groupBy(*keys).agg(F.first("__dev").alias(name))
+
 
+def frame_stats(df: DataFrame, keys: Sequence[str], x: str, full: float, few: bool = False) -> DataFrame:
+    """black, med, p99, p999, max over full scale; shares lit and saturated.
 
-def frame_stats(df: DataFrame, keys: Sequence[str], x: str, full: float) -> DataFrame:
-    """black, med, p99, p999, max over full scale; shares lit and saturated."""
-    base = nearest_rank(df, keys, x, {"black": 0.05, "med": 0.5, "p99": 0.99, "p999": 0.999}).join(df.groupBy(*keys).agg(F.max(x).alias("max")), list(keys))
+    Ranks come from one sort within each key, or, where keys are ``few`` and have many rows, from sketches and counts.
+    """
+    quantiles = {"black": 0.05, "med": 0.5, "p99": 0.99, "p999": 0.999, "max": 1.0}
+    if few:
+        base = selected(df, keys, x, quantiles)
+        rows = df.where(F.col(x).isNotNull()).select(*keys, F.col(x).alias("__v")).join(F.broadcast(base), list(keys))
+    else:
+        w = Window.partitionBy(*keys)
+        rank = lambda q: F.max(F.when(F.col("rn") == F.least(F.col("cnt") - 1, F.floor(F.col("cnt") * F.lit(q))), F.col(x))).over(w)
+        rows = ranked(df, keys, x).withColumns({n: rank(q) for n, q in quantiles.items()}).withColumn("__v", F.col(x))
     floor = F.col("black") + F.greatest(F.lit(full / 2048), F.col("black") / 8)
-    lit = df.join(base, list(keys)).groupBy(*keys).agg(F.avg((F.col(x) > floor).cast("int")).alias("lit"), F.avg((F.col(x) >= full * 63 / 64).cast("int")).alias("satfrac"))
-    scaled = base.select(*keys, *((F.col(c) / full).alias(c) for c in ("black", "med", "p99", "p999", "max")))
-    return scaled.join(lit, list(keys))
+    lit, satfrac = F.avg((F.col("__v") > floor).cast("int")), F.avg((F.col("__v") >= full * 63 / 64).cast("int"))
+    return rows.groupBy(*keys).agg(*((F.first(c) / full).alias(c) for c in quantiles), lit.alias("lit"), satfrac.alias("satfrac"))
 
 
 def robust_intercept(df: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
     """Upper median after one cut at max(3 MAD, 2), and the number cut."""
-    stats = upper_median(df, keys, x, "m0").join(mad(df, keys, x, "d0"), list(keys))
-    cut = df.join(stats, list(keys)).withColumn("keep", F.abs(F.col(x) - F.col("m0")) <= F.greatest(3 * F.col("d0"), F.lit(2.0)))
-    return upper_median(cut.where("keep"), keys, x, "intercept").join(cut.groupBy(*keys).agg(F.sum((~F.col("keep")).cast("long")).alias("rejected")), list(keys))
+    cut = with_mad(df, keys, F.col(x), "d0", "m0").withColumn("keep", F.abs(F.col(x) - F.col("m0")) <= F.greatest(3 * F.col("d0"), F.lit(2.0)))
+    told = with_upper_median(cut, keys, F.when(F.col("keep"), F.col(x)), "intercept")
+    return told.groupBy(*keys).agg(F.first("intercept").alias("intercept"), F.sum((~F.col("keep")).cast("long")).alias("rejected"))
 
 
 def lag1(df: DataFrame, keys: Sequence[str], order: str, x: str) -> DataFrame:

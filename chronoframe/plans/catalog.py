@@ -151,7 +151,7 @@ SELECT s.state, round(black / 400, 6) AS black, round(med / 400, 6) AS med, roun
  round(avg(CASE WHEN v > black + greatest(400.0 / 2048, black / 8) THEN 1 ELSE 0 END), 6) AS lit, round(avg(CASE WHEN v >= 400.0 * 63 / 64 THEN 1 ELSE 0 END), 6) AS satfrac
 FROM f JOIN s ON f.state = s.state GROUP BY s.state, black, med, p99, p999, mx""")
 def e1_frame_stats(spark, sf):
-    s = stats.frame_stats(frames(spark, sf), ["state"], "v", 400.0)
+    s = stats.frame_stats(frames(spark, sf), ["state"], "v", 400.0, few=True)
     return s.select("state", *(r6(F.col(c), c) for c in ("black", "med", "p99", "p999", "max", "lit", "satfrac")))
 
 
@@ -638,7 +638,7 @@ def f2_refine_boundaries(spark, sf):
     f = frames(spark, sf)
     w = Window.partitionBy("capture").orderBy("i")
     edges = f.select("capture", (F.col("i") - 16).alias("lo"), F.col("i").alias("hi"), F.lag("v", 16).over(w).alias("lo_med"), F.col("v").alias("hi_med")).where("abs(hi_med - lo_med) > 60")
-    return placement.refine_boundaries(edges, f, "capture", "i", "v", 16)
+    return placement.refine_boundaries(edges, f, "capture", "i", "v")
 
 
 @query(""", s(lo, hi) AS (VALUES (30.0, 10.0), (50.0, 90.0), (NULL, 5.0)) SELECT least(lo, hi) AS lo, greatest(lo, hi) AS hi FROM s WHERE lo IS NOT NULL AND hi IS NOT NULL""")
@@ -944,3 +944,43 @@ def g10_g13_ring_runs(spark, sf):
     f = frames(spark, sf).withColumn("b", F.col("i") * 7 % 60)
     runs = rings.longest_ring_run(f, KEY, "b", 60, F.col("v") > 12)
     return rings.ring_edges(f, runs, KEY, "b", "v", 60, F.lit(12.0)).select("capture", "start", "length", *(r6(F.col(c), c) for c in ("first", "last", "middle")))
+
+
+# ---------------------------------------------------------------- whole segmentation
+
+_CAPTURES = f""", n AS (SELECT *, count(*) OVER (PARTITION BY capture) AS n, v + 20 AS b FROM f), pts AS (SELECT capture, i, b FROM n WHERE i % 7 = 0 OR i = n - 1),
+l AS (SELECT *, log2(greatest(b, 1.0 / 65535)) AS l, count(*) OVER (PARTITION BY capture) AS m FROM pts), st AS (SELECT *, abs(l - lag(l) OVER w) AS step, lag(i) OVER w AS lo, lag(l) OVER w AS lo_l FROM l WINDOW w AS (PARTITION BY capture ORDER BY i)),
+m0 AS (SELECT capture, {MED.format('step')} AS d FROM st WHERE step IS NOT NULL GROUP BY capture), m1 AS (SELECT st.capture, {MED.format('abs(step - d)')} AS d FROM st JOIN m0 ON st.capture = m0.capture WHERE step IS NOT NULL GROUP BY st.capture),
+ed AS (SELECT st.capture, lo AS a, i AS b, (l + lo_l) / 2 AS target, l > lo_l AS rising FROM st JOIN m1 ON st.capture = m1.capture WHERE m >= 3 AND step > greatest(0.35, 6 * m1.d)),
+bi(capture, lo, a, b, target, rising) AS (SELECT capture, a, a, b, target, rising FROM ed UNION ALL
+ SELECT capture, lo, CASE WHEN hit THEN a ELSE mid END, CASE WHEN hit THEN mid ELSE b END, target, rising FROM (SELECT bi.*, n.i AS mid, (log2(greatest(n.b, 1.0 / 65535)) >= target) = rising AS hit FROM bi JOIN n ON n.capture = bi.capture AND n.i = (bi.a + bi.b) // 2 WHERE bi.b - bi.a > 1)),
+ss AS (SELECT DISTINCT capture, b AS start FROM bi WHERE b - a <= 1 UNION SELECT DISTINCT capture, 0 FROM f),
+rg AS (SELECT s.capture, start, coalesce(lead(start) OVER (PARTITION BY s.capture ORDER BY start), t.n) - start AS count FROM ss s JOIN (SELECT capture, max(n) AS n FROM n GROUP BY capture) t ON s.capture = t.capture),
+ins AS (SELECT rg.capture, rg.start, {MED.format('b')} AS med, max(0) AS zero FROM rg JOIN pts ON pts.capture = rg.capture AND pts.i >= rg.start AND pts.i < rg.start + rg.count GROUP BY rg.capture, rg.start),
+nr AS (SELECT capture, start, b FROM (SELECT rg.capture, rg.start, pts.b, row_number() OVER (PARTITION BY rg.capture, rg.start ORDER BY abs(pts.i - rg.start), pts.i) AS k FROM rg JOIN pts ON pts.capture = rg.capture) WHERE k = 1),
+sg AS (SELECT rg.capture, rg.start, rg.count, coalesce(ins.med, nr.b) AS med, coalesce(ins.med, nr.b) AS mx FROM rg LEFT JOIN ins ON rg.capture = ins.capture AND rg.start = ins.start LEFT JOIN nr ON rg.capture = nr.capture AND rg.start = nr.start WHERE rg.count > 0)"""
+
+
+def _capture_segments(spark, sf):
+    f = frames(spark, sf).withColumns({"med": F.col("v") + 20, "n": F.count("*").over(Window.partitionBy("capture"))})
+    points = f.where("i % 7 = 0 or i = n - 1").withColumn("max", F.col("med"))
+    totals = f.groupBy("capture").agg(F.max("n").cast("long").alias("total"))
+    return sequences.capture_segments(points, f, totals, "capture", "i", "med", ["med", "max"])
+
+
+@query(_CAPTURES + " SELECT capture, start, CAST(count AS BIGINT) AS count, round(med, 6) AS med FROM sg")
+def f2_f3_capture_segments(spark, sf):
+    return _capture_segments(spark, sf).select("capture", "start", "count", r6(F.col("med"), "med"))
+
+
+@query(_CAPTURES + """, sh AS (SELECT *, count < 4 AND med < 150 AS short FROM sg), rl AS (SELECT *, lag(short) OVER (PARTITION BY capture ORDER BY start) AS was FROM sh),
+rn AS (SELECT *, sum(CASE WHEN short AND coalesce(was, false) THEN 0 ELSE 1 END) OVER (PARTITION BY capture ORDER BY start) AS run FROM rl),
+mg AS (SELECT capture, min(start) AS start, CAST(sum(count) AS BIGINT) AS count, max(med) AS med, CASE WHEN bool_and(short) THEN 'transition' WHEN max(med) >= 150 THEN 'blown' ELSE 'stable' END AS kind FROM rn GROUP BY capture, run),
+sp AS (SELECT min(capture * 100000 + start) AS a, max(capture * 100000 + start) AS z FROM mg WHERE kind = 'blown'),
+cl AS (SELECT mg.*, CASE WHEN capture * 100000 + start BETWEEN a AND z THEN 'unfiltered' ELSE 'filtered' END AS state FROM mg, sp),
+dl AS (SELECT DISTINCT log2(med) AS l FROM cl WHERE state = 'unfiltered' AND kind = 'stable'), lv AS (SELECT l, sum(CASE WHEN l - p > 0.004 THEN 1 ELSE 0 END) OVER (ORDER BY l) AS level FROM (SELECT l, lag(l) OVER (ORDER BY l) AS p FROM dl))
+SELECT capture, start, count, kind, state, CAST(level AS BIGINT) AS level, CASE WHEN level IS NULL THEN NULL WHEN (SELECT max(level) FROM lv) = 2 THEN ['short', 'mid', 'long'][CAST(level AS INTEGER) + 1] ELSE 'L' || CAST(CAST(level AS BIGINT) AS VARCHAR) END AS level_name
+FROM cl LEFT JOIN lv ON log2(cl.med) = lv.l AND state = 'unfiltered' AND kind = 'stable'""")
+def f5_classify(spark, sf):
+    merged = sequences.merge_short(_capture_segments(spark, sf), KEY, 4, 150.0)
+    return sequences.classify(merged, ["capture", "start"], 0.004).select("capture", "start", "count", "kind", "state", F.col("level").cast("long").alias("level"), "level_name")

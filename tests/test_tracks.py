@@ -316,3 +316,48 @@ def test_shared_drift_without_groups_is_zero(spark):
 def test_totality_placement_on_an_empty_table(spark):
     df = spark.createDataFrame([], "k int, file int, i int, t double, lx double, ly double, rx double, ry double, dx double, dy double, level string")
     assert placement.place_totality(df, ["k"], "file", "i", "t", ["lx", "ly"], ["rx", "ry"], ["dx", "dy"], "level", F.lit(False), [F.lit(0.0), F.lit(0.0)]).count() == 0
+
+
+# ---------------------------------------------------------------- whole segmentation
+
+
+@pytest.mark.parametrize("every", [4, 20, 63])
+def test_capture_segments_find_edges_to_the_frame(spark, every):
+    """Boundaries at 12, 52, 92 and 132, found from samples that lie far apart."""
+    from chronoframe.operators import sequences
+
+    levels_ = [(12, 0.02), (52, 0.3), (92, 0.04), (132, 0.6), (264, 0.02)]
+    frames = [("a", i, next(v for end, v in levels_ if i < end)) for i in range(264)] + [("b", i, 0.1) for i in range(50)] + [("c", i, 0.1 * (i + 1)) for i in range(2)]
+    f = spark.createDataFrame(frames, "name string, i long, med double")
+    points = f.where((F.col("i") % every == 0) | F.col("i").isin(263, 49, 1)).withColumn("p99", F.col("med") * 2)
+    totals = f.groupBy("name").agg(F.count("*").alias("total"))
+    got = {}
+    for r in sequences.capture_segments(points, f, totals, "name", "i", "med", ["med", "p99"]).collect():
+        got.setdefault(r["name"], []).append((r["start"], r["count"], round(r["med"], 6), round(r["p99"], 6)))
+    assert sorted(got["b"]) == [(0, 50, 0.1, 0.2)] and len(got["c"]) == 1
+    if every <= 20:
+        ends = [0, *(e for e, _ in levels_)]
+        assert sorted(got["a"]) == [(s, e - s, v, 2 * v) for s, e, (_, v) in zip(ends, ends[1:], levels_, strict=False)]
+    else:
+        assert sum(c for _, c, _, _ in got["a"]) == 264
+
+
+def test_classify_brackets_totality(spark):
+    from chronoframe.operators import sequences
+
+    segs = spark.createDataFrame([("a", 0, "stable", 0.1), ("a", 9, "blown", 0.9), ("b", 0, "stable", 0.01), ("b", 5, "transition", 0.02), ("b", 9, "stable", 0.04), ("c", 0, "stable", 0.2), ("c", 3, "blown", 0.8), ("d", 0, "stable", 0.1)], "name string, start int, kind string, med double")
+    got = {(r["name"], r["start"]): (r["state"], r["level_name"]) for r in sequences.classify(segs, ["name", "start"]).collect()}
+    assert got == {("a", 0): ("filtered", None), ("a", 9): ("unfiltered", None), ("b", 0): ("unfiltered", "short"), ("b", 5): ("unfiltered", None), ("b", 9): ("unfiltered", "mid"), ("c", 0): ("unfiltered", "long"), ("c", 3): ("unfiltered", None), ("d", 0): ("filtered", None)}
+    assert {r["state"] for r in sequences.classify(segs.where("kind <> 'blown'"), ["name", "start"]).collect()} == {"filtered"}
+
+
+def test_gains_of_zero_do_not_end_a_query(spark):
+    from chronoframe.operators import chapters, sequences
+
+    rows = spark.createDataFrame([("a", 0, "f", 0, 0.0, True), ("a", 1, "f", 1, 1.0, False), ("a", 2, "f", 2, None, False), ("a", 3, "f", 3, 2.0, False)], "k string, seq int, file string, index int, gain double, flag boolean")
+    cuts = {r["seq"]: r["cut"] for r in sequences.discontinuities(rows, ["k"], "seq", 40, 1.35, 3).collect()}
+    assert cuts == {0: False, 1: False, 2: False, 3: True}
+    assert chapters.sample_frames(rows, ["k"], "seq", ["k"], "file", "index", "gain", ["flag"]).count() > 0
+    segs = spark.createDataFrame([("a", 0, "stable", 1.0, 0.0, 0.0, 5), ("a", 5, "transition", 1.0, 0.0, 0.0, 2), ("a", 7, "stable", 1.0, 0.5, 0.3, 3)], "k string, start int, kind string, chain double, p99 double, entry double, n int")
+    assert placement.totality_gains(segs, ["k"], "start", "kind", "chain", "p99", "entry", F.lit(True), 0.7, 1.0).count() == 3
+    assert all(math.isfinite(r["gain"]) for r in sequences.gain_chain(segs, ["k"], "start", "entry", "p99", "n").collect())
