@@ -3,17 +3,19 @@
 Lines are normalised (A-Z lower-cased, white space runs to one space); equal ones are one. Two lines are similar if one
 minus the edit distance over the longer length is at least ``SIMILAR``; that alone decides on a pair that meets.
 
-The SimHash of a line has blocks that share no words: a hash deals the line's distinct words to the blocks, and each
-block is the SimHash of its own words. A changed word thus reaches two blocks at most, the old word's and the new one's,
-and by the pigeonhole principle the others agree exactly, however long the line. ``SCHEMES`` says how many blocks lines
-of a length have and how many must agree; keys of fewer than ``LEAST_WORDS`` words are left out, since they would join
-everything. Lines of at most ``SHORT`` characters, of few words, meet by text segments as well: one is cut into one more
-piece than edits are allowed, so that a piece is whole in the other, not far from its place, and every similar pair meets.
-Runs of bytes longer than ``LONG_WORD`` (scripts without spaces) are cut by content. The same keys serve any number of
+The SimHash of a line has blocks that share no features: a hash deals the line's features to the blocks, and each block is
+the SimHash of its own ones. A changed feature thus reaches two blocks at most, the old one's and the new one's, and by
+the pigeonhole principle the others agree exactly, however long the line. Features are the words of a line, or, in lines of
+few words, pieces of words cut by what stands there, so that they follow the length of a line and not its number of words; the
+second and each further occurrence of a feature in a line is another feature, so that repeated words and separators have enough
+of them. ``SCHEMES`` says how many blocks lines have by their features, and in how many ways features are dealt to them.
+Lines of at most ``SHORT`` characters meet by text segments: one is cut into one more piece than edits are allowed, so that a
+piece is whole in the other, not far from its place, and every similar pair meets.
+Runs of bytes longer than ``LONG_WORD`` among many words are cut by content. The same keys serve any number of
 lines. The recall of the keys against all pairs by edit similarity is measured in tests/llm and stated in the README.
 
-Keys travel as sorted blocks, one for each batch and target; a target's task sorts them in memory of bounded size, with
-sorted runs on disk beyond it. Of each connected group one occurrence stays, the first by (doc_id, hash of the text,
+Keys travel as sorted blocks, one for each batch and target; a task takes one target after the other, which Spark has
+brought together. Of each connected group one occurrence stays, the first by (doc_id, hash of the text,
 line number); blank lines always stay.
 
 Defined results: null and blank texts are returned as they are. Rows equal in doc_id and text count as one document and
@@ -23,9 +25,7 @@ their words. Extra columns are carried along; should one be called like a count,
 
 from __future__ import annotations
 
-import tempfile
 from functools import cache
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,21 +35,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linkage import link
-from .shared import Scratch, chunks, fresh, mix, partitions_for, powers, trim, utf8_buffers, word_hashes
+from .shared import _LOWER, _SPACE, Scratch, chunks, fresh, mix, partitions_for, powers, trim, utf8_buffers, word_hashes
 
 SIMILAR = 0.9
-#: (words up to, blocks, blocks that must agree) of a line's SimHash.
-SCHEMES = ((24, 6, 2), (64, 7, 1), (None, 14, 1))
-#: Distinct words that a key stands for, at least.
-LEAST_WORDS = 3
+#: (features up to, blocks, ways to deal features to blocks, features that a key stands for at least) of a line's SimHash.
+SCHEMES = ((26, 5, 3, 2), (80, 7, 2, 3), (None, 14, 1, 3))
+#: Lines of so many words at most have pieces of words as features, others whole words.
+PIECED = 24
+#: Bytes of a piece are about PIECE + 3, and PIECE_MOST at most.
+PIECE, PIECE_MOST = 3, 12
 #: Bytes of a run without white space beyond which it is cut into several words.
 LONG_WORD = 32
 #: Most characters of lines that meet by segments.
 SHORT = 60
 #: Slots that pairs of neighbouring bytes are counted in, to rule pairs of lines out.
 SLOTS = 256
-#: Entries of inverted lists that a task sorts in memory.
-HELD = 1 << 23
 #: Entries that a target should get, and keys that a line has about.
 TARGET, KEYS_A_LINE = 1 << 21, 16
 
@@ -92,11 +92,11 @@ def line_words(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def block_keys(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the line, key) by the blocks of SimHashes; line i has words[at[i]:at[i + 1]]."""
+    """(number of the line, key) by the blocks of SimHashes; line i has the features words[at[i]:at[i + 1]]."""
     count = np.diff(at)
     rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     low = 0
-    for number, (high, blocks, agree) in enumerate(SCHEMES):
+    for number, (high, blocks, ways, least) in enumerate(SCHEMES):
         # The longer of two similar lines may belong to the scheme above; it meets the other in both.
         line = np.flatnonzero((count >= low) & (count > 0) & (count <= (high or np.inf) / SIMILAR + 1))
         low = high
@@ -104,30 +104,59 @@ def block_keys(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
             continue
         lead = np.cumsum(count[line]) - count[line]
         place = np.repeat(at[line] - lead, count[line]) + np.arange(count[line].sum())
-        word = words[place] >> np.uint64(24)
-        owner = np.repeat(np.arange(len(line)), count[line])
-        group = (owner * blocks + (mix(word) % np.uint64(blocks)).astype(np.int64)).astype(np.uint64)
-        # One sort brings the equal words of a block together: the block's number above 40 bits of the word's hash.
-        pairs = np.sort((group << np.uint64(40)) | word)
-        pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))]
-        block = (pairs >> np.uint64(40)).astype(np.int64)
-        begin = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-        sizes = np.diff(np.append(begin, len(block)))
-        sims = np.zeros(len(line) * blocks, np.uint64)
-        held = np.zeros(len(line) * blocks, np.int64)
-        held[block[begin]] = sizes
-        sims[block[begin]] = _majority(mix(pairs & np.uint64((1 << 40) - 1)), begin, sizes)
-        sims, held = sims.reshape(-1, blocks), held.reshape(-1, blocks)
-        for n, chosen in enumerate(combinations(range(blocks), agree)):
-            enough = np.flatnonzero(held[:, chosen].sum(axis=1) >= LEAST_WORDS)
-            key = np.full(len(enough), (number << 8) + n + 1, np.uint64)
-            for block_number in chosen:
-                key = mix(key ^ sims[enough, block_number])
-            rows.append(line[enough])
-            keys.append(key)
+        owner = np.repeat(np.arange(len(line), dtype=np.uint64), count[line])
+        # One sort brings the equal features of a line together: the line's number above 40 bits of the feature's hash.
+        pairs = np.sort((owner << np.uint64(40)) | (words[place] >> np.uint64(24)))
+        begin = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+        again = (np.arange(len(pairs)) - np.repeat(begin, np.diff(np.append(begin, len(pairs))))).astype(np.uint64)
+        owner, feature = pairs >> np.uint64(40), mix((pairs & np.uint64((1 << 40) - 1)) + (again << np.uint64(40)))
+        for way in range(ways):
+            group = (owner * np.uint64(blocks) + mix(feature + np.uint64(way + 1)) % np.uint64(blocks)).astype(np.int64)
+            order = np.argsort(group, kind="stable")
+            block = group[order]
+            begin = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+            sizes = np.diff(np.append(begin, len(block)))
+            sims = _majority(feature[order], begin, sizes)
+            enough = sizes >= least
+            salt = ((number * 8 + way) << 8) + block[begin[enough]] % blocks + 1
+            rows.append(line[block[begin[enough]] // blocks])
+            keys.append(mix(sims[enough] ^ mix(salt.astype(np.uint64))))
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, place of each line's first piece and one behind the last): words of lines cut by content.
+
+    A word is cut behind three bytes whose hash is a multiple of PIECE, and where PIECE_MOST bytes have had no cut.
+    """
+    size = end - start
+    lead = np.cumsum(size) - size
+    flat = _LOWER[data[np.repeat(start - lead, size) + np.arange(size.sum())]]
+    n = len(flat)
+    blank = _SPACE[flat]
+    first = np.zeros(n + 1, bool)
+    first[lead] = True
+    first[1:n] |= blank[1:] != blank[:-1]
+    first[n] = True
+    wide = flat.astype(np.uint64)
+    h = np.ones(n, np.uint64)
+    h[3:] = mix(wide[2:-1] + (wide[1:-2] << np.uint64(8)) + (wide[:-3] << np.uint64(16))) % np.uint64(PIECE)
+    word = np.flatnonzero(first)
+    inside = np.arange(n) - np.repeat(word[:-1], np.diff(word))
+    first[:n] |= (h == 0) & (inside >= 3)
+    edge = np.flatnonzero(first)
+    inside = np.arange(n) - np.repeat(edge[:-1], np.diff(edge))
+    first[:n] |= inside % PIECE_MOST == 0
+    edge = np.flatnonzero(first)
+    some = ~blank[edge[:-1]]
+    a, b = edge[:-1][some], edge[1:][some]
+    hashes = np.zeros(len(a), np.uint64)
+    for k in range(PIECE_MOST):
+        there = a + k < b
+        hashes[there] = mix(hashes[there] * np.uint64(31) + wide[a[there] + k] + np.uint64(1))
+    return hashes, np.searchsorted(a, np.append(lead, n))
+
+
 def _majority(hashes: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """SimHash of each run of hashes: the bits that more than half of them have."""
     out = np.empty(len(begin), np.uint64)
@@ -605,17 +634,32 @@ def entries(data: np.ndarray, offsets: np.ndarray, seen: Seen) -> tuple[np.ndarr
     size = end[fresh_lines] - start[fresh_lines]
     count = at[fresh_lines + 1] - at[fresh_lines]
     # Runs far longer than words are: cut by content, on a copy with a space at each cut.
-    sparse = np.flatnonzero(size > LONG_WORD * count)
+    sparse = np.flatnonzero((size > LONG_WORD * count) & (count > PIECED))
     if len(sparse):
         words, at2 = _cut_words(data, start[fresh_lines], end[fresh_lines], words, at[fresh_lines], count, sparse)
     else:
         lead = np.cumsum(count) - count
         words = words[np.repeat(at[fresh_lines] - lead, count) + np.arange(count.sum())]
         at2 = np.append(lead, count.sum())
-    row, key = block_keys(words, at2)
     # Characters of the normalised line: bytes that begin one and are no white space, and a space between words.
-    chars = np.add.reduceat(np.append(_BEGINS[data], np.uint8(0)), start, dtype=np.int32)[fresh_lines]
-    brief = np.flatnonzero(chars + count - 1 <= SHORT)
+    chars = np.add.reduceat(np.append(_BEGINS[data], np.uint8(0)), start, dtype=np.int32)[fresh_lines] + count - 1
+    # Shorter lines are similar to none that is too long to meet by segments.
+    long = chars >= least_length(SHORT + 1)
+    found = []
+    whole = np.flatnonzero(long & (count > PIECED))
+    if len(whole):
+        sizes = np.diff(at2)[whole]
+        own = words[np.repeat(at2[whole] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+        r, k = block_keys(own, np.append(0, np.cumsum(sizes)))
+        found.append((whole[r], k))
+    few_words = np.flatnonzero(long & (count <= PIECED / SIMILAR + 1))
+    cost = np.cumsum(size[few_words]) if len(few_words) else np.zeros(0, np.int64)
+    for some in np.split(few_words, np.searchsorted(cost, np.arange(1 << 19, cost[-1], 1 << 19))) if len(cost) else ():
+        if len(some):
+            r, k = block_keys(*pieces(data, start[fresh_lines[some]], end[fresh_lines[some]]))
+            found.append((some[r], mix(k + np.uint64(1))))
+    row, key = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    brief = np.flatnonzero(chars <= SHORT)
     raw = [data[a:b].tobytes() for a, b in zip(start[fresh_lines[brief]].tolist(), end[fresh_lines[brief]].tolist(), strict=True)]
     normal = [normalise(x).decode("utf-8", "replace") for x in raw]
     few = [k for k, x in enumerate(normal) if len(x) <= SHORT]
@@ -684,48 +728,22 @@ def _groups(keys: np.ndarray, lines: np.ndarray) -> pa.RecordBatch | None:
 
 
 def _meet(batches):
-    """Groups of the blocks of a task. What is over HELD entries goes to disk in sorted runs, read again by ranges of keys."""
+    """Groups of the blocks of a task, sorted by target: one target's entries are held at a time."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    runs: list[tuple[np.ndarray, np.ndarray]] = []
-    n = 0
-
-    def joined(parts):
-        return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64),) * 2
-
-    def run_of(parts):
-        keys, lines = joined(parts)
-        order = np.argsort(keys)
-        out = []
-        for x in (keys, lines):
-            file = tempfile.TemporaryFile()
-            file.write(x[order].tobytes())
-            file.flush()
-            out.append(np.memmap(file, np.uint64, "r"))
-        return tuple(out)
-
+    now = None
     for batch in batches:
-        for keys, lines in zip(batch.column("keys"), batch.column("lines"), strict=True):
-            held.append(tuple(np.frombuffer(x.as_buffer(), np.uint64) for x in (keys, lines)))
-            n += len(held[-1][0])
-            if n >= HELD:
-                runs.append(run_of(held))
-                held, n = [], 0
-    if not runs:
-        pieces = [joined(held)] if n else []
-    else:
-        runs.append(joined(held))
-        order = np.argsort(runs[-1][0])
-        runs[-1] = tuple(x[order] for x in runs[-1])
-        step = max(1, HELD // (4 * len(runs)))
-        marks = np.unique(np.concatenate([r[0][::step] for r in runs]))
-        edges = [np.append(np.searchsorted(r[0], marks[:: max(1, len(runs))]), len(r[0])) for r in runs]
-        pieces = ((tuple(np.concatenate([r[i][e[k] : e[k + 1]] for r, e in zip(runs, edges, strict=True)]) for i in range(2))) for k in range(len(edges[0]) - 1))
-    for keys, lines in pieces:
-        if len(keys):
-            found = _groups(keys, lines)
-            if found is not None:
-                yield found
-    del held, runs
+        for target, *raw in zip(batch.column("target").to_pylist(), batch.column("keys"), batch.column("lines"), strict=True):
+            if target != now and held:
+                found = _groups(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held = []
+                if found is not None:
+                    yield found
+            now = target
+            held.append(tuple(np.frombuffer(x.as_buffer(), np.uint64) for x in raw))
+    if held:
+        found = _groups(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        if found is not None:
+            yield found
     trim()
 
 
@@ -751,7 +769,8 @@ def _bodies(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     places = wanted.groupBy(F.col("at.id").alias("wid"), F.col("at.th").alias("wth")).agg(F.collect_list(F.struct(F.col("at.number").alias("number"), "line")).alias("w")).select("wid", "wth", F.col("w.number").alias("numbers"), F.col("w.line").alias("lines"))
     packed = source.mapInArrow(_pack, f"id {dict(source.dtypes)['id']}, th long, packed binary")
     joined = packed.join(places.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("packed", "numbers", "lines")
-    return joined.mapInArrow(cut, "line long, body string")
+    # rows that are equal in id and text give the same lines again: one of each stays
+    return joined.mapInArrow(cut, "line long, body string").groupBy("line").agg(F.first("body").alias("body"))
 
 
 def _pack(batches):
@@ -809,7 +828,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] =
     scratch = Scratch(spark, "lines")
     found = scratch.write(occurrences(docs, key), "occurrences")
     targets = max(partitions_for(spark), -(-KEYS_A_LINE * found.count() // TARGET))
-    met = scratch.write(_blocks(docs, 4 * targets).repartition(targets, "target").mapInArrow(_meet, "key long, id long, lead long, length long"), "met")
+    met = scratch.write(_blocks(docs, 4 * targets).repartition(targets, "target").sortWithinPartitions("target").mapInArrow(_meet, "key long, id long, lead long, length long"), "met")
     scratch.release()
     lines = scratch.write(found.groupBy("line").agg(F.min(F.struct("id", "th", "number")).alias("at"), F.count("*").alias("n")), "places")
     wanted = met.select("id").unionByName(met.select(F.col("lead").alias("id"))).distinct()

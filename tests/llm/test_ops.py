@@ -216,7 +216,7 @@ def test_bit_parallel_edit_distance():
 
 
 def test_line_dedup_against_brute_force(spark):
-    """What stays is what the similar pairs among all that meet leave; how many similar pairs meet is tested below."""
+    """What stays is what all similar pairs of lines leave, by edit distance alone."""
     rng = np.random.default_rng(8)
     lines = [" ".join(f"word{rng.integers(500)}" for _ in range(int(rng.integers(3, 40)))) for _ in range(60)]
     rows = []
@@ -232,8 +232,7 @@ def test_line_dedup_against_brute_force(spark):
     got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
     norm = lambda x: line_dedup.normalise(x.encode()).decode()
     distinct = sorted({norm(x) for _, t in rows for x in t.split("\n")})
-    keys = {x: keys_of(x) for x in distinct}
-    links = [(a, b) for a in distinct for b in distinct if a < b and keys[a] & keys[b] and edit_distance(a, b) <= 0.1 * max(len(a), len(b)) + 1e-9]
+    links = [(a, b) for a in distinct for b in distinct if a < b and edit_distance(a, b) <= 0.1 * max(len(a), len(b)) + 1e-9]
     assert links
     comp = components_of(distinct, links)
     seen, th = set(), {r["doc_id"]: r["th"] for r in docs.select("doc_id", F.xxhash64("text").alias("th")).collect()}
@@ -336,15 +335,15 @@ def test_batches_of_edit_distances(letters):
     assert line_dedup.Lines(lines).similar(i, j).tolist() == want
 
 
-def test_runs_on_disk_give_the_same_groups(monkeypatch):
+def test_groups_of_sorted_targets():
+    """Blocks of a target, however many and in however many batches, give the groups of its entries."""
     rng = np.random.default_rng(37)
-    keys, lines = rng.integers(0, 900, 4000).astype(np.uint64), rng.integers(0, 60, 4000).astype(np.uint64)
+    keys, lines, target = rng.integers(0, 900, 4000).astype(np.uint64), rng.integers(0, 60, 4000).astype(np.uint64), np.sort(rng.integers(0, 5, 40))
     keys[:900] = 7  # one key with very many
-    blocks = [pa.RecordBatch.from_arrays([pa.array([0] * 1, pa.int32()), *(pa.array([x[i : i + 100].tobytes()], pa.binary()) for x in (keys, lines))], names=["target", "keys", "lines"]) for i in range(0, 4000, 100)]
-    rows = lambda: sorted(tuple(r.values()) for b in line_dedup._meet(iter(blocks)) for r in b.to_pylist())
-    whole = rows()
-    monkeypatch.setattr(line_dedup, "HELD", 700)
-    assert rows() == whole and len(whole) > 1000
+    keys = keys // np.uint64(5) * np.uint64(5) + np.repeat(target, 100).astype(np.uint64)  # a key has one target
+    blocks = [pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), *(pa.array([x[i : i + 100].tobytes()], pa.binary()) for x in (keys, lines))], names=["target", "keys", "lines"]) for t, i in zip(target.tolist(), range(0, 4000, 100), strict=True)]
+    got = sorted(tuple(r.values()) for b in line_dedup._meet(iter(blocks)) for r in b.to_pylist())
+    assert got == sorted(tuple(r.values()) for r in line_dedup._groups(keys, lines).to_pylist()) and len(got) > 1000
 
 
 def test_lists_are_compared_by_blocks(spark, monkeypatch):
