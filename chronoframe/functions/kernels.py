@@ -42,28 +42,21 @@ def superpixel_mono(raw: np.ndarray, full: float) -> np.ndarray:
     return decimate(raw.astype(np.float32) / np.float32(full), 2)
 
 
+_NEAR, _DIAGONAL = ((0, -1), (0, 1), (-1, 0), (1, 0)), ((-1, -1), (-1, 1), (1, -1), (1, 1))
+
+
 def bilinear(raw: np.ndarray, color_id: int, full: float) -> np.ndarray:
-    """Full-size colour by averaging the neighbours of each colour; own sites stay as they are, edges are clamped."""
+    """Full-size colour: own sites as they are, others the mean of the neighbours that the layout has for the colour; beyond an edge stands its value."""
     red, greens, blue = _sites(color_id)
-    x = raw.astype(np.float32) / np.float32(full)
-    out = np.empty((*x.shape, 3), np.float32)
+    padded = np.pad(raw.astype(np.float32) / np.float32(full), 1, mode="edge")
+    height, width = raw.shape
+    out = np.empty((height, width, 3), np.float32)
     for k, sites in enumerate(([red], greens, [blue])):
-        known = np.zeros(x.shape, np.float32)
-        for r, c in sites:
-            known[r::2, c::2] = 1
-        total, weight = np.zeros_like(x), np.zeros_like(x)
-        near = [(0, -1), (0, 1), (-1, 0), (1, 0)]
-        for shifts in (near, [(-1, -1), (-1, 1), (1, -1), (1, 1)]):
-            t, w = np.zeros_like(x), np.zeros_like(x)
-            for dy, dx in shifts:
-                rows = np.clip(np.arange(x.shape[0]) + dy, 0, x.shape[0] - 1)
-                cols = np.clip(np.arange(x.shape[1]) + dx, 0, x.shape[1] - 1)
-                m = known[np.ix_(rows, cols)]
-                t += x[np.ix_(rows, cols)] * m
-                w += m
-            use = (weight == 0) & (w > 0)
-            total[use], weight[use] = t[use], w[use]
-        out[..., k] = np.where(known > 0, x, total / np.maximum(weight, 1))
+        for py in (0, 1):
+            for px in (0, 1):
+                beside = [(dy, dx) for dy, dx in _NEAR if ((py + dy) % 2, (px + dx) % 2) in sites]
+                offsets = [(0, 0)] if (py, px) in sites else beside or list(_DIAGONAL)
+                out[py::2, px::2, k] = sum(padded[1 + py + dy : 1 + height + dy : 2, 1 + px + dx : 1 + width + dx : 2] for dy, dx in offsets) / np.float32(len(offsets))
     return out
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
+from .fits import loose
 
 
 def pixels(payload: bytes, height: int, width: int, depth: int) -> np.ndarray:
@@ -75,3 +77,61 @@ def encode_manifest(frames: DataFrame, fps: int, out: str) -> DataFrame:
     """Commands that would encode the runs of rendered frames; the encoder is outside this library."""
     spans = frames.agg(F.min("seq").alias("first"), F.count("*").alias("n"))
     return spans.select(F.format_string("ffmpeg -framerate %d -start_number %d -i seq_%%05d.png -frames:v %d " + out, F.lit(fps), F.col("first"), F.col("n")).alias("command"), "first", "n")
+
+
+def assemble(pixels_: DataFrame, keys: Sequence[str], x: str, y: str, value: Column, width: int, height: int) -> DataFrame:
+    """(keys, __width, __height, __image): an image a row, 64-bit floats row by row, from a table of pixels.
+
+    A place with several samples has the largest, one without any 0; samples beyond the frame, or without a value, are left out. Samples
+    are reduced to places before an image's places meet: width times height numbers at most.
+    """
+    inside = F.col(x).between(0, width - 1) & F.col(y).between(0, height - 1) & value.isNotNull()
+    place = (F.floor(y).cast("int") * width + F.floor(x).cast("int")).alias("__at")
+    places = pixels_.where(inside).groupBy(*keys, place).agg(F.max(value.cast("double")).alias("__v"))
+    images = places.groupBy(*keys).agg(F.collect_list("__at").alias("__at"), F.collect_list("__v").alias("__v"))
+
+    def run(batches):
+        for batch in batches:
+            data = []
+            for at, v in zip(batch.column("__at"), batch.column("__v"), strict=True):
+                flat = np.zeros(width * height)
+                flat[at.values.to_numpy()] = v.values.to_numpy()
+                data.append(flat.tobytes())
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([loose(batch.column("k")), pa.array(np.full(n, width, np.int32)), pa.array(np.full(n, height, np.int32)), pa.array(data, pa.binary())], names=["k", "__width", "__height", "__image"])
+
+    packed = images.select(F.struct(*keys).alias("k"), "__at", "__v")
+    return packed.mapInArrow(run, f"k {dict(packed.dtypes)['k']}, __width int, __height int, __image binary").select("k.*", "__width", "__height", "__image")
+
+
+def _images(batch: pa.RecordBatch):
+    for w, h, raw in zip(batch.column("__width").to_pylist(), batch.column("__height").to_pylist(), batch.column("__image"), strict=True):
+        yield np.frombuffer(raw.as_buffer(), np.float64).reshape(h, w)
+
+
+def planes(images: DataFrame, keys: Sequence[str], kernel: Callable[[np.ndarray], dict[str, np.ndarray]]) -> DataFrame:
+    """(keys, plane, x, y, value): the pixels of the planes that a kernel makes of each image. An image at a time, no shuffle."""
+    source = images.select(F.struct(*keys).alias("k"), "__width", "__height", "__image")
+
+    def run(batches):
+        for batch in batches:
+            k = loose(batch.column("k"))
+            for row, image in enumerate(_images(batch)):
+                for name, plane in kernel(image).items():
+                    y, x = (c.ravel().astype(np.int32) for c in np.indices(plane.shape))
+                    n = len(x)
+                    yield pa.RecordBatch.from_arrays([k.take(pa.array(np.full(n, row))), pa.array([name] * n), pa.array(x), pa.array(y), pa.array(plane.ravel().astype(np.float64))], names=["k", "plane", "x", "y", "value"])
+
+    return source.mapInArrow(run, f"k {dict(source.dtypes)['k']}, plane string, x int, y int, value double").select("k.*", "plane", "x", "y", "value")
+
+
+def measures(images: DataFrame, keys: Sequence[str], names: Sequence[str], kernel: Callable[[np.ndarray], Sequence[float]]) -> DataFrame:
+    """(keys, names): the numbers that a kernel measures on each image. An image at a time, no shuffle."""
+    source = images.select(F.struct(*keys).alias("k"), "__width", "__height", "__image")
+
+    def run(batches):
+        for batch in batches:
+            told = [kernel(image) for image in _images(batch)]
+            yield pa.RecordBatch.from_arrays([loose(batch.column("k")), *(pa.array([float(t[j]) for t in told], pa.float64()) for j in range(len(names)))], names=["k", *names])
+
+    return source.mapInArrow(run, f"k {dict(source.dtypes)['k']}, " + ", ".join(f"`{n}` double" for n in names)).select("k.*", *names)

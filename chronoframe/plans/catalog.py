@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import scalar, text
+from ..functions import kernels, scalar, text
 from ..operators import chapters, fits, joins, levels, placement, rings, sequences, stats, tracking
+from ..operators import frames as images_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -984,3 +985,85 @@ FROM cl LEFT JOIN lv ON log2(cl.med) = lv.l AND state = 'unfiltered' AND kind =
 def f5_classify(spark, sf):
     merged = sequences.merge_short(_capture_segments(spark, sf), KEY, 4, 150.0)
     return sequences.classify(merged, ["capture", "start"], 0.004).select("capture", "start", "count", "kind", "state", F.col("level").cast("long").alias("level"), "level_name")
+
+
+# ---------------------------------------------------------------- kernels over a table of images
+
+_IMAGES = """, raw AS (SELECT l_linenumber AS image, (l_orderkey * 7 + l_partkey) % 64 AS x, (l_suppkey * 13 + l_orderkey) % 48 AS y, max(floor(CAST(l_extendedprice AS DOUBLE) / 30)) AS v FROM lineitem GROUP BY 1, 2, 3),
+im AS (SELECT i.image, x, y, coalesce(raw.v, 0.0) AS v FROM (SELECT DISTINCT image FROM raw) i CROSS JOIN (SELECT unnest(range(64)) AS x) a CROSS JOIN (SELECT unnest(range(48)) AS y) b LEFT JOIN raw USING (image, x, y))"""
+
+
+def _images(spark, sf, scale: float = 1.0):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    px = li.select(F.col("l_linenumber").cast("int").alias("image"), ((F.col("l_orderkey") * 7 + F.col("l_partkey")) % 64).alias("x"), ((F.col("l_suppkey") * 13 + F.col("l_orderkey")) % 48).alias("y"), F.floor(F.col("l_extendedprice").cast("double") / 30).alias("v"))
+    return images_of.assemble(px, ["image"], "x", "y", F.col("v") * scale, 64, 48)
+
+
+def _cell(plane: str, value: str) -> str:
+    return f"SELECT image, '{plane}' AS plane, CAST(x // 2 AS INTEGER) AS x, CAST(y // 2 AS INTEGER) AS y, {value} AS value FROM im GROUP BY image, x // 2, y // 2"
+
+
+def _site(py: int, px: int) -> str:
+    return f"sum(CASE WHEN x % 2 = {px} AND y % 2 = {py} THEN v END) / 4096"
+
+
+@query(_IMAGES + " " + " UNION ALL ".join((_cell("red", _site(0, 0)), _cell("green", f"({_site(0, 1)} + {_site(1, 0)}) / 2"), _cell("blue", _site(1, 1)), _cell("mono", "sum(v) / 4 / 4096"))))
+def b6_b7_b8_superpixels(spark, sf):
+    def kernel(raw):
+        red, green, blue = kernels.superpixel(raw, 8, 4096.0)
+        assert (green == kernels.green(raw, 8, 4096.0)).all()
+        return {"red": red, "green": green, "blue": blue, "mono": kernels.superpixel_mono(raw, 4096.0)}
+
+    return images_of.planes(_images(spark, sf), ["image"], kernel)
+
+
+def _bilinear_sql() -> str:
+    """Each colour at each site of the RGGB cell: the offsets that hold it there, values beyond an edge clamped."""
+    sites = {"red": [(0, 0)], "green": [(0, 1), (1, 0)], "blue": [(1, 1)]}
+    near, diagonal = [(0, -1), (0, 1), (-1, 0), (1, 0)], [(-1, -1), (-1, 1), (1, -1), (1, 1)]
+    rows = []
+    for plane, own in sites.items():
+        for py in (0, 1):
+            for px in (0, 1):
+                offsets = [(0, 0)] if (py, px) in own else [o for o in near if ((py + o[0]) % 2, (px + o[1]) % 2) in own] or diagonal
+                rows += [f"('{plane}', {py}, {px}, {dy}, {dx})" for dy, dx in offsets]
+    return f"""{_IMAGES}, of(plane, py, px, dy, dx) AS (VALUES {', '.join(rows)})
+, nb AS (SELECT image, plane, x, y, greatest(0, least(63, x + dx)) AS bx, greatest(0, least(47, y + dy)) AS by_ FROM (SELECT *, y % 2 AS sy, x % 2 AS sx FROM im) a JOIN of ON sy = py AND sx = px)
+SELECT nb.image, plane, CAST(nb.x AS INTEGER) AS x, CAST(nb.y AS INTEGER) AS y, avg(b.v) / 4096 AS value FROM nb JOIN im b ON b.image = nb.image AND b.y = by_ AND b.x = bx GROUP BY nb.image, plane, nb.x, nb.y"""
+
+
+@query(_bilinear_sql())
+def b9_bilinear(spark, sf):
+    def kernel(raw):
+        colour = kernels.bilinear(raw, 8, 4096.0)
+        return {name: colour[..., k] for k, name in enumerate(("red", "green", "blue"))}
+
+    return images_of.planes(_images(spark, sf), ["image"], kernel)
+
+
+_SCALE = 0.037182914837
+
+
+@query(_IMAGES + f""", s AS (SELECT image, x, y, v * {_SCALE} AS v FROM im)
+SELECT a.image, 'blur' AS plane, CAST(a.x AS INTEGER) AS x, CAST(a.y AS INTEGER) AS y, round(avg(b.v), 6) AS value FROM s a JOIN s b ON a.image = b.image AND b.x BETWEEN a.x - 2 AND a.x + 2 AND b.y BETWEEN a.y - 2 AND a.y + 2 GROUP BY a.image, a.x, a.y
+UNION ALL SELECT image, 'small', CAST(x // 4 AS INTEGER), CAST(y // 4 AS INTEGER), round(avg(v), 6) FROM s GROUP BY image, x // 4, y // 4
+UNION ALL SELECT a.image, 'moved', CAST(a.x AS INTEGER), CAST(a.y AS INTEGER), round(coalesce(sum(b.v * w), 0), 6) FROM s a CROSS JOIN (VALUES (1, -1, 0.375), (2, -1, 0.125), (1, 0, 0.375), (2, 0, 0.125)) m(dx, dy, w) LEFT JOIN s b ON b.image = a.image AND b.x = a.x - dx AND b.y = a.y - dy GROUP BY a.image, a.x, a.y""")
+def g28_g29_g36_filters(spark, sf):
+    kernel = lambda x: {"blur": kernels.box_blur(x, 2), "small": kernels.decimate(x, 4), "moved": kernels.translate(x, 1.25, -0.5)}
+    return images_of.planes(_images(spark, sf, _SCALE), ["image"], kernel).withColumn("value", F.round("value", 6))
+
+
+@query(_IMAGES + f""", s AS (SELECT image, x, y, v * {_SCALE} AS v FROM im),
+an AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY y, x) AS k FROM s WHERE (x - 30) * (x - 30) + (y - 22) * (y - 22) >= 64 AND (x - 30) * (x - 30) + (y - 22) * (y - 22) < 324),
+am AS (SELECT image, list_sort(list(v))[len(list(v)) // 2 + 1] AS annulus FROM an WHERE k % 2 = 1 GROUP BY image),
+st AS (SELECT image, list_sort(list(v)) AS a, quantile_cont(v, 0.99) AS q99, quantile_cont(v, 0.5) AS q50 FROM s GROUP BY image),
+ce AS (SELECT s.image, sum(x * v) / sum(v) AS cx, sum(y * v) / sum(v) AS cy FROM s JOIN st ON s.image = st.image WHERE v >= a[CAST(floor(3072 * (1 - 0.02)) AS INTEGER) + 1] GROUP BY s.image),
+gr AS (SELECT image, v, pow(CASE WHEN x = 0 THEN lead(v) OVER h - v WHEN x = 63 THEN v - lag(v) OVER h ELSE (lead(v) OVER h - lag(v) OVER h) / 2 END, 2) + pow(CASE WHEN y = 0 THEN lead(v) OVER w - v WHEN y = 47 THEN v - lag(v) OVER w ELSE (lead(v) OVER w - lag(v) OVER w) / 2 END, 2) AS g
+ FROM s WINDOW h AS (PARTITION BY image, y ORDER BY x), w AS (PARTITION BY image, x ORDER BY y)),
+ed AS (SELECT gr.image, sqrt(avg(g)) AS edge FROM gr JOIN st ON gr.image = st.image WHERE v >= q99 GROUP BY gr.image),
+sm AS (SELECT s.image, median(v) AS m FROM s JOIN st ON s.image = st.image WHERE v <= q50 GROUP BY s.image), sn AS (SELECT s.image, median(abs(v - m)) AS noise FROM s JOIN st ON s.image = st.image JOIN sm ON s.image = sm.image WHERE v <= q50 GROUP BY s.image)
+SELECT am.image, round(annulus, 6) AS annulus, round(cx, 6) AS cx, round(cy, 6) AS cy, round(edge, 6) AS edge, round(noise, 6) AS noise FROM am JOIN ce ON am.image = ce.image JOIN ed ON am.image = ed.image JOIN sn ON am.image = sn.image""")
+def e6_e19_g27_measures(spark, sf):
+    kernel = lambda x: (kernels.annulus_median(x, 30.0, 22.0, 8.0, 18.0), *kernels.centroid(x), *kernels.sharpness(x)[:2])
+    told = images_of.measures(_images(spark, sf, _SCALE), ["image"], ["annulus", "cx", "cy", "edge", "noise"], kernel)
+    return told.select("image", *(r6(F.col(c), c) for c in ("annulus", "cx", "cy", "edge", "noise")))
