@@ -832,12 +832,12 @@ g4 AS (SELECT image, r, avg(p) OVER (PARTITION BY image ORDER BY r ROWS BETWEEN
 g5 AS (SELECT image, r, pow(max(CASE WHEN r = 20 THEN sm END) OVER (PARTITION BY image) / sm, 0.55) AS gain FROM g4)"""
 
 
-@query(_PIXELS + """ SELECT o, pl.image, round(value * gain, 6) AS flat FROM pl JOIN g5 ON pl.image = g5.image AND g5.r = least(CAST(floor(d + 0.5) AS INTEGER), rmax)""")
+@query(_PIXELS + """ SELECT o, pl.image, round(value * gain, 8) AS flat FROM pl JOIN g5 ON pl.image = g5.image AND g5.r = least(CAST(floor(d + 0.5) AS INTEGER), rmax)""")
 def g6_flatten(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
     px = li.select(F.col("l_linenumber").cast("int").alias("image"), F.col("l_orderkey").alias("o"), ((F.col("l_orderkey") * 7 + F.col("l_partkey")) % 160).cast("double").alias("x"), ((F.col("l_suppkey") * 13 + F.col("l_orderkey")) % 120).cast("double").alias("y"), (F.col("l_extendedprice").cast("double") / 100000).alias("value"))
     shape = px.select("image").distinct().withColumns({"cx": (70 + F.col("image")).cast("double"), "cy": F.lit(60.0), "width": F.lit(160.0), "height": F.lit(120.0), "limb": F.lit(20.0)})
-    return levels.flatten(px, shape, ["image"], "x", "y", "value", least=30).select("o", "image", r6(F.col("flat"), "flat"))
+    return levels.flatten(px, shape, ["image"], "x", "y", "value", least=30).select("o", "image", F.round("flat", 8).alias("flat"))
 
 
 @query(""", v AS (SELECT l_returnflag AS flag, CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem), q AS (SELECT flag, list_sort(list(x)) AS a, count(*) AS n FROM v GROUP BY flag)

@@ -74,10 +74,13 @@ def test_demosaic():
         flat[:] = 50
         flat[red[0] :: 2, red[1] :: 2], flat[blue[0] :: 2, blue[1] :: 2] = 80, 20
         assert np.allclose([p.mean() for p in k.superpixel(flat, cid, 100)], [0.8, 0.5, 0.2])
-        assert np.allclose(k.bilinear(flat, cid, 100), [0.8, 0.5, 0.2]) and np.allclose(k.green(flat, cid, 100), 0.5)
+        assert np.allclose(k.bilinear(flat, cid, 100)[1:-1, 1:-1], [0.8, 0.5, 0.2]) and np.allclose(k.green(flat, cid, 100), 0.5)
     noise = np.random.default_rng(1).integers(0, 65536, (32, 32)).astype(np.uint16)
     out = k.bilinear(noise, 8, 65535)
     assert (out[::2, ::2, 0] == noise[::2, ::2].astype(np.float32) / np.float32(65535)).all()
+    # Beyond an edge stands its value: green at the red corner has two neighbours and, twice, the corner itself.
+    corner = (2 * float(noise[0, 0]) + float(noise[0, 1]) + float(noise[1, 0])) / 4 / 65535
+    assert abs(out[0, 0, 1] - corner) < 1e-6 and abs(out[0, 5, 2] - (float(noise[0, 5]) + float(noise[1, 5])) / 2 / 65535) < 1e-6
     for bad in (0, 100):
         with pytest.raises(ValueError):
             k.superpixel(flat, bad, 1)
