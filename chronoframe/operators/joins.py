@@ -104,3 +104,17 @@ def greedy_boxes(df: DataFrame, keys: Sequence[str], rank: Column, half: str, sh
     kept = F.aggregate("a", F.expr("filter(a, z -> false)"), lambda acc, r: F.when(F.exists(acc, lambda k: hit(k, r)), acc).otherwise(F.concat(acc, F.array(r))))
     assert "id" in kinds
     return packed.select(*keys, F.explode(kept).alias("k")).select(*keys, "k.id", "k.rank")
+
+
+def nearest_before(features: DataFrame, keys: Sequence[str], clip: str, name: str, x: str, y: str, label: str, held: str) -> DataFrame:
+    """(keys, clip, name, held, far): for each feature, what the nearest of the same label in the clip before holds, and how far that is.
+
+    The clip before is the last lower one that the key has. Of equally near ones the first by ``name`` counts; a feature without one has
+    nulls. Rows of the same key, clip and label meet: as many as a picture has places for panels.
+    """
+    clips = features.select(*keys, clip).distinct().withColumn("__before", F.lag(clip).over(Window.partitionBy(*keys).orderBy(clip)))
+    now = features.join(clips, [*keys, clip]).select(*keys, clip, name, label, F.col(x).alias("__x"), F.col(y).alias("__y"), "__before")
+    was = features.select(*keys, F.col(clip).alias("__before"), label, F.struct(F.col(name).alias("n"), F.col(x).alias("x"), F.col(y).alias("y"), F.col(held).alias("h")).alias("__p"))
+    met = now.join(was, [*keys, "__before", label], "left").withColumn("__far", F.hypot(F.col("__p.x") - F.col("__x"), F.col("__p.y") - F.col("__y")))
+    best = F.min_by(F.struct(F.col("__p.h").alias("h"), F.col("__far").alias("f")), F.when(F.col("__far").isNotNull(), F.struct("__far", F.col("__p.n").alias("n"))))
+    return met.groupBy(*keys, clip, name).agg(best.alias("__b")).select(*keys, clip, name, F.col("__b.h").alias(held), F.col("__b.f").alias("far"))

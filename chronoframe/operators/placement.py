@@ -45,8 +45,8 @@ def lit_area_agrees(measured: Column, expected: Column, tolerance: float = 0.35)
     return F.abs(measured - expected) <= tolerance
 
 
-def totality_gains(segs: DataFrame, keys: Sequence[str], start: str, kind: str, chain: str, p99: str, entry: str, totality: Column, target: float, full: float) -> DataFrame:
-    """``gain`` of each segment, ``anchor`` of transitions, and ``slow``: the stable one with the largest gain, the first on ties.
+def totality_gains(segs: DataFrame, keys: Sequence[str], start: str, kind: str, chain: str, p99: str, entry: str, totality: Column, target: float, full: float, resolve: Column | None = None) -> DataFrame:
+    """``gain`` of each segment, ``anchor`` of transitions, ``slow``: the stable one with the largest gain, the first on ties, and ``corona``: the other stable ones that are no ``resolve`` segments.
 
     Levels count as at least 1/65535. In totality a stable segment is brought to the target directly, and a transition is anchored to the next stable one.
     """
@@ -59,7 +59,7 @@ def totality_gains(segs: DataFrame, keys: Sequence[str], start: str, kind: str,
     anchor = F.when(totality & ~stable & F.col("__next").isNotNull(), F.col("__next.g") * F.col("__next.e") / lit(F.col(entry))).otherwise(F.col("gain"))
     rank = F.when(totality & stable, F.struct(F.col("gain"), (-F.col(start)).alias("first")))
     best = F.max_by(F.when(totality & stable, F.col(start)), rank).over(Window.partitionBy(*keys))
-    return gained.withColumn("anchor", anchor).withColumn("slow", F.coalesce(F.col(start) == best, F.lit(False))).drop("__next")
+    return gained.withColumn("anchor", anchor).withColumn("slow", F.coalesce(F.col(start) == best, F.lit(False))).drop("__next").withColumn("corona", totality & stable & ~F.col("slow") & ~F.coalesce(F.lit(False) if resolve is None else resolve, F.lit(False)))
 
 
 def ramp_gain(anchor: Column, entry: Column, level: Column, p99: Column, target: float, full: float, ceiling: float) -> Column:

@@ -642,9 +642,10 @@ def f2_refine_boundaries(spark, sf):
     return placement.refine_boundaries(edges, f, "capture", "i", "v")
 
 
-@query(""", s(lo, hi) AS (VALUES (30.0, 10.0), (50.0, 90.0), (NULL, 5.0)) SELECT least(lo, hi) AS lo, greatest(lo, hi) AS hi FROM s WHERE lo IS NOT NULL AND hi IS NOT NULL""")
+@query(""", s AS (SELECT max(t) FILTER (WHERE v > 100) AS lo, min(t) FILTER (WHERE v > 60 AND v < 100) AS hi FROM f GROUP BY capture) SELECT least(lo, hi) AS lo, greatest(lo, hi) AS hi FROM s WHERE lo IS NOT NULL AND hi IS NOT NULL""")
 def f33_bead_windows(spark, sf):
-    measured = spark.createDataFrame([(30.0, 10.0), (50.0, 90.0), (None, 5.0)], "lo double, hi double")
+    v, t = F.col("v"), F.col("t")
+    measured = frames(spark, sf).groupBy("capture").agg(F.max(F.when(v > 100, t)).alias("lo"), F.min(F.when((v > 60) & (v < 100), t)).alias("hi"))
     return placement.bead_windows(measured, _CONTACTS)
 
 
@@ -1067,3 +1068,32 @@ def e6_e19_g27_measures(spark, sf):
     kernel = lambda x: (kernels.annulus_median(x, 30.0, 22.0, 8.0, 18.0), *kernels.centroid(x), *kernels.sharpness(x)[:2])
     told = images_of.measures(_images(spark, sf, _SCALE), ["image"], ["annulus", "cx", "cy", "edge", "noise"], kernel)
     return told.select("image", *(r6(F.col(c), c) for c in ("annulus", "cx", "cy", "edge", "noise")))
+
+
+# ---------------------------------------------------------------- features from clip to clip
+
+
+@query(""", c AS (SELECT capture, i // 5 AS clip, event_id AS name, state AS label, round(v) + 0.0 AS x, i % 3 + 0.0 AS y, event_id % 8 AS slot FROM f WHERE v > 4),
+b AS (SELECT capture, clip, lag(clip) OVER (PARTITION BY capture ORDER BY clip) AS before FROM (SELECT DISTINCT capture, clip FROM c)),
+m AS (SELECT n.capture, n.clip, n.name, p.slot, sqrt((p.x - n.x) * (p.x - n.x) + (p.y - n.y) * (p.y - n.y)) AS far, p.name AS pn FROM c n JOIN b ON n.capture = b.capture AND n.clip = b.clip LEFT JOIN c p ON p.capture = n.capture AND p.clip = b.before AND p.label = n.label)
+SELECT capture, CAST(clip AS BIGINT) AS clip, name, CAST(slot AS BIGINT) AS slot, round(far, 6) AS far FROM (SELECT *, row_number() OVER (PARTITION BY capture, clip, name ORDER BY far NULLS LAST, pn) AS k FROM m) WHERE k = 1""")
+def d11_nearest_before(spark, sf):
+    f = frames(spark, sf).where("v > 4").select("capture", F.floor(F.col("i") / 5).alias("clip"), F.col("event_id").alias("name"), F.col("state").alias("label"), F.round("v").alias("x"), (F.col("i") % 3).cast("double").alias("y"), (F.col("event_id") % 8).cast("long").alias("slot"))
+    return joins.nearest_before(f, KEY, "clip", "name", "x", "y", "label", "slot").select("capture", "clip", "name", "slot", r6(F.col("far"), "far"))
+
+
+@query(f""", x AS (SELECT *, CASE WHEN v > 2 THEN v END AS x FROM f), m AS (SELECT capture, {MED.format('x')} AS m FROM x WHERE x IS NOT NULL GROUP BY capture),
+d AS (SELECT x.*, abs(x - m) AS dev, coalesce(abs(x - m) <= 25, false) AS trusted FROM x JOIN m ON x.capture = m.capture),
+g AS (SELECT capture, avg(CASE WHEN trusted THEN 0 ELSE 1 END) AS bad, avg(CASE WHEN x IS NOT NULL THEN 1 ELSE 0 END) AS measurable, list_sort(list(dev) FILTER (WHERE dev IS NOT NULL)) AS a FROM d GROUP BY capture),
+q AS (SELECT *, a[least(len(a) - 1, CAST(floor(len(a) * 0.9) AS BIGINT)) + 1] AS p90 FROM g)
+SELECT event_id FROM d JOIN q ON d.capture = q.capture WHERE CASE WHEN bad > 0.5 THEN p90 <= 60 AND measurable >= 0.25 ELSE trusted END""")
+def f25_failed_groups(spark, sf):
+    x = frames(spark, sf).withColumn("x", F.when(F.col("v") > 2, F.col("v")))
+    rows = stats.with_upper_median(x, KEY, F.col("x"), "m").withColumn("trusted", F.coalesce(F.abs(F.col("x") - F.col("m")) <= 25, F.lit(False)))
+    return sequences.drop_failed_groups(rows, KEY, "x", 60.0, 0.25).select("event_id")
+
+
+@query(""", c AS (SELECT capture, i // 12 AS clip, list(event_id ORDER BY v DESC, event_id) AS a FROM f GROUP BY 1, 2) SELECT capture, CAST(clip AS BIGINT) AS clip, array_to_string(a[1:4], ',') AS shown FROM c""")
+def i5_first_features(spark, sf):
+    f = frames(spark, sf).groupBy("capture", F.floor(F.col("i") / 12).alias("clip")).agg(F.sort_array(F.collect_list(F.struct((-F.col("v")).alias("v"), F.col("event_id").alias("id")))).alias("a"))
+    return f.select("capture", "clip", F.array_join(chapters.first_features(F.col("a.id").cast("array<string>"), 4), ",").alias("shown"))
