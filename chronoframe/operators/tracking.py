@@ -8,10 +8,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .fits import loose
+from .stats import with_upper_median
 
 # ---------------------------------------------------------------- a centre carried along
 
@@ -261,3 +262,49 @@ def validated_track(track: DataFrame, gap: float, observed: Column, within: floa
     d = b * b - 4 * a * (F.col("bx") ** 2 + F.col("by") ** 2 - F.lit(gap * gap))
     told = track.withColumn("predicted", F.when((a > 0) & (d >= 0), F.try_divide(F.sqrt(F.greatest(d, F.lit(0.0))), a)))
     return told.withColumn("valid", F.coalesce(F.abs(F.col("predicted") - observed) <= within * observed, F.lit(False)))
+
+
+# ---------------------------------------------------------------- runs with a box of one size
+
+# A run's box is so many times the median extent, within these bounds.
+BEAD_BOX, BEAD_LEAST, BEAD_MOST = 1.35, 45.0, 80.0
+CUSP_BOX, CUSP_LEAST, CUSP_MOST = 1.3, 40.0, 46.0
+
+
+def bead_runs(df: DataFrame, keys: Sequence[str], order: str, x: str, y: str, extent: str, near: Column, gap: int = 4, quadratic: int = 25) -> DataFrame:
+    """(keys, order, run, n, x, y, half) of the measured rows of runs that touch a contact: modelled centres, one box size a run.
+
+    Rows with a null x, y or extent are not measured and do not link. Measured rows at most ``gap`` apart in ``order`` are a run; it
+    stays if ``near`` holds on any of its measured rows. Centres are the least-squares polynomial of a run in ``order``:
+    a parabola from ``quadratic`` rows on, else a line; a run at a single place of ``order`` has its mean, one at two places a line.
+    All of it is windows over one exchange by key.
+    """
+    by = Window.partitionBy(*keys).orderBy("__o")
+    run = Window.partitionBy(*keys, "run")
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(extent).isNotNull()).select(*keys, F.col(order).alias("__o"), F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"), F.col(extent).cast("double").alias("__e"), F.coalesce(near, F.lit(False)).alias("__near"))
+    rows = rows.withColumn("__new", F.coalesce(F.col("__o") - F.lag("__o").over(by) > gap, F.lit(True)).cast("long"))
+    rows = rows.withColumn("run", F.sum("__new").over(by.rangeBetween(Window.unboundedPreceding, 0)) - 1)
+    rows = rows.withColumns({"n": F.count("*").over(run), "__kept": F.max("__near").over(run), "__t": F.col("__o") - F.avg("__o").over(run), "__rank": F.row_number().over(run.orderBy("__e")) - 1})
+    rows = rows.where("__kept").withColumn("__med", F.max(F.when(F.col("__rank") == F.floor(F.col("n") / 2), F.col("__e"))).over(run))
+    t = F.col("__t")
+    rows = rows.withColumns({f"__s{p}": F.sum(F.pow(t, F.lit(p))).over(run) for p in (2, 3, 4)})
+    n, s2, s3, s4 = (F.col(c) for c in ("n", "__s2", "__s3", "__s4"))
+
+    def modelled(v: str) -> Column:
+        """Normal equations of centred places: their first moment is zero, so they fall apart."""
+        s, st, stt = (F.sum(F.col(v) * F.pow(t, F.lit(p))).over(run) for p in range(3))
+        line = F.coalesce(F.try_divide(st, s2), F.lit(0.0))
+        left = s4 - s2 * s2 / n - F.coalesce(F.try_divide(s3 * s3, s2), F.lit(0.0))
+        bend = F.try_divide(stt - s2 * s / n - F.try_divide(s3 * st, s2), F.when(left > 1e-9 * s4, left))
+        bend = F.when(n >= quadratic, F.coalesce(bend, F.lit(0.0))).otherwise(0.0)
+        return s / n + (line - bend * F.coalesce(F.try_divide(s3, s2), F.lit(0.0))) * t + bend * (t * t - s2 / n)
+
+    half = F.least(F.greatest(BEAD_BOX * F.col("__med"), F.lit(BEAD_LEAST)), F.lit(BEAD_MOST))
+    return rows.select(*keys, F.col("__o").alias(order), "run", "n", modelled("__x").alias("x"), modelled("__y").alias("y"), half.alias("half"))
+
+
+def cusp_boxes(df: DataFrame, keys: Sequence[str], opening: str, least: int = 10, quadratic: int = 25) -> DataFrame:
+    """(keys, n, degree, half) of each key with at least ``least`` openings: the degree its track may have and its box's half-width. Null openings do not count."""
+    med = with_upper_median(df.where(F.col(opening).isNotNull()), keys, F.col(opening).cast("double"), "__m")
+    half = F.least(F.greatest(CUSP_BOX * F.max("__m"), F.lit(CUSP_LEAST)), F.lit(CUSP_MOST))
+    return med.groupBy(*keys).agg(F.count("*").alias("n"), half.alias("half")).where(F.col("n") >= least).withColumn("degree", F.when(F.col("n") >= quadratic, 2).otherwise(1))

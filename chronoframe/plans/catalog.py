@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels, scalar, text
-from ..operators import chapters, fits, joins, levels, placement, rings, sequences, stats, tracking
+from ..operators import chapters, fits, joins, layout, levels, placement, rings, sequences, stats, tracking
 from ..operators import frames as images_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1097,3 +1097,89 @@ def f25_failed_groups(spark, sf):
 def i5_first_features(spark, sf):
     f = frames(spark, sf).groupBy("capture", F.floor(F.col("i") / 12).alias("clip")).agg(F.sort_array(F.collect_list(F.struct((-F.col("v")).alias("v"), F.col("event_id").alias("id")))).alias("a"))
     return f.select("capture", "clip", F.array_join(chapters.first_features(F.col("a.id").cast("array<string>"), 4), ",").alias("shown"))
+
+
+# ---------------------------------------------------------------- panels: slots, their assignment, runs with a box
+
+_DISC = """, fe AS (SELECT capture, i // 4 AS clip, event_id AS name, state AS label, 40 + event_id * 37 % 320 + 0.0 AS x, 30 + event_id * 53 % 240 + 0.0 AS y FROM f WHERE v > 4)"""
+_SLOT_SQL = """, cap AS (SELECT capture, 60.0 + capture % 5 * 10 AS r FROM f GROUP BY capture),
+pl(slot, fx, fy) AS (VALUES (0, 0.0, 0.0), (1, 0.0, 1.0), (2, 1.0, 0.0), (3, 1.0, 1.0), (4, 0.0, 0.5), (5, 1.0, 0.5), (6, 0.5, 0.0), (7, 0.5, 1.0)),
+re AS (SELECT capture, r, slot, 400 * fx AS x, 300 * fy AS y, atan2(300 * (fy - 0.5), 400 * (fx - 0.5)) AS angle, 8 + fx * 324 AS px, 8 + fy * 224 AS py FROM cap, pl),
+cl AS (SELECT *, sqrt(pow(least(greatest(200.0, px), px + 60) - 200, 2) + pow(least(greatest(150.0, py), py + 60) - 150, 2)) - r AS clear FROM re),
+ra AS (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY clear DESC, slot) AS room, count(*) FILTER (WHERE clear >= 0.15 * r) OVER (PARTITION BY capture) AS good FROM cl),
+sl AS (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY angle) AS j FROM ra WHERE CASE WHEN good < 6 THEN room <= 6 ELSE clear >= 0.15 * r END)"""
+
+
+def _discs(spark, sf):
+    each = frames(spark, sf).select("capture").distinct()
+    return layout.clear_slots(each, KEY, F.lit(400), F.lit(300), 60.0 + F.col("capture") % 5 * 10, 60.0, 8.0)
+
+
+def _features(spark, sf):
+    f, e = frames(spark, sf).where("v > 4"), F.col("event_id")
+    return f.select("capture", F.floor(F.col("i") / 4).alias("clip"), e.alias("name"), F.col("state").alias("label"), (40 + e * 37 % 320).cast("double").alias("x"), (30 + e * 53 % 240).cast("double").alias("y"))
+
+
+@query(_SLOT_SQL + " SELECT capture, slot, round(x, 6) AS x, round(y, 6) AS y, round(clear, 6) AS clear, CAST(j AS INTEGER) AS place FROM sl")
+def g52_clear_slots(spark, sf):
+    s = _discs(spark, sf).select("capture", F.posexplode("slots").alias("p", "s"))
+    return s.select("capture", "s.slot", r6(F.col("s.x"), "x"), r6(F.col("s.y"), "y"), r6(F.col("s.clear"), "clear"), (F.col("p") + 1).alias("place"))
+
+
+@query(_DISC + """ SELECT name FROM (SELECT *, abs(sqrt(pow(x - 200, 2) + pow(y - 150, 2)) / 90 - 1) AS off, label IN ('view', 'purchase') AS limb FROM fe) WHERE NOT (limb AND off > 0.35)""")
+def c6_on_limb(spark, sf):
+    limb = F.when(F.col("label").isin("view", "purchase"), F.lit("prominence")).otherwise(F.col("label"))
+    return _features(spark, sf).where(layout.on_limb(limb, F.col("x"), F.col("y"), F.lit(200.0), F.lit(150.0), F.lit(90.0))).select("name")
+
+
+@query(_DISC + _SLOT_SQL + """,
+rk AS (SELECT *, row_number() OVER (PARTITION BY capture, clip ORDER BY name) AS k FROM fe),
+cp AS (SELECT capture, clip, list(name ORDER BY k) AS names, list({'l': label, 'x': x, 'y': y} ORDER BY k) AS fs, count(*) AS n, row_number() OVER (PARTITION BY capture ORDER BY clip) AS c FROM rk WHERE k <= (SELECT count(*) FROM sl WHERE sl.capture = rk.capture) GROUP BY capture, clip),
+sa AS (SELECT capture, any_value(r) AS r, list({'slot': slot, 'x': x, 'y': y, 'a': angle, 'clear': clear} ORDER BY j) AS s FROM sl GROUP BY capture),
+pm AS (SELECT [j] AS js FROM range(1, 9) t(j) UNION ALL SELECT list_append(js, j) FROM pm, range(1, 9) t(j) WHERE len(js) < 6 AND NOT list_contains(js, j)),
+un AS (SELECT capture, c, k, j, d + CASE WHEN sqrt(pow(fx + t * dx - 200, 2) + pow(fy + t * dy - 150, 2)) < r THEN 10000 ELSE 0 END - 2 * clear AS cost FROM (
+ SELECT *, CASE WHEN d = 0 THEN 0 ELSE greatest(0, least(1, ((200 - fx) * dx + (150 - fy) * dy) / (d * d))) END AS t FROM (
+ SELECT rk.capture, cp.c, k, j, sl.r, sl.clear, rk.x AS fx, rk.y AS fy, sl.x - rk.x AS dx, sl.y - rk.y AS dy, sqrt(pow(sl.x - rk.x, 2) + pow(sl.y - rk.y, 2)) AS d FROM rk JOIN cp ON rk.capture = cp.capture AND rk.clip = cp.clip JOIN sl ON sl.capture = rk.capture WHERE k <= cp.n))),
+ul AS (SELECT capture, c, list(cost ORDER BY k, j) AS u FROM un GROUP BY capture, c),
+pr AS (SELECT a.capture, cp.c, a.k AS ka, b.k AS kb, s.j AS ja, q.j AS jb, CASE WHEN
+  ((q.x - b.x) * (a.y - b.y) - (q.y - b.y) * (a.x - b.x) > 0) <> ((q.x - b.x) * (s.y - b.y) - (q.y - b.y) * (s.x - b.x) > 0)
+  AND ((s.x - a.x) * (b.y - a.y) - (s.y - a.y) * (b.x - a.x) > 0) <> ((s.x - a.x) * (q.y - a.y) - (s.y - a.y) * (q.x - a.x) > 0) THEN 1 ELSE 0 END AS x
+ FROM rk a JOIN rk b ON a.capture = b.capture AND a.clip = b.clip AND a.k < b.k JOIN cp ON cp.capture = a.capture AND cp.clip = a.clip JOIN sl s ON s.capture = a.capture JOIN sl q ON q.capture = a.capture WHERE b.k <= cp.n),
+px AS (SELECT capture, c, list(ka * 1000 + kb * 100 + ja * 10 + jb) AS crossed FROM pr WHERE x = 1 AND ja <> jb GROUP BY capture, c),
+ba AS (SELECT cp.capture, cp.c, pm.js, list_sum(list_transform(range(1, cp.n + 1), lambda k: u[(k - 1) * len(s) + js[k]]))
+  + 10000 * coalesce(len(list_filter(crossed, lambda z: js[z // 1000] = z // 10 % 10 AND js[z // 100 % 10] = z % 10)), 0)
+  - 500 * CASE WHEN cp.n < 2 THEN pi() ELSE least(list_min(list_transform(range(1, cp.n), lambda k: s[list_sort(js)[k + 1]].a - s[list_sort(js)[k]].a)), s[list_min(js)].a + 2 * pi() - s[list_max(js)].a) END AS cost
+ FROM cp JOIN sa ON sa.capture = cp.capture JOIN ul ON ul.capture = cp.capture AND ul.c = cp.c JOIN pm ON len(pm.js) = cp.n AND list_max(pm.js) <= len(s) LEFT JOIN px ON px.capture = cp.capture AND px.c = cp.c),
+ly AS (SELECT capture, c, fs, js, want FROM (SELECT cp.capture, cp.c, cp.fs, ba.js, list_transform(cp.fs, lambda z: CAST(NULL AS BIGINT)) AS want, row_number() OVER (PARTITION BY cp.capture ORDER BY round(cost, 6), ba.js) AS best FROM cp JOIN ba ON ba.capture = cp.capture AND ba.c = cp.c WHERE cp.c = 1) WHERE best = 1
+ UNION ALL
+ SELECT capture, c, fs, js, want FROM (
+  SELECT w.capture, w.c, w.fs, ba.js, w.want, row_number() OVER (PARTITION BY w.capture ORDER BY round(cost + 2000 * len(list_filter(range(1, len(want) + 1), lambda k: want[k] IS NOT NULL AND want[k] <> ba.js[k])), 6), ba.js) AS best
+  FROM (SELECT capture, c, fs, list_transform(held, lambda z: CASE WHEN z.j IS NOT NULL AND sqrt(pow(s[z.j].x - z.x, 2) + pow(s[z.j].y - z.y, 2)) - list_min(list_transform(s, lambda q: sqrt(pow(q.x - z.x, 2) + pow(q.y - z.y, 2)))) <= 250 THEN z.j END) AS want
+   FROM (SELECT cp.capture, cp.c, cp.fs, sa.s, list_transform(cp.fs, lambda g: {'x': g.x, 'y': g.y, 'j': list_sort(list_transform(list_filter(range(1, len(ly.fs) + 1), lambda k: ly.fs[k].l = g.l), lambda k: {'d': pow(ly.fs[k].x - g.x, 2) + pow(ly.fs[k].y - g.y, 2), 'k': k, 'j': ly.js[k]}))[1].j}) AS held
+    FROM ly JOIN cp ON cp.capture = ly.capture AND cp.c = ly.c + 1 JOIN sa ON sa.capture = cp.capture)) w JOIN ba ON ba.capture = w.capture AND ba.c = w.c) WHERE best = 1),
+dn AS (SELECT ly.capture, clip, names, js, want, unnest(range(1, len(js) + 1)) AS k FROM ly JOIN cp ON cp.capture = ly.capture AND cp.c = ly.c)
+SELECT rk.capture, CAST(rk.clip AS BIGINT) AS clip, rk.name, s[js[rk.k]].slot AS slot, CASE WHEN js IS NOT NULL THEN coalesce(want[rk.k] <> js[rk.k], false) END AS moved
+FROM rk JOIN sa ON sa.capture = rk.capture LEFT JOIN dn ON dn.capture = rk.capture AND dn.clip = rk.clip AND dn.k = rk.k""")
+def g42_g43_layout(spark, sf):
+    return layout.assign_slots(_features(spark, sf), _discs(spark, sf), KEY, "clip", "name", "label", "x", "y")
+
+
+@query(""", b AS (SELECT capture, i, v + i AS x, v * 0.5 + i * i / 100.0 AS y, 20 + v AS e, i // 40 AS part FROM f),
+nr AS (SELECT *, min(part) OVER w <> max(part) OVER w AS near FROM b WINDOW w AS (PARTITION BY capture ORDER BY i ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)),
+c AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY capture ORDER BY i) <= 4 THEN 0 ELSE 1 END AS fresh FROM nr WHERE e > 40),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY capture ORDER BY i) - 1 AS run FROM c),
+g AS (SELECT capture, run, count(*) AS n, avg(i) AS mid, list_sort(list(e))[count(*) // 2 + 1] AS med FROM r GROUP BY capture, run HAVING bool_or(near)),
+p AS (SELECT r.*, n, med, r.i - mid AS t FROM r JOIN g ON g.capture = r.capture AND g.run = r.run),
+s AS (SELECT capture, run, sum(t * t) AS s2, sum(t * t * t) AS s3, sum(t * t * t * t) AS s4, sum(x) AS x0, sum(x * t) AS x1, sum(x * t * t) AS x2, sum(y) AS y0, sum(y * t) AS y1, sum(y * t * t) AS y2 FROM p GROUP BY capture, run),
+k AS (SELECT p.*, s2, s3, s4, x0, x1, y0, y1, CASE WHEN n >= 25 THEN (x2 - s2 * x0 / n - s3 * x1 / s2) / (s4 - s2 * s2 / n - s3 * s3 / s2) ELSE 0 END AS xb, CASE WHEN n >= 25 THEN (y2 - s2 * y0 / n - s3 * y1 / s2) / (s4 - s2 * s2 / n - s3 * s3 / s2) ELSE 0 END AS yb FROM p JOIN s ON s.capture = p.capture AND s.run = p.run)
+SELECT capture, i, CAST(run AS BIGINT) AS run, n, round(x0 / n + CASE WHEN s2 = 0 THEN 0 ELSE (x1 - s3 * xb) / s2 * t END + xb * (t * t - s2 / n), 5) AS x, round(y0 / n + CASE WHEN s2 = 0 THEN 0 ELSE (y1 - s3 * yb) / s2 * t END + yb * (t * t - s2 / n), 5) AS y, round(least(greatest(1.35 * med, 45), 80), 6) AS half FROM k""")
+def f27_bead_runs(spark, sf):
+    f = frames(spark, sf).select("capture", "i", (F.col("v") + F.col("i")).alias("x"), (F.col("v") * 0.5 + F.col("i") * F.col("i") / 100.0).alias("y"), (20 + F.col("v")).alias("e"), F.floor(F.col("i") / 40).alias("part"))
+    near = joins.differs_nearby(f, KEY, "i", "part", 4).withColumn("e", F.when(F.col("e") > 40, F.col("e")))
+    return tracking.bead_runs(near, KEY, "i", "x", "y", "e", F.col("near")).select("capture", "i", "run", "n", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), r6(F.col("half"), "half"))
+
+
+@query(f""" SELECT capture, n, CASE WHEN n >= 25 THEN 2 ELSE 1 END AS degree, round(least(greatest(1.3 * m, 40), 46), 6) AS half FROM (SELECT capture, count(*) AS n, {MED.format('20 + v')} AS m FROM f WHERE v > 2 GROUP BY capture) WHERE n >= 10""")
+def g53_cusp_boxes(spark, sf):
+    f = frames(spark, sf).select("capture", F.when(F.col("v") > 2, 20 + F.col("v")).alias("opening"))
+    return tracking.cusp_boxes(f, KEY, "opening").select("capture", "n", "degree", r6(F.col("half"), "half"))
