@@ -31,6 +31,10 @@ WIDTHS = (2, 3, 4)
 class Settings:
     #: Labelled documents per language that the network is fitted on, at most; the least by a hash of doc_id.
     rows_per_language: int = 1500
+    #: Labelled documents of all languages together, at most (at least one of each language).
+    most_rows: int = 60000
+    #: Windows of a document that reach the driver, at most, from anywhere in its whole text.
+    windows_per_row: int = 4
     embedding: int = 8
     filters: int = 16
     batch: int = 128
@@ -65,7 +69,7 @@ class ByteCnn:
         return np.concatenate(out, axis=1), where
 
     def fit(self, texts: list[bytes], y: np.ndarray) -> ByteCnn:
-        """Steps over windows of whole texts: a batch draws a text of each label, and a place anywhere in it."""
+        """Steps over pieces of the texts (here: windows): a batch draws texts of each label, and a place anywhere in each."""
         s = self.settings
         rng = np.random.default_rng(s.seed + 1)
         by = [np.flatnonzero(y == k) for k in range(len(self.labels))]
@@ -78,7 +82,7 @@ class ByteCnn:
         for step in range(1, s.steps + 1):
             pick = np.concatenate([rng.choice(i, -(-s.batch // len(by))) for i in by])
             wide = int(lengths[rng.integers(len(lengths))])
-            at = (rng.random(len(pick)) * np.maximum(1, size[pick] - WINDOW + 1)).astype(np.int64)
+            at = (rng.random(len(pick)) * np.maximum(1, size[pick] - wide + 1)).astype(np.int64)
             reach = np.arange(wide)
             xb = data[(first[pick] + at)[:, None] + reach] * (at[:, None] + reach < size[pick][:, None])
             xb = np.pad(xb, ((0, 0), (0, 4)))
@@ -159,20 +163,37 @@ def learnable(key: Column, parts: int, held: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % parts != held, F.lit(False))
 
 
-def train(docs: DataFrame, may_learn: Column, settings: Settings = Settings(), key: str = "doc_id") -> ByteCnn | None:
-    """Fit on a bounded sample: ``rows_per_language`` documents of each label, the least by a hash of the key, whole."""
-    hashed = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("k"), F.col("lang").alias("label"), F.xxhash64(key).alias("h"))
+def training_windows(docs: DataFrame, may_learn: Column, settings: Settings = Settings(), key: str = "doc_id") -> DataFrame:
+    """(label, k, n, piece) of a bounded sample: at most ``windows_per_row`` windows of bytes from each of the least documents by a hash of the key.
+
+    A language has at most ``rows_per_language`` documents, all have ``most_rows`` together, so the rows are bounded whatever the
+    texts' lengths and the number of languages. A window's place is drawn by a hash over all places of the whole text, on the
+    executors; a text of at most one window is one row. Empty texts have none.
+    """
+    labelled = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    each = max(1, min(settings.rows_per_language, settings.most_rows // max(1, labelled.select("lang").distinct().count())))
+    hashed = labelled.select(F.col(key).alias("k"), F.col("lang").alias("label"), F.xxhash64(key).alias("h"))
     # Least in each of 64 parts of a language first, so that no task sorts a whole language.
     part = Window.partitionBy("label", F.pmod(F.spark_partition_id(), F.lit(64))).orderBy("h", "k")
-    fewer = hashed.groupBy("label", "k").agg(F.first("h").alias("h")).withColumn("r", F.row_number().over(part)).where(F.col("r") <= settings.rows_per_language)
-    chosen = fewer.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h", "k"))).where(F.col("r") <= settings.rows_per_language)
-    ids = chosen.select("k").distinct()  # bounded by rows_per_language x languages
-    rows = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("k"), F.col("lang").alias("label"), F.col("text").alias("body")).join(F.broadcast(ids), "k", "left_semi")
-    got = sorted((r["s"]["label"], r["s"]["body"].encode()) for r in rows.groupBy("k").agg(F.min(F.struct("label", "body")).alias("s")).select("s").collect() if r["s"]["body"])
+    fewer = hashed.groupBy("label", "k").agg(F.first("h").alias("h")).withColumn("r", F.row_number().over(part)).where(F.col("r") <= each)
+    chosen = fewer.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h", "k"))).where(F.col("r") <= each)
+    ids = chosen.select("k").distinct()  # most_rows, or one a language
+    rows = labelled.select(F.col(key).alias("k"), F.col("lang").alias("label"), F.col("text").alias("body")).join(F.broadcast(ids), "k", "left_semi")
+    bodies = rows.groupBy("k").agg(F.min(F.struct("label", "body")).alias("s")).select("k", "s.label", F.encode("s.body", "utf-8").alias("raw")).where(F.length("raw") > 0)
+    many = F.least(F.lit(settings.windows_per_row), F.ceil(F.length("raw") / WINDOW).cast("int"))
+    dealt = bodies.withColumn("n", F.explode(F.sequence(F.lit(1), many)))
+    share = F.pmod(F.xxhash64("k", "n"), F.lit(1 << 30)) / float(1 << 30)
+    at = F.floor(share * F.greatest(F.lit(1), F.length("raw") - WINDOW + 1)).cast("int")
+    return dealt.select("label", "k", "n", F.substring("raw", at + 1, F.lit(WINDOW)).alias("piece"))
+
+
+def train(docs: DataFrame, may_learn: Column, settings: Settings = Settings(), key: str = "doc_id") -> ByteCnn | None:
+    """Fit on ``training_windows``, which alone reach the driver."""
+    got = sorted((r["label"], r["k"], r["n"], bytes(r["piece"])) for r in training_windows(docs, may_learn, settings, key).collect())
     if not got:
         return None
     labels = sorted({g[0] for g in got})
-    return ByteCnn(labels, settings).fit([g[1] for g in got], np.array([labels.index(g[0]) for g in got]))
+    return ByteCnn(labels, settings).fit([g[3] for g in got], np.array([labels.index(g[0]) for g in got]))
 
 
 def languages(texts: pa.Array, model: ByteCnn | None) -> tuple[list[str], np.ndarray]:
