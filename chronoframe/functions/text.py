@@ -34,3 +34,14 @@ def panel_too_large(panel: Column, width: Column, height: Column, drizzle: int,
 def few_enough(count: Column, best: Column, most: Column, limit: int = 200) -> Column:
     """Whether a segment has so few frames to stack that each is placed by one resampling."""
     return F.least(count * F.when(best > 0, best).otherwise(0.1), F.when(most > 0, most).otherwise(1_000_000)) <= limit
+
+
+# The columns of a segment report, their formats and the width of its rule.
+REPORT = (("file", "%-14s"), ("start", "%-6d"), ("count", "%-7d"), ("sec", "%-6.1f"), ("state", "%-11s"), ("kind", "%-6s"), ("level", "%6s"), ("med", "%9.5f"), ("p99", "%9.5f"))
+REPORT_RULE = 90
+
+
+def report_line(**columns: Column) -> Column:
+    """A segment's line of the report, from a column for each name of ``REPORT``; a null level shows as a dash."""
+    of = columns | {"level": F.coalesce(columns["level"].cast("string"), F.lit("-"))}
+    return F.format_string(" ".join(form for _, form in REPORT), *(of[name] for name, _ in REPORT))

@@ -1183,3 +1183,12 @@ def f27_bead_runs(spark, sf):
 def g53_cusp_boxes(spark, sf):
     f = frames(spark, sf).select("capture", F.when(F.col("v") > 2, 20 + F.col("v")).alias("opening"))
     return tracking.cusp_boxes(f, KEY, "opening").select("capture", "n", "degree", r6(F.col("half"), "half"))
+
+
+@query(""", g AS (SELECT capture, i // 8 AS part, min(i) AS start, count(*) AS n, min(state) AS state, max(state) AS kind, CASE WHEN capture % 3 > 0 THEN 'L' || capture % 3 END AS level, min(v) AS lo, max(v) AS hi FROM f GROUP BY capture, part)
+SELECT capture, start, printf('%-14s %-6d %-7d %-6.1f %-11s %-6s %6s %9.5f %9.5f', 'c' || capture, start, n, n / 10, state, kind, coalesce(level, '-'), lo, hi) AS line FROM g""")
+def a19_report(spark, sf):
+    g = frames(spark, sf).withColumn("part", F.floor(F.col("i") / 8)).groupBy("capture", "part").agg(F.min("i").alias("start"), F.count("*").alias("n"), F.min("state").alias("state"), F.max("state").alias("kind"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    level = F.when(F.col("capture") % 3 > 0, F.concat(F.lit("L"), F.col("capture") % 3))
+    line = text.report_line(file=F.concat(F.lit("c"), F.col("capture")), start=F.col("start"), count=F.col("n"), sec=F.col("n") / 10, state=F.col("state"), kind=F.col("kind"), level=level, med=F.col("lo"), p99=F.col("hi"))
+    return g.select("capture", "start", line.alias("line"))
