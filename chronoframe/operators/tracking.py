@@ -26,13 +26,13 @@ def follow(candidates: DataFrame, keys: Sequence[str], order: str, window: float
     ``candidates`` has a row for each fit of a frame: keys, order, x, y, n, arc, score. The fit nearest to the last centre, within
     ``window``, is taken if its arc and points suffice; else the fit of the best score takes its place if that has more arc
     or more points, or if none was near. The first frame of a key, and all until one has a fit, take the best score.
-    Ties go to the better score, then the smaller x, then y. A frame whose only row has no x has no centre, and the last one holds.
+    Ties go to the better score, then the smaller x, y, n and arc. A frame whose only row has no x has no centre, and the last one holds.
 
     A key's frames stream through one task in their order; it holds one centre and the fits of one frame.
     """
     kinds = dict(candidates.dtypes)
     rows = candidates.select(F.struct(*keys).alias("k"), F.col(order).alias("o"), *(F.col(c).cast("double").alias(c) for c in ("x", "y", "n", "arc", "score")))
-    dealt = rows.repartition("k").sortWithinPartitions("k", "o", F.col("score").desc_nulls_last(), "x", "y")
+    dealt = rows.repartition("k").sortWithinPartitions("k", "o", F.col("score").desc_nulls_last(), "x", "y", F.col("n").asc_nulls_last(), F.col("arc").asc_nulls_last())
     far = window * window
 
     def choose(fits: list[tuple], last: tuple | None) -> tuple:
