@@ -43,25 +43,33 @@ def pick_segments(frames: DataFrame, keys: Sequence[str], seq: str, spec: Previe
     Of partial phases the run that ends last before totality is shown, else the longest; of others the longest; the first
     on ties. A key without any span shows its beginning.
     """
-    predicates = chapter_predicates()
-    marked = frames.select(*keys, seq, *(p.alias(name) for name, p in predicates.items()), (F.col("state") == "unfiltered").alias("__total"))
-    size = marked.groupBy(*keys).agg(F.count("*").alias("__n"), F.min(F.when(F.col("__total"), F.col(seq))).alias("__t0"))
-    # a row for each frame and chapter it belongs to; places in the key tell runs apart
-    each = F.array_compact(F.array(*(F.when(F.coalesce(F.col(f"`{name}`"), F.lit(False)), F.struct(F.lit(name).alias("chapter"), F.lit(weight).alias("weight"), F.lit(where).alias("where"))) for name, weight, where in CHAPTERS)))
-    placed = marked.withColumn("__at", F.row_number().over(Window.partitionBy(*keys).orderBy(seq))).select(*keys, seq, "__at", F.explode(each).alias("c")).select(*keys, seq, "__at", "c.*")
-    run = F.col("__at") - F.row_number().over(Window.partitionBy(*keys, "chapter").orderBy(seq))
-    runs = placed.withColumn("__run", run).groupBy(*keys, "chapter", "weight", "where", "__run").agg(F.min(seq).alias("start"), F.count("*").alias("count")).drop("__run")
+    w, whole = Window.partitionBy(*keys).orderBy(seq), Window.partitionBy(*keys)
+    yes = {f"__c{k}": p for k, p in enumerate(chapter_predicates().values())}
+    marked = frames.select(*keys, seq, *(p.alias(c) for c, p in yes.items()), (F.col("state") == "unfiltered").alias("__total"))
+    # frames of a run have the same place in the key less their place in the chapter; a frame without a chapter keeps its key
+    at, inside = F.row_number().over(w), w.rowsBetween(Window.unboundedPreceding, 0)
+    each = F.array_compact(F.array(*(F.when(F.col(c), F.struct(F.lit(k).alias("k"), (at - F.sum(F.col(c).cast("int")).over(inside)).alias("run"))) for k, c in enumerate(yes))))
+    placed = marked.select(*keys, seq, each.alias("__each"), F.count("*").over(whole).alias("__n"), F.min(F.when(F.col("__total"), F.col(seq))).over(whole).alias("__t0"))
+    of_key = (F.max("__n").alias("__n"), F.max("__t0").alias("__t0"))
+    runs = placed.select(*keys, seq, "__n", "__t0", F.explode_outer("__each").alias("c")).groupBy(*keys, F.col("c.k").alias("__k"), F.col("c.run").alias("__run")).agg(F.min(seq).alias("start"), F.count("*").alias("count"), *of_key)
     end = F.col("start") + F.col("count")
-    early = (F.col("chapter") == CHAPTERS[0][0]) & (F.col("__t0").isNull() | (end <= F.col("__t0")))
+    early = F.coalesce((F.col("__k") == 0) & (F.col("__t0").isNull() | (end <= F.col("__t0"))), F.lit(False))
     rank = F.struct(early.alias("early"), F.when(early, end).otherwise(F.col("count")).alias("size"), (-F.col("start")).alias("first"))
-    best = runs.join(size, list(keys)).groupBy(*keys, "chapter", "weight", "where").agg(F.max_by(F.struct("start", "count"), rank).alias("r"))
-    share = F.bround(spec.budget * F.col("weight") / F.sum("weight").over(Window.partitionBy(*keys))).cast("long")
-    sized = best.withColumn("want", share).where(F.col("want") >= spec.floor).withColumn("n", F.least("want", "r.count")).where(F.col("n") >= spec.floor)
+    best = runs.groupBy(*keys, "__k").agg(F.max_by(F.struct("start", "count"), rank).alias("r"), *of_key)
+    chapter, weight, where = (F.array(*(F.lit(c[i]) for c in CHAPTERS))[F.col("__k")] for i in range(3))
+    share = F.bround(spec.budget * F.col("weight") / F.sum("weight").over(whole)).cast("long")
+    named = best.withColumns({"chapter": chapter, "weight": weight, "where": where})
+    sized = named.withColumn("want", share).withColumn("n", F.least("want", "r.count"))
+    fits = sized.withColumn("__fits", F.coalesce((F.col("want") >= spec.floor) & (F.col("n") >= spec.floor), F.lit(False)))
     left = F.col("r.count") - F.col("n")
     shift = F.when(F.col("where") == "start", 0).when(F.col("where") == "end", left).otherwise(F.floor(left / 2))
-    spans = sized.select(*keys, "chapter", (F.col("r.start") + shift).alias("start"), F.col("n").alias("count"))
-    whole = size.join(spans, list(keys), "left_anti").select(*keys, F.lit("the whole sequence").alias("chapter"), F.lit(0).cast("long").alias("start"), F.least(F.lit(spec.budget).cast("long"), "__n").alias("count"))
-    return spans.unionByName(whole)
+    span = F.struct("chapter", (F.col("r.start") + shift).alias("start"), F.col("n").alias("count"))
+    beginning = F.struct(F.lit("the whole sequence").alias("chapter"), F.lit(0).cast("long").alias("start"), F.least(F.lit(spec.budget).cast("long"), "__n").alias("count"))
+    # a key without a span gives one row: that of its first group
+    first = F.row_number().over(whole.orderBy("__k")) == 1
+    told = fits.withColumns({"__any": F.max("__fits").over(whole), "__first": first})
+    out = told.select(*keys, F.when(F.col("__fits"), span).when(~F.col("__any") & F.col("__first"), beginning).alias("s"))
+    return out.where("s IS NOT NULL").select(*keys, "s.*")
 
 
 def dense_points(segs: DataFrame, samples: DataFrame, key: str, i: str, t: str, seconds: float, fps: float, rate: float, stack: int) -> DataFrame:
