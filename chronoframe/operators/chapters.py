@@ -88,24 +88,26 @@ def dense_points(segs: DataFrame, samples: DataFrame, key: str, i: str, t: str,
 
 def sample_frames(frames: DataFrame, keys: Sequence[str], seq: str, clip: Sequence[str], file: str, index: str, gain: str, flags: Sequence[str], gap: int = 40, jump: float = 1.35, dissolve: int = 3) -> DataFrame:
     """(keys, seq) of frames that show every distinct thing: first and middle of each clip, the surroundings of cuts, first, middle and last of each flag."""
-    w = Window.partitionBy(*keys).orderBy(seq)
+    w, whole = Window.partitionBy(*keys).orderBy(seq), Window.partitionBy(*keys)
+    inside = w.rowsBetween(Window.unboundedPreceding, 0)
+    own = F.when(F.coalesce(F.col(gain), F.lit(0.0)) == 0, 1.0).otherwise(F.col(gain))
+    rows = frames.select(*keys, seq, *(F.col(c).alias(f"__clip{k}") for k, c in enumerate(clip)), F.col(file).alias("__file"), F.col(index).alias("__index"), own.alias("__own"), *(F.coalesce(F.col(c), F.lit(False)).alias(f"__flag{k}") for k, c in enumerate(flags)))
 
-    def picked(rows: DataFrame, by: Sequence[str], last: bool) -> DataFrame:
-        n = F.count("*").over(Window.partitionBy(*by))
-        at = F.row_number().over(Window.partitionBy(*by).orderBy(seq)) - 1
-        marked = rows.withColumns({"__n": n, "__at": at})
-        some = (F.col("__at") == 0) | (F.col("__at") == F.floor(F.col("__n") / 2))
-        return marked.where(some | (F.col("__at") == F.col("__n") - 1) if last else some).select(*keys, seq)
+    def some(at: Column, n: Column) -> Column:
+        return (at == 0) | (at == F.floor(n / 2))
 
-    own = F.when(F.coalesce(F.col(gain), F.lit(0.0)) == 0, 1.0).otherwise(F.col(gain))
-    before = F.coalesce(F.lag(own).over(w), F.lit(1.0))
-    cut = (F.col(file) != F.lag(file).over(w)) | (F.col(index) - F.lag(index).over(w) > gap) | (F.greatest(own / before, before / own) > jump)
+    of_clip = Window.partitionBy(*keys, *(f"__clip{k}" for k in range(len(clip))))
+    shown = rows.withColumn("__show", some(F.row_number().over(of_clip.orderBy(seq)) - 1, F.count("*").over(of_clip))).drop(*(f"__clip{k}" for k in range(len(clip))))
+    before = F.coalesce(F.lag("__own").over(w), F.lit(1.0))
+    cut = (F.col("__file") != F.lag("__file").over(w)) | (F.col("__index") - F.lag("__index").over(w) > gap) | (F.greatest(F.col("__own") / before, before / F.col("__own")) > jump)
     cut = F.lag(seq).over(w).isNotNull() & cut
-    near = F.max(F.col("__cut").cast("int")).over(w.rowsBetween(-(dissolve + 1), 1)) == 1
-    out = picked(frames, [*keys, *clip], False).unionByName(frames.withColumn("__cut", F.coalesce(cut, F.lit(False))).withColumn("__near", near).where("__near").select(*keys, seq))
-    for flag in flags:
-        out = out.unionByName(picked(frames.where(F.col(flag)), keys, True))
-    return out.distinct()
+    marked = shown.withColumn("__cut", F.coalesce(cut, F.lit(False)))
+    show = F.col("__show") | (F.max(F.col("__cut").cast("int")).over(w.rowsBetween(-(dissolve + 1), 1)) == 1)
+    for k in range(len(flags)):
+        flag = F.col(f"__flag{k}")
+        at, n = F.sum(flag.cast("int")).over(inside) - 1, F.sum(flag.cast("int")).over(whole)
+        show = show | (flag & (some(at, n) | (at == n - 1)))
+    return marked.withColumn("__show", show).where("__show").select(*keys, seq).distinct()
 
 
 def drop_short_transitions(segs: DataFrame, least: int = 3, kind: str = "kind", count: str = "count") -> DataFrame:
