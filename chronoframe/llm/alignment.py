@@ -53,6 +53,11 @@ PAIR = np.dtype([("b", "<u2"), ("a", "<u4"), ("n", "<i8")])
 SCORE = np.dtype([("doc", "<u2"), ("best", "<i8"), ("sum", "<i8")])
 
 
+def _edged(unit: str) -> bool:
+    """Whether a space beside it may be no cut."""
+    return not unit or unit[0].isspace() or unit[-1].isspace() or unit[0] == "▁" or unit[-1] == "▁"
+
+
 def _byte_decoder() -> dict[str, int]:
     """Byte-level vocabularies write each byte as one printable character: printable Latin-1 as itself, the rest from 256 on in order."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -85,6 +90,7 @@ class Sides:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
+        self.edged: set[str] = set()  # units that begin or end with white space, so a space beside them is no cut
         self.groups: list[bytes] = []
         self.sizes: list[np.ndarray] = []  # per batch of units, rows of: tokens of A, of B, groups, links
         self.pairs: list[np.ndarray] = []  # A id << 32 | B id of each link, unit by unit
@@ -95,7 +101,7 @@ class Sides:
         parts = text.split(" ") if self.cuts else [text]
         known = self.number
         new = [p for p in parts if p not in known]
-        if self.cuts and any(not p or p[0].isspace() or p[-1].isspace() or p[0] == "▁" or p[-1] == "▁" for p in new):
+        if self.cuts and (any(map(_edged, new)) or not self.edged.isdisjoint(parts)):
             parts = _CUT.split(text)
             new = [p for p in parts if p not in known]
         fresh.update(new)
@@ -110,10 +116,13 @@ class Sides:
     def learn(self, units: list[str]) -> None:
         """Number new units, all aligned at once; -1 for those that a side doesn't give back byte by byte.
 
-        Units with a space between each two are encoded as one text, for no token crosses a cut.
+        Units with a space between each two are encoded as one text, for no token crosses a cut; those with white edges alone.
         """
         good, flat_a, flat_b = [], [], []
-        for block in _blocks_of(units, BLOCK if self.cuts else 1):
+        edged = [u for u in units if _edged(u)]
+        self.edged.update(edged)
+        plain = _blocks_of([u for u in units if u not in self.edged], BLOCK if self.cuts else 1)
+        for block in itertools.chain(plain, ([u] for u in edged)):
             told = self.encode(" ".join(block))
             for part in [block] if told or len(block) == 1 else ([u] for u in block):
                 each = told if part is block else self.encode(part[0])

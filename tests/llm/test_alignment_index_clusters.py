@@ -99,6 +99,21 @@ def test_units_give_what_whole_texts_give():
     assert list(alignment._sum_up(np.zeros(0, np.int64), np.zeros(0, np.int64))[0]) == []
 
 
+def test_units_with_white_edges_beside_each_other():
+    """They are encoded alone, and a space beside one that is known already is no cut; no text here has a mark of B's."""
+    rng = random.Random(11)
+    texts = [" ", "  ", " . ", "x. ", " .", "a b\t", "\tfoo bar", "b\t \tfoo", "\u3000 a", "\n"]
+    texts += ["".join(rng.choice("   \t\n\x85\u3000ab.'’1") for _ in range(rng.randint(1, 30))) for _ in range(600)]
+    side = alignment.Sides(A, B)
+    together = alignment.align_texts(side, texts)
+    side.clear()
+    one_by_one = [alignment.align_texts(side, [t]) for t in texts]  # units stay known from text to text
+    want = plain_alignment(texts)
+    for sums, digests in ((together[0], together[1]), (np.concatenate([o[0] for o in one_by_one]), [o[1][0] for o in one_by_one])):
+        assert [tuple(s) for s in sums.tolist()] == [w[:4] for w in want]
+        assert digests == [w[6] for w in want]
+
+
 def test_counts_are_the_same_for_many_shares(spark):
     docs = queries.table(spark, SF, "documents").orderBy("doc_id").limit(60)
     scratch = shared.Scratch(spark, "t")
