@@ -15,7 +15,9 @@ Runs of bytes longer than ``LONG_WORD`` among many words are cut by content. The
 lines. The recall of the keys against all pairs by edit similarity is measured in tests/llm and stated in the README.
 
 Keys travel as sorted blocks, one for each batch and target; a task takes one target after the other, which Spark has
-brought together. Of each connected group one occurrence stays, the first by (doc_id, hash of the text,
+brought together. With each key goes the line's shape, its length and counts of its letters, which bound edits from below: a
+list falls into the parts that shapes connect, and lines that meet by chance alone go no further. Parts are called by
+their lines, so that lines which meet by several keys are one list. Of each connected group one occurrence stays, the first by (doc_id, hash of the text,
 line number); blank lines always stay.
 
 Defined results: null and blank texts are returned as they are. Rows equal in doc_id and text count as one document and
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linkage import link
-from .shared import _LOWER, _SPACE, Scratch, chunks, fresh, mix, partitions_for, powers, trim, utf8_buffers, word_hashes
+from .shared import _LOWER, _SPACE, Scratch, chunks, fresh, least_labels, mix, partitions_for, powers, trim, utf8_buffers, word_hashes
 
 SIMILAR = 0.9
 #: (features up to, blocks, ways to deal features to blocks, features that a key stands for at least) of a line's SimHash.
@@ -58,6 +60,16 @@ TARGET, KEYS_A_LINE = 1 << 21, 16
 _BEGINS = np.array([b not in (0x20, *range(0x09, 0x0E)) and not 0x80 <= b < 0xC0 for b in range(256)], np.uint8)
 
 
+#: Slots that a shape counts letters in, modulo 16, and the length that stands for one unknown or longer.
+SHAPE_SLOTS, UNKNOWN = 12, 0xFFFF
+#: Neighbours that a line of a list is held against by shape; longer lists that do not fall apart by then stay whole.
+NEIGHBOURS = 4096
+#: For each byte, one in its slot's ten bits of two numbers; none for white space and the bytes that continue a character.
+_LANES = np.zeros((2, 256), np.uint64)
+for _b in np.flatnonzero(_BEGINS):
+    _LANES[_LOWER[_b] % SHAPE_SLOTS // 6, _b] = np.uint64(1) << np.uint64(10 * (_LOWER[_b] % SHAPE_SLOTS % 6))
+
+
 def normalise(line: bytes) -> bytes:
     return b" ".join(line.lower().split())
 
@@ -250,6 +262,79 @@ def pair_counts(lines: list[bytes]) -> np.ndarray:
     return np.bincount((owner[1:] * SLOTS + slot)[inside], minlength=len(lines) * SLOTS).reshape(-1, SLOTS).astype(np.int32)
 
 
+def shapes(data: np.ndarray, start: np.ndarray, chars: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """A number a line: its length in 16 bits, above them the counts of its characters' first bytes in slots, four bits each.
+
+    A count beyond ten bits runs into the next, in lines so long that counts rule nothing out. Texts that are not UTF-8
+    have other characters than bytes tell: their lines are of unknown length.
+    """
+    size = np.minimum(chars, UNKNOWN)
+    try:
+        data.tobytes().decode()
+    except UnicodeDecodeError:
+        size = np.full_like(size, UNKNOWN)
+    out = size.astype(np.uint64)
+    for half, lane in enumerate(_LANES):
+        total = np.add.reduceat(np.append(lane[data], np.uint64(0)), start)[rows]
+        for k in range(6):
+            out |= ((total >> np.uint64(10 * k)) & np.uint64(15)) << np.uint64(16 + 4 * (6 * half + k))
+    return out
+
+
+def shapes_allow(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether lines of these shapes may be similar by their counts: an edit changes two of them by one at most."""
+    size = np.maximum(p & np.uint64(UNKNOWN), q & np.uint64(UNKNOWN)).astype(np.int64)
+    nibbles, sixteen, one = np.uint64(0x0F0F0F0F0F0F), np.uint64(0x101010101010), np.uint64(0x0101010101010101)
+    apart = np.zeros(len(p), np.int64)
+    for at in (16, 20):
+        x, y = (p >> np.uint64(at)) & nibbles, (q >> np.uint64(at)) & nibbles
+        d = ((x | sixteen) - y) & nibbles
+        far = ((d >> np.uint64(3)) & one) * np.uint64(15)  # differences of eight and more are less the other way round
+        d = (d & ~far) | ((sixteen - d) & nibbles & far)
+        apart += ((d * one) >> np.uint64(56)).astype(np.int64)
+    return apart <= 2 * ((1 - SIMILAR) * size + 1e-9).astype(np.int64)
+
+
+def parts(group: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """The part of each row of groups sorted by length, by the number of a row in it: lines that shapes allow to be similar are in one."""
+    n = len(group)
+    root = np.arange(n)
+    size = (shape & np.uint64(UNKNOWN)).astype(np.int64)
+    low = size - ((1 - SIMILAR) * size + 1e-9).astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    number = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+    stays = np.maximum.reduceat(size, first) == UNKNOWN
+    u, v = [], []
+    x, d = np.flatnonzero(~stays[number]), 0
+    while len(x):
+        d += 1
+        x = x[x < n - d]
+        # Behind one that is too long, or of another group, all others are.
+        x = x[(group[x] == group[x + d]) & (low[x + d] <= size[x])]
+        if d > NEIGHBOURS:
+            stays[number[x]] = True
+            break
+        a = x[root[x] != root[x + d]]
+        a = a[shapes_allow(shape[a], shape[a + d])]
+        u.append(root[a])
+        v.append(root[a + d])
+        if d & (d - 1) == 0:
+            root, u, v = _joined(root, u, v), [], []
+            done = np.minimum.reduceat(root, first) == np.maximum.reduceat(root, first)
+            x = x[~done[number[x]]]
+    root = _joined(root, u, v)
+    return np.where(stays[number], first[number], root)
+
+
+def _joined(root: np.ndarray, u: list[np.ndarray], v: list[np.ndarray]) -> np.ndarray:
+    if not sum(map(len, u)):
+        return root
+    ids, least = least_labels(np.concatenate(u), np.concatenate(v))
+    to = np.arange(len(root))
+    to[ids] = least
+    return to[root]
+
+
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
     """Edit distance by bit-parallel columns, after the common ends are taken off; if it is over ``most``, any number over it."""
     n = min(len(a), len(b))
@@ -623,14 +708,14 @@ class Seen:
         return at
 
 
-def entries(data: np.ndarray, offsets: np.ndarray, seen: Seen) -> tuple[np.ndarray, np.ndarray]:
-    """(key, line) of all ways in which lines meet."""
+def entries(data: np.ndarray, offsets: np.ndarray, seen: Seen) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, line, shape) of all ways in which lines meet."""
     _, _, start, end = lines_of(data, offsets)
     words, at, line = line_words(data, start)
     fresh_lines = seen.first(line)
     fresh_lines = fresh_lines[at[fresh_lines + 1] > at[fresh_lines]]
     if not len(fresh_lines):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return (np.zeros(0, np.uint64),) * 3
     size = end[fresh_lines] - start[fresh_lines]
     count = at[fresh_lines + 1] - at[fresh_lines]
     # Runs far longer than words are: cut by content, on a copy with a space at each cut.
@@ -665,7 +750,7 @@ def entries(data: np.ndarray, offsets: np.ndarray, seen: Seen) -> tuple[np.ndarr
     few = [k for k, x in enumerate(normal) if len(x) <= SHORT]
     row2, key2 = segment_keys([normal[k] for k in few])
     row = np.concatenate((row, brief[np.array(few, np.int64)][row2] if few else row2))
-    return np.concatenate((key, key2)), line[fresh_lines][row]
+    return np.concatenate((key, key2)), line[fresh_lines][row], shapes(data, start, chars, fresh_lines)[row]
 
 
 def _cut_words(data, start, end, words, at, count, sparse) -> tuple[np.ndarray, np.ndarray]:
@@ -683,31 +768,50 @@ def _cut_words(data, start, end, words, at, count, sparse) -> tuple[np.ndarray,
     return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
 
 
+#: Bytes of a key that travel; lines that agree in so many meet, and are held against each other like any others.
+KEY_BYTES = 6
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as steps from one to the next, all their first bytes before the second ones: the first are mostly zero."""
+    steps = np.diff(keys >> np.uint64(64 - 8 * KEY_BYTES), prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - KEY_BYTES :].T).tobytes()
+
+
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(KEY_BYTES, -1)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, 8 - KEY_BYTES :] = planes.T
+    return np.cumsum(wide.view(">u8")[:, 0].astype(np.uint64)) << np.uint64(64 - 8 * KEY_BYTES)
+
+
 def _blocks(docs: DataFrame, targets: int) -> DataFrame:
-    """(target, keys, lines): entries sorted by key, a row for each target that a batch has entries for."""
+    """(target, keys, lines, shapes): entries sorted by key, a row for each target that a batch has entries for."""
+    names = ["target", "keys", "lines", "shapes"]
 
     def run(batches):
-        seen = Seen()
+        seen, codec = Seen(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             data, off = utf8_buffers(batch.column(0))
             got = [entries(data[off[i] : off[j]], off[i : j + 1] - off[i], seen) for i, j in chunks(off, 1 << 21)]
             if not got:
                 continue
-            keys, lines = (np.concatenate(x) for x in zip(*got, strict=True))
+            keys, lines, shape = (np.concatenate(x) for x in zip(*got, strict=True))
             order = np.argsort(keys)
-            keys, lines = keys[order], lines[order]
+            keys, lines, shape = keys[order], lines[order], shape[order]
             target = ((keys >> np.uint64(32)) * np.uint64(targets)) >> np.uint64(32)
             edge = np.searchsorted(target, np.arange(targets + 1))
             some = np.flatnonzero(np.diff(edge))
-            raw = [[x[edge[t] : edge[t + 1]].tobytes() for t in some.tolist()] for x in (keys, lines)]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(x, pa.binary()) for x in raw)], names=["target", "keys", "lines"])
+            packed = [codec.compress(_packed_keys(keys[edge[t] : edge[t + 1]])) for t in some.tolist()]
+            raw = [[x[edge[t] : edge[t + 1]].tobytes() for t in some.tolist()] for x in (lines, shape)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(x, pa.binary()) for x in (packed, *raw))], names=names)
         trim()
 
-    return docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, "target int, keys binary, lines binary")
+    return docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, "target int, keys binary, lines binary, shapes binary")
 
 
-def _groups(keys: np.ndarray, lines: np.ndarray) -> pa.RecordBatch | None:
-    """(key, id, lead, length) of the entries, each once, whose keys have several lines."""
+def _groups(keys: np.ndarray, lines: np.ndarray, shape: np.ndarray | None = None) -> pa.RecordBatch | None:
+    """(key, id, lead, length) of the entries, each once, whose keys have several lines, by the parts that shapes leave of them."""
     order = np.argsort(keys)
     keys, lines = keys[order], lines[order]
     begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -716,23 +820,31 @@ def _groups(keys: np.ndarray, lines: np.ndarray) -> pa.RecordBatch | None:
     keys, lines = keys[mask], lines[mask].view(np.int64)
     if not len(keys):
         return None
-    order = np.lexsort((lines, keys))
-    keys, lines = keys[order], lines[order]
+    shape = shape[order][mask] if shape is not None else np.full(len(keys), UNKNOWN, np.uint64)
+    order = np.lexsort((lines, shape & np.uint64(UNKNOWN), keys))
+    keys, lines, shape = keys[order], lines[order], shape[order]
     once = np.concatenate(([True], (keys[1:] != keys[:-1]) | (lines[1:] != lines[:-1])))
-    keys, lines = keys[once], lines[once]
-    begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    length = np.diff(np.append(begin, len(keys)))
-    lead, of = np.repeat(lines[begin], length), np.repeat(length, length)
-    keep = (of > 2) | (lines != lead)
-    return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (keys.view(np.int64), lines, lead, of)], names=["key", "id", "lead", "length"])
+    keys, lines, shape = keys[once], lines[once], shape[once]
+    part = parts(keys, shape)
+    order = np.lexsort((lines, part))
+    part, lines = part[order], lines[order]
+    # A text that is not UTF-8 may have lent its line another length: the same line is in a part once.
+    once = np.concatenate(([True], (part[1:] != part[:-1]) | (lines[1:] != lines[:-1])))
+    part, lines = part[once], lines[once]
+    begin = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    length = np.diff(np.append(begin, len(part)))
+    name = mix(np.add.reduceat(mix(lines.view(np.uint64)), begin) + length.astype(np.uint64)).view(np.int64)
+    lead, of, name = np.repeat(lines[begin], length), np.repeat(length, length), np.repeat(name, length)
+    keep = (of > 2) | ((of == 2) & (lines != lead))
+    return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (name, lines, lead, of)], names=["key", "id", "lead", "length"]) if keep.any() else None
 
 
 def _meet(batches):
     """Groups of the blocks of a task, sorted by target: one target's entries are held at a time."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
     now = None
     for batch in batches:
-        for target, *raw in zip(batch.column("target").to_pylist(), batch.column("keys"), batch.column("lines"), strict=True):
+        for target, *raw in zip(batch.column("target").to_pylist(), *(batch.column(c) for c in ("keys", "lines", "shapes") if c in batch.schema.names), strict=True):
             if target != now and held:
                 found = _groups(*(np.concatenate(x) for x in zip(*held, strict=True)))
                 held = []
@@ -747,6 +859,20 @@ def _meet(batches):
     trim()
 
 
+def _meet_packed(batches):
+    """``_meet`` of blocks whose keys are packed."""
+    codec = zstandard.ZstdDecompressor()
+
+    def unpacked():
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                keys = [_unpacked_keys(codec.decompress(x.as_buffer())).tobytes() for x in some.column("keys")]
+                yield some.set_column(some.schema.get_field_index("keys"), "keys", pa.array(keys, pa.binary()))
+
+    return _meet(unpacked())
+
+
 def _bodies(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """(line, body): the normalised text of lines, each from one place ``at`` (id, th, number)."""
     source = _texts(docs, key)
@@ -828,7 +954,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] =
     scratch = Scratch(spark, "lines")
     found = scratch.write(occurrences(docs, key), "occurrences")
     targets = max(partitions_for(spark), -(-KEYS_A_LINE * found.count() // TARGET))
-    met = scratch.write(_blocks(docs, 4 * targets).repartition(targets, "target").sortWithinPartitions("target").mapInArrow(_meet, "key long, id long, lead long, length long"), "met")
+    dealt = _blocks(docs, 4 * targets).repartition(targets, "target").sortWithinPartitions("target")
+    met = scratch.write(dealt.mapInArrow(_meet_packed, "key long, id long, lead long, length long").distinct(), "met")
     scratch.release()
     lines = scratch.write(found.groupBy("line").agg(F.min(F.struct("id", "th", "number")).alias("at"), F.count("*").alias("n")), "places")
     wanted = met.select("id").unionByName(met.select(F.col("lead").alias("id"))).distinct()

@@ -78,3 +78,41 @@ def test_many_copies_of_a_document_are_linear_work(spark):
     assert found.count() == 3 and line_dedup._bodies(docs, "doc_id", found).count() == 3
     got = {(r["doc_id"], r["text"], r["n_kept"]): r["n"] for r in line_dedup.dedup_lines(docs).groupBy("doc_id", "text", "n_kept").agg(F.count("*").alias("n")).collect()}
     assert got == {(1, f"{a}\nx y z", 2): 1000, (2, "", 0): 1000}
+
+
+def shapes_of(lines):
+    raw = [x.encode() for x in lines]
+    data = np.frombuffer(b"\n".join(raw), np.uint8)
+    start = np.cumsum([0, *(len(x) + 1 for x in raw[:-1])])
+    return line_dedup.shapes(data, start, np.array([len(x) for x in lines]), np.arange(len(lines)))
+
+
+def test_shapes_rule_out_no_similar_lines():
+    rng, lines = random.Random(5), []
+    for n in (5, 20, 60, 130, 400, 3000, 20000):
+        for letters in (LETTERS, "ab", "éèà ça", "漢字仮名 x", "A b C"):
+            a = " ".join(word(rng, 7, letters) for _ in range(max(1, n // 8))).strip() or "a"
+            b = a
+            for _ in range(rng.randint(0, line_dedup.most_edits(len(a)))):
+                b = change(rng, b)
+            lines.append((a, b))
+    similar = np.array([line_dedup.within(a, b, line_dedup.most_edits(max(len(a), len(b)))) for a, b in lines])
+    p, q = (shapes_of(x) for x in zip(*lines, strict=True))
+    assert similar.sum() > 15 and line_dedup.shapes_allow(p[similar], q[similar]).all()
+    assert not line_dedup.shapes_allow(*(shapes_of([x]) for x in ("the cat sat on the mat again today", "pull good moon books from boxes now")))[0]
+
+
+def test_lists_fall_into_the_parts_that_may_be_similar():
+    """Lines that share a key by chance alone go no further; what edits connect, and texts that are not UTF-8, stay together."""
+    rng = random.Random(6)
+    odd = [word(rng, 90) for _ in range(40)]
+    near = [odd[0][:k] + "q" + odd[0][k + 1 :] for k in range(10)]
+    lines = np.arange(1, 51, dtype=np.uint64)
+    keys = np.full(50, 9, np.uint64)
+    got = line_dedup._groups(keys, lines, shapes_of(odd + near)).to_pylist()
+    part = next({r["id"] for r in got if r["key"] == k} for k in {r["key"] for r in got if r["id"] == 41})
+    assert {1, *range(41, 51)} <= part and len(part) < 20
+    assert line_dedup._groups(keys[:2], lines[:2], np.concatenate((shapes_of(["abcd " * 10]), shapes_of(["uvwx " * 10])))) is None
+    assert line_dedup._groups(keys[:2], lines[:2], np.full(2, line_dedup.UNKNOWN, np.uint64)).num_rows == 1
+    at = np.sort(np.array([rng.getrandbits(64) for _ in range(500)], np.uint64))
+    assert (line_dedup._unpacked_keys(line_dedup._packed_keys(at)) == at >> np.uint64(16) << np.uint64(16)).all()
