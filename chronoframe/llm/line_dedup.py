@@ -36,8 +36,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linkage import link
-from .shared import _LOWER, _SPACE, Scratch, chunks, fresh, least_labels, mix, partitions_for, powers, trim, utf8_buffers, word_hashes
+from .linkage import link, parts
+from .shared import _LOWER, _SPACE, Scratch, chunks, fresh, mix, partitions_for, powers, trim, utf8_buffers, word_hashes
 
 SIMILAR = 0.9
 #: (features up to, blocks, ways to deal features to blocks, features that a key stands for at least) of a line's SimHash.
@@ -62,8 +62,6 @@ _BEGINS = np.array([b not in (0x20, *range(0x09, 0x0E)) and not 0x80 <= b < 0xC0
 
 #: Slots that a shape counts letters in, modulo 16, and the length that stands for one unknown or longer.
 SHAPE_SLOTS, UNKNOWN = 12, 0xFFFF
-#: Neighbours that a line of a list is held against by shape; longer lists that do not fall apart by then stay whole.
-NEIGHBOURS = 4096
 #: For each byte, one in its slot's ten bits of two numbers; none for white space and the bytes that continue a character.
 _LANES = np.zeros((2, 256), np.uint64)
 for _b in np.flatnonzero(_BEGINS):
@@ -295,44 +293,11 @@ def shapes_allow(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return apart <= 2 * ((1 - SIMILAR) * size + 1e-9).astype(np.int64)
 
 
-def parts(group: np.ndarray, shape: np.ndarray) -> np.ndarray:
+def parts_of(group: np.ndarray, shape: np.ndarray) -> np.ndarray:
     """The part of each row of groups sorted by length, by the number of a row in it: lines that shapes allow to be similar are in one."""
-    n = len(group)
-    root = np.arange(n)
     size = (shape & np.uint64(UNKNOWN)).astype(np.int64)
     low = size - ((1 - SIMILAR) * size + 1e-9).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-    number = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
-    stays = np.maximum.reduceat(size, first) == UNKNOWN
-    u, v = [], []
-    x, d = np.flatnonzero(~stays[number]), 0
-    while len(x):
-        d += 1
-        x = x[x < n - d]
-        # Behind one that is too long, or of another group, all others are.
-        x = x[(group[x] == group[x + d]) & (low[x + d] <= size[x])]
-        if d > NEIGHBOURS:
-            stays[number[x]] = True
-            break
-        a = x[root[x] != root[x + d]]
-        a = a[shapes_allow(shape[a], shape[a + d])]
-        u.append(root[a])
-        v.append(root[a + d])
-        if d & (d - 1) == 0:
-            root, u, v = _joined(root, u, v), [], []
-            done = np.minimum.reduceat(root, first) == np.maximum.reduceat(root, first)
-            x = x[~done[number[x]]]
-    root = _joined(root, u, v)
-    return np.where(stays[number], first[number], root)
-
-
-def _joined(root: np.ndarray, u: list[np.ndarray], v: list[np.ndarray]) -> np.ndarray:
-    if not sum(map(len, u)):
-        return root
-    ids, least = least_labels(np.concatenate(u), np.concatenate(v))
-    to = np.arange(len(root))
-    to[ids] = least
-    return to[root]
+    return parts(group, lambda x, y: low[y] <= size[x], lambda x, y: shapes_allow(shape[x], shape[y]), size == UNKNOWN)
 
 
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
@@ -825,7 +790,7 @@ def _groups(keys: np.ndarray, lines: np.ndarray, shape: np.ndarray | None = None
     keys, lines, shape = keys[order], lines[order], shape[order]
     once = np.concatenate(([True], (keys[1:] != keys[:-1]) | (lines[1:] != lines[:-1])))
     keys, lines, shape = keys[once], lines[once], shape[once]
-    part = parts(keys, shape)
+    part = parts_of(keys, shape)
     order = np.lexsort((lines, part))
     part, lines = part[order], lines[order]
     # A text that is not UTF-8 may have lent its line another length: the same line is in a part once.

@@ -12,16 +12,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, components
+from .shared import Scratch, components, least_labels
 
 Verify = Callable[[DataFrame], DataFrame]
 #: (condition) of two structs of what else an entry holds: whether the pair may be linked by this list.
 Fits = Callable[[Column, Column], Column]
 #: With so many pairs an entry or fewer, lists are joined with themselves instead of in further rounds.
 PAIRS_AN_ENTRY = 4
+#: Neighbours that a row of a list is held against; longer lists that do not fall apart by then stay whole.
+NEIGHBOURS = 4096
+
+
+def parts(group: np.ndarray, reach: Callable, allow: Callable, whole: np.ndarray | None = None) -> np.ndarray:
+    """The part of each row of sorted groups, by the number of a row in it: rows that may be linked are in one.
+
+    ``reach(x, y)``: whether row y may be linked with a row x before it by what groups are sorted by; if not, none behind y
+    may. ``allow(x, y)``: whether what else is known allows it. ``whole``: rows whose groups stay as they are.
+    """
+    n = len(group)
+    root = np.arange(n)
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    number = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+    stays = np.logical_or.reduceat(whole, first) if whole is not None else np.zeros(len(first), bool)
+    u, v = [], []
+    x, d = np.flatnonzero(~stays[number]), 0
+    while len(x):
+        d += 1
+        x = x[x < n - d]
+        x = x[group[x] == group[x + d]]
+        x = x[reach(x, x + d)]
+        if d > NEIGHBOURS:
+            stays[number[x]] = True
+            break
+        a = x[root[x] != root[x + d]]
+        a = a[allow(a, a + d)]
+        u.append(root[a])
+        v.append(root[a + d])
+        if d & (d - 1) == 0:
+            root, u, v = _joined(root, u, v), [], []
+            done = np.minimum.reduceat(root, first) == np.maximum.reduceat(root, first)
+            x = x[~done[number[x]]]
+    root = _joined(root, u, v)
+    return np.where(stays[number], first[number], root)
+
+
+def _joined(root: np.ndarray, u: list[np.ndarray], v: list[np.ndarray]) -> np.ndarray:
+    if not sum(map(len, u)):
+        return root
+    ids, least = least_labels(np.concatenate(u), np.concatenate(v))
+    to = np.arange(len(root))
+    to[ids] = least
+    return to[root]
 
 
 def _led(lists: DataFrame, comps: DataFrame | None, more: list[str]) -> DataFrame:
@@ -81,6 +126,7 @@ def link(scratch: Scratch, lists: DataFrame, verify: Verify, rounds: int = 4, kn
         if not found.isEmpty():
             links = found if comps is None else found.unionByName(comps.select(F.col("id").alias("a"), F.col("root").alias("b")))
             comps = components(scratch, links)
+        scratch.release()
         if turn:
             old, live = live, scratch.write(live.where("id <> lead").select(entry), "lists")
             scratch.drop(old)

@@ -5,7 +5,8 @@ subsets of the sizes that a link needs: two of them that share such a subset are
 Heavy classes are looked up in inverted lists of prefix elements: under one order of all shingles, two sets with
 Jaccard at least t share an element among their first n - ceil(t n) + 1. The order puts frequent shingles last, by counts
 of all shingles of all documents in a fixed number of slots, so that passages many documents share stay out of the lists.
-Pairs from the lists are verified on whole sets. The boundary between light and heavy is the size at which the
+Before anything is paired, a list falls into the parts that sizes, places and 64 parity bits of the sets connect, and sets
+that meet by chance alone go no further. Pairs from the lists are verified on whole sets. The boundary between light and heavy is the size at which the
 histogram of sizes makes the sum of both costs least.
 
 Defined results: null or empty text, or no word: an empty set, linked with nothing, its component its own doc_id.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .linkage import link
+from .linkage import link, parts
 from .shared import Scratch, chunks, mix, set_key, shingle_sets, sum_tables, table_blocks, utf8_buffers
 
 #: Jaccard threshold as a fraction.
@@ -37,6 +38,8 @@ LIGHT_MOST = 12
 LIST_COST = 4
 #: Parity bits that the last join compares.
 SIGNATURE_BITS = 512
+#: Rows of lists that are held at a time, and rounds of leaders at most: a round looks at no more pairs than entries.
+HELD, ROUNDS = 1 << 16, 8
 
 
 def needed_overlap(n: int, m: int) -> int:
@@ -144,15 +147,15 @@ def signatures_allow(p, q):
 
 
 def prefix_lists(docs: DataFrame, level: np.ndarray, light: int) -> DataFrame:
-    """(key, id, n, rest): the first elements of each class under the order (frequency, hash).
+    """(key, id, n, rest, mark): the first elements of each class under the order (frequency, hash).
 
-    ``n`` is the size of the set, ``rest`` the number of its elements from this one on.
+    ``n`` is the size of the set, ``rest`` the number of its elements from this one on, ``mark`` has 64 parity bits of the set.
     """
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            keys, ids, sizes, rest = [], [], [], []
+            keys, ids, sizes, rest, marks = [], [], [], [], []
             for _, s in _sets(batch, "text"):
                 if not len(s) or len(s) <= light * NUMERATOR // DENOMINATOR:
                     continue
@@ -166,10 +169,79 @@ def prefix_lists(docs: DataFrame, level: np.ndarray, light: int) -> DataFrame:
                 ids.append(np.full(len(keys[-1]), cls, np.int64))
                 sizes.append(np.full(len(keys[-1]), len(s), np.int64))
                 rest.append(np.arange(len(s), len(s) - p, -1, dtype=np.int64))
+                marks.append(np.full(len(keys[-1]), mark_of(s).view(np.int64)))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (ids, sizes, rest))], names=["key", "id", "n", "rest"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (ids, sizes, rest, marks))], names=["key", "id", "n", "rest", "mark"])
 
-    return docs.select("text").mapInArrow(run, "key long, id long, n long, rest long")
+    return docs.select("text").mapInArrow(run, "key long, id long, n long, rest long, mark long")
+
+
+def mark_of(s: np.ndarray) -> np.uint64:
+    """64 parity bits of a set."""
+    return np.bitwise_xor.reduce(np.uint64(1) << (s & np.uint64(63)))
+
+
+def parts_of(key: np.ndarray, n: np.ndarray, rest: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """The part of each row of lists sorted by (key, n): sets that ``may_link`` and their marks allow to be linked are in one."""
+
+    def allow(x, y):
+        total = n[x] + n[y]
+        few = (DENOMINATOR + NUMERATOR) * np.bitwise_count((mark[x] ^ mark[y]).view(np.uint64)).astype(np.int64) <= (DENOMINATOR - NUMERATOR) * total
+        return few & ((NUMERATOR + DENOMINATOR) * np.minimum(rest[x], rest[y]) >= NUMERATOR * total)
+
+    return parts(key, lambda x, y: DENOMINATOR * n[x] >= NUMERATOR * n[y], allow)
+
+
+def split_lists(lists: DataFrame) -> DataFrame:
+    """(key, id, n, rest) of the lists' parts of several sets; a list of more than sixteen times HELD rows stays whole."""
+    names = ["key", "id", "n", "rest"]
+
+    def out(columns: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def split(columns: list[np.ndarray]) -> pa.RecordBatch:
+        key = columns[0]
+        same = key[1:] == key[:-1]
+        several = np.append(same, False) | np.insert(same, 0, False)
+        key, ids, n, rest, mark = (c[several] for c in columns)
+        if not len(key):
+            return out([key, ids, n, rest])
+        part = parts_of(key, n, rest, mark)
+        several = np.bincount(part, minlength=len(part))[part] > 1
+        name = mix(mix(key.view(np.uint64)) + ids[part].view(np.uint64)).view(np.int64)
+        return out([c[several] for c in (name, ids, n, rest)])
+
+    def run(batches):
+        held: list[list[np.ndarray]] = []
+        size, long = 0, None  # the key of a list that passes whole
+        for batch in batches:
+            columns = [c.to_numpy() for c in batch.columns]
+            if long is not None:
+                on = columns[0] == long
+                if on.any():
+                    yield out([c[on] for c in columns[:4]])
+                columns = [c[~on] for c in columns]
+                if not len(columns[0]):
+                    continue
+                long = None
+            held.append(columns)
+            size += len(columns[0])
+            if size < HELD:
+                continue
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last list may go on
+            if cut:
+                yield split([c[:cut] for c in columns])
+            held = [[c[cut:] for c in columns]]
+            size -= cut
+            if size > 16 * HELD:
+                long = columns[0][-1]
+                yield out(held[0][:4])
+                held, size = [], 0
+        if held:
+            yield split([np.concatenate(x) for x in zip(*held, strict=True)])
+
+    return lists.repartition("key").sortWithinPartitions("key", "n").mapInArrow(run, "key long, id long, n long, rest long")
 
 
 def light_links(scratch: Scratch, classes: DataFrame, light: int) -> DataFrame | None:
@@ -296,7 +368,8 @@ def join_documents(docs: DataFrame, key: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(sigs, pa.list_(pa.int64()))], names=["id", "sig"])
 
     signed = classes.select("cls", "bits").mapInArrow(sign, "id long, sig array<long>")
-    comps = link(scratch, prefix_lists(docs, level, light), verify, known=light_links(scratch, classes, light), fits=may_link, details=signed, fits_last=signatures_allow)
+    lists = scratch.write(split_lists(prefix_lists(docs, level, light)), "parts")
+    comps = link(scratch, lists, verify, rounds=ROUNDS, known=light_links(scratch, classes, light), fits=may_link, details=signed, fits_last=signatures_allow)
     scratch.drop(*held)
     # Components are named by class: rows meet their class, never all rows of a component in one task.
     named = classes.select("cls", "least", F.col("cls").alias("root"))
