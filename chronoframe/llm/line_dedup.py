@@ -52,8 +52,8 @@ LONG_WORD = 32
 SHORT = 60
 #: Slots that pairs of neighbouring bytes are counted in, to rule pairs of lines out.
 SLOTS = 256
-#: Entries that a target should get, and keys that a line has about.
-TARGET, KEYS_A_LINE = 1 << 21, 16
+#: Bytes of text whose entries a task should get: some 20 bytes have an entry.
+TARGET = 1 << 25
 
 
 #: Whether a byte begins a character that is no white space.
@@ -272,8 +272,13 @@ def shapes(data: np.ndarray, start: np.ndarray, chars: np.ndarray, rows: np.ndar
     except UnicodeDecodeError:
         size = np.full_like(size, UNKNOWN)
     out = size.astype(np.uint64)
+    edge = np.append(start, len(data))
     for half, lane in enumerate(_LANES):
-        total = np.add.reduceat(np.append(lane[data], np.uint64(0)), start)[rows]
+        sums = np.zeros(len(start), np.uint64)
+        for i, j in chunks(edge, 1 << 16):
+            if edge[j] > edge[i]:  # an empty last line is none's place
+                sums[i:j] = np.add.reduceat(np.append(lane[data[edge[i] : edge[j]]], np.uint64(0)), edge[i:j] - edge[i])
+        total = sums[rows]
         for k in range(6):
             out |= ((total >> np.uint64(10 * k)) & np.uint64(15)) << np.uint64(16 + 4 * (6 * half + k))
     return out
@@ -378,7 +383,9 @@ class Lines:
         code = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
         used = np.flatnonzero(np.bincount(code)) if len(code) else code
         # Numbers from one in as few bytes as they need; 0 is what stands beyond a line.
-        self.code = (np.searchsorted(used, code) + 1).astype(np.min_scalar_type(len(used) + 1))
+        number = np.zeros(int(used[-1]) + 1 if len(used) else 0, np.min_scalar_type(len(used) + 1))
+        number[used] = np.arange(1, len(used) + 1)
+        self.code = number[code]
         self.chars = np.array([len(x) for x in lines], np.int64)
         self.start = np.cumsum(self.chars) - self.chars
         self.wide = np.where(self.chars == np.array([len(x) for x in raw], np.int64), 2, 5)
@@ -428,7 +435,7 @@ class Lines:
         return self.words[i]
 
 
-#: Cells of the tables of characters that pairs are compared in at a time, and columns between looks at which pairs are settled.
+#: Numbers in the tables of characters' places that pairs are compared by at a time, and columns between looks at which pairs are settled.
 CELLS, COLUMNS = 1 << 21, 16
 #: So many pairs, and twice as many more for each word of diagonals, pay for a batch; fewer are compared one by one.
 FEW_ROWS = 5
@@ -440,28 +447,12 @@ def _spread(code: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -
     return np.where(at < size[:, None], code[np.minimum(start[:, None] + at, len(code) - 1)], code.dtype.type(0))
 
 
-def _strip(code, a, m, b, n) -> tuple[np.ndarray, np.ndarray]:
-    """How many characters the pieces (start, size) have in common at the head, and at the tail of what is left."""
-    head, tail = np.zeros_like(m), np.zeros_like(m)
-    order = np.argsort(m)
-    for rows in _portions(m[order]):
-        k = order[rows]
-        width = int(m[k].max())
-        x, y = (_spread(code, s[k], m[k], width + 1) for s in (a, b))
-        head[k] = np.where(np.arange(width + 1) < m[k][:, None], x != y, True).argmax(axis=1)
-        left = m[k] - head[k]
-        back = np.arange(width + 1)
-        x, y = (code[np.maximum((s[k] + size[k] - 1)[:, None] - back, 0)] for s, size in ((a, m), (b, n)))
-        tail[k] = np.where(back < left[:, None], x != y, True).argmax(axis=1)
-    return head, tail
-
-
-def _portions(width: np.ndarray):
+def _portions(cells: np.ndarray):
     """Slices of rows of ascending widths that have at most CELLS cells, one row at least."""
     at = 0
-    while at < len(width):
+    while at < len(cells):
         # The widest is the last, so a portion that fits by its last row fits.
-        fits = np.arange(1, len(width) - at + 1) * (width[at:] + 1) <= CELLS
+        fits = np.arange(1, len(cells) - at + 1) * cells[at:] <= CELLS
         n = max(1, int(fits.argmin()) if not fits.all() else len(fits))
         yield slice(at, at + n)
         at += n
@@ -473,28 +464,50 @@ def within_many(code, a, m, b, n, most, pair) -> np.ndarray:
     ``pair`` gives the two lines of a pair: where few pairs need many words of diagonals, one by one is the cheaper way.
     """
     out = n - m <= most
-    todo = np.flatnonzero(out)
-    head, tail = _strip(code, a[todo], m[todo], b[todo], n[todo])
-    a, b, m, n, most = a[todo] + head, b[todo] + head, m[todo] - head - tail, n[todo] - head - tail, most[todo]
     # The rest is settled where one is empty, or where as many edits are allowed as the longer has characters.
-    hard = np.flatnonzero(n > most)
-    out[todo[hard[m[hard] == 0]]] = False
+    hard = np.flatnonzero(out & (n > most))
+    out[hard[m[hard] == 0]] = False
     hard = hard[m[hard] > 0]
     words = most[hard] // 64 + 1
+    # Beyond four words, sizes are rounded up, so that more pairs share one: a wider band is as exact.
+    step = np.maximum(1, 1 << np.maximum(0, np.frexp(words)[1] - 3))
+    words = -(-words // step) * step
+    letters = int(code.max()) + 1 if len(code) else 1
     for w in np.unique(words).tolist():
         k = hard[words == w]
-        k = k[np.argsort(n[k])]
         if len(k) < FEW_ROWS * (1 + 2 * w):
             for x in k.tolist():
-                out[todo[x]] = edit_distance(*pair(todo[x]), int(most[x])) <= most[x]
+                out[x] = _banded_one(*pair(x), int(most[x]))
             continue
-        for rows in _portions(n[k] + 64 * w):
+        k = k[np.argsort(n[k], kind="stable")]
+        for rows in _portions((n[k] // 64 + w + 2) * letters):
             x = k[rows]
-            out[todo[x]] = _banded(code, a[x], m[x], b[x], n[x], most[x], w)
+            out[x] = _banded(code, letters, a[x], m[x], b[x], n[x], most[x], w)
     return out
 
 
-def _banded(code, a, m, b, n, most, words: int) -> np.ndarray:
+def _banded_one(a: str, b: str, most: int) -> bool:
+    """``_banded`` for two lines, a no longer than b, in integers of as many bits as there are diagonals."""
+    delta = len(b) - len(a)
+    own = (most - delta) // 2
+    top = delta + own
+    mask = (1 << most + 1) - 1
+    letters = np.frombuffer(a.encode("utf-32-le"), np.uint32)
+    where = {c: int.from_bytes(np.packbits(letters == ord(c), bitorder="little").tobytes(), "little") << top + 1 for c in set(a)}
+    up, down, score = mask & ~((1 << top) - 1), 0, delta
+    for j, c in enumerate(b, 1):
+        same = (where.get(c, 0) >> j) & mask
+        diagonal = ((((same & up) + up) ^ up) | same | down) & mask
+        if j > delta and not (diagonal >> own) & 1:
+            score += 1
+            if score > most:
+                return False
+        plus, minus, step = down | (mask & ~(diagonal | up)), diagonal & up, diagonal >> 1
+        up, down = minus | (mask & ~(step | plus)), step & plus
+    return True
+
+
+def _banded(code, letters: int, a, m, b, n, most, words: int) -> np.ndarray:
     """Edit distances held against ``most`` by bit-parallel columns of the diagonals that a path of so few edits can reach.
 
     Bit t of a column j is the row j - top + t; the diagonal that ends at both ends is ``own``. What goes up along it is the
@@ -503,13 +516,15 @@ def _banded(code, a, m, b, n, most, words: int) -> np.ndarray:
     own = (most - (n - m)) // 2
     top = n - m + own
     width = int(n.max())
-    # Row i of a line stands at top + i, so that the band of column j begins at j.
-    short = np.zeros((len(m), width + 64 * words + 1), code.dtype)
-    at = np.arange(int(m.max()))
-    r, c = np.nonzero(at < m[:, None])
-    short[r, top[r] + 1 + c] = code[a[r] + c]
-    long = _spread(code, b, n, width)
-    long[long == 0] = np.iinfo(code.dtype).max  # beyond its end a line equals nothing
+    # Where each character stands in each short line, a bit a place: row i stands at top + i, so that the band of column j begins at j.
+    places = np.zeros((width // 64 + words + 2, len(m) * letters), np.uint64)
+    lead = np.cumsum(m) - m
+    r = np.repeat(np.arange(len(m)), m)
+    c = np.arange(len(r)) - lead[r]
+    at = top[r] + 1 + c
+    np.add.at(places.reshape(-1), (at >> 6) * (len(m) * letters) + r * letters + code[a[r] + c], np.uint64(1) << (at & 63).astype(np.uint64))
+    long = np.ascontiguousarray(_spread(code, b, n, width).T)  # beyond its end a line equals nothing: no place is of character 0
+    base = np.arange(len(m)) * letters
     bit = np.clip(top[:, None] - 64 * np.arange(words), 0, 64).astype(np.uint64)
     one, ones = np.uint64(1), ~np.uint64(0)
     up = np.where(bit < 64, ones << np.minimum(bit, np.uint64(63)), np.uint64(0)).T.copy()
@@ -517,18 +532,26 @@ def _banded(code, a, m, b, n, most, words: int) -> np.ndarray:
     score, delta = n - m, n - m
     shift, word = (own % 64).astype(np.uint64), own // 64
     out, row = np.zeros(len(m), bool), np.arange(len(m))
+    done = 0  # columns that ``long`` no longer has
     for j in range(1, width + 1):
-        same = np.packbits(short[:, j : j + 64 * words] == long[:, j - 1, None], axis=1, bitorder="little").view(np.uint64).T
+        at = base + long[j - 1 - done]
+        low, by = j >> 6, np.uint64(j & 63)
+        same = [places[low + w].take(at) for w in range(words + bool(by))]
+        if by:
+            same = [(x >> by) | (y << np.uint64(64 - int(by))) for x, y in zip(same[:-1], same[1:], strict=True)]
         diagonal = np.empty_like(up)
         carry = None
         for w in range(words):
             x = same[w] & up[w]
             total = x + up[w]
-            over = total < x
+            if w < words - 1:
+                over = total < x
             if carry is not None:
                 total = total + carry
-                over |= total < carry
-            carry = over.astype(np.uint64)
+                if w < words - 1:
+                    over |= total < carry
+            if w < words - 1:
+                carry = over.astype(np.uint64)
             diagonal[w] = (total ^ up[w]) | same[w] | down[w]
         plus, minus = down | ~(diagonal | up), diagonal & up
         step = diagonal >> one
@@ -543,22 +566,28 @@ def _banded(code, a, m, b, n, most, words: int) -> np.ndarray:
                 out[row[(score <= most) & (n <= j)]] = True
                 if not live.any():
                     break
-                short, long, row, score, most, delta, n, shift, word = (x[live] for x in (short, long, row, score, most, delta, n, shift, word))
-                up, down = up[:, live], down[:, live]
+                base, row, score, most, delta, n, shift, word = (x[live] for x in (base, row, score, most, delta, n, shift, word))
+                up, down, long, done = up[:, live], down[:, live], long[j - done :, live], j
     return out
 
 
+#: Pairs that are compared at a time, and bytes of their lines: enough that a column of a batch has many rows.
+PAIRS, PAIR_BYTES = 1 << 14, 1 << 24
+
+
 def _similar_pairs(batches):
     for batch in batches:
-        for at in range(0, batch.num_rows, 2048):
-            some = batch.slice(at, 2048)
-            n = some.num_rows
+        size = np.cumsum(sum(pc.binary_length(batch.column(c)).to_numpy().astype(np.int64) for c in "xy")) if batch.num_rows else np.zeros(0, np.int64)
+        at = 0
+        while at < batch.num_rows:
+            end = int(np.searchsorted(size, (size[at - 1] if at else 0) + PAIR_BYTES, side="right"))
+            some = batch.slice(at, min(max(1, end - at), PAIRS))
+            at += some.num_rows
             ids, place = np.unique(np.concatenate([some.column(c).to_numpy() for c in "ab"]), return_index=True)
             bodies = pa.concat_arrays([some.column(c) for c in "xy"]).take(pa.array(place)).to_pylist()
             held = Lines(bodies)
             mask = pa.array(held.similar(*(np.searchsorted(ids, some.column(c).to_numpy()) for c in "ab")), pa.bool_())
-            if n:
-                yield pa.RecordBatch.from_arrays([some.column("a").filter(mask), some.column("b").filter(mask)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([some.column("a").filter(mask), some.column("b").filter(mask)], names=["a", "b"])
     trim()
 
 
@@ -594,19 +623,19 @@ def _similar_in_lists(batches):
     def links(table: pa.Table, edge: np.ndarray):
         x, y = _pairs_in(table, edge)
         ids = table.column("id").to_numpy()
-        pairs = np.unique(np.stack((np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]))), axis=1) if len(x) else np.zeros((2, 0), np.int64)
-        lines, place = np.unique(ids, return_index=True)
-        rows = np.searchsorted(lines, pairs)
-        some, rows = np.unique(rows, return_inverse=True)
+        lines, place, of = np.unique(ids, return_index=True, return_inverse=True)
+        low, high = np.minimum(of[x], of[y]), np.maximum(of[x], of[y])
+        low, high = np.divmod(np.unique(low * len(lines) + high), max(1, len(lines)))
+        some, rows = np.unique(np.concatenate((low, high)), return_inverse=True)
         held = Lines(table.column("body").take(pa.array(place[some])).to_pylist())
-        rows = rows.reshape(2, -1)
-        found = pairs[:, held.similar(rows[0], rows[1])] if len(some) else pairs
+        mask = held.similar(*np.split(rows, 2)) if len(some) else np.zeros(0, bool)
+        found = lines[low[mask]], lines[high[mask]]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["a", "b"])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        for at in range(0, batch.num_rows, 4 * BLOCK):
-            held.append(batch.slice(at, 4 * BLOCK))
+        for at in range(0, batch.num_rows, 32 * BLOCK):
+            held.append(batch.slice(at, 32 * BLOCK))
             table = pa.Table.from_batches(held)
             edge = edges(table)
             if len(edge) > 2:  # the last group may go on
@@ -676,7 +705,11 @@ class Seen:
 def entries(data: np.ndarray, offsets: np.ndarray, seen: Seen) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, line, shape) of all ways in which lines meet."""
     _, _, start, end = lines_of(data, offsets)
-    words, at, line = line_words(data, start)
+    return entries_of(data, start, end, *line_words(data, start), seen)
+
+
+def entries_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, words: np.ndarray, at: np.ndarray, line: np.ndarray, seen: Seen) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``entries`` of lines whose words are known."""
     fresh_lines = seen.first(line)
     fresh_lines = fresh_lines[at[fresh_lines + 1] > at[fresh_lines]]
     if not len(fresh_lines):
@@ -750,15 +783,32 @@ def _unpacked_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(wide.view(">u8")[:, 0].astype(np.uint64)) << np.uint64(64 - 8 * KEY_BYTES)
 
 
-def _blocks(docs: DataFrame, targets: int) -> DataFrame:
-    """(target, keys, lines, shapes): entries sorted by key, a row for each target that a batch has entries for."""
-    names = ["target", "keys", "lines", "shapes"]
+#: Occurrences of lines that a row carries.
+PLACES = 1 << 14
+
+
+def _blocks(docs: DataFrame, key: str, targets: int) -> DataFrame:
+    """(target, keys, lines, shapes): entries sorted by key, a row for each target that a batch has entries for.
+
+    Besides, without keys, (target, lines, ids, ths, numbers) of the occurrences of lines, so that texts are read and cut into words once.
+    """
+    source = _texts(docs, key)
+    names = ["target", "keys", "lines", "shapes", "ids", "ths", "numbers"]
+    kind = dict(source.dtypes)["id"]
 
     def run(batches):
         seen, codec = Seen(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            data, off = utf8_buffers(batch.column(0))
-            got = [entries(data[off[i] : off[j]], off[i : j + 1] - off[i], seen) for i, j in chunks(off, 1 << 21)]
+            data, off = utf8_buffers(batch.column("text"))
+            ids, ths = batch.column("id"), batch.column("th").to_numpy()
+            got, places = [], []
+            for i, j in chunks(off, 1 << 21):
+                some = data[off[i] : off[j]]
+                text, number, start, end = lines_of(some, off[i : j + 1] - off[i])
+                words, at, line = line_words(some, start)
+                full = np.flatnonzero(at[1:] > at[:-1])
+                places.append((line[full], text[full] + i, number[full].astype(np.int32)))
+                got.append(entries_of(some, start, end, words, at, line, seen))
             if not got:
                 continue
             keys, lines, shape = (np.concatenate(x) for x in zip(*got, strict=True))
@@ -769,10 +819,19 @@ def _blocks(docs: DataFrame, targets: int) -> DataFrame:
             some = np.flatnonzero(np.diff(edge))
             packed = [codec.compress(_packed_keys(keys[edge[t] : edge[t + 1]])) for t in some.tolist()]
             raw = [[x[edge[t] : edge[t + 1]].tobytes() for t in some.tolist()] for x in (lines, shape)]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(x, pa.binary()) for x in (packed, *raw))], names=names)
+            none = pa.nulls(len(some), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(x, pa.binary()) for x in (packed, *raw)), pa.nulls(len(some), pa.list_(ids.type)), none, none], names=names)
+            line, text, number = (np.concatenate(x) for x in zip(*places, strict=True))
+            cuts = np.append(np.arange(0, len(line), PLACES), len(line))
+            pairs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            if pairs:
+                raw = [[x[a:b].tobytes() for a, b in pairs] for x in (line, ths[text], number)]
+                held, none = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), ids.take(pa.array(text))), pa.nulls(len(pairs), pa.binary())
+                to = pa.array([int(line[a] % np.uint64(targets)) for a, _ in pairs], pa.int32())
+                yield pa.RecordBatch.from_arrays([to, none, pa.array(raw[0], pa.binary()), none, held, *(pa.array(x, pa.binary()) for x in raw[1:])], names=names)
         trim()
 
-    return docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, "target int, keys binary, lines binary, shapes binary")
+    return source.mapInArrow(run, f"target int, keys binary, lines binary, shapes binary, ids array<{kind}>, ths binary, numbers binary")
 
 
 def _groups(keys: np.ndarray, lines: np.ndarray, shape: np.ndarray | None = None) -> pa.RecordBatch | None:
@@ -825,17 +884,31 @@ def _meet(batches):
 
 
 def _meet_packed(batches):
-    """``_meet`` of blocks whose keys are packed."""
+    """``_meet`` of blocks whose keys are packed, and (doc, th, number, line) of the occurrences among them."""
     codec = zstandard.ZstdDecompressor()
+    names = ["key", "id", "lead", "length", "doc", "th", "number", "line"]
+    places: list[pa.RecordBatch] = []
+    kind: list[pa.DataType] = []
 
     def unpacked():
         for batch in batches:
+            kind[:] = [batch.schema.field("ids").type.value_type]
             for at in range(0, batch.num_rows, 64):
                 some = batch.slice(at, 64)
-                keys = [_unpacked_keys(codec.decompress(x.as_buffer())).tobytes() for x in some.column("keys")]
-                yield some.set_column(some.schema.get_field_index("keys"), "keys", pa.array(keys, pa.binary()))
-
-    return _meet(unpacked())
+                none = pc.is_null(some.column("keys"))
+                for ids, *raw in zip(*(some.filter(none).column(c) for c in ("ids", "ths", "numbers", "lines")), strict=True):
+                    own = [ids.values, *(pa.array(np.frombuffer(x.as_buffer(), t)) for x, t in zip(raw, (np.int64, np.int32, np.int64), strict=True))]
+                    places.append(pa.RecordBatch.from_arrays([*(pa.nulls(len(own[0]), pa.int64()) for _ in range(4)), *own], names=names))
+                some = some.filter(pc.invert(none))
+                if some.num_rows:
+                    keys = [_unpacked_keys(codec.decompress(x.as_buffer())).tobytes() for x in some.column("keys")]
+                    yield some.set_column(some.schema.get_field_index("keys"), "keys", pa.array(keys, pa.binary()))
+
+    for found in _meet(unpacked()):
+        yield from places
+        places.clear()
+        yield pa.RecordBatch.from_arrays([*found.columns, *(pa.nulls(found.num_rows, t) for t in (kind[0], pa.int64(), pa.int32(), pa.int64()))], names=names)
+    yield from places
 
 
 def _bodies(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
@@ -843,11 +916,11 @@ def _bodies(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     source = _texts(docs, key)
 
     def cut(batches):
-        codec = zstandard.ZstdDecompressor()
         for batch in batches:
             found, bodies, size = [], [], 0
-            for packed, numbers, ids in zip(batch.column("packed"), batch.column("numbers").to_pylist(), batch.column("lines").to_pylist(), strict=True):
-                lines = codec.decompress(packed.as_buffer()).split(b"\n")
+            texts = batch.column("text").cast(pa.large_binary())
+            for text, numbers, ids in zip(texts, batch.column("numbers").to_pylist(), batch.column("lines").to_pylist(), strict=True):
+                lines = text.as_py().split(b"\n")
                 found += ids
                 bodies += [normalise(lines[n]).decode("utf-8", "replace") for n in numbers]
                 size += sum(len(x) for x in bodies[-len(ids) :])
@@ -857,40 +930,27 @@ def _bodies(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(bodies, pa.string())], names=["line", "body"])
         trim()
 
-    places = wanted.groupBy(F.col("at.id").alias("wid"), F.col("at.th").alias("wth")).agg(F.collect_list(F.struct(F.col("at.number").alias("number"), "line")).alias("w")).select("wid", "wth", F.col("w.number").alias("numbers"), F.col("w.line").alias("lines"))
-    packed = source.mapInArrow(_pack, f"id {dict(source.dtypes)['id']}, th long, packed binary")
-    joined = packed.join(places.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("packed", "numbers", "lines")
+    # A document's places come from all over: they are dealt once, then gathered, which is less work than gathering twice.
+    places = wanted.select(F.col("at.id").alias("wid"), F.col("at.th").alias("wth"), F.struct(F.col("at.number").alias("number"), "line").alias("w")).repartition("wid", "wth").groupBy("wid", "wth").agg(F.collect_list("w").alias("w")).select("wid", "wth", F.col("w.number").alias("numbers"), F.col("w.line").alias("lines"))
+    joined = source.join(places.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).select("text", "numbers", "lines")
     # rows that are equal in id and text give the same lines again: one of each stays
     return joined.mapInArrow(cut, "line long, body string").groupBy("line").agg(F.first("body").alias("body"))
 
 
-def _pack(batches):
-    """Texts compressed for a shuffle; the other columns as they are."""
-    codec = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        at = batch.schema.get_field_index("text")
-        data, off = utf8_buffers(batch.column(at))
-        packed = pa.array([codec.compress(data[a:b].tobytes()) for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary(), mask=np.asarray(batch.column(at).is_null()) if batch.num_rows else None)
-        yield pa.RecordBatch.from_arrays([packed if k == at else c for k, c in enumerate(batch.columns)], names=["packed" if k == at else n for k, n in enumerate(batch.schema.names)])
-    trim()
-
-
 def _rebuild(docs: DataFrame, key: str, gone: DataFrame, counts: tuple[str, str]) -> DataFrame:
     """Documents without the lines in ``gone`` (gid, gth, numbers), with the numbers of lines and of kept lines."""
     names = docs.columns
     others = [n for n in names if n != "text"]
     source = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64("text").alias("th"), F.struct(*(F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate(others))).alias("row"), F.col("text"))
-    kinds = dict(source.dtypes)
-    packed = source.mapInArrow(_pack, f"id {kinds['id']}, th long, row {kinds['row']}, packed binary")
-    marked = packed.join(gone.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
+    kind = dict(source.dtypes)["row"]
+    marked = source.join(gone.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
 
     def run(batches):
-        codec = zstandard.ZstdDecompressor()
         for batch in batches:
             at, n = 0, batch.num_rows
             texts, total, kept, size = [], [], [], 0
-            for i, (value, numbers) in enumerate(zip(batch.column("packed"), batch.column("numbers").to_pylist(), strict=True)):
-                raw = codec.decompress(value.as_buffer()) if value.is_valid else None
+            for i, (value, numbers) in enumerate(zip(batch.column("text").cast(pa.large_binary()), batch.column("numbers").to_pylist(), strict=True)):
+                raw = value.as_py()
                 lines = [] if raw is None else raw.split(b"\n")
                 full = sum(1 for x in lines if x.strip())
                 drop = set(numbers or ())
@@ -905,7 +965,7 @@ def _rebuild(docs: DataFrame, key: str, gone: DataFrame, counts: tuple[str, str]
                     texts, total, kept, size, at = [], [], [], 0, i + 1
         trim()
 
-    out = marked.select("row", "packed", "numbers").mapInArrow(run, f"row {kinds['row']}, text string, total long, kept long")
+    out = marked.select("row", "text", "numbers").mapInArrow(run, f"row {kind}, text string, total long, kept long")
     values = {n: F.col("row").getField(f"c{k}") for k, n in enumerate(others)} | {"text": F.col("text")}
     made = []
     for c in counts:
@@ -916,11 +976,14 @@ def _rebuild(docs: DataFrame, key: str, gone: DataFrame, counts: tuple[str, str]
 def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] = ("n_lines", "n_kept")) -> DataFrame:
     """Documents with one occurrence of each group of similar lines, and the numbers of lines and of kept lines."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "lines")
-    found = scratch.write(occurrences(docs, key), "occurrences")
-    targets = max(partitions_for(spark), -(-KEYS_A_LINE * found.count() // TARGET))
-    dealt = _blocks(docs, 4 * targets).repartition(targets, "target").sortWithinPartitions("target")
-    met = scratch.write(dealt.mapInArrow(_meet_packed, "key long, id long, lead long, length long").distinct(), "met")
+    scratch = Scratch(spark, "lines", sweep=True)
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    targets = max(partitions_for(spark), -(-size // TARGET))
+    dealt = _blocks(docs, key, 4 * targets).repartition(targets, "target").sortWithinPartitions("target")
+    kind = dict(docs.dtypes)[key]
+    both = scratch.write(dealt.mapInArrow(_meet_packed, f"key long, id long, lead long, length long, doc {kind}, th long, number int, line long"), "met")
+    found = both.where("line IS NOT NULL").select(F.col("doc").alias("id"), "th", "number", "line")
+    met = scratch.write(both.where("line IS NULL").select("key", "id", "lead", "length").distinct(), "met")
     scratch.release()
     lines = scratch.write(found.groupBy("line").agg(F.min(F.struct("id", "th", "number")).alias("at"), F.count("*").alias("n")), "places")
     wanted = met.select("id").unionByName(met.select(F.col("lead").alias("id"))).distinct()
@@ -941,8 +1004,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", counts: tuple[str, str] =
         known = lines.join(comps, lines["line"] == comps["id"], "left_anti")
     repeated = known.where("n > 1").select("line", F.col("at").alias("stay"))
     hot = scratch.write(repeated if comps is None else repeated.unionByName(linked), "stays")
-    gone = found.join(hot, "line").where(~F.struct("id", "th", "number").eqNullSafe(F.col("stay"))).groupBy(F.col("id").alias("gid"), F.col("th").alias("gth")).agg(F.collect_set("number").alias("numbers"))
+    gone = found.join(hot, "line").where(~F.struct("id", "th", "number").eqNullSafe(F.col("stay"))).select(F.col("id").alias("gid"), F.col("th").alias("gth"), "number").repartition("gid", "gth").groupBy("gid", "gth").agg(F.collect_set("number").alias("numbers"))
     gone = scratch.write(gone, "gone")
-    scratch.drop(found, lines, hot)
+    scratch.drop(both, lines, hot)
     scratch.release()
     return _rebuild(docs, key, gone, counts)

@@ -46,11 +46,18 @@ def trim() -> None:
         _LIBC.malloc_trim(0)
 
 
+#: Spark's setting that deletes the shuffle files of a query once it has run.
+SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
-    """Tables written to the shared folder: they cut lineage and survive lost executors."""
+    """Tables written to the shared folder: they cut lineage and survive lost executors.
+
+    ``sweep``: what a write has shuffled is deleted as soon as it is done, not when the driver happens to collect its garbage.
+    """
 
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    def __init__(self, spark: SparkSession, what: str, sweep: bool = False):
+        self.spark, self.root, self.sweep = spark, f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}", sweep
         self.made = 0
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -64,7 +71,12 @@ class Scratch:
         """Run ``df`` once, return it as a table read back from the shared folder."""
         self.made += 1
         at = self.folder(f"{name}-{self.made}")
-        df.write.mode("overwrite").parquet(at)
+        was = self.spark.conf.get(SWEEP, "false")
+        self.spark.conf.set(SWEEP, "true" if self.sweep else was)
+        try:
+            df.write.mode("overwrite").parquet(at)
+        finally:
+            self.spark.conf.set(SWEEP, was)
         out = self.spark.read.schema(df.schema).parquet(at)
         out.scratch_path = at
         return out

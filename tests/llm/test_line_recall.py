@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronoframe.llm import line_dedup
+from chronoframe.llm.shared import Scratch
 
 from .test_ops import keys_of, meets
 
@@ -116,3 +117,32 @@ def test_lists_fall_into_the_parts_that_may_be_similar():
     assert line_dedup._groups(keys[:2], lines[:2], np.full(2, line_dedup.UNKNOWN, np.uint64)).num_rows == 1
     at = np.sort(np.array([rng.getrandbits(64) for _ in range(500)], np.uint64))
     assert (line_dedup._unpacked_keys(line_dedup._packed_keys(at)) == at >> np.uint64(16) << np.uint64(16)).all()
+
+
+def test_a_swept_write_leaves_no_shuffle_files(spark):
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("shuffle_")
+    before = held()
+    out = Scratch(spark, "swept", sweep=True).write(spark.range(1000).repartition(7, "id"))
+    assert held() == before and out.count() == 1000
+    kept = spark.range(1000).repartition(7, "id").write
+    kept.format("noop").mode("overwrite").save()
+    assert held() > before
+
+
+def test_one_by_one_and_in_batches_distances_are_held_alike():
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(400):
+        a = "".join(rng.choice("abcé ") for _ in range(rng.randint(20, 160)))
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 5)):
+            at = rng.randrange(len(b))
+            b[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "xy"])
+        pairs.append(sorted((a, "".join(b)), key=len))
+    most = [line_dedup.most_edits(len(b)) for _, b in pairs]
+    want = [line_dedup.edit_distance(a, b) <= k for (a, b), k in zip(pairs, most, strict=True)]
+    assert 50 < sum(want) < 350
+    assert [len(b) - len(a) <= k and line_dedup._banded_one(a, b, k) for (a, b), k in zip(pairs, most, strict=True)] == want
+    held = line_dedup.Lines([x for p in pairs for x in p])
+    i = np.arange(0, 2 * len(pairs), 2)
+    assert line_dedup.within_many(held.code, held.start[i], held.chars[i], held.start[i + 1], held.chars[i + 1], np.array(most), lambda k: pairs[k]).tolist() == want
